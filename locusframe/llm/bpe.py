@@ -58,7 +58,7 @@ class RankBPE:
         self.ranks, self.find = ranks, regex.compile(pattern).findall
         self.of_byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         pairs = [(ranks[t[:i]] * 16777216 + ranks[t[i:]], m) for t, m in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
         made = pa.table({"pair": pa.array([p for p, _ in pairs], pa.int64()), "merged": pa.array([m for _, m in pairs], pa.int32())})
         words = pa.table({"tok": pa.array(list(ranks.values()), pa.int32()), "chars": [t.decode("latin-1") for t in ranks]})
         for name, t in (("merges", made), ("vocab", words)):
@@ -66,7 +66,7 @@ class RankBPE:
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM t")
             self.db.unregister("t")
 
-    def pieces(self, parts: list[bytes], block: int = 50_000) -> list[list[int]]:
+    def pieces(self, parts: list[bytes], block: int = 20_000) -> list[list[int]]:
         """The ids of pieces that are each encoded alone."""
         out: list[list[int]] = [[]] * len(parts)
         rows = []
@@ -116,7 +116,7 @@ class RankBPE:
         ids = dict(zip(distinct, self.pieces([m.encode("utf-8", "surrogatepass") for m in distinct]), strict=True))
         return [ids[f[0]] if len(f) == 1 else [x for m in f for x in ids[m]] for f in found]
 
-    def decode(self, flat: np.ndarray, n: np.ndarray, block: int = 2_000_000) -> Iterator[bytes]:
+    def decode(self, flat: np.ndarray, n: np.ndarray, block: int = 1_000_000) -> Iterator[bytes]:
         """The bytes of each run of n ids."""
         ends = np.cumsum(n)
         i = 0

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locusframe.llm import bpe, packing
+from locusframe.llm import bpe, langid, packing, tokenstore, warc
 from locusframe.llm.shared import table
 
 
@@ -16,6 +16,22 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = tokenstore.write_store(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), end_id=2)
+    return tokenstore.read_checksums(spark, store)
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs.select("doc_id", "text"), langid.fit(docs.where(~langid.held_out())))
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
@@ -26,6 +42,15 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op8_best_fit_packing, op10_byte_bpe)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_warc_archives, op4_token_store, op5_language_id, op8_best_fit_packing, op10_byte_bpe)}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_warc_archives": """
+        WITH p AS (SELECT page_id, url, coalesce(html, '') AS payload FROM pages),
+        d AS (SELECT page_id, url, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+        f AS (SELECT payload_digest, min(page_id) AS first_id FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest HAVING count(*) > 1)
+        SELECT d.page_id, d.payload_bytes, d.payload_digest,
+          CASE WHEN f.first_id <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+          CASE WHEN f.first_id <> d.page_id THEN f.first_id END AS refers_to
+        FROM d LEFT JOIN f USING (payload_digest)""",
+}

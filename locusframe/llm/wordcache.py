@@ -27,7 +27,7 @@ def visible(c: str) -> bool:
 class ChunkEncoder:
     """encode_many(list of str) gives a list of id lists; spaced says that a space belongs to the next word."""
 
-    def __init__(self, encode_many: Callable[[list[str]], Sequence[Sequence[int]]], spaced: bool, limit: int = 1_000_000):
+    def __init__(self, encode_many: Callable[[list[str]], Sequence[Sequence[int]]], spaced: bool, limit: int = 400_000):
         self.encode_many, self.spaced, self.limit = encode_many, spaced, limit
         self._clear()
 
@@ -149,7 +149,7 @@ def library_encoder(path: str, spaced: bool) -> ChunkEncoder:
     return _encoders[path, spaced]
 
 
-def slices(texts: pa.Array, most_bytes: int = 24_000_000):
+def slices(texts: pa.Array, most_bytes: int = 8_000_000):
     """(from, to) row ranges of at most about so many bytes, at least one row each."""
     size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     begin, total = 0, 0
