@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locusframe.llm import bpe, langid, packing, tokenstore, warc
+from locusframe.llm import bpe, langid, minhash, packing, tokenstore, warc
 from locusframe.llm.shared import table
 
 
@@ -32,6 +32,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op7_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.cluster(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
@@ -42,7 +46,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_warc_archives, op4_token_store, op5_language_id, op8_best_fit_packing, op10_byte_bpe)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_warc_archives, op4_token_store, op5_language_id, op7_minmax_near_dedup, op8_best_fit_packing, op10_byte_bpe)}
 
 SQL: dict[str, str] = {
     "op2_warc_archives": """
