@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from locusframe.llm import bpe, langid, minhash, packing, tokenstore, warc
+from locusframe.llm import bpe, langid, minhash, packing, substrings, tokenstore, warc
 from locusframe.llm.shared import table
 
 
@@ -40,13 +41,18 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), window=13)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return bpe.encode_documents(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_warc_archives, op4_token_store, op5_language_id, op7_minmax_near_dedup, op8_best_fit_packing, op10_byte_bpe)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_warc_archives, op4_token_store, op5_language_id, op7_minmax_near_dedup, op8_best_fit_packing, op9_substring_dedup, op10_byte_bpe)}
 
 SQL: dict[str, str] = {
     "op2_warc_archives": """
