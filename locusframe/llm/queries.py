@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusframe.llm import bpe, langid, minhash, packing, substrings, tokenstore, warc
+from locusframe.llm import bpe, iblt, langid, licences, minhash, packing, substrings, tokenstore, warc
 from locusframe.llm.shared import table
 
 
@@ -17,6 +17,10 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents")).withColumn("best_dice", F.round("best_dice", 6))
+
+
 def op2_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(table(spark, sf_dir, "pages"))
     return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -33,6 +37,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op6_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.cluster(table(spark, sf_dir, "documents"), words=2, percent=80)
 
@@ -52,9 +60,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_warc_archives, op4_token_store, op5_language_id, op7_minmax_near_dedup, op8_best_fit_packing, op9_substring_dedup, op10_byte_bpe)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_licence_scan, op2_warc_archives, op4_token_store, op5_language_id, op6_iblt_fingerprints, op7_minmax_near_dedup, op8_best_fit_packing, op9_substring_dedup, op10_byte_bpe)}
 
 SQL: dict[str, str] = {
+    "op1_licence_scan": licences.oracle(),
     "op2_warc_archives": """
         WITH p AS (SELECT page_id, url, coalesce(html, '') AS payload FROM pages),
         d AS (SELECT page_id, url, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
