@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from locusframe.plans import interval_queries, score_queries, sequence_queries, table_queries  # noqa: F401
+from locusframe.plans.registry import QUERIES, SQL
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict:
-    return {}
+    return dict(SQL)
