@@ -17,7 +17,7 @@ def decoded(c: Column) -> Column:
 
 def parse(attr: Column) -> Column:
     """The bag as map<string, array<string>>."""
-    pairs = F.filter(F.transform(F.split(attr, ";"), F.trim), lambda p: p.contains("="))
+    pairs = F.filter(F.transform(F.split(attr, ";"), lambda p: F.trim(p)), lambda p: p.contains("="))
     entries = F.transform(pairs, lambda p: F.struct(F.substring_index(p, "=", 1).alias("k"), F.transform(F.split(F.regexp_replace(p, "^[^=]*=", ""), ","), decoded).alias("v")))
     keys = F.array_distinct(F.transform(entries, lambda e: e["k"]))
     return F.map_from_arrays(keys, F.transform(keys, lambda k: F.flatten(F.transform(F.filter(entries, lambda e: e["k"] == k), lambda e: e["v"]))))

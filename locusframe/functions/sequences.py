@@ -42,10 +42,10 @@ def translate(seq: Column, offset: int | Column = 0, code: str = "universal") ->
     """Amino acids from an offset; U reads as T, codons with other letters are X."""
     table = F.create_map(*[F.lit(x) for kv in sorted(codon_table(code).items()) for x in kv])
     s = F.translate(F.upper(seq), "U", "T")
-    start = F.lit(offset) if isinstance(offset, int) else offset
-    n = F.floor((F.length(s) - start) / 3).cast("int")
-    codons = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.coalesce(F.try_element_at(table, F.substring(s, start + 1 + i * 3, F.lit(3))), F.lit("X")))
-    return F.when(n > 0, F.array_join(codons, "")).otherwise(F.when(seq.isNotNull(), ""))
+    at = F.lit(offset + 1) if isinstance(offset, int) else offset + 1
+    # cut into codons in one go: a substring per codon would walk the text anew each time
+    codons = F.regexp_extract_all(F.substring(s, at, F.length(s)), F.lit("(...)"), 1)
+    return F.array_join(F.transform(codons, lambda c: F.coalesce(F.try_element_at(table, c), F.lit("X"))), "")
 
 
 def splice_code(donor: Column, acceptor: Column) -> Column:
@@ -79,15 +79,15 @@ def wrapped(seq: Column, width: int = 60) -> Column:
 def tiles(seqs: DataFrame, size: int, step: int, as_written: bool = True) -> DataFrame:
     """Seqid, s, e and tile. As written: text one letter late, and no tile in the last place."""
     stop = F.length("seq") - size - (1 if as_written else 0)
-    rows = seqs.where(stop >= 0).withColumn("_o", F.explode(F.sequence(F.lit(0), stop, F.lit(step))))
     shift = 2 if as_written else 1
-    return rows.select("seqid", (F.col("_o") + 1).alias("s"), (F.col("_o") + size).alias("e"), F.substring("seq", F.col("_o") + shift, F.lit(size)).alias("tile"))
+    # tiles are cut before rows are made, so that no row carries the whole text
+    cut = F.transform(F.sequence(F.lit(0), stop, F.lit(step)), lambda o: F.struct((o + 1).alias("s"), (o + size).alias("e"), F.substring("seq", o + shift, F.lit(size)).alias("tile")))
+    return seqs.where(stop >= 0).select("seqid", F.explode(cut).alias("t")).select("seqid", "t.*")
 
 
 def broken(seqs: DataFrame, size: int) -> DataFrame:
     """Consecutive pieces; the last may be shorter."""
-    rows = seqs.where(F.length("seq") > 0).withColumn("piece", F.explode(F.sequence(F.lit(0), F.expr(f"cast((length(seq) - 1) div {size} as int)"))))
-    return rows.select("seqid", "piece", F.substring("seq", F.col("piece") * size + 1, F.lit(size)).alias("part"))
+    return seqs.where(F.length("seq") > 0).select("seqid", F.posexplode(F.regexp_extract_all("seq", F.lit(f"(.{{1,{size}}})"), 1)).alias("piece", "part"))
 
 
 def masked(seqs: DataFrame, pieces: DataFrame, hard: bool = True, pad: int = 0) -> DataFrame:

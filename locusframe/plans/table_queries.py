@@ -1 +1,213 @@
-"""Queries."""
+"""Queries that map ids, annotate, filter, number and walk hierarchies, and those on the job queue."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from locusframe.operators import graphs, selection
+from locusframe.plans.registry import query, table
+from locusframe.sources import adapters as A
+from locusframe.streaming import events
+
+
+def _numbered_parts(spark, d):
+    """Ids by size, then key; counted per size first, so that no task ranks the whole table."""
+    p = table(spark, d, "part").select("p_partkey", "p_size")
+    before = Window.orderBy(F.desc("p_size")).rowsBetween(Window.unboundedPreceding, -1)
+    base = p.groupBy("p_size").count().withColumn("base", F.coalesce(F.sum("count").over(before), F.lit(0))).select("p_size", "base")
+    own = Window.partitionBy("p_size").orderBy("p_partkey")
+    n = F.row_number().over(own) + F.col("base")
+    return p.join(F.broadcast(base), "p_size").select(F.col("p_partkey").alias("old_id"), F.concat(F.lit("P"), F.lpad(n.cast("string"), 8, "0")).alias("new_id"))
+
+
+@query("idmap", "SELECT old_id, new_id FROM idmap")
+def number_ids(spark, d):
+    return _numbered_parts(spark, d)
+
+
+@query("idmap", "SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, coalesce(new_id, l_partkey::VARCHAR) AS feature FROM lineitem LEFT JOIN idmap ON l_partkey = old_id AND old_id % 3 <> 0")
+def id_map(spark, d):
+    """Ids swapped where the map has them, kept elsewhere."""
+    ids = _numbered_parts(spark, d).where("old_id % 3 <> 0")
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
+    return rows.join(ids, F.col("l_partkey") == F.col("old_id"), "left").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", F.coalesce("new_id", F.col("l_partkey").cast("string")).alias("feature"))
+
+
+@query("", "SELECT o_custkey, o_orderkey AS best, o_orderpriority FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n FROM orders) WHERE n = 1")
+def first_hit_annotation(spark, d):
+    """The first hit of each query; an aggregate of structs, so map tasks keep one row per key."""
+    first = F.min(F.struct("o_orderdate", "o_orderkey", "o_orderpriority")).alias("m")
+    return table(spark, d, "orders").groupBy("o_custkey").agg(first).select("o_custkey", F.col("m.o_orderkey").alias("best"), F.col("m.o_orderpriority").alias("o_orderpriority"))
+
+
+@query("", "SELECT c_custkey, coalesce(string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority), '') AS xrefs FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey")
+def xrefs(spark, d):
+    """Distinct cross references, sorted and joined."""
+    refs = table(spark, d, "orders").groupBy("o_custkey").agg(F.array_join(F.array_sort(F.collect_set("o_orderpriority")), ",").alias("xrefs"))
+    return table(spark, d, "customer").join(refs, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", F.coalesce("xrefs", F.lit("")).alias("xrefs"))
+
+
+@query("", """SELECT c_custkey, count(DISTINCT o_orderkey) AS transcripts, count(l_orderkey) AS exons, round(coalesce(sum(l_quantity), 0), 2) AS length
+    FROM customer LEFT JOIN orders ON c_custkey = o_custkey LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY c_custkey""")
+def parent_children(spark, d):
+    """Gene to transcript to exon by parent id, each level counted before the next join."""
+    exons = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("q"))
+    rows = table(spark, d, "orders").select("o_custkey", "o_orderkey").join(exons, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    per = rows.groupBy("o_custkey").agg(F.count("*").alias("t"), F.sum("n").alias("e"), F.sum("q").alias("q"))
+    both = table(spark, d, "customer").select("c_custkey").join(per, F.col("c_custkey") == F.col("o_custkey"), "left")
+    return both.select("c_custkey", F.coalesce("t", F.lit(0)).alias("transcripts"), F.coalesce("e", F.lit(0)).alias("exons"), F.round(F.coalesce("q", F.lit(0.0)), 2).alias("length"))
+
+
+@query("feat hsps", """, c AS (SELECT hit, strand, id, s, e, coalesce(sum(e - s + 1) OVER w, 0) AS t0 FROM hsps WINDOW w AS (PARTITION BY hit, strand ORDER BY s, e, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    l AS (SELECT hit, strand, sum(e - s + 1) AS n FROM hsps GROUP BY hit, strand),
+    p AS (SELECT c.hit, c.strand, c.id, s + greatest(n // 4 - t0, 0) AS gs, s + least(n // 2 - t0, e - s + 1) - 1 AS ge, t0, n, e - s + 1 AS len FROM c JOIN l ON c.hit = l.hit AND c.strand = l.strand)
+    SELECT hit, strand, id, gs::BIGINT AS gs, ge::BIGINT AS ge FROM p WHERE t0 + len > n // 4 AND t0 < n // 2 AND gs <= ge""")
+def project_domains(spark, d):
+    """The second quarter of each transcript, lifted to the genome block by block."""
+    h = A.hsps(spark, d)
+    w = Window.partitionBy("hit", "strand").orderBy("s", "e", "id").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.col("e") - F.col("s") + 1
+    whole = Window.partitionBy("hit", "strand")
+    rows = h.withColumn("t0", F.coalesce(F.sum(size).over(w), F.lit(0))).withColumn("n", F.sum(size).over(whole)).withColumn("q1", F.expr("n div 4")).withColumn("q2", F.expr("n div 2"))
+    lifted = rows.where((F.col("t0") + size > F.col("q1")) & (F.col("t0") < F.col("q2")))
+    out = lifted.select("hit", "strand", "id", (F.col("s") + F.greatest(F.col("q1") - F.col("t0"), F.lit(0))).alias("gs"), (F.col("s") + F.least(F.col("q2") - F.col("t0"), size) - 1).alias("ge"))
+    return out.where("gs <= ge")
+
+
+@query("", "SELECT * FROM (SELECT doc_id, lang, n_chars FROM documents) d WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1)")
+def id_select(spark, d):
+    keep = table(spark, d, "labels").where("quality = 1").select("doc_id")
+    return table(spark, d, "documents").select("doc_id", "lang", "n_chars").join(keep, "doc_id", "left_semi")
+
+
+@query("", "SELECT * FROM (SELECT doc_id, lang, n_chars FROM documents) d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1)")
+def id_remove(spark, d):
+    gone = table(spark, d, "labels").where("quality = 1").select("doc_id")
+    return table(spark, d, "documents").select("doc_id", "lang", "n_chars").join(gone, "doc_id", "left_anti")
+
+
+@query("", """, x AS (SELECT l_orderkey AS t, min(l_discount) AS aed, count_if(l_returnflag = 'R') AS pfam FROM lineitem GROUP BY l_orderkey)
+    SELECT o_custkey, count(*) AS kept FROM orders JOIN x ON o_orderkey = t WHERE aed < 0.02 OR pfam > 2 GROUP BY o_custkey""".replace(", x AS", "WITH x AS", 1))
+def quality_filter(spark, d):
+    """transcripts kept by score or by domain, and the genes that keep any."""
+    x = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.min("l_discount").alias("aed"), F.count_if(F.col("l_returnflag") == "R").alias("pfam"))
+    kept = x.where("aed < 0.02 or pfam > 2")
+    return table(spark, d, "orders").join(kept, F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_custkey").agg(F.count("*").alias("kept"))
+
+
+@query("", """SELECT l_orderkey, count(*) AS n, round(avg(l_tax), 4) AS splices, round(max(l_discount), 4) AS aed FROM lineitem GROUP BY l_orderkey HAVING avg(l_tax) >= 0.03 AND max(l_discount) <= 0.08 AND count(*) >= 2""")
+def hc_filter(spark, d):
+    x = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.avg("l_tax").alias("t"), F.max("l_discount").alias("a"))
+    return x.where("t >= 0.03 and a <= 0.08 and n >= 2").select("l_orderkey", "n", F.round("t", 4).alias("splices"), F.round("a", 4).alias("aed"))
+
+
+@query("feat", "SELECT okey, count(DISTINCT seqid) AS contigs, count(DISTINCT strand) = 1 AS one_strand, min(s) AS s, max(e) AS e FROM feat GROUP BY okey")
+def gene_cluster(spark, d):
+    """Rows by gene id, with the strand check."""
+    return A.feat(spark, d).groupBy("okey").agg(F.countDistinct("seqid").alias("contigs"), (F.countDistinct("strand") == 1).alias("one_strand"), F.min("s").alias("s"), F.max("e").alias("e"))
+
+
+@query("feat hsps", """, p AS (SELECT a.seqid, a.hit AS x, b.hit AS y, count(DISTINCT a.id) AS o, count(DISTINCT CASE WHEN a.s = b.s AND a.e = b.e THEN a.id END) AS same
+      FROM hsps a JOIN hsps b ON a.seqid = b.seqid AND a.hit < b.hit AND a.s <= b.e AND b.s <= a.e GROUP BY ALL)
+    SELECT seqid, x, y, concat(n - o, ':', o - same, ':', same) AS code FROM p JOIN (SELECT hit, count(*) AS n FROM hsps GROUP BY hit) t ON t.hit = x""")
+def so_code(spark, d):
+    """For pairs of isoforms, exons of the first that are alone, overlapped, identical."""
+    from locusframe.operators import intervals
+
+    h = A.hsps(spark, d).select("hit", "seqid", "id", "s", "e")
+    pairs = intervals.overlap_join(h, h.select("seqid", "s", "e", F.col("hit").alias("y")), ["seqid"]).where("hit < y")
+    same = F.col("s").eqNullSafe(F.col("bs")) & F.col("e").eqNullSafe(F.col("be"))
+    per = pairs.groupBy("seqid", "hit", "y", "id").agg(F.max(same.cast("int")).alias("same")).groupBy("seqid", F.col("hit").alias("x"), "y").agg(F.count("*").alias("o"), F.sum("same").alias("same"))
+    n = h.groupBy(F.col("hit").alias("x")).agg(F.count("*").alias("n"))
+    return per.join(n, "x").select("seqid", "x", "y", F.concat_ws(":", F.col("n") - F.col("o"), F.col("o") - F.col("same"), "same").alias("code"))
+
+
+@query("", """SELECT doc_id, CASE WHEN upper(text[1:3]) IN ('ATG', 'THE') THEN 1 ELSE 0 END + CASE WHEN right(text, 1) = '.' THEN 2 ELSE 0 END AS completion FROM documents""")
+def completion(spark, d):
+    """Whether a start and a stop stand at the ends (1, 2, both 3)."""
+    start = F.when(F.upper(F.substring("text", 1, 3)).isin("ATG", "THE"), 1).otherwise(0)
+    return table(spark, d, "documents").select("doc_id", (start + F.when(F.right("text", F.lit(1)) == ".", 2).otherwise(0)).alias("completion"))
+
+
+@query("", "SELECT l_orderkey, round(sum(CASE l_returnflag WHEN 'R' THEN 0.5 WHEN 'A' THEN 0.3 ELSE 0.2 END * (1 - l_discount)) / count(*), 6) AS score FROM lineitem GROUP BY l_orderkey")
+def cvalue(spark, d):
+    """A weighted score per gene."""
+    weight = F.when(F.col("l_returnflag") == "R", 0.5).when(F.col("l_returnflag") == "A", 0.3).otherwise(0.2)
+    return table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.round(F.sum(weight * (1 - F.col("l_discount"))) / F.count("*"), 6).alias("score"))
+
+
+_TRACE = """, walk AS (SELECT subject AS node, object AS ancestor, 1 AS depth FROM edges
+    UNION ALL SELECT w.node, e.object, w.depth + 1 FROM walk w JOIN edges e ON w.ancestor = e.subject)"""
+
+
+@query("edges", _TRACE + "SELECT node, ancestor, min(depth) AS depth FROM walk GROUP BY node, ancestor")
+def ontology_trace(spark, d):
+    return graphs.trace(A.edges(spark, d))
+
+
+@query("edges", _TRACE + "SELECT node, max(depth) AS depth FROM walk GROUP BY node")
+def ontology_depth(spark, d):
+    return graphs.depths(A.edges(spark, d))
+
+
+@query("edges", _TRACE + """, p AS (SELECT concat('c', c_custkey) AS a, concat('r', c_custkey % 5) AS b FROM customer)
+    SELECT a, b, CASE WHEN EXISTS (SELECT 1 FROM walk w WHERE w.node = p.a AND w.ancestor = p.b) THEN 1 ELSE 0 END AS relation FROM p""")
+def hyponym_test(spark, d):
+    pairs = table(spark, d, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("a"), F.concat(F.lit("r"), F.col("c_custkey") % 5).alias("b"))
+    return graphs.is_a(A.edges(spark, d), pairs)
+
+
+@query("", """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND o_totalprice < 1000 THEN 'error' WHEN o_orderstatus = 'F' THEN 'finished' WHEN o_orderstatus = 'P' THEN 'running' ELSE 'queued' END AS status FROM orders""")
+def job_status(spark, d):
+    """The first state in order of precedence."""
+    s = F.col("o_orderstatus")
+    status = F.when((s == "F") & (F.col("o_totalprice") < 1000), "error").when(s == "F", "finished").when(s == "P", "running").otherwise("queued")
+    return table(spark, d, "orders").select("o_orderkey", status.alias("status"))
+
+
+@query("", "SELECT o_custkey, min(o_orderkey) AS head, count(*) AS waiting, round(sum(o_totalprice), 2) AS cost FROM orders WHERE o_orderstatus = 'O' GROUP BY o_custkey")
+def queue_head(spark, d):
+    """The head of each user's queue."""
+    return table(spark, d, "orders").where("o_orderstatus = 'O'").groupBy("o_custkey").agg(F.min("o_orderkey").alias("head"), F.count("*").alias("waiting"), F.round(F.sum("o_totalprice"), 2).alias("cost"))
+
+
+@query("", """SELECT n_name, r_name, count(DISTINCT c_custkey) AS customers, count(DISTINCT s_suppkey) AS suppliers FROM nation JOIN region ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_name, r_name""")
+def chado_joins(spark, d):
+    """A chain of inner and outer joins; each side is counted before it joins."""
+    n, r = table(spark, d, "nation"), table(spark, d, "region")
+    c = table(spark, d, "customer").groupBy("c_nationkey").agg(F.count("*").alias("c"))
+    s = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.count("*").alias("s"))
+    both = n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).join(c, F.col("c_nationkey") == F.col("n_nationkey"), "left").join(s, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+    return both.select("n_name", "r_name", F.coalesce("c", F.lit(0)).alias("customers"), F.coalesce("s", F.lit(0)).alias("suppliers"))
+
+
+@query("", "SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1")
+def runlog_replay(spark, d):
+    """The last state of each key; a max of structs, so map tasks keep one row per key."""
+    last = F.max(F.struct("ts", "event_id", "event_type")).alias("m")
+    return table(spark, d, "events").groupBy("user_id").agg(last).select("user_id", F.col("m.event_type").alias("event_type"), F.col("m.event_id").alias("event_id"))
+
+
+@query("", "SELECT p_partkey, list_aggregate(list_sort(list_distinct(string_split(p_name || ' ' || p_type, ' '))), 'string_agg', ',') AS tags FROM part")
+def option_lists(spark, d):
+    """Lists compared without regard to order: sorted and distinct."""
+    words = F.split(F.concat_ws(" ", "p_name", "p_type"), " ")
+    return table(spark, d, "part").select("p_partkey", F.array_join(F.array_sort(F.array_distinct(words)), ",").alias("tags"))
+
+
+@query("", "SELECT event_id, (props->>'k')::BIGINT AS k FROM events")
+def json_props(spark, d):
+    return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+
+@query("", """SELECT time_bucket(INTERVAL '1 hour', ts) AS hour, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL""")
+def hourly_events(spark, d):
+    """Ours, not the reference's: event-time windows as a stream would keep them, run to the end of the table."""
+    return events.hourly_batch(table(spark, d, "events"))
+
+
+@query("feat", "SELECT id, seqid, s, e FROM (SELECT *, row_number() OVER (PARTITION BY seqid ORDER BY score DESC, id) AS n FROM feat WHERE source = 'N') WHERE n = 1")
+def best_per_contig(spark, d):
+    f = A.feat(spark, d).where("source = 'N'")
+    return selection.first_rows(f, ["seqid"], [F.desc("score"), F.col("id")]).select("id", "seqid", "s", "e")
