@@ -1,12 +1,16 @@
 """Near duplicates by min-max hashing.
 
-Every permutation gives both the minimum and the maximum of a document's shingle hashes, so 160
-signature values cost 80 evaluations. A band takes both values of two permutations; at similarity
-0.8 a band agrees with probability 0.41 (0.36 for the smallest sets), and 40 bands miss a pair with
-less than 2 in 10^8. Documents with equal sets are one class from the start. In a bucket, classes
-are compared with a centre first; what linked already isn't compared again, and the rest of a
-bucket is compared pair by pair, so no link between different components is lost. Links are
-confirmed on full sets (64-bit shingle hashes, cut to 48 bits).
+Every permutation gives both the minimum and the maximum of a document's shingle hashes, so 192
+signature values cost 96 evaluations. A band takes both values of three permutations; at similarity
+0.8 a band agrees with probability 0.26, and all 64 bands together miss such a pair about once in a
+million. Documents with equal sets are one class from the start.
+
+In each bucket the class with most company in all its buckets is the centre, and the others are
+compared with it first; what is linked then isn't compared again. What a bucket of at most `small`
+classes still holds apart is compared pair by pair. For larger buckets there is an exact way that
+needs no pair of the group: two sets of similarity 0.8 share a shingle among their rarest fifth
+(prefix filtering), so only classes that share such a shingle meet. No link between different
+components is lost. Links are confirmed on full sets (64-bit shingle hashes, cut to 48 bits).
 
 Null texts and texts without words have an empty set and link with nothing; texts with fewer words
 than a shingle are one shingle. Rows with equal doc_ids count as documents of their own. Documents
@@ -21,14 +25,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusframe.llm.components import components
-from locusframe.llm.shared import ranges_for, stored
+from locusframe.llm.shared import stored
 from locusframe.llm.wordcache import slices, strings
 
-BANDS, PERMUTATIONS = 40, 80
+BANDS, PERMUTATIONS = 64, 96
+_j = np.arange(32)
+#: The three permutations of each band; every permutation stands in two bands, never with the same others.
+TRIPLES = np.concatenate([np.stack([3 * _j, 3 * _j + 1, 3 * _j + 2]), np.stack([_j, _j + 32, _j + 64])], 1)
 K1, K2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -90,7 +97,8 @@ def bands_of(s: np.ndarray) -> np.ndarray:
         np.minimum(low, p.min(1), out=low)
         np.maximum(high, p.max(1), out=high)
     v = mix(low) + high * K2
-    v = mix(v[:BANDS] * K1 + v[BANDS:] + np.arange(BANDS, dtype=np.uint64))
+    a, b, c = v[TRIPLES]
+    v = mix(mix(a * K1 + b) + c * K2 + np.arange(BANDS, dtype=np.uint64))
     return v.view(np.int64)
 
 
@@ -103,7 +111,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, j in slices(b["text"]):
+            for i, j in slices(b["text"], 4_000_000):
                 sizes, keys, bands = [], [], []
                 for s in shingle_sets(b["text"].slice(i, j - i), words):
                     sizes.append(len(s))
@@ -120,7 +128,7 @@ def _packed(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, j in slices(b["text"]):
+            for i, j in slices(b["text"], 4_000_000):
                 sets = list(shingle_sets(b["text"].slice(i, j - i), words))
                 packed = [np.unique(s >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for s in sets]
                 yield pa.RecordBatch.from_arrays([pa.array(map(_key, sets), pa.binary()), pa.array(packed, pa.binary())], ["set_key", "packed"])
@@ -159,39 +167,68 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sized.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
 
 
-def cluster(docs: DataFrame, words: int = 5, percent: int = 80, broadcast_rows: int = 2_000_000) -> DataFrame:
+def _by_rare_shingles(crowd: DataFrame, percent: int) -> DataFrame:
+    """crowd: node, component, packed. Pairs (a, b) of different components that share a shingle of both rarest parts.
+
+    A set of n has a rarest part of n - ceil(n * percent / 100) + 1 shingles, in order of how many
+    sets have them. A shingle that one set alone has, or one component, brings no pair."""
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(0, b.num_rows, 256):
+                part = b.slice(i, 256)
+                sets = [_unpack(x) for x in part["packed"].to_pylist()]
+                n = np.array(list(map(len, sets)))
+                row = pa.array(np.repeat(np.arange(len(n)), n))
+                yield pa.RecordBatch.from_arrays([part["node"].take(row), part["component"].take(row), pa.array(np.concatenate(sets).astype(np.int64))], ["node", "component", "shingle"])
+
+    rows = crowd.mapInArrow(shingles, "node long, component long, shingle long")
+    # only shingles of several components can bring a pair; how many of a set's shingles are rarer than each is counted all the same
+    common = rows.groupBy("shingle").agg(F.count("*").alias("df"), F.min("component").alias("low"), F.max("component").alias("high"))
+    ranked = stored(common.where("low < high").select("shingle", "df"))
+    size = crowd.select("node", (F.octet_length("packed") / 6).cast("long").alias("size"))
+    alone = rows.join(common.where("low = high").select("shingle", F.col("df")), "shingle").groupBy("node", "df").agg(F.count("*").alias("k"))
+    rest = rows.join(ranked, "shingle").join(size, "node")
+    order = Window.partitionBy("node").orderBy("df", "shingle")
+    placed = rest.withColumn("place", F.row_number().over(order))
+    before = alone.groupBy("node").agg(F.collect_list(F.struct("df", "k")).alias("alone"))
+    rarer = F.aggregate(F.coalesce(F.col("alone"), F.expr("cast(array() as array<struct<df: bigint, k: bigint>>)")), F.lit(0).cast("long"), lambda s, x: s + F.when(x["df"] <= F.col("df"), x["k"]).otherwise(0))
+    keep = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
+    prefix = placed.join(before, "node", "left").where(F.col("place") + rarer <= keep).select("node", "component", "shingle")
+    prefix = stored(prefix)
+    right = prefix.select("shingle", F.col("node").alias("b"), F.col("component").alias("other"))
+    return prefix.withColumnRenamed("node", "a").join(right, "shingle").where("a > b and component <> other").select("a", "b").distinct()
+
+
+def cluster(docs: DataFrame, words: int = 5, percent: int = 80, small: int = 16, broadcast_rows: int = 2_000_000) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept (whether it is its component's smallest doc_id)."""
     base = stored(signatures(docs, words))
     classes = base.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()))
     banded = classes.select("node", F.explode("bands").alias("band"))
-    shared = stored(banded.groupBy("band").agg(F.min("node").alias("centre"), F.count("*").alias("n")).where("n > 1"))
-    members = stored(banded.join(shared, "band").select("band", "node", "centre"))
-    wanted = stored(classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "set_key", "rep"))
+    shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    members = stored(banded.join(shared, "band").select("band", "node", "n"))
+    # who shares the most buckets with the most classes stands nearest to what a group has in common
+    company = members.groupBy("node").agg(F.sum("n").alias("company"))
+    company = stored(company.join(classes.select("node", "set_key", "rep"), "node"))
+    centres = members.join(company.select("node", "company"), "node").groupBy("band").agg(F.max_by("node", F.struct("company", "node")).alias("centre"))
     # full sets of the classes that share a bucket; ids go to every task only behind a check of their number
-    reps = wanted.select(F.col("rep").alias("doc_id")).distinct()
-    few = wanted.count() <= broadcast_rows
-    chosen = docs.join(F.broadcast(reps) if few else reps, docs["doc_id"].eqNullSafe(reps["doc_id"]), "left_semi")
-    sets = stored(wanted.select("node", "set_key").join(_packed(chosen, words), "set_key").dropDuplicates(["node"]).select("node", "packed"))
+    reps = company.select(F.col("rep").alias("doc_id")).distinct()
+    chosen = docs.join(F.broadcast(reps) if reps.count() <= broadcast_rows else reps, docs["doc_id"].eqNullSafe(reps["doc_id"]), "left_semi")
+    sets = stored(company.select("node", "set_key").join(_packed(chosen, words), "set_key").dropDuplicates(["node"]).select("node", "packed"))
 
-    tried = members.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    tried = stored(members.join(centres, "band").where("node <> centre").select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct())
     links = stored(_confirmed(tried, sets, percent))
-    for step in ("draw", "draw", "rest"):
-        label = components(links)
-        named = members.select("band", "node").join(label, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
-        mixed = named.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
-        open_ = stored(named.join(mixed, "band"))
-        if not open_.head(1):
-            break
-        if step == "draw":  # each bucket draws a centre of its own
-            drawn = open_.groupBy("band").agg(F.min_by(F.struct("node", "component"), F.xxhash64("node", "band", F.lit(len(step)))).alias("c"))
-            pairs = open_.join(drawn, "band").where("component <> c.component").select(F.greatest("node", "c.node").alias("a"), F.least("node", "c.node").alias("b"))
-        else:
-            other = open_.select("band", F.col("node").alias("b"), F.col("component").alias("other"))
-            pairs = open_.withColumnRenamed("node", "a").join(other, "band").where("a > b and component <> other").select("a", "b")
-        pairs = stored(pairs.distinct().join(tried, ["a", "b"], "left_anti"))
-        tried = tried.union(pairs)
-        links = stored(links.union(_confirmed(pairs, sets, percent)))
+    label = stored(components(links))
+    named = members.join(label, "node", "left").select("band", "node", "n", F.coalesce("component", "node").alias("component"))
+    mixed = named.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
+    apart = stored(named.join(mixed, "band"))
+    few = apart.where(F.col("n") <= small)
+    other = few.select("band", F.col("node").alias("b"), F.col("component").alias("other"))
+    pairs = few.withColumnRenamed("node", "a").join(other, "band").where("a > b and component <> other").select("a", "b")
+    crowd = apart.where(F.col("n") > small).select("node", "component").distinct()
+    pairs = pairs.union(_by_rare_shingles(stored(crowd.join(sets, "node")), percent)).distinct().join(tried, ["a", "b"], "left_anti")
+    links = stored(links.union(_confirmed(stored(pairs), sets, percent)))
     label = components(links)
     found = classes.select("set_key", "node", "rep").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = found.groupBy("component").agg(F.min("rep").alias("component_id"))

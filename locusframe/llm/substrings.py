@@ -6,8 +6,8 @@ meet in one shard, and consecutive windows with one minimizer travel as one run
 
 1. A pass over the texts finds each document's minimizers. Batches send each distinct one once to
    its bucket; those that more than one document has are named to the documents that have them.
-2. A second pass cuts the runs around such minimizers. Equal runs are merged, keeping the smallest
-   and largest doc_id. Minimizers with very many runs are split into single windows, which go by
+2. A second pass cuts the runs around such minimizers. Equal runs of a slice are sent once, with the
+   smallest and largest doc_id. Minimizers with very many runs are split into single windows, which go by
    the window's own hash, so that no key gathers in one shard.
 3. Each shard builds a compressed FM-index over its runs and searches every window backwards; the
    smallest doc_id in a window's range decides, for each document that has the run.
@@ -81,21 +81,31 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST)).alias("doc"), docs["text"].cast("string").alias("text")).withColumn("key", F.xxhash64("text"))
 
 
+def _narrow(a: np.ndarray) -> bytes:
+    """Small numbers in two bytes each, others in four."""
+    return a.astype(np.uint16 if not len(a) or a.max() < 1 << 16 else np.uint32).tobytes()
+
+
+def _wide(b: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(b, np.uint16 if len(b) == 2 * n else np.uint32).astype(np.int64)
+
+
 def _minimizers(rows: DataFrame, window: int, buckets: int) -> DataFrame:
-    """kind 'doc': id, doc, key. kind 'own': id, places. kind 'ask': bucket, id (of the slice's first document), hashes, docs, places, many."""
-    schema = "kind string, id long, doc long, key long, bucket int, hashes binary, docs binary, places binary, many binary"
-    names = ["kind", "id", "doc", "key", "bucket", "hashes", "docs", "places", "many"]
+    """kind 'doc': id, doc, key. kind 'own': id (of the slice's first document), n, docs, places. kind 'ask': the same with bucket, hashes, many."""
+    schema = "kind string, id long, doc long, key long, bucket int, n int, hashes binary, docs binary, places binary, many binary"
+    types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 4]
+    names = ["kind", "id", "doc", "key", "bucket", "n", "hashes", "docs", "places", "many"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         next_id = TaskContext.get().partitionId() << 40
         for b in batches:
-            for i, j in slices(b["text"]):
+            for i, j in slices(b["text"], 5_000_000):
                 runs, base = Runs(b["text"].slice(i, j - i), window), next_id
                 next_id += j - i
-                out = [("doc", base + r, d, k, None, None, None, None, None) for r, (d, k) in enumerate(zip(b["doc"].slice(i, j - i).to_pylist(), b["key"].slice(i, j - i).to_pylist(), strict=True))]
-                place = (runs.place - runs.first_word[runs.doc]).astype(np.uint32)
+                out = [("doc", base + r, d, k, *[None] * 6) for r, (d, k) in enumerate(zip(b["doc"].slice(i, j - i).to_pylist(), b["key"].slice(i, j - i).to_pylist(), strict=True))]
+                place = runs.place - runs.first_word[runs.doc]
                 order = np.lexsort((runs.doc, runs.minimizer))
                 h, d, p = runs.minimizer[order], runs.doc[order], place[order]
                 new = np.ones(len(h), bool)
@@ -105,36 +115,31 @@ def _minimizers(rows: DataFrame, window: int, buckets: int) -> DataFrame:
                 stop = np.append(begin[1:], len(h)) - 1
                 many = d[begin] != d[stop] if len(h) else new
                 mine = many[group] if len(h) else new
-                own = np.argsort(d[mine], kind="stable")
-                od, op = d[mine][own], p[mine][own]
-                out += [("own", base + int(od[c]), None, None, None, None, None, op[c:e].tobytes(), None) for c, e in stretches(od)]
+                if mine.any():
+                    out.append(("own", base, None, None, None, int(mine.sum()), None, _narrow(d[mine]), _narrow(p[mine]), None))
                 bucket = (h[begin] % np.uint64(buckets)).astype(np.int64)
-                turn = np.argsort(bucket, kind="stable")
+                turn = np.lexsort((d[begin], bucket))
                 edges = np.searchsorted(bucket[turn], np.arange(buckets + 1))
                 for q in range(buckets):
                     t = turn[edges[q]:edges[q + 1]]
-                    t = t[np.argsort(d[begin[t]], kind="stable")]
                     if len(t):
                         at = begin[t]
-                        out.append(("ask", base, None, None, q, h[at].view(np.uint8).reshape(-1, 8)[:, 2:].tobytes(), d[at].astype(np.uint32).tobytes(), p[at].tobytes(), many[t].tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], type_) for c, type_ in enumerate([pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()])], names)
+                        # the low bits gave the bucket; 40 more only say where to look again
+                        out.append(("ask", base, None, None, q, len(t), h[at].view(np.uint8).reshape(-1, 8)[:, 3:].tobytes(), _narrow(d[at]), _narrow(p[at]), np.packbits(many[t]).tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(types)], names)
 
     return rows.select("doc", "key", "text").mapInArrow(run, schema)
 
 
 def _answers(asked: DataFrame) -> DataFrame:
-    """id, places: minimizers of a document that another batch has, or that its own batch has in several documents."""
+    """id (of a slice), n, docs, places: minimizers that another slice has too; one row per slice and bucket."""
 
     def run(group: pa.Table) -> pa.Table:
-        hashes, ids, places, many = [], [], [], []
-        for base, h, d, p, m in zip(*(group[c].to_pylist() for c in ("id", "hashes", "docs", "places", "many")), strict=True):
-            raw = np.zeros((len(h) // 6, 8), np.uint8)
-            raw[:, 2:] = np.frombuffer(h, np.uint8).reshape(-1, 6)
-            hashes.append(raw.view(np.uint64).ravel())
-            ids.append(base + np.frombuffer(d, np.uint32).astype(np.int64))
-            places.append(np.frombuffer(p, np.uint32))
-            many.append(np.frombuffer(m, bool))
-        h, ids, places, many = map(np.concatenate, (hashes, ids, places, many))
+        base, n = group["id"].to_pylist(), group["n"].to_pylist()
+        raw = np.zeros((sum(n), 8), np.uint8)
+        raw[:, 3:] = np.frombuffer(b"".join(group["hashes"].to_pylist()), np.uint8).reshape(-1, 5)
+        h = raw.view(np.uint64).ravel()
+        many = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=k) for m, k in zip(group["many"].to_pylist(), n, strict=True)]).astype(bool)
         order = np.argsort(h, kind="stable")
         s = h[order]
         same = np.zeros(len(s), bool)
@@ -142,14 +147,31 @@ def _answers(asked: DataFrame) -> DataFrame:
         same[:-1] |= s[1:] == s[:-1]
         hit = np.zeros(len(s), bool)
         hit[order] = same
-        hit &= ~many  # its own batch has named the others
-        ids, places = ids[hit], places[hit]
-        order = np.argsort(ids, kind="stable")
-        ids, places = ids[order], places[order]
-        spans = stretches(ids)
-        return pa.table({"id": pa.array([int(ids[c]) for c, _ in spans], pa.int64()), "places": pa.array([places[c:e].tobytes() for c, e in spans], pa.binary())})
+        hit &= ~many  # the slice has named the others itself
+        out, end = [], 0
+        for x, k, d, p in zip(base, n, group["docs"].to_pylist(), group["places"].to_pylist(), strict=True):
+            own = hit[end:end + k]
+            end += k
+            if own.any():
+                out.append((x, int(own.sum()), _narrow(_wide(d, k)[own]), _narrow(_wide(p, k)[own])))
+        return pa.table({c: pa.array([r[i] for r in out], t) for i, (c, t) in enumerate((("id", pa.int64()), ("n", pa.int32()), ("docs", pa.binary()), ("places", pa.binary())))})
+
+    return asked.groupBy("bucket").applyInArrow(run, "id long, n int, docs binary, places binary")
+
 
-    return asked.groupBy("bucket").applyInArrow(run, "id long, places binary")
+def _by_document(named: DataFrame) -> DataFrame:
+    """A row per document: id, places (4 bytes each)."""
+
+    def run(group: pa.Table) -> pa.Table:
+        n = group["n"].to_pylist()
+        docs = np.concatenate([_wide(x, k) for x, k in zip(group["docs"].to_pylist(), n, strict=True)])
+        places = np.concatenate([_wide(x, k) for x, k in zip(group["places"].to_pylist(), n, strict=True)]).astype(np.uint32)
+        order = np.argsort(docs, kind="stable")
+        docs, places, base = docs[order], places[order], group["id"][0].as_py()
+        spans = stretches(docs)
+        return pa.table({"id": pa.array([base + int(docs[c]) for c, _ in spans], pa.int64()), "places": pa.array([places[c:e].tobytes() for c, e in spans], pa.binary())})
+
+    return named.groupBy("id").applyInArrow(run, "id long, places binary")
 
 
 def _joined(rows: DataFrame, small: DataFrame, payload: str, most_bytes: int) -> DataFrame:
@@ -163,11 +185,16 @@ def _merged(df: DataFrame, payload: str) -> DataFrame:
 
 
 def _cut(flagged: DataFrame, window: int) -> DataFrame:
-    """A row per run around a named minimizer: doc, key, first (window's place in the document), windows, minimizer, run (its words)."""
+    """kind 'run': high, low, minimizer, run (words), smallest and largest doc, each distinct run of a slice once.
+    kind 'place': doc, key, first (word of a document at which a run begins), high, low."""
+    schema = "kind string, doc long, key long, first int, high long, low long, minimizer long, run string, smallest long, largest long"
+    names = ["kind", "doc", "key", "first", "high", "low", "minimizer", "run", "smallest", "largest"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         for b in batches:
-            for i, j in slices(b["text"]):
+            for i, j in slices(b["text"], 5_000_000):
                 texts = b["text"].slice(i, j - i)
                 runs = Runs(texts, window)
                 named = [np.frombuffer(x, np.uint32) for x in b["places"].slice(i, j - i).to_pylist()]
@@ -179,42 +206,53 @@ def _cut(flagged: DataFrame, window: int) -> DataFrame:
                 hit = np.isin(pair, pair[hit])
                 words = [w for t in texts.to_pylist() for w in t.encode().split()]
                 doc, first, count = runs.doc[hit], runs.first[hit], runs.windows[hit]
-                text = [b" ".join(words[f:f + c + window - 1]).decode() for f, c in zip(first.tolist(), count.tolist(), strict=True)]
-                take = pa.array(doc)
-                yield pa.RecordBatch.from_arrays([b["doc"].slice(i, j - i).take(take), b["key"].slice(i, j - i).take(take), pa.array((first - runs.first_word[doc]).astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(runs.minimizer[hit].view(np.int64)), pa.array(text, pa.string())], ["doc", "key", "first", "windows", "minimizer", "run"])
+                text = [b" ".join(words[f:f + c + window - 1]) for f, c in zip(first.tolist(), count.tolist(), strict=True)]
+                high, low = (np.fromiter((xxhash.xxh3_64_intdigest(t, seed) for t in text), np.uint64, len(text)).view(np.int64) for seed in (0, 1))
+                ids = b["doc"].slice(i, j - i).to_numpy()[doc]
+                n, null = len(text), lambda t, n: pa.nulls(n, t)
+                yield pa.RecordBatch.from_arrays([pa.array(["place"] * n, pa.string()), pa.array(ids, pa.int64()), b["key"].slice(i, j - i).take(pa.array(doc)), pa.array((first - runs.first_word[doc]).astype(np.int32)), pa.array(high), pa.array(low), null(pa.int64(), n), null(pa.string(), n), null(pa.int64(), n), null(pa.int64(), n)], names)
+                order = np.lexsort((ids, low, high))
+                new = np.ones(n, bool)
+                new[1:] = (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])
+                one, last = order[new], order[np.append(new[1:], True)[:n]]
+                m = len(one)
+                yield pa.RecordBatch.from_arrays([pa.array(["run"] * m, pa.string()), *[null(t, m) for t in (pa.int64(), pa.int64(), pa.int32())], pa.array(high[one]), pa.array(low[one]), pa.array(runs.minimizer[hit][one].view(np.int64)), pa.array([text[t].decode() for t in one.tolist()], pa.string()), pa.array(ids[one], pa.int64()), pa.array(ids[last], pa.int64())], names)
 
-    return flagged.select("doc", "key", "text", "places").mapInArrow(cut, "doc long, key long, first int, windows int, minimizer long, run string")
+    return flagged.select("doc", "key", "text", "places").mapInArrow(cut, schema)
 
 
 def _singles(runs: DataFrame, window: int) -> DataFrame:
-    """Runs as one row per window, each with its own hash for a minimizer."""
+    """Runs as one row per window (place i), each with hashes of its own."""
     words = F.split("run", " ")
-    return (
-        runs.withColumn("words", words).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("windows") - 1)))
-        .withColumn("run", F.array_join(F.slice("words", F.col("i") + 1, window), " "))
-        .select("doc", "key", (F.col("first") + F.col("i")).alias("first"), F.lit(1).alias("windows"), F.xxhash64("run", F.lit(17)).alias("minimizer"), "run")
-    )
+    rows = runs.withColumn("_w", words).withColumn("i", F.explode(F.expr(f"sequence(0, size(_w) - {window})"))).withColumn("run", F.array_join(F.slice("_w", F.col("i") + 1, window), " "))
+    return rows.select(F.col("high").alias("of_high"), F.col("low").alias("of_low"), "i", F.xxhash64("run", F.lit(17)).alias("minimizer"), "run", F.xxhash64("run", F.lit(18)).alias("high"), F.xxhash64("run", F.lit(19)).alias("low"), "smallest", "largest")
 
 
-def _searched(merged: DataFrame, window: int, shards: int) -> DataFrame:
-    """high, low, least (smallest doc of each window) of the runs in which some window has a smaller doc than some document."""
+def _searched(runs: DataFrame, window: int, shards: int) -> DataFrame:
+    """high, low, least (the smallest doc of each window) of the runs in which some window has a smaller doc than some document."""
 
     def search(group: pa.Table) -> pa.Table:
-        texts = group["run"].combine_chunks()
-        if isinstance(texts, pa.ChunkedArray):
-            texts = texts.chunk(0)
-        lists = pc.split_pattern(texts.cast(pa.large_string()), " ")
+        high, low = group["high"].to_numpy(), group["low"].to_numpy()
+        small, large = group["smallest"].to_numpy(), group["largest"].to_numpy()
+        order = np.lexsort((low, high))
+        new = np.ones(len(order), bool)
+        new[1:] = (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])
+        begin = np.flatnonzero(new)
+        one = order[begin]
+        owner, last = np.minimum.reduceat(small[order], begin), np.maximum.reduceat(large[order], begin)
+        texts = group["run"].combine_chunks().cast(pa.large_string()).take(pa.array(one))
+        lists = pc.split_pattern(texts, " ")
         words = lists.flatten().dictionary_encode()
         sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
-        owner, last = group["smallest"].to_numpy(), group["largest"].to_numpy()
         least, count = earliest((words.indices.to_numpy().astype(np.int64) + 1, sizes), owner, window)
-        begin = np.cumsum(count) - count
-        use = np.minimum.reduceat(least, begin) < last
-        picked = [least[a:a + c].tobytes() for a, c in zip(begin[use].tolist(), count[use].tolist(), strict=True)]
-        keep = pa.array(use)
-        return pa.table({"high": group["high"].combine_chunks().filter(keep), "low": group["low"].combine_chunks().filter(keep), "least": pa.array(picked, pa.binary())})
+        at = np.cumsum(count) - count
+        use = np.minimum.reduceat(least, at) < last
+        picked = least[np.repeat(use, count)]
+        offsets = np.concatenate([[0], np.cumsum(count[use])])
+        return pa.table({"high": high[one][use], "low": low[one][use], "least": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(picked))})
 
-    return merged.withColumn("shard", F.pmod("minimizer", F.lit(shards))).groupBy("shard").applyInArrow(search, "high long, low long, least binary")
+    some = runs.select(F.pmod("minimizer", F.lit(shards)).alias("shard"), "high", "low", "run", "smallest", "largest")
+    return some.groupBy("shard").applyInArrow(search, "high long, low long, least array<long>")
 
 
 def _covered(found: DataFrame) -> DataFrame:
@@ -224,7 +262,7 @@ def _covered(found: DataFrame) -> DataFrame:
         for b in batches:
             out = []
             for doc, first, least in zip(b["doc"].to_pylist(), b["first"].to_pylist(), b["least"].to_pylist(), strict=True):
-                out.append((first + np.flatnonzero(np.frombuffer(least, np.int64) < doc)).astype(np.uint32).tobytes())
+                out.append((first + np.flatnonzero(np.array(least) < doc)).astype(np.uint32).tobytes())
             keep = pa.array([bool(x) for x in out], pa.bool_())
             yield pa.RecordBatch.from_arrays([b["doc"], b["key"], pa.array(out, pa.binary())], ["doc", "key", "gone"]).filter(keep)
 
@@ -238,17 +276,22 @@ def dedup(docs: DataFrame, window: int = 13, hot_runs: int = 50_000, most_broadc
     rows = _rows(docs)
     found = stored(_minimizers(rows, window, buckets))
     ids = found.where("kind = 'doc'").select("id", "doc", "key")
-    named = found.where("kind = 'own'").select("id", "places").union(_answers(found.where("kind = 'ask'").select("bucket", "id", "hashes", "docs", "places", "many")))
-    flags = stored(_merged(named.join(ids, "id"), "places"))
-    runs = stored(_cut(_joined(rows, flags, "places", most_broadcast_bytes).where("places is not null"), window))
+    ask = found.where("kind = 'ask'").select("bucket", "id", "n", "hashes", "docs", "places", "many")
+    named = found.where("kind = 'own'").select("id", "n", "docs", "places").union(_answers(ask))
+    flags = stored(_merged(_by_document(named).join(ids, "id"), "places"))
+    cut = stored(_cut(_joined(rows, flags, "places", most_broadcast_bytes).where("places is not null"), window))
+    runs = cut.where("kind = 'run'").select("high", "low", "minimizer", "run", "smallest", "largest")
+    shards = 2 * buckets
     hot = stored(runs.groupBy("minimizer").count().where(F.col("count") > hot_runs).select("minimizer"))
     if hot.head(1):
-        runs = stored(runs.join(hot, "minimizer", "left_anti").select("doc", "key", "first", "windows", "minimizer", "run").union(_singles(runs.join(hot, "minimizer", "left_semi"), window)))
-    high, low = F.xxhash64("run"), F.xxhash64("run", F.lit(1))
-    merged = runs.groupBy("minimizer", "run").agg(F.min("doc").alias("smallest"), F.max("doc").alias("largest")).withColumns({"high": high, "low": low})
-    shards = 2 * buckets
-    least = _searched(merged, window, shards)
-    places = runs.select("doc", "key", "first", high.alias("high"), low.alias("low"))
+        singles = stored(_singles(runs.join(hot, "minimizer", "left_semi").dropDuplicates(["high", "low"]).drop("smallest", "largest").join(runs.groupBy("high", "low").agg(F.min("smallest").alias("smallest"), F.max("largest").alias("largest")), ["high", "low"]), window))
+        of_single = _searched(singles, window, shards).select("high", "low", F.col("least")[0].alias("v"))
+        row = F.struct("i", F.coalesce("v", F.lit(LAST)).alias("v"))
+        rejoined = singles.join(of_single, ["high", "low"], "left").groupBy(F.col("of_high").alias("high"), F.col("of_low").alias("low")).agg(F.transform(F.array_sort(F.collect_list(row)), lambda x: x["v"]).alias("least"))
+        least = _searched(runs.join(hot, "minimizer", "left_anti"), window, shards).union(rejoined)
+    else:
+        least = _searched(runs, window, shards)
+    places = cut.where("kind = 'place'").select("doc", "key", "first", "high", "low")
     gone = stored(_merged(_covered(places.join(least, ["high", "low"])), "gone"))
 
     kept = docs.drop("n_words", "n_removed", "kept_text")

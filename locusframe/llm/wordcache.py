@@ -160,3 +160,4 @@ def slices(texts: pa.Array, most_bytes: int = 8_000_000):
         total += n
     if begin < len(size):
         yield begin, len(size)
+    pa.default_memory_pool().release_unused()  # else a worker keeps the most that a batch took
