@@ -68,10 +68,12 @@ def train(samples: list[bytes], size: int):
 
     if len(samples) < 8:
         return None
-    try:
-        return zstandard.train_dictionary(min(size, sum(map(len, samples)) // 8), samples, k=256, d=8)
-    except zstandard.ZstdError:
-        return None
+    for k in (256, 48):  # segments of text; short ones where there is little to train on
+        try:
+            return zstandard.train_dictionary(max(256, min(size, sum(map(len, samples)) // 8)), samples, k=k, d=8)
+        except zstandard.ZstdError:
+            pass
+    return None
 
 
 class Archive:
@@ -115,7 +117,7 @@ def write_archives(pages: DataFrame, path: str | None = None, level: int = 3, di
         def begin() -> None:
             nonlocal archive, name
             name = f"{context.partitionId():06d}-{context.taskAttemptId()}-{len(made):04d}.warc.zst"
-            archive = Archive(store.open_output_stream(f"{root}/{name}"), train(held, dictionary_bytes), level, date)
+            archive = Archive(store.open_output_stream(f"{root}/{name}", compression=None), train(held, dictionary_bytes), level, date)
             for x in held:
                 archive.add(x)
             held.clear()
@@ -194,7 +196,7 @@ def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
             for uri in b["file"].to_pylist():
                 store, name = files.FileSystem.from_uri(uri)
                 rows, size = [], 0
-                with store.open_input_stream(name) as source:
+                with store.open_input_stream(name, compression=None) as source:
                     for rec in frames(source):
                         fields, http, payload = parse(rec)
                         kind = fields["WARC-Type"]
