@@ -20,13 +20,13 @@ def shadow_clusters(hits: DataFrame, keys: list[str], order: list[Column], depth
     return labelled.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= depth)
 
 
-def evidence_class(algorithm: Column) -> Column:
-    """How far an algorithm is trusted, 0 to 5; null for unknown names."""
+def evidence_class(algorithm: Column, own: str = "final") -> Column:
+    """How far an algorithm is trusted, 0 to 5; null for unknown names. own: the source name of finished models."""
     a = F.lower(algorithm)
     return (
         F.when(a.rlike("^(repeat|blastx:repeatmask$)"), 0).when(a.rlike("^(snap|augustus|fgenesh|twinscan|jigsaw)$|^pred_gff:"), 1)
         .when(a.rlike("^(blastn|tblastx)$|^altest_gff:"), 2).when(a.rlike("^blastx$|^protein_gff:"), 3)
-        .when(a.rlike("2genome$|^est_gff:"), 4).when(a.rlike("^maker$|^model_gff:"), 5)
+        .when(a.rlike("2genome$|^est_gff:"), 4).when((a == own) | a.rlike("^model_gff:"), 5)
     )
 
 

@@ -10,7 +10,7 @@ from locusframe.functions import attributes
 #: Which evidence type a source pattern stands for, in order of trial.
 ROUTES = [
     ("^repeat", "repeat"), ("^blastx:repeatmask$", "repeat"), ("^(est2genome|est_gff|blastn|cdna2genome)", "est"), ("^(tblastx|altest_gff)", "altest"),
-    ("^(blastx|protein2genome|protein_gff)", "protein"), ("^(snap|augustus|fgenesh|genemark|pred_gff|evm)", "pred"), ("^(maker|model_gff)", "model"),
+    ("^(blastx|protein2genome|protein_gff)", "protein"), ("^(snap|augustus|fgenesh|genemark|pred_gff|evm)", "pred"), ("^(final$|model_gff)", "model"),
 ]
 MODEL_TYPES = ["gene", "mRNA", "exon", "CDS"]
 

@@ -10,8 +10,8 @@ def put(tmp_path, name, text):
 
 
 GFF = "\n".join(
-    ["##gff-version 3", "c1\tmaker\tgene\t1\t90\t.\t+\t.\tID=g1;Name=x%2Cy", "c1\tmaker\tmRNA\t1\t90\t.\t+\t.\tID=t1;Parent=g1", "c1\tmaker\texon\t1\t30\t.\t+\t.\tID=e1;Parent=t1,t2",
-     "c1\tmaker\tCDS\t61\t90\t.\t+\t0\tParent=t1", "c1\tmaker\texon\t61\t90\t.\t+\t.\tParent=t1", "c1\tsnap\tmatch\t5\t9\t7.5\t.\t.\tID=m", "c1\t.\tcontig\t1\t99\t.\t.\t.\tID=c1", "", "##FASTA", ">c1", "ACGT"]
+    ["##gff-version 3", "c1\tmodel_gff:a\tgene\t1\t90\t.\t+\t.\tID=g1;Name=x%2Cy", "c1\tmodel_gff:a\tmRNA\t1\t90\t.\t+\t.\tID=t1;Parent=g1", "c1\tmodel_gff:a\texon\t1\t30\t.\t+\t.\tID=e1;Parent=t1,t2",
+     "c1\tmodel_gff:a\tCDS\t61\t90\t.\t+\t0\tParent=t1", "c1\tmodel_gff:a\texon\t61\t90\t.\t+\t.\tParent=t1", "c1\tsnap\tmatch\t5\t9\t7.5\t.\t.\tID=m", "c1\t.\tcontig\t1\t99\t.\t.\t.\tID=c1", "", "##FASTA", ">c1", "ACGT"]
 )
 
 
