@@ -173,7 +173,7 @@ def queue_head(spark, d):
 
 
 @query("", """SELECT n_name, r_name, count(DISTINCT c_custkey) AS customers, count(DISTINCT s_suppkey) AS suppliers FROM nation JOIN region ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_name, r_name""")
-def chado_joins(spark, d):
+def chain_joins(spark, d):
     """A chain of inner and outer joins; each side is counted before it joins."""
     n, r = table(spark, d, "nation"), table(spark, d, "region")
     c = table(spark, d, "customer").groupBy("c_nationkey").agg(F.count("*").alias("c"))
