@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from locusframe.llm.shared import bounded_batches
 from locusframe.llm.wordcache import ChunkEncoder, slices
 
 LONG = 256
@@ -167,4 +168,4 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, decode: bool = Tr
                     cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(flat.astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "ids_sha256", *["decoded_sha256"] * decode, *["ids"] * with_ids])
 
-    return docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")).mapInArrow(run, schema)
+    return bounded_batches(docs).select(docs["doc_id"].cast("long"), docs["text"].cast("string")).mapInArrow(run, schema)

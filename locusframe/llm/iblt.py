@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from locusframe.llm.minhash import K1, K2, mix
-from locusframe.llm.shared import cut_points, range_of, ranges_for
+from locusframe.llm.shared import bounded_batches, cut_points, range_of, ranges_for
 from locusframe.llm.wordcache import strings
 
 BASE = 8  # cells in each row of a stored fingerprint
@@ -145,7 +145,7 @@ def likeness(digest: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.
 
 def in_ranges(docs: DataFrame) -> DataFrame:
     """Rows (part, extra, doc_id, text) in order within parts of ascending doc_id; `extra` rows hold the first document of the part behind."""
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
+    rows = bounded_batches(docs).select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
     parts = 2 * ranges_for(docs.sparkSession)
     cuts = cut_points(rows, "doc_id", parts - 1)
     low = rows.agg(F.min("doc_id").alias("low"), F.count_if(F.col("doc_id").isNull()).alias("none")).head()

@@ -24,6 +24,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from locusframe.llm.shared import bounded_batches
+
 
 def fit(labelled: DataFrame, docs_per_lang: int = 160, chars_per_doc: int = 1000, dictionary_bytes: int = 131_072, level: int = 6) -> dict[str, bytes]:
     """Raw dictionaries by language, from doc_id, text and lang.
@@ -75,7 +77,7 @@ def compressors(dictionaries: dict[str, bytes], level: int) -> dict[str, Callabl
 
 def predict(docs: DataFrame, dictionaries: dict[str, bytes], level: int = 6, least_margin: float = 0.01) -> DataFrame:
     """Adds lang_pred, score (0 to 1), margin (bytes saved against the runner-up, as a share) and rejected."""
-    spark = docs.sparkSession
+    spark = bounded_batches(docs).sparkSession
     sent = spark.sparkContext.broadcast(dictionaries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

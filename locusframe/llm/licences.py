@@ -18,6 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from locusframe.llm.shared import bounded_batches
+
 # Licence statements and notices, by SPDX-like name.
 TEMPLATES: list[tuple[str, str]] = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -106,7 +108,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: f
                 best.append(max((d for _, d in found), default=0.0))
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(count, pa.int64()), pa.array(names, pa.string()), pa.array(best, pa.float64())], ["doc_id", "n_matches", "licences", "best_dice"])
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(run, "doc_id long, n_matches long, licences string, best_dice double")
+    return bounded_batches(docs).select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(run, "doc_id long, n_matches long, licences string, best_dice double")
 
 
 def oracle(templates: list[tuple[str, str]] = TEMPLATES, least: float = 0.8) -> str:

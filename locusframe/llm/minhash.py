@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusframe.llm.components import components
-from locusframe.llm.shared import stored
+from locusframe.llm.shared import bounded_batches, stored
 from locusframe.llm.wordcache import slices, strings
 
 BANDS, PERMUTATIONS = 64, 96
@@ -202,7 +202,7 @@ def _by_rare_shingles(crowd: DataFrame, percent: int) -> DataFrame:
 
 def cluster(docs: DataFrame, words: int = 5, percent: int = 80, small: int = 16, broadcast_rows: int = 2_000_000) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept (whether it is its component's smallest doc_id)."""
-    base = stored(signatures(docs, words))
+    base = stored(signatures(bounded_batches(docs), words))
     classes = base.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()))
     banded = classes.select("node", F.explode("bands").alias("band"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from locusframe.llm.shared import ranges_for, stored
+from locusframe.llm.shared import bounded_batches, ranges_for, stored
 from locusframe.llm.wordcache import library_encoder, slices
 
 
@@ -84,7 +84,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataF
                 crc = [zlib.crc32(end, zlib.crc32(flat[a:a + m - 1])) if z else zlib.crc32(flat[a:a + m]) for a, m, z in zip(first.tolist(), length.tolist(), last.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(rid[i:j][row]), doc_id.slice(i, j - i).take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64())], ["rid", "doc_id", "piece", "start", "length", "ids_crc32"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    rows = bounded_batches(docs).select(F.monotonically_increasing_id().alias("rid"), docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     return rows.mapInArrow(run, "rid long, doc_id long, piece int, start long, length long, ids_crc32 long")
 
 

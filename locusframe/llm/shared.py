@@ -23,6 +23,12 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def bounded_batches(df: DataFrame, most_bytes: int = 16 << 20) -> DataFrame:
+    """Limits what one Arrow batch holds, for texts of any length (Spark's own limit counts rows)."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most_bytes))
+    return df
+
+
 def stored(df: DataFrame, compression: str = "zstd") -> DataFrame:
     """Write to the shared folder and read again: cuts the lineage and survives lost executors."""
     path = shared_dir(df.sparkSession)

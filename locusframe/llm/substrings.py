@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from locusframe.llm.fmindex import earliest
 from locusframe.llm.minhash import mix, word_hashes
-from locusframe.llm.shared import ranges_for, stored
+from locusframe.llm.shared import bounded_batches, ranges_for, stored
 from locusframe.llm.wordcache import slices, strings
 
 LAST = (1 << 63) - 1
@@ -273,7 +273,7 @@ def dedup(docs: DataFrame, window: int = 13, hot_runs: int = 50_000, most_broadc
     """Adds n_words, n_removed and kept_text (kept words joined by one space; null text: empty) to docs."""
     spark = docs.sparkSession
     buckets = ranges_for(spark)
-    rows = _rows(docs)
+    rows = _rows(bounded_batches(docs))
     found = stored(_minimizers(rows, window, buckets))
     ids = found.where("kind = 'doc'").select("id", "doc", "key")
     ask = found.where("kind = 'ask'").select("bucket", "id", "n", "hashes", "docs", "places", "many")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusframe.llm.shared import prefix_sum, ranges_for, shared_dir
+from locusframe.llm.shared import bounded_batches, prefix_sum, ranges_for, shared_dir
 from locusframe.llm.wordcache import library_encoder, slices
 
 ENTRY = np.dtype([("digest", "V16"), ("n", "<u4")])
@@ -113,7 +113,7 @@ def _staged(docs: DataFrame, tokenizer: str, end_id: int, cutter: Cutter, width:
                     seen.clear()
                 yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(payloads, pa.binary())], ["kind", "doc_id", "n", "digest", "payload"])
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(run, "kind string, doc_id long, n long, digest binary, payload binary")
+    return bounded_batches(docs).select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(run, "kind string, doc_id long, n long, digest binary, payload binary")
 
 
 def write_store(docs: DataFrame, tokenizer: str, end_id: int, path: str | None = None, cutter: Cutter = Cutter(), width: int = 2) -> str:

@@ -22,7 +22,7 @@ from pyarrow import fs as files
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusframe.llm.shared import ranges_for, shared_dir, stored
+from locusframe.llm.shared import bounded_batches, ranges_for, shared_dir, stored
 
 #: Fixed by the WARC/Zstandard convention: the magic number of the dictionary's skippable frame.
 DICTIONARY_FRAME = 0x184D2A5D
@@ -104,7 +104,7 @@ def write_archives(pages: DataFrame, path: str | None = None, level: int = 3, di
 
     A file's name holds its task attempt, and only the manifest's files count: an attempt that was
     lost leaves files that nothing reads."""
-    base = path or shared_dir(pages.sparkSession)
+    base = path or shared_dir(bounded_batches(pages).sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
