@@ -49,7 +49,7 @@ class Runs:
     """The windows of a slice of texts, cut into runs with one minimizer."""
 
     def __init__(self, texts: pa.Array, window: int):
-        self.k = k = max(2, window // 2)
+        self.k = k = max(2, window * 5 // 8)  # long enough that texts rarely share one by chance
         h, self.n_words = word_hashes(texts, lower=False)
         self.first_word = np.cumsum(self.n_words) - self.n_words
         m = len(h) - k + 1
