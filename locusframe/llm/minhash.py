@@ -194,10 +194,14 @@ def _by_rare_shingles(crowd: DataFrame, percent: int) -> DataFrame:
     before = alone.groupBy("node").agg(F.collect_list(F.struct("df", "k")).alias("alone"))
     rarer = F.aggregate(F.coalesce(F.col("alone"), F.expr("cast(array() as array<struct<df: bigint, k: bigint>>)")), F.lit(0).cast("long"), lambda s, x: s + F.when(x["df"] <= F.col("df"), x["k"]).otherwise(0))
     keep = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
-    prefix = placed.join(before, "node", "left").where(F.col("place") + rarer <= keep).select("node", "component", "shingle")
-    prefix = stored(prefix)
-    right = prefix.select("shingle", F.col("node").alias("b"), F.col("component").alias("other"))
-    return prefix.withColumnRenamed("node", "a").join(right, "shingle").where("a > b and component <> other").select("a", "b").distinct()
+    at = placed.join(before, "node", "left").withColumn("at", F.col("place") + rarer)
+    prefix = stored(at.where(F.col("at") <= keep).select("node", "component", "shingle", "size", "at"))
+    right = prefix.select("shingle", F.col("node").alias("b"), F.col("component").alias("other"), F.col("size").alias("size_b"), F.col("at").alias("at_b"))
+    # sets that share enough have room for it behind the first shingle that they share
+    room = F.least(F.col("size") - F.col("at"), F.col("size_b") - F.col("at_b")) + 1
+    enough = room * (100 + percent) >= (F.col("size") + F.col("size_b")) * percent
+    close = F.least("size", "size_b") * 100 >= F.greatest("size", "size_b") * percent
+    return prefix.withColumnRenamed("node", "a").join(right, "shingle").where((F.col("a") > F.col("b")) & (F.col("component") != F.col("other")) & close & enough).select("a", "b").distinct()
 
 
 def cluster(docs: DataFrame, words: int = 5, percent: int = 80, small: int = 16, broadcast_rows: int = 2_000_000) -> DataFrame:

@@ -207,7 +207,9 @@ def test_near_duplicates(spark, docs, empty, small):
 
 def test_components(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (9, 8), (7, 7), (4, 20), (20, 11)], "a long, b long")
-    assert {r.node: r.component for r in components.components(e).collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 11: 1, 20: 1, 8: 8, 9: 8}
+    for block in (1, 2, 100):
+        assert {r.node: r.component for r in components.components(e, block).collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 11: 1, 20: 1, 8: 8, 9: 8}
+    assert components.components(e.where("false")).count() == 0
 
 
 def brute_windows(texts, window):
