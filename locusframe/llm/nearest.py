@@ -4,12 +4,17 @@ Equal vectors are one node from the start. A first neighbour graph comes from so
 random-hyperplane codes, several times over, and comparing each with the next few. Rounds of
 NN-descent then join neighbours of neighbours: all nodes around one are compared with each other,
 and each node's list keeps the nearest. Edges below `floor` are left out of the graph: two vectors
-that are both within the threshold angle of a third are at least that similar.
+that are both within the threshold angle of a third are at least that similar. A linked pair with no
+other neighbour over `floor` can't be reached by descent, so the orders alone have to find it: their
+number follows the table's size, so that a pair at the threshold is missed by all of them with
+probability `most_missed` where the other vectors are spread evenly.
 
 A list with `k` entries over the threshold is saturated. The lists of its component are enlarged to
 the whole component, which is compared block by block, so that counts are complete without a row
-per pair. An audit then compares a bounded sample of queries with all vectors; while its recall
-is below `least_recall`, the search goes on with new codes.
+per pair. An audit then compares a bounded sample of queries with all vectors. Recall is taken per
+node that has links, and again among nodes with about as many links, so that a large group can't
+hide what is missed elsewhere. While one of these is below `least_recall`, the search goes on with
+twice as many new codes; after `attempts` it fails.
 
 Vectors that are null, zero, or hold null or non-finite components link with nothing, as do vectors
 of different lengths. Rows with equal vec_ids are vectors of their own; a null vec_id is never a
@@ -18,6 +23,7 @@ component's smallest. Cosines are taken in double precision.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,16 +45,25 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
     return m / np.sqrt((m * m).sum(1, keepdims=True))
 
 
-def _neighbours_by_code(nodes: DataFrame, dim: int, trees: int, seed: int, reach: int, floor: float) -> DataFrame:
+def orders(nodes: int, threshold: float, reach: int, most_missed: float = 0.003) -> int:
+    """How many orders a pair at the threshold needs to stand within reach in one of them, but for `most_missed`.
+
+    One does if its first bits agree, as many as part the others down to what reach covers."""
+    bits = max(0.0, math.log2(max(nodes, 1) / (0.7 * reach)))
+    near = (1 - math.acos(min(max(threshold, -1.0), 1.0)) / math.pi) ** bits
+    return 1 if near > 1 - most_missed else math.ceil(math.log(most_missed) / math.log1p(-near))
+
+
+def _neighbours_by_code(nodes: DataFrame, dim: int, trees: int, bits: int, seed: int, reach: int, floor: float) -> DataFrame:
     """Edges between nodes that stand close in one of the orders by random codes."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes = np.random.default_rng(seed).normal(size=(dim, trees * 17))
+        planes = np.random.default_rng(seed).normal(size=(trees, dim, bits + 1))
         for b in batches:
-            v = matrix(b["vec"], dim) @ planes
+            v = matrix(b["vec"], dim)
             for t in range(trees):
-                p = v[:, t * 17:(t + 1) * 17]
-                key = ((p[:, :16] > 0) * (1 << np.arange(15, -1, -1))).sum(1) * (1 << 20) + (np.clip(p[:, 16], -1, 1) * 500_000 + 500_000).astype(np.int64)
+                p = v @ planes[t]
+                key = ((p[:, :bits] > 0) * (1 << np.arange(bits - 1, -1, -1))).sum(1) * (1 << 20) + (np.clip(p[:, bits], -1, 1) * 500_000 + 500_000).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), t, np.int32)), pa.array(key), b["node"], b["vec"]], ["tree", "key", "node", "vec"])
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,33 +146,54 @@ def _within(members: DataFrame, dim: int, threshold: float, block: int) -> DataF
     return some.groupBy("component", "low", "high").applyInArrow(count, "node long, linked long").groupBy("node").agg(F.sum("linked").alias("linked"))
 
 
-def _audit(nodes: DataFrame, linked: DataFrame, dim: int, threshold: float, queries: int) -> float:
-    """Share of the links of a bounded sample of nodes (smallest hashes) that were found."""
-    sample = nodes.orderBy(F.xxhash64("node")).limit(queries).select("node", "vec").collect()
-    if not sample:
+def _audit(nodes: DataFrame, linked: DataFrame, dim: int, threshold: float, queries: int, enough: int = 64) -> float:
+    """The least recall of a bounded sample of nodes (smallest hashes): over links, per node, and per node
+    among those with 1, 2 to 3, 4 to 7, ... links if at least `enough` / 2 were sampled.
+
+    If fewer than `enough` of the sample have links, 16 times as many are sampled."""
+    for n in (queries, 16 * queries):
+        sample = nodes.orderBy(F.xxhash64("node")).limit(n).select("node", "vec").collect()
+        if not sample:
+            return 1.0
+        # every sampled node's links, and how many of them were found
+        have = _links_of([r["node"] for r in sample], matrix(pa.array([r["vec"] for r in sample]), dim), nodes, dim, threshold)
+        rows = have.where("n > 0").join(linked, "node", "left").select("n", F.coalesce("linked", F.lit(0))).collect()
+        if len(rows) >= enough or len(sample) < n:
+            break
+    if not rows:
         return 1.0
-    q = matrix(pa.array([r["vec"] for r in sample]), dim)
-    ids = np.array([r["node"] for r in sample])
+    n, found = np.array(rows, np.float64).T
+    share = np.minimum(n, found) / n
+    size = np.floor(np.log2(n))
+    groups = [share[size == x] for x in np.unique(size)]
+    return float(min([np.minimum(n, found).sum() / n.sum(), share.mean(), *(g.mean() for g in groups if 2 * len(g) >= enough)]))
+
+
+def _links_of(ids: list[int], q: np.ndarray, nodes: DataFrame, dim: int, threshold: float) -> DataFrame:
+    """node, n: how many vectors are linked with each of the queries, by comparison with all."""
+    sent, ids = nodes.sparkSession.sparkContext.broadcast(q), np.array(ids)
 
     def true(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(ids), np.int64)
+        q, total = sent.value, np.zeros(len(ids), np.int64)
         for b in batches:
-            hit = q @ matrix(b["vec"], dim).T >= threshold
-            hit &= ids[:, None] != b["node"].to_numpy()
-            total += (hit * b["copies"].to_numpy()).sum(1)
+            for i in range(0, b.num_rows, 512):
+                part = b.slice(i, 512)
+                hit = q @ matrix(part["vec"], dim).T >= threshold
+                hit &= ids[:, None] != part["node"].to_numpy()
+                total += hit @ part["copies"].to_numpy()
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], ["node", "n"])
 
-    have = nodes.select("node", "vec", "copies").mapInArrow(true, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
-    row = have.join(linked, "node", "left").agg(F.sum("n"), F.sum(F.least("n", F.coalesce("linked", F.lit(0))))).head()
-    return row[1] / row[0] if row[0] else 1.0
+    return nodes.select("node", "vec", "copies").mapInArrow(true, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
 
 
 def _search(nodes: DataFrame, dim: int, threshold: float, k: int, trees: int, reach: int, rounds: int, block: int, least_recall: float, queries: int, attempts: int) -> tuple[DataFrame, DataFrame]:
     """(node, linked) and (node, component) of nodes with links."""
     floor = 2 * threshold * threshold - 1
+    size = nodes.count()
+    trees, bits = max(trees, orders(size, threshold, reach)), min(max(16, size.bit_length()), 40)
     found = None
     for attempt in range(attempts):
-        seen = _neighbours_by_code(nodes, dim, trees, 1000 + attempt, reach, floor)
+        seen = _neighbours_by_code(nodes, dim, trees << attempt, bits, 1000 + attempt, reach, floor)
         seen = seen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sim").dropDuplicates(["a", "b"])
         found = stored(seen if found is None else found.union(seen).dropDuplicates(["a", "b"]))
         before = found.count()
@@ -177,9 +213,10 @@ def _search(nodes: DataFrame, dim: int, threshold: float, k: int, trees: int, re
         rest = both.join(label.join(full, "component", "left_anti").select("node"), "node", "left_semi")
         counted = rest.join(nodes.select(F.col("node").alias("other"), "copies"), "other").groupBy("node").agg(F.sum("copies").alias("linked"))
         linked = stored(_within(enlarged, dim, threshold, block).union(counted))
-        if _audit(nodes, linked, dim, threshold, queries) >= least_recall:
-            break
-    return linked, label
+        recall = _audit(nodes, linked, dim, threshold, queries)
+        if recall >= least_recall:
+            return linked, label
+    raise RuntimeError(f"{size} vectors of {dim} dimensions: recall {recall:.3f} after {attempts} attempts, {least_recall} needed")
 
 
 def link(vectors: DataFrame, threshold: float = 0.9, k: int = 16, trees: int = 16, reach: int = 8, rounds: int = 4, block: int = 512, least_recall: float = 0.97, queries: int = 512, attempts: int = 3) -> DataFrame:

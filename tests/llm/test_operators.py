@@ -1,6 +1,7 @@
 """Operators against brute force on small tables, with nulls, ties, empty and repeated rows, and clashing columns."""
 
 import hashlib
+import math
 import zlib
 
 import numpy as np
@@ -306,6 +307,30 @@ def test_vectors(spark):
     assert nearest.link(df.where("false")).count() == 0
 
 
+def test_vectors_sparse(spark):
+    """Pairs just over the threshold whose other neighbours are all far away, so that only the orders find them."""
+    r, n = np.random.default_rng(3), 20_000
+    v = r.normal(size=(n, 64))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    u = r.normal(size=(2000, 64))
+    u -= (u * v[:2000]).sum(1, keepdims=True) * v[:2000]
+    v[2000:4000] = 0.905 * v[:2000] + math.sqrt(1 - 0.905**2) * u / np.linalg.norm(u, axis=1, keepdims=True)
+    df = spark.createDataFrame(list(enumerate(v.tolist())), "vec_id long, embedding array<double>")
+    got = {x.vec_id: x.component_id for x in nearest.link(df).collect()}
+    assert np.mean([got[2000 + i] == i for i in range(2000)]) > 0.985
+    assert [nearest.orders(x, 0.9, 8) > 16 for x in (100, 20_000, 1_000_000)] == [False, True, True]
+
+
+def test_audit_sees_beside_a_hot_group(spark):
+    """All of a group of 300 is found, and none of 60 lone pairs."""
+    v = np.eye(128)[[127] * 300 + [i for i in range(60) for _ in range(2)]]
+    nodes = spark.createDataFrame([(i, x, 1) for i, x in enumerate(v.tolist())], "node long, vec array<double>, copies long")
+    linked = spark.createDataFrame([(i, 299) for i in range(300)], "node long, linked long")
+    assert nearest._audit(nodes, linked, 128, 0.9, 512) < 0.5
+    whole = linked.union(spark.createDataFrame([(300 + i, 1) for i in range(120)], "node long, linked long"))
+    assert nearest._audit(nodes, whole, 128, 0.9, 512) == 1
+
+
 def test_languages(spark, docs, empty):
     one, two = ["alpha beta gamma delta epsilon zeta", "eins zwei drei vier fuenf sechs"], ["en", "de"]
     r = np.random.default_rng(5)
