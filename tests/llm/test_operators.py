@@ -344,6 +344,19 @@ def test_languages(spark, docs, empty):
     assert langid.identify(empty).count() == 0
 
 
+def test_languages_of_long_texts(spark):
+    """A clean text isn't rejected for being long: the margin stays what it is for a tenth of it."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    learned = langid.fit(docs.where(~langid.held_out()))
+    texts = [r.text for r in docs.where(langid.held_out() & F.col("text").isNotNull() & (F.col("lang") == "en")).orderBy("doc_id").collect()]
+    whole = " ".join(texts)
+    whole = (whole * (3_000_000 // len(whole) + 1))[:3_000_000]
+    rows = spark.createDataFrame([(1, whole[:300_000]), (2, whole)], "doc_id long, text string")
+    got = {x.doc_id: x for x in langid.predict(rows, learned).collect()}
+    assert all(got[i].lang_pred == "en" and not got[i].rejected for i in (1, 2))
+    assert abs(got[2].margin / got[1].margin - 1) < 0.1
+
+
 def test_licences(spark):
     rows = [(1, "x\nLicensed under the Apache License, Version 2.0.\ny"), (2, "All rights\nreserved."), (3, None), (4, ""), (5, "plain prose that names no licence at all"), (6, "MIT LICENSE: released under the MIT license")]
     got = {r.doc_id: (r.n_matches, r.licences) for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
