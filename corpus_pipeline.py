@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusframe.llm import langid, minhash, packing, substrings
-from locusframe.llm.shared import shared_dir, table
+from locusframe.llm.shared import shared_dir, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -23,10 +23,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates (five-word shingles, similarity 0.8)."""
-    found = minhash.cluster(docs, words=5, percent=80)
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.select(COLUMNS).join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    """Keeps one document of each group of near duplicates (five-word shingles, similarity 0.8): the smallest doc_id's.
+
+    Decisions are made and carried out by row, as doc_ids may repeat or be null (a null comes last)."""
+    rows = stored(docs.select(COLUMNS).withColumn("_row", F.monotonically_increasing_id()))
+    found = minhash.cluster(rows.select(F.col("_row").alias("doc_id"), "text"), words=5, percent=80)
+    # a component of one row needs no choice
+    many = found.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
+    grouped = stored(found.join(many, "component_id").select(F.col("doc_id").alias("_row"), "component_id"))
+    named = grouped.join(rows.select("_row", "doc_id"), "_row")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row"))["_row"].alias("_row"))
+    gone = grouped.select("_row").join(first.select("_row"), "_row", "left_anti")
+    return rows.join(gone, "_row", "left_anti").select(COLUMNS)
 
 
 def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,3 +31,12 @@ def test_stages(spark, tmp_path):
         else:
             assert set(after) == set(before)
     assert [n for n, _ in cp.STAGES] == ["language_id", "near_dedup", "substring_dedup", "packing"]
+
+
+def test_near_duplicates_by_row(spark):
+    """Repeated and null doc_ids: one row of each group stays, and no row that has no copy goes."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (2, a + " more"), (2, b), (3, c), (3, c), (None, a), (None, c), (None, "alone " * 3), (4, None), (4, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in cp.near_duplicates(spark, docs, SF).collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (2, b), (3, c), (None, "alone " * 3), (4, None), (4, None)], key=str)
