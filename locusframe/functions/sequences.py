@@ -127,3 +127,28 @@ def n50(seqs: DataFrame, keys: list[str], as_written: bool = True) -> DataFrame:
     exact = need == k * F.col("n")
     before = F.when(k > 1, F.col("n")).otherwise(F.col("_previous"))
     return hit.select(*keys, F.when(exact, F.col("n")).otherwise(F.floor((F.col("n") + before) / 2 + 0.5)).cast("int").alias("n50"))
+
+
+def not_contained(seqs: DataFrame, head: int = 20) -> DataFrame:
+    """seqid of the distinct sequences (the smallest seqid of each) that no longer one contains.
+
+    Candidates hold the first `head` letters; a shorter sequence is its own head, with one equi-join for each such length."""
+    u = seqs.where("seq is not null").groupBy("seq").agg(F.min("seqid").alias("seqid"))
+    n = F.length("seq")
+    short = sorted(r[0] for r in u.where(n < head).select(n).distinct().collect())
+    heads = u.where(n >= head).select("seqid", F.substring("seq", 1, head).alias("head"))
+    found = u.where(n < head).select("seqid", F.col("seq").alias("head"))
+    inside = None
+    for k in [*short, head]:
+        known = heads if k == head else found.where(F.length("head") == k)
+        # every k-mer that is some sequence's head; only those meet, and texts join what is left
+        mers = F.array_distinct(F.regexp_extract_all("seq", F.lit(f"(?=(.{{{k}}}))"), 1))
+        places = u.where(n > k).select(F.col("seqid").alias("other"), F.explode(mers).alias("head")).join(known.select("head").distinct(), "head", "left_semi")
+        if k < head:
+            hit = known.join(places.select("head").distinct(), "head").select("seqid")
+        else:
+            pairs = known.join(places, "head").where("other <> seqid").select("seqid", "other").distinct()
+            longer = u.select(F.col("seqid").alias("other"), F.col("seq").alias("long"))
+            hit = pairs.join(u, "seqid").join(longer, "other").where("length(long) > length(seq) and contains(long, seq)").select("seqid").distinct()
+        inside = hit if inside is None else inside.union(hit)
+    return u.select("seqid").join(inside, "seqid", "left_anti")

@@ -121,6 +121,13 @@ def uniq_sub(spark, d):
     return u.select("seqid").join(inside, "seqid", "left_anti")
 
 
+@query("seqs", """, u AS (SELECT min(seqid) AS seqid, seq FROM seqs WHERE seq IS NOT NULL GROUP BY seq)
+    SELECT seqid FROM u a WHERE NOT EXISTS (SELECT 1 FROM u b WHERE b.seqid <> a.seqid AND length(b.seq) > length(a.seq) AND contains(b.seq, a.seq))""")
+def uniq_sub_all(spark, d):
+    """U4 for sequences of any length; those under 20 letters meet the longer ones' substrings of their own length."""
+    return sequences.not_contained(A.seqs(spark, d))
+
+
 @query("", "SELECT doc_id, md5(upper(regexp_replace(regexp_replace(text, '[ *]', '', 'g'), '[^A-Za-z]', 'C', 'g'))) AS fixed FROM documents")
 def fix_prot(spark, d):
     x = F.upper(F.regexp_replace(F.regexp_replace("text", "[ *]", ""), "[^A-Za-z]", "C"))

@@ -50,3 +50,9 @@ def test_attributes(spark):
 def test_cigar(spark):
     for text in ("M8 D3 I10", "8M3D10I"):
         assert [tuple(x) for x in one(spark, attributes.cigar(F.col("s")), s=text)] == [("M", 8), ("D", 3), ("I", 10)]
+
+
+def test_not_contained_of_any_length(spark):
+    rows = [(1, "ACGTACGTACGTACGTACGTACGTAA"), (2, "GTACGTACGTACGTACGTACGTAA"), (3, "CGTAA"), (4, "GGG"), (5, "GGG"), (6, "GG"), (7, ""), (8, None), (9, "TTTTTTTTTTTTTTTTTTT"), (10, "TTTTTTTTTTTTTTTTTTTT"), (11, "CCC")]
+    got = sequences.not_contained(spark.createDataFrame(rows, "seqid long, seq string"))
+    assert sorted(r.seqid for r in got.collect()) == [1, 4, 10, 11]
