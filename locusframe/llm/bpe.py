@@ -5,15 +5,19 @@ A recursive query joins neighbouring rows with the merge table, contracts each p
 pair of least rank, and goes on with the pieces that changed until none does. Decoding joins
 ids with the vocabulary and aggregates in order of position.
 
-Nulls and empty texts give no ids. A piece of over LONG bytes is merged by the same rule on a
-heap, as the query would need a round per byte. Rows with equal or null keys are kept as they are.
+A recursive query's result holds the rows of all rounds, of which there are as many as merges. Pieces
+of over LONG bytes go through the same contraction with keyed recursion, which holds a row per
+token and passes on only the rows that changed.
+
+Nulls and empty texts give no ids; an empty table gives no rows. Texts of any length are encoded
+whole, in slices of an Arrow batch. Rows with equal or null keys are kept as they are. The result has
+doc_id and the named columns alone; other columns of docs, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,32 +25,56 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from locusframe.llm.shared import bounded_batches
-from locusframe.llm.wordcache import ChunkEncoder, slices
+from locusframe.llm.wordcache import ChunkEncoder, gather, slices
 
-LONG = 256
+LONG = 64
 
 #: Rows (piece, position, token, next position, next token); a piece leaves once no pair of it merges.
+#: The least rank, its position and the one behind it travel in one number.
 CONTRACT = """
 WITH RECURSIVE step(round, piece, pos, tok, npos, ntok) AS (
   SELECT 0, piece, pos, tok, pos + 1, lead(tok) OVER (PARTITION BY piece ORDER BY pos) FROM start
   UNION ALL
   (WITH best AS (
-     SELECT s.piece, max(s.round) + 1 AS round, min(struct_pack(rank := g.merged, pos := s.pos)) AS b
+     SELECT s.piece, max(s.round) + 1 AS round, min(g.merged * 17592186044416 + s.pos::BIGINT * 4194304 + s.npos) AS b
      FROM step s JOIN merges g ON g.pair = s.tok::BIGINT * 16777216 + s.ntok GROUP BY s.piece),
    spot AS (
-     SELECT b.round, b.piece, b.b.rank AS merged, l.pos, l.npos AS gone, r.npos, r.ntok
-     FROM best b JOIN step l ON l.piece = b.piece AND l.pos = b.b.pos
-     JOIN step r ON r.piece = l.piece AND r.pos = l.npos)
+     SELECT b.round, b.piece, (b.b >> 44)::INT AS merged, ((b.b >> 22) & 4194303)::INT AS pos, r.pos AS gone, r.npos, r.ntok
+     FROM best b JOIN step r ON r.piece = b.piece AND r.pos = (b.b & 4194303)::INT)
    SELECT t.round, s.piece, s.pos,
      CASE WHEN s.pos = t.pos THEN t.merged ELSE s.tok END,
      CASE WHEN s.pos = t.pos THEN t.npos ELSE s.npos END,
      CASE WHEN s.pos = t.pos THEN t.ntok WHEN s.npos = t.pos THEN t.merged ELSE s.ntok END
    FROM step s JOIN spot t USING (piece) WHERE s.pos <> t.gone))
-SELECT piece, list(tok ORDER BY pos) AS ids
-FROM (SELECT *, max(round) OVER (PARTITION BY piece) AS last FROM step) WHERE round = last GROUP BY piece ORDER BY piece
+SELECT s.piece, list(tok ORDER BY pos) AS ids
+FROM step s JOIN (SELECT piece, max(round) AS round FROM step GROUP BY piece) l ON s.piece = l.piece AND s.round = l.round
+GROUP BY s.piece ORDER BY s.piece
+"""
+
+#: The same with one row per position, which keeps its pair's rank: a round passes on the three rows that a contraction
+#: changes, and only they look ranks up; token -1 marks what is gone.
+CONTRACT_LONG = """
+WITH RECURSIVE step(piece, pos, tok, npos, ntok, b) USING KEY (piece, pos) AS (
+  SELECT s.*, g.merged * 17592186044416 + s.pos::BIGINT * 4194304 + s.npos
+  FROM (SELECT piece, pos, tok, pos + 1 AS npos, lead(tok) OVER (PARTITION BY piece ORDER BY pos) AS ntok FROM start) s
+  LEFT JOIN merges g ON g.pair = s.tok::BIGINT * 16777216 + s.ntok
+  UNION
+  (WITH best AS (SELECT piece, min(b) AS b FROM recurring.step WHERE piece IN (SELECT piece FROM step) GROUP BY piece HAVING min(b) IS NOT NULL),
+   spot AS (
+     SELECT b.piece, (b.b >> 44)::INT AS merged, ((b.b >> 22) & 4194303)::INT AS pos, r.pos AS gone, r.npos, r.ntok
+     FROM best b JOIN recurring.step r ON r.piece = b.piece AND r.pos = (b.b & 4194303)::INT),
+   changed AS (
+     SELECT s.piece, s.pos,
+       CASE WHEN s.pos = t.pos THEN t.merged WHEN s.pos = t.gone THEN -1 ELSE s.tok END AS tok,
+       CASE WHEN s.pos = t.pos THEN t.npos WHEN s.pos = t.gone THEN -1 ELSE s.npos END AS npos,
+       CASE WHEN s.pos = t.pos THEN t.ntok WHEN s.pos = t.gone THEN NULL ELSE t.merged END AS ntok
+     FROM recurring.step s JOIN spot t USING (piece) WHERE s.pos = t.pos OR s.pos = t.gone OR s.npos = t.pos)
+   SELECT s.*, g.merged * 17592186044416 + s.pos::BIGINT * 4194304 + s.npos
+   FROM changed s LEFT JOIN merges g ON g.pair = s.tok::BIGINT * 16777216 + s.ntok))
+SELECT piece, list(tok ORDER BY pos) AS ids FROM step WHERE tok >= 0 GROUP BY piece ORDER BY piece
 """
 
-DECODE = "SELECT doc, string_agg(chars, '' ORDER BY pos) AS text FROM ids JOIN vocab USING (tok) GROUP BY doc ORDER BY doc"
+DECODE = "SELECT doc, array_to_string(list(chars ORDER BY pos), '') AS text FROM ids JOIN vocab USING (tok) GROUP BY doc ORDER BY doc"
 
 
 class RankBPE:
@@ -67,55 +95,40 @@ class RankBPE:
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM t")
             self.db.unregister("t")
 
-    def pieces(self, parts: list[bytes], block: int = 20_000) -> list[list[int]]:
-        """The ids of pieces that are each encoded alone."""
-        out: list[list[int]] = [[]] * len(parts)
-        rows = []
-        for i, p in enumerate(parts):
-            if p in self.ranks:
-                out[i] = [self.ranks[p]]
-            elif len(p) > LONG:
-                out[i] = self._heap(p)
-            else:
-                rows.append(i)
-        for k in range(0, len(rows), block):
-            some = rows[k:k + block]
-            lens = np.fromiter((len(parts[i]) for i in some), np.int64, len(some))
-            raw = np.frombuffer(b"".join(parts[i] for i in some), np.uint8)
-            pos = np.arange(len(raw)) - np.repeat(np.cumsum(lens) - lens, lens)
-            self.db.register("start", pa.table({"piece": pa.array(np.repeat(np.arange(len(some)), lens), pa.int32()), "pos": pa.array(pos, pa.int32()), "tok": pa.array(self.of_byte[raw])}))
-            ids = self.db.sql(CONTRACT).to_arrow_table()["ids"].combine_chunks()
-            flat, ends = ids.flatten().to_numpy().tolist(), ids.offsets.to_numpy().tolist()
-            for j, i in enumerate(some):
-                out[i] = flat[ends[j]:ends[j + 1]]
-            self.db.unregister("start")
-        return out
-
-    def _heap(self, p: bytes) -> list[int]:
-        """The same contraction of one long piece: least rank first, leftmost among equals."""
-        part = [p[i:i + 1] for i in range(len(p))]
-        left, right = list(range(-1, len(p) - 1)), [*range(1, len(p)), -1]
-        heap = [(self.ranks[a + b], i, a, b) for i, (a, b) in enumerate(zip(part, part[1:], strict=False)) if a + b in self.ranks]
-        heapq.heapify(heap)
-        while heap:
-            _, i, a, b = heapq.heappop(heap)
-            j = right[i]
-            if part[i] != a or j < 0 or part[j] != b:
-                continue
-            part[i], part[j], right[i] = a + b, b"", right[j]
-            if right[j] >= 0:
-                left[right[j]] = i
-            for x, y in ((left[i], i), (i, right[i])):
-                if x >= 0 and y >= 0 and (r := self.ranks.get(part[x] + part[y])) is not None:
-                    heapq.heappush(heap, (r, x, part[x], part[y]))
-        return [self.ranks[x] for x in part if x]
-
-    def encode_parts(self, texts: list[str]) -> list[list[int]]:
-        """The ids of texts; distinct matches of the pattern are encoded once."""
+    def pieces(self, parts: list[bytes], block_bytes: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces that are each encoded alone, one after the other, and the number of each."""
+        known = [self.ranks.get(p, -1) for p in parts]
+        lens = np.ones(len(parts), np.int64)
+        flats, at = [np.array([r for r in known if r >= 0], np.uint32)], np.zeros(len(parts), np.int64)
+        whole = np.array(known) >= 0
+        at[whole] = np.arange(int(whole.sum()))
+        done = len(flats[0])
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+        for query, chosen in ((CONTRACT, ~whole & (size <= LONG)), (CONTRACT_LONG, ~whole & (size > LONG))):
+            rows = np.flatnonzero(chosen)
+            for some in np.split(rows, np.flatnonzero(np.diff(np.cumsum(size[rows]) // block_bytes)) + 1) if len(rows) else ():
+                n = size[some]
+                raw = np.frombuffer(b"".join([parts[i] for i in some.tolist()]), np.uint8)
+                pos = np.arange(len(raw)) - np.repeat(np.cumsum(n) - n, n)
+                self.db.register("start", pa.table({"piece": pa.array(np.repeat(np.arange(len(some)), n), pa.int32()), "pos": pa.array(pos, pa.int32()), "tok": pa.array(self.of_byte[raw])}))
+                ids = self.db.sql(query).to_arrow_table()["ids"].combine_chunks()
+                self.db.unregister("start")
+                flats.append(ids.flatten().to_numpy().astype(np.uint32))
+                lens[some] = np.diff(ids.offsets.to_numpy())
+                at[some] = done + np.cumsum(lens[some]) - lens[some]
+                done += len(flats[-1])
+        return gather(np.concatenate(flats), at, lens), lens
+
+    def encode_parts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts, one after the other, and the number of each; distinct matches of the pattern are encoded once."""
         found = [self.find(t) for t in texts]
-        distinct = list(dict.fromkeys(m for f in found for m in f))
-        ids = dict(zip(distinct, self.pieces([m.encode("utf-8", "surrogatepass") for m in distinct]), strict=True))
-        return [ids[f[0]] if len(f) == 1 else [x for m in f for x in ids[m]] for f in found]
+        code: dict[str, int] = {}
+        which = np.fromiter((code.setdefault(m, len(code)) for f in found for m in f), np.int64)
+        flat, n = self.pieces([m.encode("utf-8", "surrogatepass") for m in code])
+        first = np.cumsum(n) - n
+        per_text = np.concatenate([[0], np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))])
+        sizes = np.concatenate([[0], np.cumsum(n[which])])
+        return gather(flat, first[which], n[which]), np.diff(sizes[per_text])
 
     def decode(self, flat: np.ndarray, n: np.ndarray, block: int = 1_000_000) -> Iterator[bytes]:
         """The bytes of each run of n ids."""

@@ -7,7 +7,10 @@ has room, and at most `open_bins` stay open, the fullest closing first. The bins
 at a task's end go on, as whole bundles, to a next round of fewer tasks, until one task is left;
 what a task of a later round holds is bounded by fan_in * open_bins bundles.
 
-Null texts are empty and give the end id alone. Equal or null doc_ids are packed as separate rows.
+Null texts are empty and give the end id alone. Texts of any length are encoded whole and cut into
+pieces of the capacity. Equal or null doc_ids are packed as separate rows; bins with equal room are
+taken in the order last opened first, so ties depend on a hash of the piece alone. An empty table gives
+no rows. The result has the named columns alone; other columns of docs, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -88,14 +91,14 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataF
     return rows.mapInArrow(run, "rid long, doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def best_fit(items: DataFrame, capacity: int = 2048, open_bins: int = 512, per_task: int = 2_000_000, fan_in: int = 16) -> DataFrame:
+def best_fit(items: DataFrame, capacity: int = 2048, open_bins: int = 512, per_task: int = 100_000, fan_in: int = 16) -> DataFrame:
     """items: item (unique long), length (1 to capacity). Returns item, sequence_id, offset.
 
     per_task: items of a task in the first round, about."""
     spark = items.sparkSession
     whole, rest = items.where(F.col("length") >= capacity), items.where(F.col("length") < capacity)
     n = rest.agg(F.count("*")).head()[0]
-    tasks = max(1, min(ranges_for(spark) if n > 50_000 else 1, 1 << 20), -(-n // per_task))
+    tasks = max(1, -(-n // per_task))
     # full pieces are sequences of their own; their numbers are even and those of shared bins odd
     done = [whole.select("item", (F.col("item") * 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
     bundles = rest.select(F.col("item").alias("bundle"), "length")

@@ -46,7 +46,6 @@ def test_tokens_and_packing(docs, empty):
 
     path = tokenizers.path("word_bpe_49k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     rows = packing.pack_documents(docs, path, capacity=64, open_bins=4).collect()
     expected = {}
     for i, x in plain(docs).items():
@@ -88,7 +87,6 @@ def test_token_store(spark, docs, empty):
 
     path = tokenizers.path("byte_bpe_50k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     store = tokenstore.write_store(docs, path, 2, cutter=tokenstore.Cutter(8, 4, 64))
     start, expected, ids = 0, [], {}
     for i, x in sorted(plain(docs).items()):
@@ -138,13 +136,48 @@ def test_chunks_equal_whole_texts():
     for name, spaced in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
         path = tokenizers.path(name)
         t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
         ids, n = library_encoder(path, spaced).encode(pa.array(texts))
         ends = np.cumsum(n)
         for x, k, e in zip(texts, n.tolist(), ends.tolist(), strict=True):
             assert ids[e - k:e].tolist() == t.encode(x or "", add_special_tokens=False).ids, x
 
 
+def odd_texts(seed, n):
+    """Random texts of pieces that tokenizers treat apart: marks, white space, special strings, letters that change when lower-cased."""
+    r = np.random.default_rng(seed)
+    some = ["a", "b", "the", "İ", "é", "e\u0301", "ß", " ", "  ", "\n", "\n\n", "\t", ".", ",", "!", "'s", "'", "1", "42", "<|endoftext|>", "<|startoftext|>", "~", "日本語", "ไทย", "\u0307", "ﬁ", "😀", "-", "%", "İ.", "THE", "|", "x'll"]
+    return ["".join(some[i] for i in r.integers(0, len(some), r.integers(0, 14))) for _ in range(n)]
+
+
+@pytest.mark.parametrize(("name", "spaced"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_library_on_odd_texts(name, spaced):
+    from tokenizers import Tokenizer
+
+    texts, path = odd_texts(3, 5000), tokenizers.path(name)
+    expected = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    encoder = library_encoder(path, spaced)
+    for limit in (encoder.limit, 100):  # a full cache forgets
+        encoder.limit, kept = limit, encoder.limit
+        got = []
+        for i in range(0, len(texts), 500):
+            ids, n = encoder.encode(pa.array(texts[i:i + 500]))
+            got += [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
+        encoder.limit = kept
+        assert got == expected
+
+
+def test_ranks_on_odd_texts():
+    import tiktoken
+
+    path = tokenizers.path("byte_bpe_50k.tiktoken")
+    enc = tiktoken.Encoding("own", pat_str=tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
+    ranks, chunks = bpe.coder(path, tokenizers.PATTERN)
+    texts = [*odd_texts(4, 3000), "a" * 300 + " x " + "thereandback" * 30, "日本語" * 40]
+    ids, n = chunks.encode(pa.array(texts))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [enc.encode_ordinary(x) for x in texts]
+    assert list(ranks.decode(ids, n)) == [x.encode() for x in texts]
+
+
 def test_warc(spark):
     big = "<p>" + "x" * 200
     rows = [(1, "http://a", big), (2, "http://b\r\nX: y", big), (3, None, "small"), (4, "http://d", "small"), (5, "http://e", None), (6, "u", "é" * 60), (0, "z", big), (None, "n", big)]
