@@ -28,7 +28,7 @@ def suffix_order(text: np.ndarray, most: int) -> np.ndarray:
     n, bits = len(text), int(text.max(initial=1)).bit_length()
     step = max(1, 62 // bits)
     key = np.zeros(n, np.int64)
-    for k in range(step):
+    for k in range(min(step, n)):
         key[:n - k] |= text[k:].astype(np.int64) << bits * (step - 1 - k)
     while True:
         order = np.argsort(key, kind="stable")
@@ -74,8 +74,24 @@ class FMIndex:
         k = len(word)
         return start + both[:k], start + both[k:]
 
-
-def earliest(runs: list[np.ndarray] | tuple[np.ndarray, np.ndarray], owner: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    def matching_statistics(self, text: np.ndarray, ends: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each place of `text` in `ends`: the length, up to `most` words, of the longest stretch that ends there and
+        that the index holds more than once, and the range of that stretch."""
+        length = np.zeros(len(ends), np.int32)
+        first, last = np.zeros(len(ends), np.int32), np.zeros(len(ends), np.int32)
+        at, word = np.arange(len(ends)), text[ends]
+        low, high = self.starts[word], self.starts[word + 1]
+        for k in range(1, most + 1):
+            more = high - low > 1
+            at, low, high = at[more], low[more], high[more]
+            length[at], first[at], last[at] = k, low, high
+            if k == most or not len(at):
+                break
+            low, high = self.back(text[ends[at] - k], low, high)
+        return length, first, last
+
+
+def earliest(runs: tuple[np.ndarray, np.ndarray], owner: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """For every window of every run, the smallest owner of a run that has the same words.
 
     runs: (words of all runs, from 1; length of each run), each at least `window` long. Returns the
@@ -90,18 +106,14 @@ def earliest(runs: list[np.ndarray] | tuple[np.ndarray, np.ndarray], owner: np.n
     run = np.repeat(np.arange(len(sizes)), count)
     first = (ends - sizes - 1)[run] + np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
     least = owner[run].copy()
-    # matching statistics from the right: a range of one place is the window itself and needs no more steps
-    at, low, high = np.arange(len(run)), np.zeros(len(run), np.int32), np.full(len(run), len(text), np.int32)
-    for k in range(window - 1, -1, -1):
-        low, high = index.back(text[first[at] + k], low, high)
-        more = high - low > 1
-        at, low, high = at[more], low[more], high[more]
+    # a window that the index holds once is its own segment's
+    length, low, high = index.matching_statistics(text, first + window - 1, window)
+    at = np.flatnonzero(length == window)
     if len(at):
-        owner_at = np.repeat(owner, sizes + 1)[index.order]
-        begins, which = np.unique(low, return_inverse=True)  # equal windows have one range, others disjoint ones
+        owner_at = np.append(np.repeat(owner, sizes + 1)[index.order], np.iinfo(np.int64).max)
+        begins, which = np.unique(low[at], return_inverse=True)  # equal windows have one range, others disjoint ones
         stops = np.zeros(len(begins), np.int64)
-        stops[which] = high
-        padded = np.append(owner_at, np.iinfo(np.int64).max)
-        value = np.minimum.reduceat(padded, np.stack([begins.astype(np.int64), stops], 1).ravel())[::2]
+        stops[which] = high[at]
+        value = np.minimum.reduceat(owner_at, np.stack([begins.astype(np.int64), stops], 1).ravel())[::2]
         least[at] = np.minimum(least[at], value[which])
     return least, count

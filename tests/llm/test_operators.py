@@ -263,15 +263,48 @@ def brute_windows(texts, window):
     return out
 
 
-@pytest.mark.parametrize(("window", "hot"), [(13, 50_000), (13, 1), (20, 50_000)])
+@pytest.mark.parametrize(("window", "hot"), [(13, 50_000), (13, 1), (20, 50_000), (1, 50_000), (2, 1)])
 def test_substrings(docs, empty, window, hot):
     odd = docs.withColumnsRenamed({"lang": "doc", "source": "key"}).withColumn("gone", F.lit(1))
-    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in substrings.dedup(odd, window, hot_runs=hot).collect()}
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in substrings.dedup(odd, window, hot_docs=hot).collect()}
     assert got == brute_windows(plain(docs), window)
     assert substrings.dedup(docs, window, most_broadcast_bytes=0).count() == len(got)
     assert substrings.dedup(empty, window).count() == 0
 
 
+@pytest.mark.parametrize("hot", [2, 20_000])
+def test_substrings_of_shared_passages(spark, hot):
+    r = np.random.default_rng(11)
+    passages = [[f"p{j}x{k}" if r.random() < 0.5 else WORDS[k % len(WORDS)] for k in range(int(n))] for j, n in enumerate(r.integers(12, 60, 8))]
+    texts = {}
+    for i in range(70):
+        w = []
+        for _ in range(int(r.integers(0, 6))):
+            p = passages[int(r.integers(0, len(passages)))]
+            a, b = sorted(r.integers(0, len(p) + 1, 2).tolist())
+            w += p[a:b] + [WORDS[x] for x in r.integers(0, len(WORDS), int(r.integers(0, 5)))]
+        texts[i] = " ".join(w)
+    texts |= {200 + i: texts[i] for i in range(0, 70, 3)} | {300 + i: texts[1] + f" end {i}" for i in range(30)}
+    rows = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string").repartition(7)
+    got = {x.doc_id: (x.n_words, x.n_removed, x.kept_text) for x in substrings.dedup(rows, 13, hot_docs=hot).collect()}
+    assert got == brute_windows(texts, 13)
+
+
+def test_substrings_of_odd_rows(spark):
+    """Equal rows, equal doc_ids with other texts, null doc_ids, and one very long text."""
+    long = " ".join(WORDS[i] for i in np.random.default_rng(1).integers(0, len(WORDS), 1_300_000))
+    a, b = text(501, 40), text(502, 40)
+    rows = spark.createDataFrame([(5, long), (5, long), (7, a), (7, b), (8, a + " " + b), (None, a), (None, a), (9, None), (None, None), (10, long[:400])], "doc_id long, text string")
+    got = sorted(((x.doc_id is None, x.doc_id), x.n_words, x.n_removed) for x in substrings.dedup(rows, 13).collect())
+    n = lambda t: len(t.split())
+    assert got[:2] == [((False, 5), 1_300_000, 0)] * 2
+    assert got[2:4] == sorted([((False, 7), n(a), 0), ((False, 7), n(b), 0)])
+    assert got[4][0] == (False, 8) and got[4][1] - got[4][2] == 0
+    assert got[5] == ((False, 9), 0, 0)
+    assert got[6][0] == (False, 10) and got[6][2] >= n(long[:400]) - 1
+    assert got[7:] == [((True, None), 0, 0), ((True, None), n(a), n(a)), ((True, None), n(a), n(a))]
+
+
 def test_fm_index():
     r = np.random.default_rng(2)
     runs = [r.integers(1, 4, n) for n in (5, 6, 9, 5, 7, 5, 8) * 4]
