@@ -8,7 +8,9 @@ differ. Where peeling gets stuck, both texts are put into tables of twice the si
 
 Likeness is the Dice coefficient of the digest sets, from their sizes and the recovered difference.
 Null texts are empty; two texts without words have likeness 1. Equal doc_ids stand in order of text,
-null doc_ids come first, and the last document's next is the first (itself, if it is alone).
+null doc_ids come first, and the last document's next is the first (itself, if it is alone). Rows of
+one doc_id stand in one task. Texts of any length are taken whole; an empty table gives no rows. The
+result has the named columns alone; other columns of docs, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from locusframe.llm.minhash import K1, K2, mix
-from locusframe.llm.shared import bounded_batches, cut_points, range_of, ranges_for
+from locusframe.llm.shared import bounded_batches, cut_points, is_cut, range_of, ranges_for
 from locusframe.llm.wordcache import strings
 
 BASE = 8  # cells in each row of a stored fingerprint
@@ -111,13 +113,13 @@ class Tables:
         empty = ~((self.count != 0) | (self.keys != 0)).reshape(self.n, -1).any(1)
         return plus, minus, empty
 
-    def rendered(self) -> list[bytes]:
-        """Each table's cells: count (2 bytes), digest sum (8), check sum (4)."""
+    def rendered(self) -> list[str]:
+        """Each table's cells in hexadecimal digits: count (2 bytes), digest sum (8), check sum (4)."""
         cell = np.dtype([("count", "<i2"), ("keys", "<u8"), ("checks", "<u4")])
         out = np.zeros(len(self.count), cell)
         out["count"], out["keys"], out["checks"] = self.count, self.keys, self.checks >> np.uint64(32)
         step = 3 * self.size
-        return [out[i:i + step].tobytes() for i in range(0, len(out), step)]
+        return [out[i:i + step].tobytes().hex() for i in range(0, len(out), step)]
 
 
 def likeness(digest: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -143,23 +145,25 @@ def likeness(digest: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.
     return out
 
 
-def in_ranges(docs: DataFrame) -> DataFrame:
-    """Rows (part, extra, doc_id, text) in order within parts of ascending doc_id; `extra` rows hold the first document of the part behind."""
+def in_ranges(docs: DataFrame, part_bytes: int = 24_000_000) -> DataFrame:
+    """Rows (part, extra, doc_id, text) in order within parts of ascending doc_id; `extra` rows hold the first document of the part behind.
+
+    The number of parts follows the texts' size."""
     rows = bounded_batches(docs).select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
-    parts = 2 * ranges_for(docs.sparkSession)
+    low = rows.agg(F.min("doc_id").alias("low"), F.count_if(F.col("doc_id").isNull()).alias("none"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size")).head()
+    parts = max(2 * ranges_for(docs.sparkSession), -(-low["size"] // part_bytes))
     cuts = cut_points(rows, "doc_id", parts - 1)
-    low = rows.agg(F.min("doc_id").alias("low"), F.count_if(F.col("doc_id").isNull()).alias("none")).head()
     own = rows.withColumn("part", range_of("doc_id", cuts)).withColumn("extra", F.lit(False))
     if cuts and not low["none"]:
         cuts = [c for c in cuts if c != low["low"]]
         own = own.withColumn("part", range_of("doc_id", cuts))
-    edge = own.where(F.col("doc_id").isin(cuts) if cuts else F.lit(False)).withColumn("part", F.col("part") - 1)
+    edge = own.where(is_cut("doc_id", cuts)).withColumn("part", F.col("part") - 1)
     first = own.where(F.col("doc_id").isNull() if low["none"] else F.col("doc_id") == F.lit(low["low"])).withColumn("part", F.lit(len(cuts)))
     both = own.unionByName(edge.unionByName(first).withColumn("extra", F.lit(True)))
     return both.repartition(parts, "part").sortWithinPartitions("part", "extra", "doc_id", "text")
 
 
-def fingerprints(docs: DataFrame, words: int = 8) -> DataFrame:
+def fingerprints(docs: DataFrame, words: int = 8, part_bytes: int = 24_000_000) -> DataFrame:
     """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text has the last half of the characters replaced by the first as many of the next document."""
@@ -193,7 +197,7 @@ def fingerprints(docs: DataFrame, words: int = 8) -> DataFrame:
                     yield from flush()
         yield from flush()
 
-    return in_ranges(docs).mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double")
+    return in_ranges(docs, part_bytes).mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
 def _digest(held: list[tuple[int | None, str]], words: int) -> pa.RecordBatch:
@@ -209,7 +213,7 @@ def _digest(held: list[tuple[int | None, str]], words: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array([d for d, _ in held[:k]], pa.int64()), pa.array([len(t) for t in texts[:k]], pa.int64()),
-            pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited]), pa.array(prints[:k], pa.binary()), pa.array(prints[k + 1:], pa.binary()),
+            pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited]), pa.array(prints[:k], pa.string()), pa.array(prints[k + 1:], pa.string()),
             pa.array(near[:k]), pa.array(near[k:]),
         ],
         ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -12,12 +13,14 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """A new folder's path under the cluster's shared folder (spark.checkpoint.dir).
 
-    Only where the setting is absent (tests, local mode) a local folder is set for the session.
+    Only where the setting is absent and the master is local (tests) a local folder is set for the session.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
@@ -49,14 +52,29 @@ def cut_points(df: DataFrame, col: str, n: int) -> list:
     return sorted({x for x in got or [] if x is not None})
 
 
-def range_of(col: str, cuts: list):
+def range_of(col: str, cuts: list[int]):
     """How many of the ascending `cuts` are <= the value; null counts as the smallest value.
 
-    The cuts stay a short literal array (one per range, so bounded by the number of ranges)."""
+    Cuts stand in groups, of which one is looked through, so a row takes about 2 * sqrt(len(cuts)) steps."""
     if not cuts:
         return F.lit(0)
-    n = F.size(F.filter(F.array(*[F.lit(x) for x in cuts]), lambda c: c <= F.col(col)))
-    return F.when(F.col(col).isNull(), 0).otherwise(n)
+    step = max(1, math.isqrt(len(cuts)))
+    groups = [cuts[i:i + step] for i in range(0, len(cuts), step)]
+    heads, rest = F.from_json(F.lit(str([g[0] for g in groups])), "array<bigint>"), F.from_json(F.lit(str(groups)), "array<array<bigint>>")
+    below = F.size(F.filter(heads, lambda c: c <= F.col(col)))
+    inside = F.size(F.filter(F.element_at(rest, F.greatest(below, F.lit(1))), lambda c: c <= F.col(col)))
+    return F.when(F.col(col).isNull(), 0).otherwise((F.greatest(below, F.lit(1)) - 1) * step + inside)
+
+
+def is_cut(col: str, cuts: list[int]):
+    """Whether the value is one of the ascending `cuts`."""
+    if not cuts:
+        return F.lit(False)
+    step = max(1, math.isqrt(len(cuts)))
+    groups = [cuts[i:i + step] for i in range(0, len(cuts), step)]
+    heads, rest = F.from_json(F.lit(str([g[0] for g in groups])), "array<bigint>"), F.from_json(F.lit(str(groups)), "array<array<bigint>>")
+    below = F.size(F.filter(heads, lambda c: c <= F.col(col)))
+    return (below > 0) & F.array_contains(F.element_at(rest, F.greatest(below, F.lit(1))), F.col(col))
 
 
 def ranges_for(spark: SparkSession) -> int:

@@ -318,10 +318,11 @@ def test_fm_index():
     assert count.tolist() == [len(x) - 4 for x in runs]
 
 
-def test_fingerprints(docs, empty):
+@pytest.mark.parametrize("part_bytes", [300, 24_000_000])
+def test_fingerprints(docs, empty, part_bytes):
     texts = plain(docs)
     ids = sorted(texts)
-    got = {r.doc_id: r for r in iblt.fingerprints(docs).collect()}
+    got = {r.doc_id: r for r in iblt.fingerprints(docs.withColumn("part", F.lit("x")).withColumn("extra", F.lit(1)), part_bytes=part_bytes).collect()}
 
     def units(t):
         return {" ".join(w[k:k + 8]) for line in t.split("\n") for w in [line.split()] for k in range(0, len(w), 8)}
@@ -336,6 +337,7 @@ def test_fingerprints(docs, empty):
         assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(e.encode()).hexdigest())
         assert r.near_edited == pytest.approx(like(units(t), units(e)))
         assert r.near_next == pytest.approx(like(units(t), units(u)))
+    assert isinstance(got[22].fingerprint, str) and isinstance(got[22].edited_fingerprint, str)
     assert got[22].fingerprint == got[23].fingerprint == got[1].fingerprint
     assert iblt.fingerprints(empty).count() == 0
 
@@ -346,6 +348,17 @@ def test_fingerprints_with_ties(spark):
     assert sorted((r.doc_id is not None, r.doc_id or 0, r.n_chars) for r in got) == [(False, 0, 1), (True, 3, 1), (True, 3, 1), (True, 7, 1), (True, 7, 1)]
 
 
+def test_ranges(spark):
+    from locusframe.llm.shared import is_cut, range_of
+
+    cuts = [-5, 0, 3, 10, 11, 40, 41, 42, 100, 1000]
+    values = [None, -9, -5, -1, 0, 2, 3, 9, 10, 11, 39, 40, 42, 43, 999, 1000, 5000]
+    rows = spark.createDataFrame([(v,) for v in values], "v long").select("v", range_of("v", cuts).alias("r"), is_cut("v", cuts).alias("c")).collect()
+    for row in rows:
+        assert row.r == (0 if row.v is None else sum(c <= row.v for c in cuts))
+        assert bool(row.c) == (row.v in cuts)
+
+
 def brute_vectors(rows, threshold):
     good = {i: np.array(v, float) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)}
     unit = {i: v / np.linalg.norm(v) for i, v in good.items()}
