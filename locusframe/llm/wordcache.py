@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Sequence
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +22,9 @@ TAIL = ".,*%$#&!?;:"
 #: Letters that stay one letter when normalised and lower-cased (others may end in a combining mark, which takes marks behind it along).
 PLAIN = r"[A-Za-zÀ-ÖØ-öø-ÿ]$"
 
+#: Words that begin and end with what is surely no white space under any Unicode version.
+ENDS = r"(?s)^[\x21-\x7e\p{L}](.*[\x21-\x7e\p{L}])?$"
+
 
 def visible(c: str) -> bool:
     """Surely no white space under any Unicode version."""
@@ -54,14 +57,16 @@ class ChunkEncoder:
     def _entries(self, parts: list[str]) -> np.ndarray:
         """The entry of each part; new ones are encoded."""
         have = self.entry
-        if new := list(dict.fromkeys(p for p in parts if p not in have)):
+        at = np.fromiter(map(have.get, parts, repeat(-1)), np.int64, len(parts))
+        if len(missing := np.flatnonzero(at < 0)):
+            new = list(dict.fromkeys([parts[i] for i in missing.tolist()]))
             flat, lens = self.encode_many(new)
             have.update(zip(new, range(len(self.first), len(self.first) + len(new)), strict=True))
             self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(lens) - lens])
             self.size = np.concatenate([self.size, lens])
             self.hits = np.concatenate([self.hits, np.zeros(len(new), np.int64)])
             self.flat = np.concatenate([self.flat, flat])
-        at = np.fromiter(map(have.__getitem__, parts), np.int64, len(parts))
+            at[missing] = [have[parts[i]] for i in missing.tolist()]
         self.hits[at] += 1  # once for all mentions in a call
         return at
 
@@ -75,11 +80,9 @@ class ChunkEncoder:
                 out[-1] += " " * bool(i) + w
         return out
 
-    def _runs(self, parts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """For parts given as parallel lists: all ids row by row, and the number of each row."""
-        entry = np.stack([self._entries(p) for p in parts], 1)
-        lens = self.size[entry]
-        return gather(self.flat, self.first[entry.ravel()], lens.ravel()), lens.sum(1)
+    def _chunk_ids(self, parts: list[str]) -> np.ndarray:
+        at = self._entries(parts)
+        return gather(self.flat, self.first[at], self.size[at])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids of each text (null: none)."""
@@ -98,30 +101,41 @@ class ChunkEncoder:
         code = words.indices.to_numpy()
         # every distinct word as its core and the marks that trail a letter
         core = pc.utf8_rtrim(words.dictionary, TAIL)
-        cores = strings(pc.if_else(pc.match_substring_regex(core, PLAIN), core, words.dictionary))
-        names = strings(words.dictionary)
-        tails = [w[len(c):] for w, c in zip(names, cores, strict=True)]
+        core = pc.if_else(pc.match_substring_regex(core, PLAIN), core, words.dictionary)
+        trailed = np.flatnonzero(pc.not_equal(core, words.dictionary).to_numpy(zero_copy_only=False))
+        named = strings(words.dictionary.take(pa.array(trailed)))
+        cut = pc.utf8_length(core.take(pa.array(trailed))).to_numpy(zero_copy_only=False).tolist()
+        tail = np.zeros(len(core), np.int64)
+        tail[trailed] = self._entries([w[k:] for w, k in zip(named, cut, strict=True)])
         bad = np.zeros(len(texts), bool)
         if not self.spaced:
-            flat, lens = self._runs([cores, tails])
-            row = code
+            entry, row = self._entries(strings(core)), code
         else:
-            line = names.index("\n") if "\n" in names else -1
-            odd = [i for i, w in enumerate(names) if i != line and not (w and visible(w[0]) and visible(w[-1]))]
+            line = pc.index(words.dictionary, "\n").as_py()
+            fine = pc.match_substring_regex(words.dictionary, ENDS).to_numpy(zero_copy_only=False)
+            if line >= 0:
+                fine[line] = True
             ends = np.flatnonzero(code == line)
             first = np.zeros(len(code) + 1, bool)
             first[begin] = True
             bare = np.unique(np.concatenate([begin, ends, (ends + 1)[~first[ends + 1]]]).clip(0, len(code) - 1))
-            wrong = np.concatenate([np.flatnonzero(np.isin(code, odd)) if odd else bare[:0], ends[first[ends] | first[ends + 1] | (ends + 1 == len(code))], ends[:-1][np.diff(ends) == 1]])
+            odd = np.flatnonzero(~fine[code]) if not fine.all() else bare[:0]
+            wrong = np.concatenate([odd, ends[first[ends] | first[ends + 1] | (ends + 1 == len(code))], ends[:-1][np.diff(ends) == 1]])
             bad[np.searchsorted(begin, wrong, "right") - 1] = True
-            used = np.bincount(code, minlength=len(names))
-            used -= np.bincount(code[bare], minlength=len(names))
+            used = np.bincount(code, minlength=len(core))
+            used -= np.bincount(code[bare], minlength=len(core))
             mid, (low, low_row) = np.flatnonzero(used), np.unique(code[bare], return_inverse=True)
-            row = np.zeros(len(names), np.int64)
+            row = np.zeros(len(core), np.int64)
             row[mid] = np.arange(len(mid))
             row = row[code]
             row[bare] = len(mid) + low_row
-            flat, lens = self._runs([[" " + cores[i] for i in mid.tolist()] + [cores[i] for i in low.tolist()], [tails[i] for i in mid.tolist()] + [tails[i] for i in low.tolist()]])
+            spaced = pc.binary_join_element_wise("", core.take(pa.array(mid)).cast(pa.string()), " ")
+            entry = self._entries(strings(spaced) + strings(core.take(pa.array(low))))
+            tail = np.concatenate([tail[mid], tail[low]])
+        # the ids of every distinct word, then those of all words
+        both = np.stack([entry, tail], 1)
+        lens = self.size[both]
+        flat, lens = gather(self.flat, self.first[both.ravel()], lens.ravel()), lens.sum(1)
         firsts = np.cumsum(lens) - lens
         if not bad.any():
             sizes = lens[row]
@@ -130,7 +144,7 @@ class ChunkEncoder:
         ids, total = [], np.zeros(len(texts), np.int64)  # a few texts are cut one by one
         for i in range(len(texts)):
             if bad[i]:
-                x, _ = self._runs([self._chunks(texts[i].as_py())])
+                x = self._chunk_ids(self._chunks(texts[i].as_py()))
             else:
                 r = row[begin[i]:begin[i] + per_text[i]]
                 x = gather(flat, firsts[r], lens[r])
@@ -138,7 +152,6 @@ class ChunkEncoder:
             total[i] = len(x)
         return np.concatenate(ids), total
 
-
     def _with_special(self, texts: pa.Array, special: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """encode(), with the special texts encoded whole."""
         plain, n = self.encode(texts.filter(pa.array(~special)))
