@@ -7,12 +7,15 @@ bytes, so texts are compressed in blocks of `BLOCK` bytes, each from the diction
 are summed: the margin doesn't shrink with a text's length.
 
 Fitting takes, for each language, the `docs_per_lang` labelled documents with the smallest hash of
-their id, at most `chars_per_doc` characters of each and `dictionary_bytes` in all: a bound that
+their id among those of at most `longest_bytes` of text: a bounded number of rows, whole texts, which
 doesn't grow with the corpus. Prediction reads whole texts and nothing else.
 
 Null texts and texts without a letter are `und` with score 0. Ties go to the first language in
 alphabetical order. With one learned language every text with a letter gets it, with score 1;
-with none, every text is `und`. Rows with equal or null keys are predicted one by one.
+with none, every text is `und`. Rows with equal or null keys are predicted one by one; equal rows are
+learned once, rows without a doc_id never. Texts of any length are compressed whole, block by block. An
+empty table gives no rows. Columns of docs named lang_pred, score, margin, rejected or _text are
+replaced by the results; others, whatever their names, stay.
 """
 
 from __future__ import annotations
@@ -32,23 +35,26 @@ from locusframe.llm.shared import bounded_batches
 BLOCK = 16_384
 
 
-def fit(labelled: DataFrame, docs_per_lang: int = 160, chars_per_doc: int = 1000, dictionary_bytes: int = 131_072, level: int = 6) -> dict[str, bytes]:
+def fit(labelled: DataFrame, docs_per_lang: int = 64, longest_bytes: int = 20_000, level: int = 6) -> dict[str, bytes]:
     """Raw dictionaries by language, from doc_id, text and lang.
 
-    A sampled text goes into its language's dictionary only if dictionaries of the sample's other
-    half give it the same language, so that wrong labels don't spread."""
-    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = rows.select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= docs_per_lang).select("doc_id", "lang", "rank")
-    # a sample of docs_per_lang ids a language is small enough to send to every task
-    sample = rows.join(F.broadcast(ids), ["doc_id", "lang"]).select("lang", "rank", F.substring("text", 1, chars_per_doc).alias("text")).collect()
+    At most docs_per_lang rows of a language, of at most longest_bytes each, come to the driver. A sampled
+    text goes into its language's dictionary only if dictionaries of the sample's other half give it the
+    same language, so that wrong labels don't spread."""
+    size = F.octet_length("text")
+    rows = labelled.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (size > 0) & (size <= longest_bytes)).select("doc_id", "lang", "text").withColumn("_hash", F.xxhash64("text"))
+    key = ["doc_id", "lang", "_hash"]
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "_hash")
+    ids = rows.select(key).distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= docs_per_lang)
+    # docs_per_lang keys a language are few enough to send to every task; repeated rows are one again before they leave
+    sample = rows.join(F.broadcast(ids), key).dropDuplicates(key).select("lang", "rank", "text").collect()
     halves: list[dict[str, dict[str, None]]] = [{}, {}]
-    sample.sort(key=lambda r: (r["lang"], r["rank"], r["text"]))
+    sample.sort(key=lambda r: (r["lang"], r["rank"]))
     for r, text in zip(sample, letters(pa.array([r["text"] for r in sample], pa.string())).to_pylist(), strict=True):
         halves[zlib.crc32(text.encode()) % 2].setdefault(r["lang"], {})[text] = None
 
     def joined(texts) -> bytes:
-        return "\n".join(texts).encode()[:dictionary_bytes]
+        return "\n".join(texts).encode()
 
     def raw(half: dict) -> dict[str, bytes]:
         return {k: v for k, x in sorted(half.items()) if len(v := joined(x)) >= 8}

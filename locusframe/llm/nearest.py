@@ -13,16 +13,19 @@ A list with `k` entries over the threshold is saturated. The lists of its compon
 the whole component, which is compared block by block, so that counts are complete without a row
 per pair. An audit then compares a bounded sample of queries with all vectors. Recall is taken per
 node that has links, and again among nodes with about as many links, so that a large group can't
-hide what is missed elsewhere. While one of these is below `least_recall`, the search goes on with
-twice as many new codes; after `attempts` it fails.
+hide what is missed elsewhere; where links are too rare for a sample, the two halves of the orders are
+held against each other. While one of these is below `least_recall`, the search goes on with twice as
+many new codes; after `attempts` it fails. The recall of every attempt is logged.
 
 Vectors that are null, zero, or hold null or non-finite components link with nothing, as do vectors
 of different lengths. Rows with equal vec_ids are vectors of their own; a null vec_id is never a
-component's smallest. Cosines are taken in double precision.
+component's smallest. Cosines are taken in double precision. An empty table gives no rows. The result has
+the named columns alone; other columns of vectors, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Iterator
 
@@ -34,6 +37,7 @@ from pyspark.sql import functions as F
 from locusframe.llm.components import components
 from locusframe.llm.shared import ranges_for, stored
 
+log = logging.getLogger(__name__)
 EDGE = "a long, b long, sim double"
 
 
@@ -55,7 +59,7 @@ def orders(nodes: int, threshold: float, reach: int, most_missed: float = 0.003)
 
 
 def _neighbours_by_code(nodes: DataFrame, dim: int, trees: int, bits: int, seed: int, reach: int, floor: float) -> DataFrame:
-    """Edges between nodes that stand close in one of the orders by random codes."""
+    """Edges between nodes that stand close in one of the orders by random codes; half says in which half of the orders (1, 2)."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes = np.random.default_rng(seed).normal(size=(trees, dim, bits + 1))
@@ -77,13 +81,13 @@ def _neighbours_by_code(nodes: DataFrame, dim: int, trees: int, bits: int, seed:
                 x, y = slice(begin, len(node) - o), slice(begin + o, len(node))
                 sim = (m[x] * m[y]).sum(1)
                 keep = (sim >= floor) & (tree[x] == tree[y])
-                yield pa.RecordBatch.from_arrays([pa.array(node[x][keep]), pa.array(node[y][keep]), pa.array(sim[keep])], ["a", "b", "sim"])
+                yield pa.RecordBatch.from_arrays([pa.array(node[x][keep]), pa.array(node[y][keep]), pa.array(sim[keep]), pa.array(1 + tree[x][keep] % 2)], ["a", "b", "sim", "half"])
             tree, node, m = tree[-reach:], node[-reach:], m[-reach:]
 
     coded = nodes.select("node", "vec").mapInArrow(code, "tree int, key long, node long, vec array<double>")
     parts = ranges_for(nodes.sparkSession)
     ordered = coded.repartitionByRange(parts, "tree", "key", "node").sortWithinPartitions("tree", "key", "node")
-    return ordered.mapInArrow(near, EDGE)
+    return ordered.mapInArrow(near, EDGE + ", half int")
 
 
 def _nearest(edges: DataFrame, k: int) -> DataFrame:
@@ -126,8 +130,13 @@ def _around(lists: DataFrame, nodes: DataFrame, dim: int, k: int, floor: float)
 
 
 def _within(members: DataFrame, dim: int, threshold: float, block: int) -> DataFrame:
-    """members: component, node, vec, copies. The linked copies of each node (itself left out), over its whole component."""
-    size = members.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    """members: component, node, vec, copies. The linked copies of each node (itself left out), over its whole component.
+
+    A component of up to `block` nodes is one block. A larger one has 64 blocks of that size at least, or
+    blocks of up to 32 MB of vectors: a vector is sent once for each block, and pairs are counted where blocks meet."""
+    most = max(block, (32 << 20) // (8 * dim))
+    size = members.groupBy("component").agg(F.count("*").alias("_n"))
+    size = size.withColumn("blocks", F.ceil(F.col("_n") / F.least(F.greatest(F.lit(block), F.ceil(F.col("_n") / 64)), F.lit(most))).cast("int")).drop("_n")
     dealt = members.join(size, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     pairs = dealt.withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumns({"low": F.least("own", "with"), "high": F.greatest("own", "with")})
 
@@ -135,22 +144,41 @@ def _within(members: DataFrame, dim: int, threshold: float, block: int) -> DataF
         own, low, high = group["own"].to_numpy(), group["low"][0].as_py(), group["high"][0].as_py()
         node, copies, m = group["node"].to_numpy(), group["copies"].to_numpy(), matrix(group["vec"].combine_chunks(), dim)
         x, y = np.flatnonzero(own == low), np.flatnonzero(own == high)
-        linked = m[x] @ m[y].T >= threshold
-        linked &= node[x][:, None] != node[y]
+        of_x, of_y = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
+        for i in range(0, len(x), 512):
+            some = x[i:i + 512]
+            for k in range(0, len(y), 4096):
+                rest = y[k:k + 4096]
+                linked = m[some] @ m[rest].T >= threshold
+                linked &= node[some][:, None] != node[rest]
+                of_x[i:i + 512] += linked @ copies[rest]
+                if low != high:
+                    of_y[k:k + 4096] += copies[some] @ linked
         if low == high:
-            return pa.table({"node": pa.array(node[x]), "linked": pa.array((linked * copies[y]).sum(1))})
-        return pa.table({"node": pa.array(np.concatenate([node[x], node[y]])), "linked": pa.array(np.concatenate([(linked * copies[y]).sum(1), (linked.T * copies[x]).sum(1)]))})
+            return pa.table({"node": pa.array(node[x]), "linked": pa.array(of_x)})
+        return pa.table({"node": pa.array(np.concatenate([node[x], node[y]])), "linked": pa.array(np.concatenate([of_x, of_y]))})
 
     # a block meets its own rows once there, and another block's rows once
     some = pairs.select("component", "low", "high", "own", "node", "copies", "vec")
     return some.groupBy("component", "low", "high").applyInArrow(count, "node long, linked long").groupBy("node").agg(F.sum("linked").alias("linked"))
 
 
-def _audit(nodes: DataFrame, linked: DataFrame, dim: int, threshold: float, queries: int, enough: int = 64) -> float:
+def _recaptured(seen: DataFrame, threshold: float, enough: int) -> float:
+    """Recall of links between nodes with at most two, from how many of those that one half of the orders found the other found too
+    (1 if fewer than `enough` / 2 were found: then nothing can be said from the search itself)."""
+    links = seen.where(F.col("sim") >= threshold).select("a", "b", "half")
+    few = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").count().where(F.col("count") <= 2).select("node")
+    rare = links.join(few.withColumnRenamed("node", "a"), "a", "left_semi").join(few.withColumnRenamed("node", "b"), "b", "left_semi")
+    row = rare.agg(F.count_if(F.col("half") == 3).alias("both"), F.count_if(F.col("half") >= 2).alias("second")).head()
+    return 1 - (1 - row["both"] / row["second"]) ** 2 if row["second"] >= enough / 2 else 1.0
+
+
+def _audit(nodes: DataFrame, linked: DataFrame, seen: DataFrame, dim: int, threshold: float, queries: int, enough: int = 64) -> float:
     """The least recall of a bounded sample of nodes (smallest hashes): over links, per node, and per node
     among those with 1, 2 to 3, 4 to 7, ... links if at least `enough` / 2 were sampled.
 
-    If fewer than `enough` of the sample have links, 16 times as many are sampled."""
+    If fewer than `enough` of the sample have links, 16 times as many are sampled. Where that doesn't show enough either,
+    links are rare, and those between nodes with few links are also judged by how often two searches meet (_recaptured)."""
     for n in (queries, 16 * queries):
         sample = nodes.orderBy(F.xxhash64("node")).limit(n).select("node", "vec").collect()
         if not sample:
@@ -160,13 +188,14 @@ def _audit(nodes: DataFrame, linked: DataFrame, dim: int, threshold: float, quer
         rows = have.where("n > 0").join(linked, "node", "left").select("n", F.coalesce("linked", F.lit(0))).collect()
         if len(rows) >= enough or len(sample) < n:
             break
+    rare = _recaptured(seen, threshold, enough) if len(rows) < enough and len(sample) == n else 1.0
     if not rows:
-        return 1.0
+        return rare
     n, found = np.array(rows, np.float64).T
     share = np.minimum(n, found) / n
     size = np.floor(np.log2(n))
     groups = [share[size == x] for x in np.unique(size)]
-    return float(min([np.minimum(n, found).sum() / n.sum(), share.mean(), *(g.mean() for g in groups if 2 * len(g) >= enough)]))
+    return float(min([rare, np.minimum(n, found).sum() / n.sum(), share.mean(), *(g.mean() for g in groups if 2 * len(g) >= enough)]))
 
 
 def _links_of(ids: list[int], q: np.ndarray, nodes: DataFrame, dim: int, threshold: float) -> DataFrame:
@@ -194,8 +223,9 @@ def _search(nodes: DataFrame, dim: int, threshold: float, k: int, trees: int, re
     found = None
     for attempt in range(attempts):
         seen = _neighbours_by_code(nodes, dim, trees << attempt, bits, 1000 + attempt, reach, floor)
-        seen = seen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sim").dropDuplicates(["a", "b"])
-        found = stored(seen if found is None else found.union(seen).dropDuplicates(["a", "b"]))
+        seen = stored(seen.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("sim").alias("sim"), F.bit_or("half").alias("half")))
+        fresh = seen.select("a", "b", "sim")
+        found = fresh if found is None else stored(found.union(fresh).dropDuplicates(["a", "b"]))
         before = found.count()
         for _ in range(rounds):
             lists = stored(_nearest(found, k))
@@ -213,13 +243,14 @@ def _search(nodes: DataFrame, dim: int, threshold: float, k: int, trees: int, re
         rest = both.join(label.join(full, "component", "left_anti").select("node"), "node", "left_semi")
         counted = rest.join(nodes.select(F.col("node").alias("other"), "copies"), "other").groupBy("node").agg(F.sum("copies").alias("linked"))
         linked = stored(_within(enlarged, dim, threshold, block).union(counted))
-        recall = _audit(nodes, linked, dim, threshold, queries)
+        recall = _audit(nodes, linked, seen, dim, threshold, queries)
+        log.info("%d vectors of %d dimensions, attempt %d: recall %.4f", size, dim, attempt + 1, recall)
         if recall >= least_recall:
             return linked, label
     raise RuntimeError(f"{size} vectors of {dim} dimensions: recall {recall:.3f} after {attempts} attempts, {least_recall} needed")
 
 
-def link(vectors: DataFrame, threshold: float = 0.9, k: int = 16, trees: int = 16, reach: int = 8, rounds: int = 4, block: int = 512, least_recall: float = 0.97, queries: int = 512, attempts: int = 3) -> DataFrame:
+def link(vectors: DataFrame, threshold: float = 0.9, k: int = 16, trees: int = 16, reach: int = 8, rounds: int = 4, block: int = 4096, least_recall: float = 0.97, queries: int = 512, attempts: int = 3) -> DataFrame:
     """Per vector: vec_id, n_links, component_id, kept."""
     rows = vectors.select(vectors["vec_id"].cast("long").alias("vec_id"), vectors["embedding"].cast("array<double>").alias("vec"))
     real = "vec is not null and size(vec) > 0 and not exists(vec, x -> x is null or isnan(x) or abs(x) = double('inf')) and exists(vec, x -> x <> 0)"

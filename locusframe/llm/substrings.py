@@ -372,7 +372,9 @@ def dedup(docs: DataFrame, window: int = 13, hot_docs: int = 20_000, most_broadc
     flags = stored(_flags(answered).groupBy("doc", "key", "more").agg(F.first("places").alias("places"), F.first("hot").alias("hot")))
     # texts that an earlier document has whole need no search
     first = flags.groupBy("key", "more").agg(F.min("doc").alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "more", "first")
-    copies = stored(flags.select("doc", "key", "more").join(first, ["key", "more"]).where("first < doc").select("doc", "key"))
+    first = stored(first)
+    few = first.count() * 64 <= most_broadcast_bytes
+    copies = stored(flags.select("doc", "key", "more").join(F.broadcast(first) if few else first, ["key", "more"]).where("first < doc").select("doc", "key"))
     wanted = flags.where(F.octet_length("places") > 0).drop("more").join(copies, ["doc", "key"], "left_anti")
     cut = _segments(_joined(rows, wanted, ["places", "hot"], most_broadcast_bytes).where("places is not null"), window, shards)
     found = _intervals(_searched(cut.repartition(shards, "shard"), window), window)

@@ -405,9 +405,37 @@ def test_audit_sees_beside_a_hot_group(spark):
     v = np.eye(128)[[127] * 300 + [i for i in range(60) for _ in range(2)]]
     nodes = spark.createDataFrame([(i, x, 1) for i, x in enumerate(v.tolist())], "node long, vec array<double>, copies long")
     linked = spark.createDataFrame([(i, 299) for i in range(300)], "node long, linked long")
-    assert nearest._audit(nodes, linked, 128, 0.9, 512) < 0.5
+    seen = spark.createDataFrame([], "a long, b long, sim double, half int")
+    assert nearest._audit(nodes, linked, seen, 128, 0.9, 512) < 0.5
     whole = linked.union(spark.createDataFrame([(300 + i, 1) for i in range(120)], "node long, linked long"))
-    assert nearest._audit(nodes, whole, 128, 0.9, 512) == 1
+    assert nearest._audit(nodes, whole, seen, 128, 0.9, 512) == 1
+
+
+def test_recapture_of_rare_links(spark):
+    """Of 80 lone pairs the second half saw 60, of which the first saw 30; a crowd's links don't count."""
+    lone = [(2 * i, 2 * i + 1, 0.95, 3 if i < 30 else 2 if i < 60 else 1) for i in range(80)]
+    crowd = [(1000 + i, 1000 + j, 0.99, 1 + (i + j) % 2) for i in range(30) for j in range(i)]
+    seen = spark.createDataFrame(lone + crowd, "a long, b long, sim double, half int")
+    assert nearest._recaptured(seen, 0.9, 64) == pytest.approx(0.75)
+    assert nearest._recaptured(seen.where("a < 0"), 0.9, 64) == 1
+
+
+@pytest.mark.parametrize("block", [16, 4096])
+def test_counts_within_a_component(spark, block):
+    r = np.random.default_rng(9)
+    v = r.normal(size=(150, 8)) + np.array([3.0] + [0.0] * 7)
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    copies = r.integers(1, 4, 150)
+    rows = spark.createDataFrame([(i % 2, i, v[i].tolist(), int(copies[i])) for i in range(150)], "component long, node long, vec array<double>, copies long")
+    near = (u @ u.T >= 0.9) & ~np.eye(150, dtype=bool) & (np.arange(150)[:, None] % 2 == np.arange(150) % 2)
+    assert {x.node: x.linked for x in nearest._within(rows, 8, 0.9, block).collect()} == dict(enumerate((near * copies).sum(1).tolist()))
+
+
+def test_fit_with_repeated_rows(spark):
+    """Equal rows are learned once, whole; rows without an id or over the length are not learned."""
+    rows = [(1, "en", "the cat and the hat")] * 3000 + [(2, "en", "xx " * 9000), (None, "en", "no id here"), (3, "de", "der hut und die katze"), (4, None, "unknown")]
+    learned = langid.fit(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    assert {k: v.decode() for k, v in learned.items()} == {"en": "the cat and the hat", "de": "der hut und die katze"}
 
 
 def test_languages(spark, docs, empty):
