@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from itertools import product
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: IUPAC letters and their complements.
 IUPAC, COMPLEMENT = "ACGTURYSWKMBDHVNacgturyswkmbdhvn", "TGCAAYRSWMKVHDBNtgcaayrswmkvhdbn"
+_PAIRED = str.maketrans(IUPAC, COMPLEMENT)
 #: Fixed value: the universal code, codons in TCAG order.
 UNIVERSAL = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
 #: Codons in which other codes differ from the universal one.
@@ -38,14 +41,38 @@ def codon_table(code: str = "universal") -> dict[str, str]:
     return table | CODES[code]
 
 
+def _residues(code: str) -> np.ndarray:
+    """Amino acids (as bytes) by codon number: first * 25 + second * 5 + third of T, C, A, G and other letters."""
+    out = np.full(125, ord("X"), np.uint8)
+    for codon, residue in codon_table(code).items():
+        a, b, c = ("TCAG".index(x) for x in codon)
+        out[a * 25 + b * 5 + c] = ord(residue)
+    return out
+
+
+#: The number of each letter: T and U 0, C 1, A 2, G 3, all others 4.
+_NUMBER = np.full(256, 4, np.int16)
+for _letters, _n in (("TtUu", 0), ("Cc", 1), ("Aa", 2), ("Gg", 3)):
+    _NUMBER[[ord(x) for x in _letters]] = _n
+
+
+def _translated(seq: str, offset: int, residues: np.ndarray) -> np.ndarray:
+    """The residues of the whole codons behind an offset."""
+    x = _NUMBER[np.frombuffer(seq.encode("ascii", "replace"), np.uint8)[offset:]]
+    n = len(x) // 3
+    x = x[:3 * n].reshape(n, 3)
+    return residues[x[:, 0] * 25 + x[:, 1] * 5 + x[:, 2]]
+
+
 def translate(seq: Column, offset: int | Column = 0, code: str = "universal") -> Column:
-    """Amino acids from an offset; U reads as T, codons with other letters are X."""
-    table = F.create_map(*[F.lit(x) for kv in sorted(codon_table(code).items()) for x in kv])
-    s = F.translate(F.upper(seq), "U", "T")
-    at = F.lit(offset + 1) if isinstance(offset, int) else offset + 1
-    # cut into codons in one go: a substring per codon would walk the text anew each time
-    codons = F.regexp_extract_all(F.substring(s, at, F.length(s)), F.lit("(...)"), 1)
-    return F.array_join(F.transform(codons, lambda c: F.coalesce(F.try_element_at(table, c), F.lit("X"))), "")
+    """Amino acids from an offset; U reads as T, codons with other letters are X. Null stays null."""
+    residues = _residues(code)
+
+    @F.pandas_udf("string")
+    def run(seqs: pd.Series, offsets: pd.Series) -> pd.Series:
+        return pd.Series([None if s is None else _translated(s, o, residues).tobytes().decode() for s, o in zip(seqs, offsets, strict=True)], dtype=object)
+
+    return run(seq, F.lit(offset) if isinstance(offset, int) else offset)
 
 
 def splice_code(donor: Column, acceptor: Column) -> Column:
@@ -58,17 +85,43 @@ def splice_code(donor: Column, acceptor: Column) -> Column:
     return F.when(donor.isNull() | acceptor.isNull(), None).otherwise(out.otherwise("0"))
 
 
-def longest_orf(seq: Column, code: str = "universal") -> Column:
-    """The longest run without a stop over three frames, as struct<peptide, offset>; ties go to the first."""
-    frames = []
-    for f in range(3):
-        p = translate(seq, f, code)
-        runs = F.split(p, r"\*", -1)
-        best = F.array_max(F.transform(runs, lambda r, i: F.struct(F.length(r).alias("n"), (-i).alias("k"), r.alias("peptide"))))
-        before = F.aggregate(F.slice(runs, 1, F.greatest(-best["k"], F.lit(0))), F.lit(0), lambda a, r: a + F.length(r) + 1)
-        frames.append(F.struct(best["n"].alias("n"), (-(before * 3 + f)).alias("back"), best["peptide"].alias("peptide")))
-    top = F.array_max(F.array(*frames))
-    return F.struct(top["peptide"].alias("peptide"), (-top["back"]).cast("int").alias("offset"))
+def longest_orf(seq: Column, code: str = "universal", start: str = "", with_stop: bool = False, both_strands: bool = False) -> Column:
+    """The longest run of residues without a stop, as struct<peptide, offset, strand>; ties go to the first.
+
+    start: only runs from this residue on count (M). with_stop: a stop that closes the run is added. both_strands:
+    the reverse complement is looked through as well, with offsets on it and the plus strand first among equals. A
+    sequence without any run has an empty peptide, null stays null."""
+    residues = _residues(code)
+
+    def best(text: str) -> tuple[int, int, str]:
+        found = (0, 0, "")
+        for frame in range(3):
+            p = _translated(text, frame, residues)
+            stops = np.flatnonzero(p == ord("*"))
+            begin, end = np.concatenate([[0], stops + 1]), np.concatenate([stops, [len(p)]])
+            if start:
+                at = np.concatenate([np.flatnonzero(p == ord(start)), [len(p)]])
+                begin = at[np.searchsorted(at, begin)]
+            n = end - begin
+            k = int(n.argmax())
+            # the longest, then the smallest offset
+            if n[k] > 0 and (-n[k], begin[k] * 3 + frame) < (-found[0], found[1] if found[0] else 0):
+                found = (int(n[k]), int(begin[k]) * 3 + frame, p[begin[k]:end[k]].tobytes().decode() + "*" * (with_stop and end[k] < len(p)))
+        return found
+
+    @F.pandas_udf("peptide string, offset int, strand int")
+    def run(seqs: pd.Series) -> pd.DataFrame:
+        rows = []
+        for s in seqs:
+            if s is None:
+                rows.append((None, None, None))
+                continue
+            plus = best(s)
+            minus = best(s.translate(_PAIRED)[::-1]) if both_strands else plus
+            rows.append((minus[2], minus[1], -1) if minus[0] > plus[0] else (plus[2], plus[1], 1))
+        return pd.DataFrame(rows, columns=["peptide", "offset", "strand"]).astype({"offset": "Int32", "strand": "Int32"})
+
+    return run(seq)
 
 
 def wrapped(seq: Column, width: int = 60) -> Column:

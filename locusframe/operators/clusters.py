@@ -20,19 +20,26 @@ def shadow_clusters(hits: DataFrame, keys: list[str], order: list[Column], depth
     return labelled.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= depth)
 
 
-def evidence_class(algorithm: Column, own: str = "final") -> Column:
-    """How far an algorithm is trusted, 0 to 5; null for unknown names. own: the source name of finished models."""
-    a = F.lower(algorithm)
-    return (
-        F.when(a.rlike("^(repeat|blastx:repeatmask$)"), 0).when(a.rlike("^(snap|augustus|fgenesh|twinscan|jigsaw)$|^pred_gff:"), 1)
-        .when(a.rlike("^(blastn|tblastx)$|^altest_gff:"), 2).when(a.rlike("^blastx$|^protein_gff:"), 3)
-        .when(a.rlike("2genome$|^est_gff:"), 4).when((a == own) | a.rlike("^model_gff:"), 5)
-    )
+#: Patterns of algorithm names (lower case) and how far each is trusted; the first that matches counts.
+TRUST = [
+    (r"^repeat", 0), (r"^blastx:repeatmask$", 0), (r"^snap$", 1), (r"^augustus$", 1), (r"^fgenesh$", 1), (r"^twinscan$", 1), (r"^jigsaw$", 1), (r"^pred_gff:", 1),
+    (r"^blastn$", 2), (r"^tblastx$", 2), (r"^altest_gff:", 2), (r"^blastx$", 3), (r"^protein_gff:", 3), (r"2genome$", 4), (r"^est_gff:", 4), (r"^model_gff:", 5),
+]
+
+
+def evidence_class(algorithm: Column, own: str) -> Column:
+    """How far an algorithm is trusted, 0 to 5; null for unknown names. own: the source name of finished models, which rank highest."""
+    name = F.lower(algorithm)
+    return F.coalesce(*[F.when(name.rlike(pattern), level) for pattern, level in TRUST], F.when(name == own.lower(), max(v for _, v in TRUST)))
 
 
 def best_score(score: Column, bits: Column, significance: Column) -> Column:
-    """Score, else bits, else 10000 - 10000 * significance (at least 0), else 0; text counts only if it's a number."""
-    number = lambda c: F.when(c.cast("string").rlike(r"^[-+]?(?:\d+(?:\.\d*)?|\.\d+)(?:e[-+]?\d+)?$"), c.cast("string").try_cast("double"))
+    """Score, else bits, else 10000 - 10000 * significance (at least 0), else 0; only finite numbers count."""
+
+    def number(c: Column) -> Column:
+        x = c.cast("string").try_cast("double")
+        return F.when(F.abs(x) < float("inf"), x)
+
     return F.coalesce(number(score), number(bits), F.greatest(10000 - 10000 * number(significance), F.lit(0.0)), F.lit(0.0))
 
 
@@ -44,7 +51,7 @@ def components_in_groups(rows: DataFrame, keys: list[str], node: str) -> DataFra
     schema = rows.select(*keys, node).schema.add("component", rows.schema[node].dataType)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, parent, active = None, {}, []
+        group, parent, end, open_node = None, {}, None, None
 
         def root(x):
             while parent.setdefault(x, x) != x:
@@ -60,13 +67,14 @@ def components_in_groups(rows: DataFrame, keys: list[str], node: str) -> DataFra
             for *key, x, s, e in zip(*(pdf[c].tolist() for c in (*keys, node, "s", "e")), strict=True):
                 if key != group:
                     flush(out)
-                    group, parent, active = key, {}, []
-                active = [(t, y) for t, y in active if t >= s]
-                for _, y in active:
-                    a, b = root(x), root(y)
+                    group, parent, end = key, {}, None
+                # what is open at s holds s, so it is one component already: the farthest end speaks for all
+                if end is not None and s <= end:
+                    a, b = root(x), root(open_node)
                     parent[max(a, b)] = min(a, b)
                 root(x)
-                active.append((e, x))
+                if end is None or e > end or s > end:
+                    end, open_node = e, x
             yield pd.DataFrame(out, columns=[*keys, node, "component"])
         last: list[tuple] = []
         flush(last)
@@ -84,17 +92,18 @@ def overlap_edges(a: DataFrame, keys: list[str], node: str) -> DataFrame:
 
 
 def jaccard_edges(edges: DataFrame, keys: list[str], least: float) -> DataFrame:
-    """The edges whose ends share enough neighbours: (common + 1) / (degrees - common - 1) >= least; at 1 degrees must agree too."""
-    both = edges.union(edges.select(*keys, F.col("y").alias("x"), F.col("x").alias("y")))
-    degree = both.groupBy(*keys, "x").agg(F.count("*").alias("d"))
-    common = (
-        edges.join(both.select(*keys, "x", F.col("y").alias("z")), [*keys, "x"])
-        .join(both.select(*keys, F.col("x").alias("y"), F.col("y").alias("z")), [*keys, "y", "z"]).groupBy(*keys, "x", "y").agg(F.count("*").alias("c"))
-    )
-    scored = edges.join(common, [*keys, "x", "y"], "left").join(degree.withColumnRenamed("d", "dx"), [*keys, "x"])
-    scored = scored.join(degree.select(*keys, F.col("x").alias("y"), F.col("d").alias("dy")), [*keys, "y"])
-    n = F.coalesce("c", F.lit(0)) + 1
-    keep = n / (F.col("dx") + F.col("dy") - n) >= least
+    """The edges whose ends share enough neighbours: (common + 1) / (degrees - common - 1) >= least; at 1 degrees must agree too.
+
+    At most the smaller degree can be common, so edges between unlike degrees go first; lists of neighbours meet only for the rest."""
+    both = edges.select(*keys, "x", "y").union(edges.select(*keys, "y", "x"))
+    around = both.groupBy(*keys, "x").agg(F.collect_list("y").alias("near"))
+    degree = around.select(*keys, "x", F.size("near").alias("d"))
+    sized = edges.join(degree.withColumnRenamed("d", "dx"), [*keys, "x"]).join(degree.select(*keys, F.col("x").alias("y"), F.col("d").alias("dy")), [*keys, "y"])
+    sized = sized.where(F.least("dx", "dy") >= F.greatest("dx", "dy") * least)
+    near = sized.join(around.withColumnRenamed("near", "nx"), [*keys, "x"]).join(around.select(*keys, F.col("x").alias("y"), F.col("near").alias("ny")), [*keys, "y"])
+    n = F.size(F.array_intersect("nx", "ny")) + 1
+    scored = near.withColumn("jaccard", n / (F.col("dx") + F.col("dy") - n))
+    keep = F.col("jaccard") >= least
     if least == 1:
         keep &= F.col("dx") == F.col("dy")
-    return scored.where(keep).select(*keys, "x", "y", (n / (F.col("dx") + F.col("dy") - n)).alias("jaccard"))
+    return scored.where(keep).select(*keys, "x", "y", "jaccard")

@@ -34,23 +34,40 @@ def code_value(code: Column) -> Column:
     return F.when(code == "1", 10).when(code.rlike("[ABab]"), 5).otherwise(0)
 
 
-def islands(df: DataFrame, keys: list[str], flank: int = 0, name: str = "island") -> DataFrame:
-    """Adds the number of the merged piece that each row falls into (from 1, in order)."""
+def _swept(df: DataFrame, keys: list[str], flank: int, touch: int) -> DataFrame:
+    """Adds _island: the number of the merged piece that each row falls into, by one sweep over a key."""
     order = Window.partitionBy(*keys).orderBy("s", "e")
     before = F.max(F.col("e") + flank).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.when(before.isNull() | (F.col("s") - flank > before + 1), 1).otherwise(0)
-    return df.withColumn("_new", new).withColumn(name, F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+    new = F.when(before.isNull() | (F.col("s") - flank > before + touch), 1).otherwise(0)
+    return df.withColumn("_new", new).withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
-def merge(df: DataFrame, keys: list[str], flank: int = 0, block: int = 1 << 12) -> DataFrame:
-    """Overlapping or touching intervals, widened by flank, as pieces (keys, s, e, n).
+def merge(df: DataFrame, keys: list[str], flank: int = 0, block: int = 1 << 12, touch: int = 1) -> DataFrame:
+    """Overlapping or touching intervals, widened by flank, as pieces (keys, s, e, n); touch=0 leaves touching ones apart.
 
     Rows are merged within blocks of positions first, so that a crowded key is spread over tasks and
     only pieces meet."""
-    first = islands(df.select(*keys, "s", "e").withColumn("_block", F.expr(f"s div {block}")), [*keys, "_block"], flank)
-    first = first.groupBy(*keys, "_block", "island").agg(F.min(F.col("s") - flank).alias("s"), F.max(F.col("e") + flank).alias("e"), F.count("*").alias("n"))
-    second = islands(first.drop("_block", "island"), keys)
-    return second.groupBy(*keys, "island").agg(F.greatest(F.min("s"), F.lit(1)).alias("s"), F.max("e").alias("e"), F.sum("n").alias("n")).drop("island")
+    pieces = _pieces(df, keys, flank, block, touch)
+    return pieces.withColumn("s", F.greatest("s", F.lit(1)))
+
+
+def _pieces(df: DataFrame, keys: list[str], flank: int, block: int, touch: int) -> DataFrame:
+    first = _swept(df.select(*keys, "s", "e").withColumn("_block", F.expr(f"s div {block}")), [*keys, "_block"], flank, touch)
+    first = first.groupBy(*keys, "_block", "_island").agg(F.min(F.col("s") - flank).alias("s"), F.max(F.col("e") + flank).alias("e"), F.count("*").alias("n"))
+    second = _swept(first.drop("_block", "_island"), keys, 0, touch)
+    return second.groupBy(*keys, "_island").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.sum("n").alias("n")).drop("_island")
+
+
+def islands(df: DataFrame, keys: list[str], flank: int = 0, name: str = "island", block: int = 1 << 12, touch: int = 1) -> DataFrame:
+    """Adds the number of the merged piece that each row falls into (from 1, in order).
+
+    Pieces come from blocks of positions (see merge); they alone are numbered along a key, and every row
+    finds its piece by the block that it begins in. Keys must not be null."""
+    numbered = _pieces(df, keys, flank, block, touch).withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy("s")).cast("long"))
+    blocks = F.sequence(F.expr(f"floor((s + {flank}) / {block})"), F.expr(f"floor((e - {flank}) / {block})"))
+    spread = numbered.select(*keys, F.col("s").alias("_ps"), F.col("e").alias("_pe"), name, F.explode(blocks).alias("_block"))
+    rows = df.withColumn("_block", F.expr(f"floor(s / {block})"))
+    return rows.join(spread, [*keys, "_block"]).where((F.col("_ps") <= F.col("s") - flank) & (F.col("s") - flank <= F.col("_pe"))).drop("_block", "_ps", "_pe")
 
 
 def gaps(pieces: DataFrame, keys: list[str], lengths: DataFrame | None = None) -> DataFrame:
@@ -65,24 +82,38 @@ def gaps(pieces: DataFrame, keys: list[str], lengths: DataFrame | None = None) -
     return inner.union(left).union(right)
 
 
-def overlap_join(a: DataFrame, b: DataFrame, keys: list[str], flank: int = 0, how: str = "inner", bin_size: int = 64) -> DataFrame:
+def overlap_join(a: DataFrame, b: DataFrame, keys: list[str], flank: int = 0, how: str = "inner", bin_sizes: tuple[int, ...] = (64,)) -> DataFrame:
     """Pairs of rows that overlap when a is widened by flank; b's columns must differ from a's but for keys, s and e.
 
     Both sides are spread over bins of positions and joined on keys and bin, so the join is an
-    equi-join whose keys stay small; a pair is kept in the bin where its overlap begins. Returns
-    a's columns and b's, with b's s and e as bs and be. how: inner, left_semi or left_anti."""
-    bins = lambda low, high: F.explode(F.sequence(F.floor(low / bin_size), F.floor(high / bin_size)))
-    right = b.withColumnRenamed("s", "bs").withColumnRenamed("e", "be").withColumn("_bin", bins(F.col("bs"), F.col("be")))
-    meets = (F.col("s") - flank <= F.col("be")) & (F.col("bs") <= F.col("e") + flank)
+    equi-join whose keys stay small; a pair is kept in the bin where its overlap begins. With several
+    bin sizes (ascending) a pair meets in bins of the size that the longer of both fits, so that an
+    interval of any length takes two bins of each such size. Returns a's columns and b's, with b's s
+    and e as bs and be. how: inner, left_semi or left_anti."""
+    at = lambda c: F.element_at(F.array(*[F.lit(x) for x in bin_sizes]), c + 1)
+
+    def fits(low, high):
+        out = F.lit(len(bin_sizes) - 1)
+        for i in range(len(bin_sizes) - 2, -1, -1):
+            out = F.when(high - low + 1 <= bin_sizes[i], i).otherwise(out)
+        return out
+
+    def spread(df: DataFrame, low, high, own: str) -> DataFrame:
+        if len(bin_sizes) == 1:
+            return df.withColumns({own: F.lit(0), "_level": F.lit(0)}).withColumn("_bin", F.explode(F.sequence(F.floor(low / bin_sizes[0]), F.floor(high / bin_sizes[0]))))
+        leveled = df.withColumn(own, fits(low, high)).withColumn("_level", F.explode(F.sequence(F.col(own), F.lit(len(bin_sizes) - 1))))
+        return leveled.withColumn("_bin", F.explode(F.sequence(F.floor(low / at(F.col("_level"))), F.floor(high / at(F.col("_level"))))))
+
+    right = spread(b.withColumnRenamed("s", "bs").withColumnRenamed("e", "be"), F.col("bs"), F.col("be"), "_lb")
+    meets = (F.col("s") - flank <= F.col("be")) & (F.col("bs") <= F.col("e") + flank) & (F.col("_level") == F.greatest("_la", "_lb"))
+    on = [*keys, "_level", "_bin"]
     if how != "inner":
         left = a.withColumn("_row", F.monotonically_increasing_id())
-        spread = left.select("_row", *keys, "s", "e").withColumn("_bin", bins(F.col("s") - flank, F.col("e") + flank))
-        conditions = [spread[k] == right[k] for k in keys] + [spread["_bin"] == right["_bin"], meets]
-        hit = spread.join(right.select(*keys, "bs", "be", "_bin"), conditions, "left_semi").select("_row").distinct()
-        return left.join(hit, "_row", how).drop("_row")
-    left = a.withColumn("_bin", bins(F.col("s") - flank, F.col("e") + flank))
-    both = left.join(right, [*keys, "_bin"]).where(meets)
-    return both.where(F.col("_bin") == F.greatest(F.floor((F.col("s") - flank) / bin_size), F.floor(F.col("bs") / bin_size))).drop("_bin")
+        both = spread(left.select("_row", *keys, "s", "e"), F.col("s") - flank, F.col("e") + flank, "_la").join(right.select(*on, "bs", "be", "_lb"), on).where(meets)
+        return left.join(both.select("_row").distinct(), "_row", how).drop("_row")
+    both = spread(a, F.col("s") - flank, F.col("e") + flank, "_la").join(right, on).where(meets)
+    size = at(F.col("_level"))
+    return both.where(F.col("_bin") == F.greatest(F.floor((F.col("s") - flank) / size), F.floor(F.col("bs") / size))).drop("_bin", "_level", "_la", "_lb")
 
 
 def overlap_bases(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:

@@ -78,7 +78,7 @@ def gff3_round_trip(spark, d):
 def evidence_classes(spark, d):
     """How far each row's algorithm is trusted."""
     name = F.when(F.col("source") == "R", "est2genome").when(F.col("source") == "A", "blastx").otherwise("snap")
-    return A.feat(spark, d).withColumn("class", clusters.evidence_class(name)).groupBy("seqid", "source", "class").agg(F.count("*").alias("n"))
+    return A.feat(spark, d).withColumn("class", clusters.evidence_class(name, "final")).groupBy("seqid", "source", "class").agg(F.count("*").alias("n"))
 
 
 @query("feat", """SELECT id, CASE WHEN 100 <= s AND e <= 3000 THEN 'kept' WHEN s > 3000 OR e < 100 THEN 'out' ELSE 'held' END AS state FROM feat""")

@@ -168,11 +168,7 @@ def shadow_cluster_per_source(spark, d):
 @query(*_after("feat hsps hits", _pieces("hits", "seqid, strand").replace("> p + 1", "> p"), "SELECT seqid, strand, min(hit) AS component, count(*) AS hits, min(s) AS s, max(e) AS e FROM _i GROUP BY seqid, strand, island"))
 def span_components(spark, d):
     """Components of hits whose spans overlap (touching isn't overlapping)."""
-    h = A.hits(spark, d)
-    order = Window.partitionBy(*SK).orderBy("s", "e")
-    before = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.when(before.isNull() | (F.col("s") > before), 1).otherwise(0)
-    labelled = h.withColumn("_new", new).withColumn("_i", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    labelled = intervals.islands(A.hits(spark, d), SK, name="_i", touch=0)
     return labelled.groupBy(*SK, "_i").agg(F.min("hit").alias("component"), F.count("*").alias("hits"), F.min("s").alias("s"), F.max("e").alias("e")).drop("_i")
 
 
