@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from locusframe.operators.intervals import merge, overlap_bases
+from locusframe.operators.intervals import merge, overlap_bases, overlap_join
 
 
 def covered(df: DataFrame, keys: list[str], name: str = "bases") -> DataFrame:
@@ -56,3 +56,61 @@ def phases(cds: DataFrame, keys: list[str], strand: str = "strand") -> DataFrame
     """K7: the phase of each coding exon, in the strand's direction: (-length so far) mod 3."""
     order = Window.partitionBy(*keys).orderBy(F.col("s") * F.col(strand)).rowsBetween(Window.unboundedPreceding, -1)
     return cds.withColumn("phase", F.pmod(-F.coalesce(F.sum(F.col("e") - F.col("s") + 1).over(order), F.lit(0)), F.lit(3)))
+
+
+def coding_phase(exons: DataFrame, bounds: DataFrame, keys: list[str], strand: str = "strand") -> DataFrame:
+    """Exons cut to their transcript's coding span (keys, cs, ce), with the phase of the first base in the strand's direction:
+    the coding bases before it modulo 3. Exons of a transcript are disjoint."""
+    cut = exons.join(bounds, keys).where("s <= ce and cs <= e").withColumns({"s": F.greatest("s", "cs"), "e": F.least("e", "ce")})
+    order = Window.partitionBy(*keys).orderBy(F.col("s") * F.col(strand)).rowsBetween(Window.unboundedPreceding, -1)
+    return cut.withColumn("phase", F.coalesce(F.sum(F.col("e") - F.col("s") + 1).over(order), F.lit(0)) % 3)
+
+
+def eaed(exons: DataFrame, blocks: DataFrame, keys: list[str], bounds: DataFrame | None = None) -> DataFrame:
+    """A4: per transcript eaed = 1 - (sensitivity + specificity) / 2, where evidence counts only if it agrees in structure.
+
+    exons: keys, s, e, and strand among the keys; disjoint. blocks: keys of the transcript that they are evidence for, hit,
+    kind (est, protein or other), s, e. bounds: keys, cs, ce (the coding span), without which proteins don't count as agreeing.
+
+    An EST's block agrees if it begins or ends at an inner splice site of the transcript, or if it and an exon cover each other
+    by 90 % (of single blocks only the exon needs to be covered). An exon with both splice sites so met by ESTs agrees whole, and counts
+    as evidence whole. A protein's bases agree where its codons lie in the transcript's phase (blocks begin with a codon's first base).
+    A transcript without evidence has 1. Everything is intervals: no row per base."""
+    place = Window.partitionBy(*keys).orderBy("s", "e")
+    number = exons.withColumns({"_i": F.row_number().over(place), "_n": F.count("*").over(Window.partitionBy(*keys))})
+    of_hit = Window.partitionBy(*keys, "hit")
+    ests = blocks.where("kind <> 'protein'").withColumns({"_k": F.row_number().over(of_hit.orderBy("s", "e")), "_m": F.count("*").over(of_hit)})
+    starts = number.where("_i > 1").select(*keys, "s", F.lit(True).alias("_begins"))
+    ends = number.where("_i < _n").select(*keys, "e", F.lit(True).alias("_ends"))
+    counts = number.select(*keys, "_n").distinct()
+    met = ests.join(counts, keys).join(starts, [*keys, "s"], "left").join(ends, [*keys, "e"], "left")
+    # a block's number is held against the transcript's count of exons, as is done with its begin first
+    met = met.withColumn("_at_start", F.coalesce("_begins", F.lit(False)) & (F.col("_k") > 1))
+    met = met.withColumn("_at_end", ~F.col("_at_start") & F.coalesce("_ends", F.lit(False)) & (F.col("_k") != F.col("_n")))
+    at_site = met.where("_at_start or _at_end")
+    verified_starts = at_site.where("_at_start and kind = 'est'").select(*keys, "s").distinct()
+    verified_ends = at_site.where("_at_end and kind = 'est'").select(*keys, "e").distinct()
+    verified = number.where("_i > 1 and _i < _n").select(*keys, "s", "e").join(verified_starts, [*keys, "s"], "left_semi").join(verified_ends, [*keys, "e"], "left_semi").select(*keys, "s", "e")
+    elsewhere = met.where("not _at_start and not _at_end").select(*keys, "_m", "s", "e")
+    near = overlap_join(elsewhere, number.select(*keys, "s", "e", "_n"), keys, bin_sizes=(64, 1024, 1 << 14))
+    shared = F.least("e", "be") - F.greatest("s", "bs") + 1
+    covers = (shared >= 0.9 * (F.col("be") - F.col("bs") + 1)) & (((F.col("_n") == 1) & (F.col("_m") == 1)) | (shared >= 0.9 * (F.col("e") - F.col("s") + 1)))
+    agreeing = at_site.select(*keys, "s", "e").union(near.where(covers).select(*keys, "s", "e")).union(verified)
+    if bounds is not None:
+        coding = coding_phase(exons.select(*keys, "s", "e"), bounds, keys).select(*keys, "s", "e", "phase")
+        codons = blocks.where("kind = 'protein'").withColumn("e", F.expr("s + 3 * ((e - s + 1) div 3) - 1")).where("e > s").select(*keys, "s", "e")
+        both = overlap_join(codons, coding, keys, bin_sizes=(64, 1024, 1 << 14))
+        turn = F.when(F.col("strand") > 0, F.col("phase") - F.col("bs") + F.col("s")).otherwise(F.col("phase") + F.col("be") - 2 - F.col("s"))
+        agreeing = agreeing.union(both.where(turn % 3 == 0).select(*keys, F.greatest("s", "bs").alias("s"), F.least("e", "be").alias("e")))
+    size = lambda p, name: p.groupBy(*keys).agg(F.sum(F.col("e") - F.col("s") + 1).alias(name))
+    model = merge(exons, keys)
+    evidence = merge(blocks.select(*keys, "s", "e").union(verified), keys)
+    found = size(model, "_model").join(size(evidence, "_evidence"), keys, "left").join(overlap_bases(model, merge(agreeing, keys), keys), keys, "left")
+    agreed = F.coalesce("shared", F.lit(0))
+    score = 1 - (agreed / F.col("_model") + agreed / F.col("_evidence")) / 2
+    return found.select(*keys, F.coalesce(score, F.lit(1.0)).alias("eaed"))
+
+
+def cut_text(x: Column) -> Column:
+    """A share as text, cut to two decimals, without a decimal point where none is needed."""
+    return F.regexp_replace(truncated(x).cast("string"), r"\.0$", "")

@@ -49,13 +49,6 @@ def sorted_blocks(spark, d):
     return A.hsps(spark, d).groupBy("hit", "strand").agg(F.array_join(blocks, ",").alias("blocks"))
 
 
-@query("feat hsps hits", "SELECT a.hit AS a, b.hit AS b, a.strand FROM hits a JOIN hits b ON a.seqid = b.seqid AND a.strand = b.strand AND a.hit < b.hit AND a.s // 300 = b.s // 300 AND a.e // 300 = b.e // 300 AND a.n = b.n")
-def identical_forms(spark, d):
-    """C0j: hits of one contig and strand with the same span, in cells of 300, and number of blocks; an equi-join."""
-    h = A.hits(spark, d).select("hit", *SK, F.expr("s div 300").alias("s"), F.expr("e div 300").alias("e"), "n")
-    return h.withColumnRenamed("hit", "a").join(h.withColumnRenamed("hit", "b"), [*SK, "s", "e", "n"]).where("a < b").select("a", "b", "strand")
-
-
 @query("feat", "SELECT evidence, count(*) AS n, min(s) AS s, max(e) AS e FROM (SELECT *, CASE source WHEN 'R' THEN 'est' WHEN 'A' THEN 'protein' ELSE 'pred' END AS evidence FROM feat) GROUP BY evidence")
 def route_evidence(spark, d):
     """Rows routed to evidence types by their source's name."""

@@ -84,17 +84,17 @@ def classify_overlap_snapped(spark, d):
 
 
 @query("feat hsps", f"""SELECT hit, other, string_agg(code, '' ORDER BY s, e, id) AS codes FROM (
-    SELECT a.hit, b.other, a.s, a.e, a.id, coalesce(max_by(code, {VALUE}), '0') AS code FROM (SELECT * FROM hsps) a JOIN (
+    SELECT a.hit, b.other, a.s, a.e, a.id, coalesce(first(code ORDER BY {VALUE} DESC, bs, be, bid), '0') AS code FROM (SELECT * FROM hsps) a JOIN (
       SELECT DISTINCT a.hit, b.hit AS other, a.seqid, a.strand FROM hsps a JOIN hsps b ON {MEET} AND a.hit < b.hit) b ON a.hit = b.hit AND a.seqid = b.seqid AND a.strand = b.strand
-    LEFT JOIN (SELECT a.id, b.hit AS other, CASE WHEN {VALUE} > 0 THEN code ELSE '0' END AS code FROM (SELECT a.id, a.hit AS ahit, b.hit, {CODE} AS code FROM hsps a JOIN hsps b ON {MEET} AND a.hit < b.hit) b, (SELECT 1) a0, LATERAL (SELECT b.id) a(id)) c
+    LEFT JOIN (SELECT id, other, CASE WHEN {VALUE} > 0 THEN code ELSE '0' END AS code, bs, be, bid FROM (SELECT a.id, b.hit AS other, b.s AS bs, b.e AS be, b.id AS bid, {CODE} AS code FROM hsps a JOIN hsps b ON {MEET} AND a.hit < b.hit)) c
       ON c.id = a.id AND c.other = b.other GROUP BY a.hit, b.other, a.s, a.e, a.id) GROUP BY hit, other""")
 def hsp_code_string(spark, d):
     """Per pair of hits, one character per block of the first: the most telling code against the second's blocks."""
     h = A.hsps(spark, d)
-    pairs = intervals.overlap_join(h, _b(h, "hit"), SK).where("hit < b_hit")
+    pairs = intervals.overlap_join(h, _b(h, "hit", "id"), SK).where("hit < b_hit")
     code = intervals.classify(F.col("s"), F.col("e"), F.col("bs"), F.col("be"))
-    best = pairs.withColumn("code", code).withColumn("v", intervals.code_value(F.col("code"))).groupBy("hit", "b_hit", "seqid", "strand", "id").agg(F.max(F.struct("v", "code")).alias("m"))
-    best = best.select("hit", "b_hit", "seqid", "strand", "id", F.when(F.col("m.v") > 0, F.col("m.code")).otherwise("0").alias("code"))
+    best = pairs.withColumn("code", code).withColumn("v", intervals.code_value(F.col("code"))).groupBy("hit", "b_hit", "seqid", "strand", "id").agg(F.min(F.struct((-F.col("v")).alias("v"), "bs", "be", "b_id", "code")).alias("m"))
+    best = best.select("hit", "b_hit", "seqid", "strand", "id", F.when(F.col("m.v") < 0, F.col("m.code")).otherwise("0").alias("code"))
     met = best.select("hit", "b_hit", "seqid", "strand").distinct()
     blocks = h.join(met, ["hit", "seqid", "strand"]).join(best, ["hit", "b_hit", "seqid", "strand", "id"], "left")
     row = F.struct("s", "e", "id", F.coalesce("code", F.lit("0")).alias("code"))
