@@ -124,6 +124,12 @@ def longest_orf(seq: Column, code: str = "universal", start: str = "", with_stop
     return run(seq)
 
 
+def records(rows: DataFrame, text: str) -> DataFrame:
+    """FASTA records without their mark as seqid, definition and seq; line ends and blanks within sequences go."""
+    head = F.regexp_extract(text, r"^([^\n]*)", 1)
+    return rows.select(F.regexp_extract(head, r"^(\S+)", 1).alias("seqid"), F.regexp_extract(head, r"^\S+\s+(.*?)\s*$", 1).alias("definition"), F.regexp_replace(F.regexp_replace(text, r"^[^\n]*\n?", ""), r"\s+", "").alias("seq"))
+
+
 def wrapped(seq: Column, width: int = 60) -> Column:
     """Lines of `width` letters."""
     return F.regexp_replace(seq, f"(.{{{width}}})(?=.)", "$1\n")

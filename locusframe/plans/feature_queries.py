@@ -81,10 +81,16 @@ def chunk_divide(spark, d):
     return A.feat(spark, d).select("id", state.alias("state"))
 
 
-@query("feat hsps", """SELECT DISTINCT hit, strand, x + 5 <= y AS wide FROM (SELECT hit, strand, max(e) AS x, max(e) + count(*) AS y FROM hsps GROUP BY hit, strand)""")
+@query("feat hsps", """, si AS (SELECT DISTINCT seqid, strand, e AS site FROM hsps WHERE hit % 5 = 0), rd AS (SELECT seqid, strand, s, e FROM hsps WHERE hit % 5 <> 0)
+    SELECT si.seqid, si.strand, site, count(rd.s) AS reads FROM si LEFT JOIN rd ON rd.seqid = si.seqid AND rd.strand = si.strand AND rd.s + 5 <= site AND site + 4 <= rd.e GROUP BY ALL""")
 def position_support(spark, d):
-    """Whether reads reach a side's length past a site."""
-    return A.hsps(spark, d).groupBy("hit", "strand").agg(F.max("e").alias("x"), F.count("*").alias("k")).select("hit", "strand", (F.col("x") + 5 <= F.col("x") + F.col("k")).alias("wide"))
+    """How many reads (rows of other hits) reach five bases past a splice site (a model's exon end) on both sides."""
+    h = A.hsps(spark, d)
+    sites = h.where("hit % 5 = 0").select(*SK, F.col("e").alias("site")).distinct()
+    points = sites.select(*SK, (F.col("site")).alias("s"), (F.col("site") + 4).alias("e"), "site")
+    reads = h.where("hit % 5 <> 0").select(*SK, "s", "e")
+    met = intervals.overlap_join(points, reads, SK).where("bs + 5 <= site and site + 4 <= be").groupBy(*SK, "site").agg(F.count("*").alias("reads"))
+    return sites.join(met, [*SK, "site"], "left").select(*SK, "site", F.coalesce("reads", F.lit(0)).alias("reads"))
 
 
 @query("", """SELECT role, count(*) AS n, count(DISTINCT conv_id) AS convs, sum(length(text))::BIGINT AS letters FROM conversations GROUP BY role

@@ -55,9 +55,9 @@ def exonic_bases(spark, d):
 
 
 @query(*_after("feat hsps", _pieces("hsps", "hit"), """, t AS (SELECT hit, sum(e - s + 1) AS total FROM hsps GROUP BY hit), u AS (SELECT hit, sum(e - s + 1) AS bases FROM pieces GROUP BY hit)
-    SELECT hit, round(total / bases, 6) AS coverage FROM t JOIN u USING (hit) WHERE total / bases <= 1.5"""))
+    SELECT hit, round(total / bases, 6) AS coverage FROM t JOIN u USING (hit) WHERE total / bases <= 3.0"""))
 def complexity(spark, d):
-    return scores.stacked_coverage(A.hsps(spark, d), ["hit"]).where("coverage <= 1.5").select("hit", F.round("coverage", 6).alias("coverage"))
+    return scores.stacked_coverage(A.hsps(spark, d), ["hit"]).where("coverage <= 3.0").select("hit", F.round("coverage", 6).alias("coverage"))
 
 
 @query("feat hsps", "SELECT hit, strand, e AS s, nx AS e FROM (SELECT *, lead(s) OVER (PARTITION BY hit, strand ORDER BY s, e) AS nx FROM hsps) WHERE nx IS NOT NULL")

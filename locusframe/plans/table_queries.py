@@ -123,18 +123,46 @@ def so_code(spark, d):
     return per.join(n, "x").select("seqid", "x", "y", F.concat_ws(":", F.col("n") - F.col("o"), F.col("o") - F.col("same"), "same").alias("code"))
 
 
-@query("", """SELECT doc_id, CASE WHEN upper(text[1:3]) IN ('ATG', 'THE') THEN 1 ELSE 0 END + CASE WHEN right(text, 1) = '.' THEN 2 ELSE 0 END AS completion FROM documents""")
+@query("seqs", """SELECT seqid, CASE WHEN upper(substr(seq, 4, 3)) = 'ATG' THEN '1' ELSE '0' END || CASE WHEN upper(substr(seq, length(seq) - 2, 3)) IN ('TAG', 'TAA', 'TGA') THEN '1' ELSE '0' END AS completion FROM seqs WHERE length(seq) >= 6""")
 def completion(spark, d):
-    """Whether a start and a stop stand at the ends (1, 2, both 3)."""
-    start = F.when(F.upper(F.substring("text", 1, 3)).isin("ATG", "THE"), 1).otherwise(0)
-    return table(spark, d, "documents").select("doc_id", (start + F.when(F.right("text", F.lit(1)) == ".", 2).otherwise(0)).alias("completion"))
+    """Whether a start codon stands at the translation's begin (here the fourth base) and a stop codon at its end."""
+    start = F.when(F.upper(F.substring("seq", 4, 3)) == "ATG", "1").otherwise("0")
+    stop = F.when(F.upper(F.right("seq", F.lit(3))).isin("TAG", "TAA", "TGA"), "1").otherwise("0")
+    return A.seqs(spark, d).where("length(seq) >= 6").select("seqid", F.concat(start, stop).alias("completion"))
 
 
-@query("", "SELECT l_orderkey, round(sum(CASE l_returnflag WHEN 'R' THEN 0.5 WHEN 'A' THEN 0.3 ELSE 0.2 END * (1 - l_discount)) / count(*), 6) AS score FROM lineitem GROUP BY l_orderkey")
+#: Weights of the quality index's fields 2 to 6, alternative splicing, other evidence, and the bonus; by (coding, one exon).
+WEIGHTS = {
+    (True, True): (0, 50, 25, 0, 30, 30, 10, 60), (True, False): (100, 50, 25, 70, 30, 30, 10, 0),
+    (False, True): (0, 50, 0, 0, 0, 30, 0, 120), (False, False): (100, 50, 0, 70, 0, 30, 0, 0),
+}
+
+
+def cvalue_of(qi, coding, so_first, so_last, alt, junk):
+    """Qi is an array of the index's nine numbers. UTRs count 10 each, a disjoint isoform -50, an identical one 50."""
+    value = None
+    for (c, single), (*weights, of_alt, of_junk, bonus) in WEIGHTS.items():
+        total = sum((qi[i + 1] * w for i, w in enumerate(weights)), F.lit(0.0)) + alt * of_alt + junk * of_junk + bonus
+        test = (coding == F.lit(c)) & ((qi[6] == 1) == F.lit(single))
+        value = F.when(test, total) if value is None else value.when(test, total)
+    utrs = F.when(qi[0] != 0, 10).otherwise(0) + F.when(qi[7] != 0, 10).otherwise(0)
+    return value + utrs + F.when(so_first != 0, -50).otherwise(0) + F.when(so_last != 0, 50).otherwise(0)
+
+
+_CV = " ".join(f"WHEN (l_returnflag <> 'N') = {c} AND (l_linenumber = 1) = {one} THEN " + " + ".join(f"{x} * {w}" for x, w in zip(("l_discount", "l_tax", "l_discount * 2", "l_tax * 2", "l_discount * 3", "l_discount * 4", "l_tax * 4"), ws, strict=False)) + f" + {ws[-1]}" for (c, one), ws in WEIGHTS.items())
+
+
+@query("feat", f"""SELECT id, round((CASE {_CV} END) + CASE WHEN l_suppkey % 3 <> 0 THEN 10 ELSE 0 END + CASE WHEN l_suppkey % 5 <> 0 THEN 10 ELSE 0 END + CASE WHEN l_partkey % 2 <> 0 THEN -50 ELSE 0 END + CASE WHEN l_partkey % 3 <> 0 THEN 50 ELSE 0 END, 4) AS score
+    FROM (SELECT *, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity::BIGINT, round(l_extendedprice * 100)::BIGINT, date_diff('day', DATE '1992-01-01', l_shipdate::DATE)) AS id FROM lineitem)""")
 def cvalue(spark, d):
-    """A weighted score per gene."""
-    weight = F.when(F.col("l_returnflag") == "R", 0.5).when(F.col("l_returnflag") == "A", 0.3).otherwise(0.2)
-    return table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.round(F.sum(weight * (1 - F.col("l_discount"))) / F.count("*"), 6).alias("score"))
+    """The weighted score of every row, whose columns stand for the index's fields."""
+    t = table(spark, d, "lineitem")
+    day = F.datediff(F.to_date("l_shipdate"), F.lit("1992-01-01").cast("date"))
+    name = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("long"), F.round(F.col("l_extendedprice") * 100).cast("long"), day)
+    disc, tax = F.col("l_discount"), F.col("l_tax")
+    qi = F.array(*[x.cast("double") for x in (F.col("l_suppkey") % 3, disc, tax, disc * 2, tax * 2, disc * 3, F.col("l_linenumber"), F.col("l_suppkey") % 5, F.lit(0))])
+    score = cvalue_of(qi, F.col("l_returnflag") != "N", F.col("l_partkey") % 2, F.col("l_partkey") % 3, disc * 4, tax * 4)
+    return t.select(name.alias("id"), F.round(score, 4).alias("score"))
 
 
 _TRACE = """, walk AS (SELECT subject AS node, object AS ancestor, 1 AS depth FROM edges
@@ -189,11 +217,12 @@ def runlog_replay(spark, d):
     return table(spark, d, "events").groupBy("user_id").agg(last).select("user_id", F.col("m.event_type").alias("event_type"), F.col("m.event_id").alias("event_id"))
 
 
-@query("", "SELECT p_partkey, list_aggregate(list_sort(list_distinct(string_split(p_name || ' ' || p_type, ' '))), 'string_agg', ',') AS tags FROM part")
+@query("", "WITH ab AS (SELECT p_partkey, list_distinct(string_split(p_name, ' ')) AS a, list_distinct(string_split(p_type, ' ')) AS b FROM part) SELECT p_partkey, array_to_string(list_sort(list_concat(list_filter(a, lambda x: NOT list_contains(b, x)), list_filter(b, lambda x: NOT list_contains(a, x)))), ',') AS changed, array_to_string(list_sort(list_intersect(a, b)), ',') AS kept FROM ab")
 def option_lists(spark, d):
-    """Lists compared without regard to order: sorted and distinct."""
-    words = F.split(F.concat_ws(" ", "p_name", "p_type"), " ")
-    return table(spark, d, "part").select("p_partkey", F.array_join(F.array_sort(F.array_distinct(words)), ",").alias("tags"))
+    """What only one of two lists has, and what both have, without regard to order."""
+    a, b = (F.array_distinct(F.split(c, " ")) for c in ("p_name", "p_type"))
+    changed = F.array_sort(F.concat(F.array_except(a, b), F.array_except(b, a)))
+    return table(spark, d, "part").select("p_partkey", F.array_join(changed, ",").alias("changed"), F.array_join(F.array_sort(F.array_intersect(a, b)), ",").alias("kept"))
 
 
 @query("", "SELECT event_id, (props->>'k')::BIGINT AS k FROM events")

@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusframe.functions.sequences import wrapped
+from locusframe.functions.sequences import records, wrapped
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Seqid, definition, seq. Carriage returns, blanks and line ends within sequences go."""
     text = F.regexp_replace(F.regexp_replace("value", "\r\n?", "\n"), "^>", "")
     rows = spark.read.option("lineSep", "\n>").text(path).select(text.alias("t")).where(F.trim("t") != "")
-    head = F.regexp_extract("t", r"^([^\n]*)", 1)
-    return rows.select(F.regexp_extract(head, r"^(\S+)", 1).alias("seqid"), F.regexp_extract(head, r"^\S+\s+(.*?)\s*$", 1).alias("definition"), F.regexp_replace(F.regexp_replace("t", r"^[^\n]*\n?", ""), r"\s+", "").alias("seq"))
+    return records(rows, "t")
+
+
+def count(spark: SparkSession, path: str) -> int:
+    """S3: the number of records, from lines that begin with the mark."""
+    return spark.read.text(path).where(F.col("value").startswith(">")).count()
 
 
 def ids(spark: SparkSession, path: str) -> DataFrame:
@@ -38,3 +42,17 @@ def text(seqs: DataFrame, width: int = 60) -> DataFrame:
 def transcript_headers(rows: DataFrame) -> DataFrame:
     """Definitions of transcripts from name, t_offset, aed, eaed and qi."""
     return rows.withColumn("definition", F.format_string("transcript offset:%d AED:%.2f eAED:%.2f QI:%s", "t_offset", "aed", "eaed", "qi"))
+
+
+def renamed(seqs: DataFrame, names: DataFrame) -> DataFrame:
+    """Seqid and definition replaced as a whole by names (seqid, new) where mapped; others stay."""
+    both = seqs.join(names, "seqid", "left")
+    return both.withColumns({"seqid": F.coalesce("new", F.col("seqid").cast("string")), "definition": F.when(F.col("new").isNull(), F.col("definition"))}).drop("new")
+
+
+def merged(spark: SparkSession, path: str, pattern: str = r"([^/]+?)\.(transcripts|proteins|non_overlapping|noncoding)\.fasta$") -> DataFrame:
+    """Records of many files with the group that their file's name tells (column kind)."""
+    rows = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace(F.regexp_replace("value", "\r\n?", "\n"), "^>", "").alias("t"), F.regexp_extract(F.input_file_name(), pattern, 2).alias("kind"))
+    found = rows.where(F.trim("t") != "")
+    head = F.regexp_extract("t", r"^([^\n]*)", 1)
+    return found.select("kind", F.regexp_extract(head, r"^(\S+)", 1).alias("seqid"), F.regexp_replace(F.regexp_replace("t", r"^[^\n]*\n?", ""), r"\s+", "").alias("seq"))

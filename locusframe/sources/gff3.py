@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from locusframe.functions import attributes
@@ -35,8 +35,10 @@ def features(lines: DataFrame, line: str = "value", tag: str | None = None) -> D
 
 def read(spark: SparkSession, path: str, tag: str | None = None, seqid: str | None = None) -> DataFrame:
     """A file's or folder's features; a file's part behind ##FASTA has no tabs in nine columns and falls away."""
-    rows = features(spark.read.text(path), tag=tag)
-    return rows.where(F.col("seqid") == seqid) if seqid is not None else rows
+    lines = spark.read.text(path)
+    if seqid is not None:  # before the attributes are parsed
+        lines = lines.where(F.col("value").startswith(seqid + "\t"))
+    return features(lines, tag=tag)
 
 
 def by_parent(rows: DataFrame) -> DataFrame:
@@ -86,3 +88,93 @@ def write(rows: DataFrame, path: str) -> None:
 def split_by_contig(rows: DataFrame, path: str) -> None:
     """A folder per contig."""
     lines(rows).select("value", "seqid").repartition("seqid").write.partitionBy("seqid").text(path)
+
+
+def gene_block(transcripts: DataFrame, exons: DataFrame, coding: DataFrame, source: str = "final") -> DataFrame:
+    """K1, K4, K6, K8: genes as text lines: gene, transcripts with their scores, every exon once with all its parents, UTRs, and CDS with phase.
+
+    transcripts: gene, transcript, seqid, strand, aed, eaed, qi. exons: transcript, s, e (disjoint). coding: transcript, cs, ce; a transcript
+    without is non-coding and has no CDS or UTR. Returns gene, place (the order of types within a gene), s, e and value."""
+    strand = F.when(F.col("strand") > 0, "+").otherwise("-")
+
+    def line(kind, s, e, phase, bag):
+        return F.concat_ws("\t", "seqid", F.lit(source), kind, s.cast("string"), e.cast("string"), F.lit("."), strand, phase, bag).alias("value")
+
+    def rows(df: DataFrame, place: int, kind, bag, phase=None):
+        return df.select("gene", F.lit(place).alias("place"), "s", "e", line(kind, F.col("s"), F.col("e"), F.lit(".") if phase is None else phase.cast("string"), bag))
+
+    placed = exons.join(transcripts, "transcript")
+    span = [F.min("s").alias("s"), F.max("e").alias("e")]
+    genes = placed.groupBy("gene", "seqid", "strand").agg(*span)
+    whole = placed.groupBy(*transcripts.columns).agg(*span).join(coding, "transcript", "left")
+    scores = F.format_string("_AED=%.2f;_eAED=%.2f;_QI=%s", "aed", "eaed", "qi")
+    kind = F.when(F.col("cs").isNull(), "ncRNA").otherwise("mRNA")
+    shared = placed.groupBy("gene", "seqid", "strand", "s", "e").agg(F.array_join(F.array_sort(F.collect_set(F.col("transcript").cast("string"))), ",").alias("parents"))
+    own = placed.join(coding, "transcript")
+    order = Window.partitionBy("transcript").orderBy(F.col("s") * F.col("strand")).rowsBetween(Window.unboundedPreceding, -1)
+    cds = own.where("s <= ce and cs <= e").withColumns({"s": F.greatest("s", "cs"), "e": F.least("e", "ce")})
+    cds = cds.withColumn("phase", F.pmod(-F.coalesce(F.sum(F.col("e") - F.col("s") + 1).over(order), F.lit(0)), F.lit(3)))
+    low, high = own.where("s < cs").withColumn("e", F.least("e", F.col("cs") - 1)), own.where("e > ce").withColumn("s", F.greatest("s", F.col("ce") + 1))
+    utr = low.withColumn("five", F.col("strand") > 0).union(high.withColumn("five", F.col("strand") < 0))
+    of = lambda what: F.concat(F.lit("ID="), "transcript", F.lit(f":{what};Parent="), "transcript")
+    parts = [
+        rows(genes, 0, F.lit("gene"), F.concat(F.lit("ID="), "gene", F.lit(";Name="), "gene")),
+        rows(whole, 1, kind, F.concat(F.lit("ID="), "transcript", F.lit(";Parent="), "gene", F.lit(";Name="), "transcript", F.lit(";"), scores)),
+        rows(shared, 2, F.lit("exon"), F.concat(F.lit("ID="), "gene", F.lit(":exon:"), "s", F.lit("-"), "e", F.lit(";Parent="), "parents")),
+        rows(utr, 3, F.when(F.col("five"), "five_prime_UTR").otherwise("three_prime_UTR"), F.concat(F.lit("ID="), "transcript", F.lit(":utr;Parent="), "transcript")),
+        rows(cds, 4, F.lit("CDS"), of("cds"), F.col("phase")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def merged(files: list[DataFrame], models_only: str | None = None, legacy: bool = False) -> DataFrame:
+    """Several files' features as one; a top-level ID that an earlier file has goes.
+
+    models_only: keeps rows of this source. legacy: IDs and parents are put behind their file's number, so all stay apart."""
+    out = None
+    for i, rows in enumerate(files):
+        rows = rows.withColumn("file", F.lit(i))
+        if legacy:
+            renamed = F.transform_values("attributes", lambda k, v: F.when(k.isin("ID", "Parent"), F.transform(v, lambda x: F.concat(F.lit(f"{i}:"), x))).otherwise(v))
+            rows = rows.withColumn("attributes", renamed)
+        out = rows if out is None else out.unionByName(rows)
+    if models_only:
+        out = out.where(F.col("source") == models_only)
+    if legacy:
+        return out
+    own = F.try_element_at("attributes", F.lit("ID"))[0]
+    top = F.try_element_at("attributes", F.lit("Parent")).isNull() & own.isNotNull()
+    first = out.where(top).groupBy(own.alias("_own")).agg(F.min("file").alias("_first"))
+    return out.withColumn("_own", F.when(top, own)).join(first, "_own", "left").where(F.col("_first").isNull() | (F.col("_first") == F.col("file"))).drop("_own", "_first")
+
+
+def embedded_fasta(spark: SparkSession, path: str) -> DataFrame:
+    """The sequences behind ##FASTA: seqid, definition, seq. Each file is cut at its marker, so a file is one row."""
+    from locusframe.functions.sequences import records
+
+    whole = spark.read.option("wholetext", True).text(path)
+    behind = whole.select(F.explode(F.slice(F.split("value", r"(?m)^##FASTA[^\n]*\n"), 2, 1 << 20)).alias("t"))
+    return records(behind.select(F.explode(F.split("t", r"\n?>")).alias("t")).where(F.trim("t") != ""), "t")
+
+
+def bed_lines(exons: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Each hit's blocks as a 12-column BED line: seqid, begin from 0, end, name, blocks."""
+    block = F.array_sort(F.collect_list(F.struct("s", "e")))
+    g = exons.groupBy(*keys).agg(block.alias("b"), F.min("s").alias("low"), F.max("e").alias("high"))
+    sizes = F.array_join(F.transform("b", lambda x: (x["e"] - x["s"] + 1).cast("string")), ",")
+    starts = F.array_join(F.transform("b", lambda x: (x["s"] - F.col("low")).cast("string")), ",")
+    begin = (F.col("low") - 1).cast("string")
+    strand = F.when(F.col("strand") > 0, "+").otherwise("-")
+    return g.select(F.concat_ws("\t", F.col("seqid").cast("string"), begin, F.col("high").cast("string"), F.col(name).cast("string"), F.lit("0"), strand, begin, F.col("high").cast("string"), F.lit("0"), F.size("b").cast("string"), sizes, starts).alias("value"))
+
+
+def bed_blocks(lines: DataFrame) -> DataFrame:
+    """BED lines as blocks: name, seqid, strand, s, e."""
+    f = F.split("value", "\t")
+    both = F.arrays_zip(F.split(f[10], ",").alias("n"), F.split(f[11], ",").alias("o"))
+    rows = lines.select(f[3].alias("name"), f[0].alias("seqid"), F.when(f[5] == "-", -1).otherwise(1).alias("strand"), f[1].cast("long").alias("b"), F.explode(both).alias("x"))
+    s = F.col("b") + 1 + F.col("x.o").cast("long")
+    return rows.select("name", "seqid", "strand", s.alias("s"), (s + F.col("x.n").cast("long") - 1).alias("e"))
