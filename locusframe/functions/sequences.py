@@ -106,7 +106,7 @@ def longest_orf(seq: Column, code: str = "universal", start: str = "", with_stop
             k = int(n.argmax())
             # the longest, then the smallest offset
             if n[k] > 0 and (-n[k], begin[k] * 3 + frame) < (-found[0], found[1] if found[0] else 0):
-                found = (int(n[k]), int(begin[k]) * 3 + frame, p[begin[k]:end[k]].tobytes().decode() + "*" * (with_stop and end[k] < len(p)))
+                found = (int(n[k]), int(begin[k]) * 3 + frame, p[begin[k]:end[k]].tobytes().decode() + "*" * bool(with_stop and end[k] < len(p)))
         return found
 
     @F.pandas_udf("peptide string, offset int, strand int")

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from locusframe.operators.intervals import merge
 
-LENGTH = F.col("e") - F.col("s") + 1
+
+def length() -> Column:
+    """A block's bases."""
+    return F.col("e") - F.col("s") + 1
 
 
 def coordinates(blocks: DataFrame, keys: list[str]) -> DataFrame:
@@ -37,12 +40,12 @@ def natural_ends(blocks: DataFrame, keys: list[str]) -> DataFrame:
 
 def identity(blocks: DataFrame, keys: list[str], same: str) -> DataFrame:
     """Identical positions over aligned ones, three decimals."""
-    return blocks.groupBy(*keys).agg(F.round(F.sum(same) / F.sum(LENGTH), 3).alias("identity"))
+    return blocks.groupBy(*keys).agg(F.round(F.sum(same) / F.sum(length()), 3).alias("identity"))
 
 
 def aligned_share(blocks: DataFrame, keys: list[str], lengths: DataFrame) -> DataFrame:
     """The union of a hit's blocks over the whole length (keys, length), four decimals."""
-    size = merge(blocks, keys).groupBy(*keys).agg(F.sum(LENGTH).alias("_bases"))
+    size = merge(blocks, keys).groupBy(*keys).agg(F.sum(length()).alias("_bases"))
     return size.join(lengths, keys).select(*keys, F.round(F.col("_bases") / F.col("length"), 4).alias("share"))
 
 
@@ -89,6 +92,6 @@ def operations(text: Column) -> Column:
 def exons_in_transcript(exons: DataFrame, keys: list[str]) -> DataFrame:
     """Each exon's start (from 0) and end in transcript space, in the strand's direction; end is null for the last."""
     order = Window.partitionBy(*keys).orderBy(F.col("s") * F.col("strand"), F.col("e") * F.col("strand"), "id")
-    upto = F.sum(LENGTH).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    upto = F.sum(length()).over(order.rowsBetween(Window.unboundedPreceding, 0))
     last = F.lead("id").over(order).isNull()
-    return exons.withColumn("start_in", upto - LENGTH).withColumn("junction", F.when(~last, upto)).withColumn("number", F.row_number().over(order))
+    return exons.withColumn("start_in", upto - length()).withColumn("junction", F.when(~last, upto)).withColumn("number", F.row_number().over(order))

@@ -55,8 +55,8 @@ def junction_merge(spark, d):
 @query("feat hsps", "SELECT hit, round(sum((e - s + 1) - id_gap) / sum(e - s + 1), 3) AS identity FROM (SELECT *, least(e - s + 1, round(score * 100)::BIGINT % 7) AS id_gap FROM hsps) GROUP BY hit")
 def hit_identity(spark, d):
     """Here a block's differences are its score in cents modulo 7."""
-    gap = F.least(hits.LENGTH, F.round(F.col("score") * 100).cast("long") % 7)
-    return hits.identity(A.hsps(spark, d).withColumn("same", hits.LENGTH - gap), ["hit"], "same")
+    gap = F.least(hits.length(), F.round(F.col("score") * 100).cast("long") % 7)
+    return hits.identity(A.hsps(spark, d).withColumn("same", hits.length() - gap), ["hit"], "same")
 
 
 @query("feat hsps", "SELECT hit, CASE WHEN count_if(strand < 0) * 2 > count(*) THEN -1 ELSE 1 END AS strand, count(*) AS n FROM hsps GROUP BY hit")
@@ -159,7 +159,7 @@ def combined_lists(spark, d):
     for i, x in enumerate(lists, 1):
         x = x.withColumn("priority", F.lit(i))
         both = x if both is None else both.unionByName(x)
-    return both.groupBy("priority", "source").agg(F.count("*").alias("n"), F.sum(hits.LENGTH).alias("bases"))
+    return both.groupBy("priority", "source").agg(F.count("*").alias("n"), F.sum(hits.length()).alias("bases"))
 
 
 @query("feat hsps", "SELECT DISTINCT seqid, strand, s, e, source FROM hsps")

@@ -20,15 +20,18 @@ def features(lines: DataFrame, line: str = "value", tag: str | None = None) -> D
 
     '.' is null, a strand that is neither + nor - is +, and `tag` stands before the source."""
     text = F.rtrim(F.col(line))
-    f = F.split(text, "\t")
-    rows = lines.where(~text.rlike(r"^\s*(#|$)") & (F.size(f) >= 9))
+    fields = F.split(text, "\t")
+    rows = lines.where(~text.rlike(r"^\s*(#|$)") & (F.size(fields) >= 9))
+
+    # a filter on the result may be evaluated before the lines without nine columns are gone
+    f = [F.get(fields, F.lit(i)) for i in range(9)]
 
     def at(i: int) -> Column:
         return F.nullif(F.trim(f[i]), F.lit("."))
 
     source = F.concat(F.lit(f"{tag}:"), f[1]) if tag else f[1]
     return rows.select(
-        f[0].alias("seqid"), source.alias("source"), f[2].alias("type"), F.least(f[3].cast("long"), f[4].cast("long")).alias("s"), F.greatest(f[3].cast("long"), f[4].cast("long")).alias("e"),
+        f[0].alias("seqid"), source.alias("source"), f[2].alias("type"), F.least(f[3].try_cast("long"), f[4].try_cast("long")).alias("s"), F.greatest(f[3].try_cast("long"), f[4].try_cast("long")).alias("e"),
         at(5).try_cast("double").alias("score"), F.when(f[6] == "-", -1).otherwise(1).alias("strand"), at(7).try_cast("int").alias("phase"), attributes.parse(f[8]).alias("attributes"),
     )
 
@@ -152,12 +155,14 @@ def merged(files: list[DataFrame], models_only: str | None = None, legacy: bool
 
 
 def embedded_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """The sequences behind ##FASTA: seqid, definition, seq. Each file is cut at its marker, so a file is one row."""
+    """The sequences behind ##FASTA: seqid, definition, seq.
+
+    A file is cut where a line begins with the mark of a record, so it may be read in splits; the part before the
+    first record begins with a comment or a feature line, or holds the marker, and goes."""
     from locusframe.functions.sequences import records
 
-    whole = spark.read.option("wholetext", True).text(path)
-    behind = whole.select(F.explode(F.slice(F.split("value", r"(?m)^##FASTA[^\n]*\n"), 2, 1 << 20)).alias("t"))
-    return records(behind.select(F.explode(F.split("t", r"\n?>")).alias("t")).where(F.trim("t") != ""), "t")
+    rows = spark.read.option("lineSep", "\n>").text(path)
+    return records(rows.where(~F.col("value").rlike("^#|^[^\n]*(\t[^\n]*){8}") & ~F.contains("value", F.lit("##FASTA")) & (F.trim("value") != "")), "value")
 
 
 def bed_lines(exons: DataFrame, keys: list[str], name: str) -> DataFrame:
