@@ -150,21 +150,28 @@ def broken(seqs: DataFrame, size: int) -> DataFrame:
 
 
 def masked(seqs: DataFrame, pieces: DataFrame, hard: bool = True, pad: int = 0) -> DataFrame:
-    """Sequences with the pieces as N (hard) or lower case; pieces are disjoint and sorted here.
-
-    The text is put together from one array of pieces per sequence."""
-    spans = pieces.groupBy("seqid").agg(F.array_sort(F.collect_list(F.struct(F.greatest(F.col("s") - pad, F.lit(1)).cast("int").alias("s"), (F.col("e") + pad).cast("int").alias("e")))).alias("_p"))
+    """Sequences with the pieces as N (hard) or lower case; each text is cut and joined once, in an Arrow batch."""
+    low, high = (F.col("s") - pad).cast("long"), (F.col("e") + pad).cast("long")
+    spans = pieces.groupBy("seqid").agg(F.array_sort(F.collect_list(F.struct(low.alias("s"), high.alias("e")))).alias("_p"))
     both = seqs.join(spans, "seqid", "left")
 
-    def step(acc, p):
-        s = F.greatest(p["s"], acc["at"])
-        e = F.least(p["e"], F.length("seq"))
-        inside = F.substring("seq", s, F.greatest(e - s + 1, F.lit(0)))
-        new = F.repeat(F.lit("N"), F.length(inside)) if hard else F.lower(inside)
-        return F.when(e >= s, F.struct(F.concat(acc["text"], F.substring("seq", acc["at"], s - acc["at"]), new).alias("text"), (e + 1).alias("at"))).otherwise(acc)
-
-    done = F.aggregate("_p", F.struct(F.lit("").alias("text"), F.lit(1).alias("at")), step, lambda a: F.concat(a["text"], F.substring("seq", a["at"], F.length("seq"))))
-    return both.withColumn("seq", F.when(F.col("_p").isNull(), F.col("seq")).otherwise(done)).drop("_p")
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+        out = []
+        for text, begins, stops in zip(texts, starts, ends, strict=True):
+            if text is None or begins is None:
+                out.append(text)
+                continue
+            parts, at = [], 0
+            for s, e in zip(begins, stops, strict=True):
+                s, e = max(int(s) - 1, at), min(int(e), len(text))
+                if e > s:
+                    parts += [text[at:s], "N" * (e - s) if hard else text[s:e].lower()]
+                    at = e
+            out.append("".join([*parts, text[at:]]))
+        return pd.Series(out, dtype=object)
+
+    return both.withColumn("seq", cut("seq", F.transform("_p", lambda p: p["s"]), F.transform("_p", lambda p: p["e"]))).drop("_p")
 
 
 def n50(seqs: DataFrame, keys: list[str], as_written: bool = True) -> DataFrame:

@@ -107,10 +107,10 @@ def overlap_join(a: DataFrame, b: DataFrame, keys: list[str], flank: int = 0, ho
     right = spread(b.withColumnRenamed("s", "bs").withColumnRenamed("e", "be"), F.col("bs"), F.col("be"), "_lb")
     meets = (F.col("s") - flank <= F.col("be")) & (F.col("bs") <= F.col("e") + flank) & (F.col("_level") == F.greatest("_la", "_lb"))
     on = [*keys, "_level", "_bin"]
-    if how != "inner":
-        left = a.withColumn("_row", F.monotonically_increasing_id())
-        both = spread(left.select("_row", *keys, "s", "e"), F.col("s") - flank, F.col("e") + flank, "_la").join(right.select(*on, "bs", "be", "_lb"), on).where(meets)
-        return left.join(both.select("_row").distinct(), "_row", how).drop("_row")
+    if how != "inner":  # decided per span, so that rows need no number that two evaluations might give differently
+        spans = a.select(*keys, "s", "e").distinct()
+        met = spread(spans, F.col("s") - flank, F.col("e") + flank, "_la").join(right.select(*on, "bs", "be", "_lb"), on).where(meets).select(*keys, "s", "e").distinct()
+        return a.join(met, [*keys, "s", "e"], how).select(*a.columns)
     both = spread(a, F.col("s") - flank, F.col("e") + flank, "_la").join(right, on).where(meets)
     size = at(F.col("_level"))
     return both.where(F.col("_bin") == F.greatest(F.floor((F.col("s") - flank) / size), F.floor(F.col("bs") / size))).drop("_bin", "_level", "_la", "_lb")
