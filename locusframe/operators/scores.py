@@ -94,7 +94,7 @@ def eaed(exons: DataFrame, blocks: DataFrame, keys: list[str], bounds: DataFrame
     elsewhere = met.where("not _at_start and not _at_end").select(*keys, "_m", "s", "e")
     near = overlap_join(elsewhere, number.select(*keys, "s", "e", "_n"), keys, bin_sizes=(64, 1024, 1 << 14))
     shared = F.least("e", "be") - F.greatest("s", "bs") + 1
-    covers = (shared >= 0.9 * (F.col("be") - F.col("bs") + 1)) & (((F.col("_n") == 1) & (F.col("_m") == 1)) | (shared >= 0.9 * (F.col("e") - F.col("s") + 1)))
+    covers = (shared * 10 >= (F.col("be") - F.col("bs") + 1) * 9) & (((F.col("_n") == 1) & (F.col("_m") == 1)) | (shared * 10 >= (F.col("e") - F.col("s") + 1) * 9))
     agreeing = at_site.select(*keys, "s", "e").union(near.where(covers).select(*keys, "s", "e")).union(verified)
     if bounds is not None:
         coding = coding_phase(exons.select(*keys, "s", "e"), bounds, keys).select(*keys, "s", "e", "phase")

@@ -144,15 +144,16 @@ def intron_agreement(spark, d):
     return pairs.where("x < y").join(bad, ["strand", "x", "y"], "left").select(*SK, "x", "y", F.col("bad").isNull().alias("agree"))
 
 
-_SPLIT = """, ed AS (SELECT DISTINCT a.seqid, a.strand, a.hit AS x, b.hit AS y FROM hits a JOIN hits b ON a.seqid = b.seqid AND a.strand = b.strand AND a.s <= b.e AND b.s <= a.e AND a.hit < b.hit),
-    us AS (SELECT DISTINCT hit, seqid, strand, unnest(range(s, e + 1)) AS p FROM hsps), ln AS (SELECT hit, strand, count(*) AS n FROM us GROUP BY ALL),
-    sh AS (SELECT ed.seqid, ed.strand, x, y, count(*) AS n FROM ed JOIN us a ON a.hit = x AND a.strand = ed.strand JOIN us b ON b.hit = y AND b.strand = ed.strand AND b.p = a.p GROUP BY ALL),
-    eg AS (SELECT sh.seqid, sh.strand, x, y FROM sh JOIN ln a ON a.hit = x AND a.strand = sh.strand JOIN ln b ON b.hit = y AND b.strand = sh.strand WHERE sh.n / a.n >= 0.5 OR sh.n / b.n >= 0.5),
-    bo AS (SELECT * FROM eg UNION ALL SELECT seqid, strand, y, x FROM eg), dg AS (SELECT strand, x, count(*) AS d FROM bo GROUP BY ALL),
-    cm AS (SELECT eg.seqid, eg.strand, eg.x, eg.y, 1 + count(q.x) AS n FROM eg LEFT JOIN bo p ON p.x = eg.x AND p.strand = eg.strand LEFT JOIN bo q ON q.x = eg.y AND q.strand = eg.strand AND q.y = p.y GROUP BY ALL),
-    kp AS (SELECT cm.seqid, cm.strand, cm.x, cm.y FROM cm JOIN dg a ON a.x = cm.x AND a.strand = cm.strand JOIN dg b ON b.x = cm.y AND b.strand = cm.strand WHERE n / (a.d + b.d - n) >= 0.6),
-    re AS (SELECT seqid, strand, hit AS node, hit AS other FROM hits UNION SELECT re.seqid, re.strand, re.node, k.y FROM re JOIN (SELECT strand, x, y FROM kp UNION ALL SELECT strand, y, x FROM kp) k ON k.strand = re.strand AND k.x = re.other)
-    SELECT seqid, strand, node AS hit, min(other) AS cluster FROM re GROUP BY ALL"""
+_SPLIT = """, nd AS (SELECT *, hit * 2 + CASE WHEN strand > 0 THEN 0 ELSE 1 END AS node FROM hits),
+    ed AS MATERIALIZED (SELECT DISTINCT a.node AS x, b.node AS y FROM nd a JOIN nd b ON a.seqid = b.seqid AND a.strand = b.strand AND a.s <= b.e AND b.s <= a.e AND a.node < b.node),
+    us AS MATERIALIZED (SELECT DISTINCT hit * 2 + CASE WHEN strand > 0 THEN 0 ELSE 1 END AS node, unnest(range(s, e + 1)) AS p FROM hsps), ln AS MATERIALIZED (SELECT node, count(*) AS n FROM us GROUP BY node),
+    xb AS MATERIALIZED (SELECT x, y, p FROM ed JOIN us ON node = x), sh AS MATERIALIZED (SELECT x, y, count(*) AS n FROM xb JOIN us b ON b.node = y AND b.p = xb.p GROUP BY x, y),
+    eg AS MATERIALIZED (SELECT x, y FROM sh JOIN ln a ON a.node = x JOIN ln b ON b.node = y WHERE sh.n / a.n >= 0.5 OR sh.n / b.n >= 0.5),
+    bo AS MATERIALIZED (SELECT x, y FROM eg UNION ALL SELECT y, x FROM eg), dg AS MATERIALIZED (SELECT x, count(*) AS d FROM bo GROUP BY x),
+    wd AS MATERIALIZED (SELECT p.x, q.x AS y, count(*) AS k FROM bo p JOIN bo q ON q.y = p.y GROUP BY ALL), cm AS MATERIALIZED (SELECT eg.x, eg.y, 1 + coalesce(k, 0) AS n FROM eg LEFT JOIN wd ON wd.x = eg.x AND wd.y = eg.y),
+    kp AS MATERIALIZED (SELECT cm.x, cm.y FROM cm JOIN dg a ON a.x = cm.x JOIN dg b ON b.x = cm.y WHERE n / (a.d + b.d - n) >= 0.6), kk AS MATERIALIZED (SELECT x, y FROM kp UNION ALL SELECT y, x FROM kp),
+    re AS (SELECT node, node AS other FROM nd UNION SELECT re.node, kk.y FROM re JOIN kk ON kk.x = re.other), mn AS (SELECT node, min(other) // 2 AS cluster FROM re GROUP BY node)
+    SELECT seqid, strand, hit, cluster FROM nd JOIN mn USING (node)"""
 
 
 @query("feat hsps hits", _SPLIT)

@@ -29,7 +29,7 @@ _MODELS = """mo AS (SELECT *, max(e) OVER (PARTITION BY hit, seqid, strand ORDER
 _EAED = _MODELS + """st AS (SELECT *, k > 1 AND EXISTS (SELECT 1 FROM ex WHERE ex.tx = eb.tx AND ex.strand = eb.strand AND ex.i > 1 AND ex.s = eb.s) AS at_start FROM eb WHERE kind <> 'protein'),
     en AS (SELECT *, NOT at_start AND k <> n AND EXISTS (SELECT 1 FROM ex WHERE ex.tx = st.tx AND ex.strand = st.strand AND ex.i < ex.n AND ex.e = st.e) AS at_end FROM st),
     kp AS (SELECT * FROM en WHERE at_start OR at_end OR EXISTS (SELECT 1 FROM ex WHERE ex.tx = en.tx AND ex.strand = en.strand AND ex.s <= en.e AND en.s <= ex.e
-      AND (least(ex.e, en.e) - greatest(ex.s, en.s) + 1) >= 0.9 * (ex.e - ex.s + 1) AND ((ex.n = 1 AND en.m = 1) OR (least(ex.e, en.e) - greatest(ex.s, en.s) + 1) >= 0.9 * (en.e - en.s + 1)))),
+      AND 10 * (least(ex.e, en.e) - greatest(ex.s, en.s) + 1) >= 9 * (ex.e - ex.s + 1) AND ((ex.n = 1 AND en.m = 1) OR 10 * (least(ex.e, en.e) - greatest(ex.s, en.s) + 1) >= 9 * (en.e - en.s + 1)))),
     vf AS (SELECT * FROM ex WHERE i > 1 AND i < n AND EXISTS (SELECT 1 FROM en WHERE en.tx = ex.tx AND en.strand = ex.strand AND kind = 'est' AND at_start AND en.s = ex.s)
       AND EXISTS (SELECT 1 FROM en WHERE en.tx = ex.tx AND en.strand = ex.strand AND kind = 'est' AND at_end AND en.e = ex.e)),
     xb AS (SELECT tx, strand, unnest(range(s, e + 1)) AS b FROM ex),
