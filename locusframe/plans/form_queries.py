@@ -15,7 +15,7 @@ _BLOCKS = """, hq AS (SELECT hit, seqid, strand, min(s) AS s, max(e) AS e, count
     pr AS (SELECT a.seqid, a.strand, a.hit AS x, b.hit AS y, a.n AS nx, b.n AS ny FROM hq a JOIN hq b ON a.seqid = b.seqid AND a.strand = b.strand AND a.s <= b.e AND b.s <= a.e AND a.hit <> b.hit),
     un AS (SELECT pr.seqid, pr.strand, x, y, h.s, h.e FROM pr JOIN hsps_q h ON h.strand = pr.strand AND h.hit IN (x, y) AND h.seqid = pr.seqid),
     um AS (SELECT *, max(e) OVER (PARTITION BY seqid, strand, x, y ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM un),
-    ui AS (SELECT *, sum(CASE WHEN p IS NULL OR s > p + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY seqid, strand, x, y ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS i FROM um),
+    ui AS (SELECT *, sum(CASE WHEN p IS NULL OR s > p + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY seqid, strand, x, y ORDER BY s, e, p NULLS FIRST ROWS UNBOUNDED PRECEDING) AS i FROM um),
     pc AS (SELECT seqid, strand, x, y, i, min(s) AS s, max(e) AS e FROM ui GROUP BY ALL),"""
 
 

@@ -34,7 +34,7 @@ def shift_offset(spark, d):
 
 
 _CHAINS = """, bf AS (SELECT *, max(e) OVER (PARTITION BY hit, strand ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM hsps),
-    ch AS (SELECT *, sum(CASE WHEN s - p > {most} THEN 1 ELSE 0 END) OVER (PARTITION BY hit, strand ORDER BY s, e ROWS UNBOUNDED PRECEDING)::BIGINT AS chain FROM bf)"""
+    ch AS (SELECT *, sum(CASE WHEN s - p > {most} THEN 1 ELSE 0 END) OVER (PARTITION BY hit, strand ORDER BY s, e, p NULLS FIRST ROWS UNBOUNDED PRECEDING)::BIGINT AS chain FROM bf)"""
 
 
 @query("feat hsps", _CHAINS.format(most=120) + " SELECT hit, strand, chain, min(s) AS s, max(e) AS e, count(*) AS blocks FROM ch GROUP BY ALL")

@@ -12,7 +12,7 @@ from locusframe.sources import adapters as A
 
 def _pieces(source: str, keys: str, flank: int = 0) -> str:
     return f"""_o AS (SELECT *, max(e + {flank}) OVER (PARTITION BY {keys} ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM {source}),
-      _i AS (SELECT *, sum(CASE WHEN p IS NULL OR s - {flank} > p + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY {keys} ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM _o),
+      _i AS (SELECT *, sum(CASE WHEN p IS NULL OR s - {flank} > p + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY {keys} ORDER BY s, e, p NULLS FIRST ROWS UNBOUNDED PRECEDING) AS island FROM _o),
       pieces AS (SELECT {keys}, island, greatest(min(s) - {flank}, 1) AS s, max(e) + {flank} AS e, count(*) AS n FROM _i GROUP BY {keys}, island)"""
 
 

@@ -17,7 +17,7 @@ TK = ["tx", *SK]
 BINS = (64, 1024, 1 << 14)
 
 _MODELS = """mo AS (SELECT *, max(e) OVER (PARTITION BY hit, seqid, strand ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM hsps_q),
-    mi AS (SELECT *, sum(CASE WHEN p IS NULL OR s > p + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY hit, seqid, strand ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS i FROM mo),
+    mi AS (SELECT *, sum(CASE WHEN p IS NULL OR s > p + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY hit, seqid, strand ORDER BY s, e, p NULLS FIRST ROWS UNBOUNDED PRECEDING) AS i FROM mo),
     bk AS (SELECT hit, seqid, strand, min(s) AS s, max(e) AS e FROM mi GROUP BY hit, seqid, strand, i),
     ex AS (SELECT hit AS tx, seqid, strand, s, e, row_number() OVER (PARTITION BY hit, seqid, strand ORDER BY s) AS i, count(*) OVER (PARTITION BY hit, seqid, strand) AS n FROM bk WHERE hit % 5 = 0),
     sp AS (SELECT tx, seqid, strand, min(s) AS s, max(e) AS e, min(s) + 30 AS cs, max(e) - 30 AS ce, count(*) AS n FROM ex GROUP BY tx, seqid, strand),

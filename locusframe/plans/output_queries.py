@@ -14,7 +14,7 @@ from locusframe.sources import adapters as A
 from locusframe.sources import fasta, gff3
 
 _ISO = """bo AS (SELECT *, max(e) OVER (PARTITION BY hit, seqid, strand ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM hsps_q),
-    bi AS (SELECT *, sum(CASE WHEN p IS NULL OR s > p + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY hit, seqid, strand ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS i FROM bo),
+    bi AS (SELECT *, sum(CASE WHEN p IS NULL OR s > p + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY hit, seqid, strand ORDER BY s, e, p NULLS FIRST ROWS UNBOUNDED PRECEDING) AS i FROM bo),
     ex AS (SELECT seqid || CASE WHEN strand > 0 THEN 'p' ELSE 'm' END AS gene, hit || CASE WHEN strand > 0 THEN 'p' ELSE 'm' END AS tr, hit, seqid, strand, min(s) AS s, max(e) AS e FROM bi GROUP BY hit, seqid, strand, i),
     sp AS (SELECT gene, tr, hit, seqid, strand, min(s) AS s, max(e) AS e FROM ex GROUP BY ALL),
     cd AS (SELECT tr, s + 30 AS cs, e - 30 AS ce FROM sp WHERE hit % 4 <> 0 AND e - s > 90)"""
