@@ -88,7 +88,7 @@ def overlap_edges(a: DataFrame, keys: list[str], node: str) -> DataFrame:
     """Pairs x < y of nodes whose spans overlap."""
     left = a.select(*keys, F.col(node).alias("x"), "s", "e")
     right = a.select(*keys, F.col(node).alias("y"), "s", "e")
-    return overlap_join(left, right, keys).where("x < y").select(*keys, "x", "y").distinct()
+    return overlap_join(left, right, keys, bin_sizes=(64, 1024, 1 << 14)).where("x < y").select(*keys, "x", "y").distinct()
 
 
 def jaccard_edges(edges: DataFrame, keys: list[str], least: float) -> DataFrame:

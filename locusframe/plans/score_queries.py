@@ -176,7 +176,7 @@ def exon_start_in_transcript(spark, d):
 def gene_set_diff(spark, d):
     """How many genes of one set meet none, one or many of the other."""
     h = A.hits(spark, d)
-    met = intervals.overlap_join(h.where("hit % 5 = 0").select("hit", *SK, "s", "e"), h.where("hit % 5 <> 0").select(*SK, "s", "e", F.col("hit").alias("b_hit")), SK).groupBy("hit", *SK).agg(F.count("*").alias("k"))
+    met = intervals.overlap_join(h.where("hit % 5 = 0").select("hit", *SK, "s", "e"), h.where("hit % 5 <> 0").select(*SK, "s", "e", F.col("hit").alias("b_hit")), SK, bin_sizes=(64, 1024, 1 << 14)).groupBy("hit", *SK).agg(F.count("*").alias("k"))
     n = F.coalesce("k", F.lit(0))
     rows = h.where("hit % 5 = 0").join(met, ["hit", *SK], "left")
     return rows.groupBy(*SK).agg(F.count_if(n == 0).alias("none"), F.count_if(n == 1).alias("one"), F.count_if(n > 1).alias("many"))
