@@ -7,7 +7,9 @@ segment's bigram count lies within the bounds that the threshold allows: with n
 the coefficient is at most 2 min(n, m) / (n + m).
 
 Null and empty texts have no segments. Segments of one word match nothing. Repeated bigrams count
-once. A document's licences are listed in alphabetical order; equal rows get equal results.
+once. A document's licences are listed in alphabetical order; equal rows get equal results. Texts of
+any length are scanned whole; an empty table gives no rows. The result has the named columns alone;
+other columns of docs, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -124,7 +126,7 @@ def oracle(templates: list[tuple[str, str]] = TEMPLATES, least: float = 0.8) ->
           SELECT doc_id, w, i AS k FROM full_lines
           UNION ALL SELECT doc_id, w, -1 - block FROM blocks WHERE n > 1
           UNION ALL SELECT doc_id, flatten(list(w ORDER BY block)), -1000000000 FROM blocks GROUP BY doc_id HAVING count(*) > 1),
-        grams AS (SELECT doc_id, row_number() OVER () AS s, {grams.format(w='w')} AS g FROM segments WHERE len(w) BETWEEN 2 AND 2000),
+        grams AS (SELECT doc_id, row_number() OVER () AS s, {grams.format(w='w')} AS g FROM segments WHERE len(w) >= 2),
         scored AS (
           SELECT doc_id, s, name, 2 * len(list_intersect(grams.g, t.g)) / (len(grams.g) + len(t.g)) AS dice
           FROM grams JOIN t ON len(grams.g) BETWEEN {least} * len(t.g) / (2 - {least}) - 1 AND len(t.g) * (2 - {least}) / {least} + 1),

@@ -14,7 +14,9 @@ components is lost. Links are confirmed on full sets (64-bit shingle hashes, cut
 
 Null texts and texts without words have an empty set and link with nothing; texts with fewer words
 than a shingle are one shingle. Rows with equal doc_ids count as documents of their own. Documents
-with a null doc_id take part; component_id is null where no other doc_id is reachable.
+with a null doc_id take part; component_id is null where no other doc_id is reachable. Texts of any
+length count whole; an empty table gives no rows. The result has the named columns alone; other
+columns of docs, whatever their names, are not read.
 """
 
 from __future__ import annotations

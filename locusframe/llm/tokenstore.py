@@ -12,7 +12,8 @@ The files (all Parquet, written by Spark in the store's folder):
   manifest/ part, n_docs, n_tokens, first_doc, last_doc, root
 
 Null texts are empty and give end_id alone. Equal doc_ids are documents of their own, in order of
-root; null doc_ids come first. An empty table gives empty files.
+root; null doc_ids come first. Texts of any length are encoded whole. An empty table gives empty files.
+Columns of docs other than doc_id and text, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -7,7 +7,9 @@ page_id is a response and the others are revisits that refer to it.
 
 Null html is an empty payload. Null page_ids count as the largest. Rows that are equal in page_id,
 url and payload are the same capture: all of them are responses where one is. Fewer than eight
-records, or too little to train on, give an archive without a dictionary.
+records, or too little to train on, give an archive without a dictionary. Payloads of any length are
+written whole; an empty table gives an empty manifest. Columns of pages other than page_id, url and
+html, whatever their names, are not read.
 """
 
 from __future__ import annotations
