@@ -12,7 +12,7 @@ from locusframe.sources import fasta, gff3
 
 
 def test_registers_without_a_session():
-    code = "import __spark_entry__ as e; assert len(e.queries()) > len(e.oracle_sql()) > 100"
+    code = "import __spark_entry__ as e; assert len(e.queries()) >= len(e.oracle_sql()) > 100"
     subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parent.parent, timeout=120)
 
 
