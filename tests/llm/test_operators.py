@@ -470,3 +470,32 @@ def test_licences(spark):
     assert got[1] == (2, "Apache-2.0")  # the line, and the block that it stands in
     assert got[2] == (1, "Proprietary")
     assert all(got[i] == (0, "") for i in (3, 4, 5))
+
+
+def clashing(df):
+    """df with columns of the names that operators use inside."""
+    for name in ("row", "rid", "node", "band", "bucket", "shard", "slice", "key", "doc", "digest", "payload", "kind", "n", "part", "extra", "item", "task", "vec", "component", "first", "score", "_text", "_row"):
+        df = df.withColumn(name, F.lit("x"))
+    return df
+
+
+def test_other_columns_of_any_name(spark, docs):
+    """The same rows come out whatever other columns a table has."""
+    small = docs.where("doc_id < 16")
+    word, byte, ranks = (tokenizers.path(x) for x in ("word_bpe_49k.json", "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"))
+    pick = lambda df, *cols: sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
+    runs = [
+        lambda d: pick(licences.scan(d), "doc_id", "n_matches"),
+        lambda d: pick(tokenstore.read_checksums(spark, tokenstore.write_store(d, byte, 2)), "doc_id", "start", "ids_crc32"),
+        lambda d: pick(langid.identify(d), "doc_id", "lang_pred"),
+        lambda d: pick(minhash.cluster(d, 2), "doc_id", "component_id"),
+        lambda d: pick(packing.pack_documents(d, word), "doc_id", "piece", "length"),
+        lambda d: pick(substrings.dedup(d), "doc_id", "n_removed"),
+        lambda d: pick(bpe.encode_documents(d, ranks, tokenizers.PATTERN), "doc_id", "ids_sha256"),
+    ]
+    for run in runs:
+        assert run(clashing(small)) == run(small)
+    pages = spark.createDataFrame([(i, f"http://{i % 3}", "<p>" + "y" * 150 * (i % 2)) for i in range(6)], "page_id long, url string, html string")
+    assert pick(warc.read_archives(warc.write_archives(clashing(pages))), "page_id", "record_type") == pick(warc.read_archives(warc.write_archives(pages)), "page_id", "record_type")
+    vectors = spark.createDataFrame([(i, [1.0, float(i % 2), 0.5]) for i in range(6)], "vec_id long, embedding array<double>")
+    assert pick(nearest.link(clashing(vectors)), "vec_id", "n_links") == pick(nearest.link(vectors), "vec_id", "n_links")
