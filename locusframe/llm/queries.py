@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusframe.llm import bpe, iblt, langid, licences, minhash, nearest, packing, substrings, tokenstore, warc
-from locusframe.llm.shared import table
+from locusframe.llm import bpe, iblt, langid, licences, minhash, nearest, negatives, packing, prefixes, substrings, tokenstore, topk, warc
+from locusframe.llm.shared import stored, table
 
 
 def _vocabulary(name: str) -> str:
@@ -64,7 +64,26 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_licence_scan, op2_warc_archives, op3_nn_descent, op4_token_store, op5_language_id, op6_iblt_fingerprints, op7_minmax_near_dedup, op8_best_fit_packing, op9_substring_dedup, op10_byte_bpe)}
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = stored(prefixes.numbered_turns(table(spark, sf_dir, "conversations")))
+    opening = F.crc32(F.col("conv_id").cast("string")) % 9
+    return prefixes.trie(prefixes.shared_openings(turns, opening, of=5))
+
+
+OPERATORS = (
+    op1_licence_scan, op2_warc_archives, op3_nn_descent, op4_token_store, op5_language_id, op6_iblt_fingerprints, op7_minmax_near_dedup, op8_best_fit_packing, op9_substring_dedup, op10_byte_bpe,
+    op11_exact_top_k, op12_hard_negatives, op13_prefix_trie,
+)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPERATORS}
 
 SQL: dict[str, str] = {
     "op1_licence_scan": licences.oracle(),
@@ -76,4 +95,7 @@ SQL: dict[str, str] = {
           CASE WHEN f.first_id <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
           CASE WHEN f.first_id <> d.page_id THEN f.first_id END AS refers_to
         FROM d LEFT JOIN f USING (payload_digest)""",
+    "op11_exact_top_k": topk.SQL,
+    "op12_hard_negatives": negatives.SQL,
+    "op13_prefix_trie": prefixes.SQL,
 }
