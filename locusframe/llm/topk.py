@@ -119,13 +119,13 @@ def search(vectors: DataFrame, queries: Column, k: int = 10, scale: int = 1024,
     """Of each row for which `queries` holds, its k best other rows: query_id, rank (from 1), vec_id, score."""
     rows = whole_numbers(vectors, vector, scale, vec_id=F.col("vec_id").cast("long"), asks=F.coalesce(queries, F.lit(False)))
     candidates, blocks = dealt(rows, most_bytes, least_rows)
-    asked = rows.where("asks").withColumn("floor", F.lit(None).cast("long"))
+    asked = stored(rows.where("asks").select("dim", "row", "vec_id", "vec", F.lit(None).cast("long").alias("floor")))
     size = asked.agg(F.sum(F.col("dim") + 1)).head()[0] or 0
     parts = max(1, -(-8 * size // most_bytes))
     asked = asked.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int"))
     candidates = spread(candidates, "part", parts)
     if blocks > 1:
-        first = _meet(candidates.where("block = 0"), asked.withColumn("block", F.lit(0)), k)
+        first = _meet(candidates.where("block = 0"), spread(asked, "block", 1), k)
         floors = first.groupBy("query").agg(F.min("score").alias("least"), F.count("*").alias("n")).where(F.col("n") == k)
         asked = stored(asked.drop("floor").join(floors.select(F.col("query").alias("row"), F.col("least").alias("floor")), "row", "left"))
     found = _meet(candidates, spread(asked, "block", blocks), k)
