@@ -1,12 +1,12 @@
 """Exact top-k search by Fagin's threshold algorithm over sorted per-dimension lists.
 
 Vectors are whole numbers (floor(scale * x)), scores are integer inner products. Candidates lie in blocks;
-each block sorts its rows once by every dimension. A query reads the lists in parallel, from the end
-that its component's sign favours, and scores in full what it meets for the first time. What it has not met
-is at most the last value read in every list, and no longer than the block's longest vector; the largest
-product with these two limits is the bound. The query leaves the block as soon as the bound is below its
-k-th score. Where the next reads would be no fewer than the rows not met, those rows are scored outright,
-which random vectors of many dimensions always come to: their lists rule nothing out before.
+each block sorts its rows once by every dimension. A query reads the lists from the end that its component's sign
+favours, and scores in full what it meets for the first time. What it has not met is at most the last value read in
+every list, and no longer than the block's longest vector; the largest product with these two limits is the bound.
+The search leaves the block once the bound is below the query's k-th score. Lists are read as deep as lowers the bound
+most per read, which their values alone tell. Where half as many reads as there are rows don't bring the bound
+below the k-th score, all rows are scored: lists of random vectors of many dimensions rule nothing out before.
 
 All queries meet one block first; the k-th score found there lets the search stop earlier in all blocks.
 Blocks and groups of queries are bounded by their bytes, and per query and block at most k rows go on.
@@ -30,65 +30,94 @@ from locusframe.llm.vectors import by_id, dealt, matrix, spread, whole_numbers
 
 FOUND = "query long, query_id long, row long, vec_id long, score long"
 #: Multipliers tried for the bound under a limit on length; any of them gives a valid bound.
-STRETCH = 2.0 ** np.arange(0, 6, 0.5)[:, None]
+STRETCH = (1.0, 1.5, 2.5, 5.0)
 
 
 class SortedLists:
     """A block's rows with a list per dimension, ascending."""
 
-    def __init__(self, rows: np.ndarray):
-        self.rows = rows
+    def __init__(self, rows: np.ndarray, first: int = 4):
+        n = len(rows)
+        self.rows, self.first = rows, first
         self.order = np.argsort(rows, axis=0, kind="stable").T.astype(np.int32)
-        self.values = np.take_along_axis(rows, self.order.T, 0).T
+        values = np.take_along_axis(rows, self.order.T, 0).T
         self.longest = float(np.sqrt((rows * rows).sum(1).max(initial=0)))
-        self.reads = self.scored = 0
-
-    def bound(self, weight: np.ndarray, last: np.ndarray, length: float) -> float:
-        """The most that a row can score whose values are at most `last` and whose length is at most the block's longest.
-
-        For every multiplier m, sum(w x - x^2 / 2m) + longest^2 / 2m with x = min(last, m w) is no less than that."""
-        plain = float(weight @ last)
-        if not length or not self.longest:
-            return plain
-        m = STRETCH * (self.longest / length)
-        x = np.minimum(last, m * weight)
-        limited = (x @ weight) - (x * x).sum(1) / (2 * m[:, 0]) + self.longest**2 / (2 * m[:, 0])
-        return min(plain, float(limited.min()))
-
-    def search(self, query: np.ndarray, k: int, floor: float = -np.inf, own: int = -1, step: int = 4) -> tuple[np.ndarray, np.ndarray]:
+        depths = [0]
+        while depths[-1] < n:
+            depths.append(min(n, max(first, 2 * depths[-1])))
+        self.depths = np.array(depths)
+        #: The most that is left behind each depth, from the lists' ends and, with the sign turned, from their begins.
+        at = np.maximum(self.depths - 1, 0)
+        self.down, self.up = values[:, n - 1 - at] if n else values[:, :0], -values[:, at] if n else values[:, :0]
+        self.scored = 0
+
+    def plan(self, weight: np.ndarray, left: np.ndarray, length: float, least: float, most: int) -> tuple[bool, np.ndarray]:
+        """Whether at most `most` reads bring the bound below `least`, and the level of depth of each list for the fewest such reads, or
+        else for the lowest bound that so many reads bring.
+
+        For every multiplier m no row scores more than sum(w x - x^2 / 2m) + longest^2 / 2m with x = min(last, m w), nor than sum(w last)."""
+        best: tuple = (False, np.inf, None)
+        cost = np.diff(self.depths)
+        for stretch in (*STRETCH, None):
+            if stretch is None:
+                part, rest = weight[:, None] * left, 0.0
+            else:
+                m = stretch * self.longest / length
+                x = np.minimum(left, m * weight[:, None])
+                part, rest = weight[:, None] * x - x * x / (2 * m), self.longest**2 / (2 * m)
+            bound = float(part[:, 0].sum()) + rest
+            gain = part[:, :-1] - part[:, 1:]
+            order = np.argsort(-np.minimum.accumulate(gain / cost, 1), axis=None, kind="stable")
+            dim, level = np.unravel_index(order, gain.shape)
+            reads = np.concatenate([[0], np.cumsum(cost[level])])
+            # what an unmet row can score at most after so many steps, with room for rounding
+            after = (bound - np.concatenate([[0], np.cumsum(gain.ravel()[order])])) * (1 + np.sign(bound) * 1e-9) + 1e-6
+            after = after[:np.searchsorted(reads, most, "right")]
+            steps = int(np.argmax(after < least))
+            found = bool(after[steps] < least)
+            steps = steps if found else len(after) - 1
+            worth = reads[steps] if found else after[steps]
+            if found > best[0] or (found == best[0] and worth < best[1]):
+                best = found, worth, (dim[:steps], level[:steps])
+        deep = np.zeros(len(weight), np.int64)
+        np.maximum.at(deep, best[2][0], best[2][1] + 1)
+        return best[0], deep
+
+    def search(self, query: np.ndarray, k: int, floor: float = -np.inf, own: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Rows and scores of the k best by score, then row; those below floor may be missing, `own` is left out."""
         n = len(self.rows)
         met = np.zeros(n, bool)
         if own >= 0:
             met[own] = True
         dims = np.flatnonzero(query)
-        weight, down, length = np.abs(query[dims]), query[dims, None] > 0, float(np.sqrt(query @ query))
+        down = query[dims] > 0
         rows, scores = np.zeros(0, np.int64), np.zeros(0)
-        left, depth = n - int(met.sum()), 0
-        while left:
-            to = min(n, max(step, 2 * depth))
-            if (to - depth) * len(dims) >= left or not len(dims):
-                new = np.flatnonzero(~met)
-            else:
-                at = np.arange(depth, to)[None, :]
-                new = self.order[dims[:, None], np.where(down, n - 1 - at, at)].ravel()
-                self.reads += len(new)
-                new = np.unique(new[~met[new]]).astype(np.int64)
+
+        def score(new: np.ndarray) -> None:
+            nonlocal rows, scores
+            new = np.unique(new[~met[new]])
             met[new] = True
-            left -= len(new)
             self.scored += len(new)
             got = self.rows[new] @ query
             high = got >= floor
             rows, scores = np.concatenate([rows, new[high]]), np.concatenate([scores, got[high]])
             best = np.lexsort((rows, -scores))[:k]
             rows, scores = rows[best], scores[best]
-            if left:
-                depth = to
-                end = np.where(down[:, 0], n - depth, depth - 1)
-                last = np.where(down[:, 0], 1, -1) * self.values[dims, end]
+
+        def read(depth: np.ndarray) -> None:
+            score(np.concatenate([self.order[d, n - e:] if f else self.order[d, :e] for d, f, e in zip(dims.tolist(), down.tolist(), depth.tolist(), strict=True) if e] or [np.zeros(0, np.int64)]).astype(np.int64))
+
+        if n and len(dims) and self.first * len(dims) < n:
+            if floor == -np.inf:
+                read(np.full(len(dims), self.first))
+            weight, left, length = np.abs(query[dims]), np.where(down[:, None], self.down[dims], self.up[dims]), float(np.sqrt(query @ query))
+            for share in (4, 2, 2):
                 least = max(floor, scores[-1] if len(scores) == k else -np.inf)
-                if self.bound(weight, last, length) * (1 + 1e-9) + 1e-6 < least:
-                    break
+                enough, level = self.plan(weight, left, length, least, n // share)
+                read(self.depths[level])
+                if enough:
+                    return rows, scores
+        score(np.arange(n))
         return rows, scores
 
 
