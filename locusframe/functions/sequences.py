@@ -64,6 +64,24 @@ def _translated(seq: str, offset: int, residues: np.ndarray) -> np.ndarray:
     return residues[x[:, 0] * 25 + x[:, 1] * 5 + x[:, 2]]
 
 
+def codon_numbers(text: str) -> np.ndarray:
+    """The number of the codon that begins at each letter but the last two."""
+    x = _NUMBER[np.frombuffer(text.encode("ascii", "replace"), np.uint8)]
+    return x[:-2] * 25 + x[1:-1] * 5 + x[2:]
+
+
+def residues_by_number(code: str = "universal") -> np.ndarray:
+    """Amino acids (as bytes) by codon number; codons with unknown letters are X."""
+    return _residues(code)
+
+
+def reversed_residues(code: str = "universal") -> np.ndarray:
+    """The same for codons read on the other strand."""
+    a, b, c = np.unravel_index(np.arange(125), (5, 5, 5))
+    other = np.array([2, 3, 0, 1, 4])  # T and A, C and G
+    return _residues(code)[other[c] * 25 + other[b] * 5 + other[a]]
+
+
 def translate(seq: Column, offset: int | Column = 0, code: str = "universal") -> Column:
     """Amino acids from an offset; U reads as T, codons with other letters are X. Null stays null."""
     residues = _residues(code)

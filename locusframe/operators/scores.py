@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from locusframe.operators.frames import phased
 from locusframe.operators.intervals import merge, overlap_bases, overlap_join
 
 
@@ -66,11 +67,13 @@ def coding_phase(exons: DataFrame, bounds: DataFrame, keys: list[str], strand: s
     return cut.withColumn("phase", F.coalesce(F.sum(F.col("e") - F.col("s") + 1).over(order), F.lit(0)) % 3)
 
 
-def eaed(exons: DataFrame, blocks: DataFrame, keys: list[str], bounds: DataFrame | None = None) -> DataFrame:
+def eaed(exons: DataFrame, blocks: DataFrame, keys: list[str], bounds: DataFrame | None = None, inferred: DataFrame | None = None) -> DataFrame:
     """A4: per transcript eaed = 1 - (sensitivity + specificity) / 2, where evidence counts only if it agrees in structure.
 
     exons: keys, s, e, and strand among the keys; disjoint. blocks: keys of the transcript that they are evidence for, hit,
-    kind (est, protein or other), s, e. bounds: keys, cs, ce (the coding span), without which proteins don't count as agreeing.
+    kind (est, protein or other), s, e, and gap where proteins have gaps or frame shifts (see frames.phased). bounds: keys, cs, ce (the
+    coding span), without which proteins don't count as agreeing. inferred: keys, s, e of exons that spliced reads bound
+    (frames.inferred_exons), which count as evidence.
 
     An EST's block agrees if it begins or ends at an inner splice site of the transcript, or if it and an exon cover each other
     by 90 % (of single blocks only the exon needs to be covered). An exon with both splice sites so met by ESTs agrees whole, and counts
@@ -98,13 +101,18 @@ def eaed(exons: DataFrame, blocks: DataFrame, keys: list[str], bounds: DataFrame
     agreeing = at_site.select(*keys, "s", "e").union(near.where(covers).select(*keys, "s", "e")).union(verified)
     if bounds is not None:
         coding = coding_phase(exons.select(*keys, "s", "e"), bounds, keys).select(*keys, "s", "e", "phase")
-        codons = blocks.where("kind = 'protein'").withColumn("e", F.expr("s + 3 * ((e - s + 1) div 3) - 1")).where("e > s").select(*keys, "s", "e")
+        proteins = blocks.where("kind = 'protein'")
+        if "gap" in blocks.columns:
+            codons = phased(proteins).select(*keys, "s", "e", "p")
+        else:
+            codons = proteins.withColumn("e", F.expr("s + 3 * ((e - s + 1) div 3) - 1")).where("e > s").select(*keys, "s", "e", F.col("s").alias("p"))
         both = overlap_join(codons, coding, keys, bin_sizes=(64, 1024, 1 << 14))
-        turn = F.when(F.col("strand") > 0, F.col("phase") - F.col("bs") + F.col("s")).otherwise(F.col("phase") + F.col("be") - 2 - F.col("s"))
+        turn = F.when(F.col("strand") > 0, F.col("phase") - F.col("bs") + F.col("p")).otherwise(F.col("phase") + F.col("be") - 2 - F.col("p"))
         agreeing = agreeing.union(both.where(turn % 3 == 0).select(*keys, F.greatest("s", "bs").alias("s"), F.least("e", "be").alias("e")))
     size = lambda p, name: p.groupBy(*keys).agg(F.sum(F.col("e") - F.col("s") + 1).alias(name))
     model = merge(exons, keys)
-    evidence = merge(blocks.select(*keys, "s", "e").union(verified), keys)
+    known = blocks.select(*keys, "s", "e").union(verified)
+    evidence = merge(known if inferred is None else known.union(inferred.select(*keys, "s", "e")), keys)
     found = size(model, "_model").join(size(evidence, "_evidence"), keys, "left").join(overlap_bases(model, merge(agreeing, keys), keys), keys, "left")
     agreed = F.coalesce("shared", F.lit(0))
     score = 1 - (agreed / F.col("_model") + agreed / F.col("_evidence")) / 2
