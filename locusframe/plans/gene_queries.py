@@ -6,9 +6,11 @@ a protein, one a prediction. Proteins' gaps follow from their place."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from locusframe.operators import frames, intervals, scores
+from locusframe.operators import competition, consensus, frames, intervals, scores, selection
+from locusframe.operators import junctions as junctions_
 from locusframe.plans.interval_queries import SK, _after
 from locusframe.plans.model_queries import _EAED, _MODELS, BINS, TK
 from locusframe.plans.registry import query
@@ -84,3 +86,114 @@ def eaed_frames(spark, d):
     exons, spans, evidence = _parts(spark, d)
     found = scores.eaed(exons, evidence, TK, spans.select(*TK, "cs", "ce"), stored(_inferred(spark, d, evidence)))
     return found.select(*TK, F.round("eaed", 6).alias("eaed"))
+
+
+ALLOW = 0.2
+_COMPETITION = _GENES + f"""it AS (SELECT tx, strand, e AS s, nx AS e FROM (SELECT *, lead(s) OVER (PARTITION BY tx, strand ORDER BY s) AS nx FROM ex) WHERE nx IS NOT NULL),
+    et AS (SELECT tx, strand, e AS s, nx AS e FROM (SELECT *, lead(s) OVER (PARTITION BY tx, strand, hit ORDER BY s) AS nx FROM eb WHERE kind = 'est') WHERE nx IS NOT NULL),
+    cb AS (SELECT tx, strand, sum(greatest(least(ex.e, ce) - greatest(ex.s, cs) + 1, 0))::BIGINT // 3 AS residues FROM ex JOIN (SELECT tx, strand, cs, ce FROM sp) USING (tx, strand) GROUP BY ALL),
+    g0 AS (SELECT tx * 2 - CASE WHEN strand > 0 THEN 0 ELSE 1 END AS gene, tx, seqid, strand, cs AS s, ce AS e, residues, EXISTS (SELECT 1 FROM it JOIN et USING (tx, strand, s, e) WHERE it.tx = sp.tx AND it.strand = sp.strand)
+      OR EXISTS (SELECT 1 FROM ex JOIN eb USING (tx, strand, s, e) WHERE ex.tx = sp.tx AND ex.strand = sp.strand AND eb.kind <> 'protein') AS sure FROM sp JOIN cb USING (tx, strand) WHERE cs <= ce),
+    o1 AS (SELECT *, row_number() OVER (PARTITION BY seqid, strand ORDER BY residues DESC, gene) AS r FROM g0),
+    w1 AS (SELECT seqid, strand, 1 AS r, [struct_pack(gene := gene, s := s, e := e)] AS kept FROM o1 WHERE r = 1
+      UNION ALL SELECT w1.seqid, w1.strand, o1.r::INT, CASE WHEN len(list_filter(kept, lambda k: k.s <= o1.e AND o1.s <= k.e)) = 0 THEN list_append(kept, struct_pack(gene := o1.gene, s := o1.s, e := o1.e)) ELSE kept END
+      FROM w1 JOIN o1 ON o1.seqid = w1.seqid AND o1.strand = w1.strand AND o1.r = w1.r + 1),
+    k1 AS (SELECT unnest(kept).gene AS gene FROM (SELECT *, max(r) OVER (PARTITION BY seqid, strand) AS last FROM w1) WHERE r = last),
+    g1 AS (SELECT g0.* FROM g0 SEMI JOIN k1 USING (gene)),
+    nx AS (SELECT gene, sum(ex.e - ex.s + 1) AS n FROM g1 JOIN ex USING (tx, strand) GROUP BY gene),
+    rv AS (SELECT a.gene AS x, b.gene AS y FROM g1 a JOIN g1 b ON a.seqid = b.seqid AND a.gene <> b.gene AND a.s <= b.e AND b.s <= a.e JOIN ex p ON p.tx = a.tx AND p.strand = a.strand JOIN ex q ON q.tx = b.tx AND q.strand = b.strand AND p.s <= q.e AND q.s <= p.e
+      JOIN nx m ON m.gene = a.gene JOIN nx n ON n.gene = b.gene GROUP BY a.gene, b.gene, m.n, n.n HAVING sum(least(p.e, q.e) - greatest(p.s, q.s) + 1) > {ALLOW}::DOUBLE * least(m.n, n.n)),
+    g2 AS (SELECT * FROM g1 WHERE NOT sure AND NOT EXISTS (SELECT 1 FROM rv JOIN g1 h ON h.gene = rv.y WHERE rv.x = g1.gene AND h.sure AND h.strand <> g1.strand)),
+    o2 AS (SELECT *, (SELECT list(y) FROM rv WHERE rv.x = g2.gene) AS against, row_number() OVER (PARTITION BY seqid ORDER BY residues DESC, gene) AS r FROM g2),
+    w2 AS (SELECT seqid, 1 AS r, [gene] AS kept FROM o2 WHERE r = 1
+      UNION ALL SELECT w2.seqid, o2.r::INT, CASE WHEN list_has_any(kept, coalesce(against, [])) THEN kept ELSE list_append(kept, gene) END FROM w2 JOIN o2 ON o2.seqid = w2.seqid AND o2.r = w2.r + 1),
+    k2 AS (SELECT unnest(kept) AS gene FROM (SELECT *, max(r) OVER (PARTITION BY seqid) AS last FROM w2) WHERE r = last)"""
+
+
+@query(*_after("feat feat_q", _COMPETITION, "SELECT tx, seqid, strand, s, e, residues, sure FROM g1 WHERE sure OR gene IN (SELECT gene FROM k2)"))
+def opposite_strands(spark, d):
+    """Models with support stand; the others must not compete with one on the other strand, nor with a longer one of either strand that stands."""
+    exons, spans, evidence = _parts(spark, d)
+    w = Window.partitionBy(*TK)
+    site = lambda df, own: df.select(*TK, F.col("e").alias("s"), F.lead("s").over(own.orderBy("s")).alias("e")).where("e is not null")
+    splices = site(exons, w).join(site(evidence.where("kind = 'est'").select(*TK, "hit", "s", "e"), Window.partitionBy(*TK, "hit")).distinct(), [*TK, "s", "e"], "left_semi")
+    same = exons.join(evidence.where("kind <> 'protein'").select(*TK, "s", "e").distinct(), [*TK, "s", "e"], "left_semi")
+    sure = splices.select(*TK).union(same.select(*TK)).distinct().withColumn("sure", F.lit(True))
+    cut = exons.join(spans.select(*TK, "cs", "ce"), TK)
+    coding = cut.groupBy(*TK).agg(F.expr("sum(greatest(least(e, ce) - greatest(s, cs) + 1, 0)) div 3").alias("residues"))
+    gene = F.col("tx") * 2 - F.when(F.col("strand") > 0, 0).otherwise(1)
+    genes = spans.where("cs <= ce").join(coding, TK).join(sure, TK, "left")
+    genes = stored(genes.select(gene.alias("gene"), *TK, F.col("cs").alias("s"), F.col("ce").alias("e"), "residues", F.coalesce("sure", F.lit(False)).alias("sure")))
+    rank = [F.desc("residues"), F.col("gene")]
+    apart = genes.join(selection.greedy(genes, SK, rank, "gene").select("gene"), "gene", "left_semi")
+    parts = exons.join(genes.select(*TK, "gene"), TK).select("gene", "s", "e")
+    found = competition.opposite_strands(apart, ["seqid"], "gene", F.col("sure"), rank, parts, ALLOW)
+    return found.select(*TK, "s", "e", "residues", "sure")
+
+
+SIZE, FLANK = 45, 40
+_CHUNKED = f"""ln AS (SELECT seqid, max(e) AS length FROM feat GROUP BY seqid),
+    ck AS (SELECT seqid, length, greatest(1, length // {SIZE} + CASE WHEN length % {SIZE} * 2 >= {SIZE} THEN 1 ELSE 0 END) AS n FROM ln),
+    ch AS (SELECT seqid, c AS chunk, c * {SIZE} + 1 AS s, CASE WHEN c = n - 1 THEN length ELSE (c + 1) * {SIZE} END AS e, greatest(1, c * {SIZE} + 1 - {FLANK}) AS ws, CASE WHEN c = n - 1 THEN length ELSE least(length, (c + 1) * {SIZE} + {FLANK}) END AS we, c = n - 1 AS is_last
+      FROM (SELECT *, unnest(range(0, n)) AS c FROM ck)),
+    pd AS (SELECT f.seqid, f.source, f.strand, chunk, f.s, f.e, id FROM feat f JOIN ch ON ch.seqid = f.seqid AND f.s >= ws AND f.e <= we),
+    ks AS (SELECT DISTINCT seqid, source, strand FROM pd),
+    pl AS (SELECT seqid, source, strand, chunk, list(struct_pack(s := s, e := e, id := id) ORDER BY s, e, id) AS p FROM pd GROUP BY ALL),
+    al AS (SELECT ks.*, ch.chunk, ch.e AS ce, is_last, coalesce(p, []) AS p FROM ks JOIN ch USING (seqid) LEFT JOIN pl USING (seqid, source, strand, chunk)),
+    go AS (SELECT seqid, source, strand, chunk, 0::BIGINT AS start, list_filter(p, lambda k: k.s <= ce AND k.e > ce)[1] AS x, ce, is_last FROM al WHERE chunk = 0
+      UNION ALL SELECT al.seqid, al.source, al.strand, al.chunk, coalesce(go.x.e, go.ce) + 1, list_filter(al.p, lambda k: k.s >= coalesce(go.x.e, go.ce) + 1 AND k.s <= al.ce AND k.e > al.ce)[1], al.ce, al.is_last
+      FROM go JOIN al ON al.seqid = go.seqid AND al.source = go.source AND al.strand = go.strand AND al.chunk = go.chunk + 1)"""
+
+
+@query(*_after("feat", _CHUNKED, """SELECT pd.seqid, pd.source, pd.strand, pd.chunk::INT AS chunk, pd.s, pd.e, pd.id FROM pd JOIN go ON go.seqid = pd.seqid AND go.source = pd.source AND go.strand = pd.strand AND go.chunk = pd.chunk
+    WHERE pd.s >= start AND (is_last OR (pd.s <= ce AND CASE WHEN x IS NULL THEN pd.e <= ce ELSE row(pd.s, pd.e, pd.id) <= row(x.s, x.e, x.id) END))"""))
+def junctions(spark, d):
+    """Features as predictions of chunks of 45 positions with flanks of 40 (so that one may reach over a whole chunk), put together by source and strand."""
+    f = A.feat(spark, d)
+    chunks = stored(intervals.chunks(f.groupBy("seqid").agg(F.max("e").alias("length")), SIZE, FLANK).withColumnRenamed("number", "chunk"))
+    windows = chunks.select("seqid", "chunk", F.col("ws").alias("s"), F.col("we").alias("e"))
+    met = intervals.overlap_join(f, windows, ["seqid"], bin_sizes=BINS).where("s >= bs and e <= be")
+    predictions = stored(met.select("seqid", "source", "strand", "chunk", "s", "e", "id"))
+    return junctions_.resolved(predictions, chunks, ["seqid", "source", "strand"], "id")
+
+
+#: Bags of evidence: the reads of a contig's strand that lie within 600 positions.
+_BAGS = """bg AS (SELECT seqid, strand, (s - 1) // 600 AS bag, CASE WHEN source = 'A' THEN 3 ELSE 0 END + (s - 1) // 300 * 10 + sup % 3 AS hit, s, e FROM (SELECT seqid // 4 AS seqid, strand, s, e, source, sup FROM feat_q) WHERE sup <= 40),
+    bo AS (SELECT *, max(e) OVER (PARTITION BY seqid, strand, bag, hit ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM bg),
+    bi AS (SELECT *, sum(CASE WHEN p IS NULL OR s > p + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY seqid, strand, bag, hit ORDER BY s, e, p NULLS FIRST ROWS UNBOUNDED PRECEDING) AS i FROM bo),
+    bb AS (SELECT seqid, strand, bag, hit, min(s) AS s, max(e) AS e FROM bi GROUP BY seqid, strand, bag, hit, i),
+    """
+_STATES = _BAGS + """xe AS (SELECT DISTINCT seqid, strand, bag, unnest(range(s, e + 1)) AS b FROM bb),
+    ti AS (SELECT *, lead(s) OVER (PARTITION BY seqid, strand, bag, hit ORDER BY s) AS nx FROM bb),
+    xi AS (SELECT DISTINCT seqid, strand, bag, unnest(range(e + 1, nx)) AS b FROM ti WHERE nx IS NOT NULL),
+    st AS (SELECT seqid, strand, bag, b, CASE WHEN xi.b IS NULL THEN 1 WHEN xe.b IS NULL THEN 2 ELSE -1 END AS state FROM (SELECT *, b AS b_ FROM xe) xe FULL JOIN (SELECT *, b AS b_ FROM xi) xi USING (seqid, strand, bag, b)),
+    s1 AS (SELECT * FROM st WHERE state > 0),
+    s2 AS (SELECT *, CASE WHEN b = 1 + lag(b) OVER w THEN 0 ELSE 1 END AS nc, CASE WHEN b = 1 + lag(b) OVER w AND state = lag(state) OVER w THEN 0 ELSE 1 END AS nr FROM s1 WINDOW w AS (PARTITION BY seqid, strand, bag ORDER BY b)),
+    s3 AS (SELECT *, sum(nc) OVER w AS chain, sum(nr) OVER w AS run FROM s2 WINDOW w AS (PARTITION BY seqid, strand, bag ORDER BY b)),
+    ru AS (SELECT seqid, strand, bag, chain, state, min(b) AS s, max(b) AS e FROM s3 GROUP BY seqid, strand, bag, chain, run, state)"""
+
+
+def _bags(spark, d):
+    hit = F.expr("if(source = 'A', 3, 0) + (s - 1) div 300 * 10 + sup % 3")
+    rows = A.feat_q(spark, d).where("sup <= 40").select(F.expr("seqid div 4").alias("seqid"), "strand", F.expr("(s - 1) div 600").alias("bag"), hit.alias("hit"), "s", "e")
+    return stored(intervals.merge(rows, [*BK, "hit"]).select(*BK, "hit", "s", "e"))
+
+
+BK = [*SK, "bag"]
+
+
+@query(*_after("feat feat_q", _STATES, "SELECT seqid, strand, bag, s, e, state FROM ru"))
+def agreed_runs(spark, d):
+    """A22's states: runs of bases that all reads of a bag hold for exon (1), or for intron (2)."""
+    return consensus.agreed_runs(_bags(spark, d), BK).select(*BK, "s", "e", "state")
+
+
+@query(*_after("feat feat_q", _STATES + """, hl AS (SELECT *, row_number() OVER (PARTITION BY seqid, strand, bag, hit ORDER BY s) = 1 AS f, row_number() OVER (PARTITION BY seqid, strand, bag, hit ORDER BY s DESC) = 1 AS l FROM bb),
+    le AS (SELECT h.seqid, h.strand, h.bag, h.hit, r.s AS pt, chain FROM hl h JOIN ru r ON r.seqid = h.seqid AND r.strand = h.strand AND r.bag = h.bag AND state = 1 AND h.s BETWEEN r.s AND r.e WHERE f),
+    ri AS (SELECT h.seqid, h.strand, h.bag, h.hit, r.e AS pt, chain FROM hl h JOIN ru r ON r.seqid = h.seqid AND r.strand = h.strand AND r.bag = h.bag AND state = 1 AND h.e BETWEEN r.s AND r.e WHERE l)""",
+    """SELECT h.seqid, h.strand, h.bag, h.hit, CASE WHEN f THEN coalesce(le.pt, s) ELSE s END AS s, CASE WHEN l THEN coalesce(ri.pt, e) ELSE e END AS e FROM hl h LEFT JOIN le USING (seqid, strand, bag, hit) LEFT JOIN ri USING (seqid, strand, bag, hit)
+    UNION ALL SELECT seqid, strand, bag, hit, ru.s, ru.e FROM le JOIN ru USING (seqid, strand, bag, chain) WHERE state = 1 AND ru.e < pt
+    UNION ALL SELECT seqid, strand, bag, hit, ru.s, ru.e FROM ri JOIN ru USING (seqid, strand, bag, chain) WHERE state = 1 AND ru.s > pt"""))
+def extended_hits(spark, d):
+    """Reads of a bag made longer by the exons that the others agree on."""
+    return consensus.extended(_bags(spark, d), BK).select(*BK, "hit", "s", "e")
