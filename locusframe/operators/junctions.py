@@ -67,7 +67,7 @@ def resolved(predictions: DataFrame, chunks: DataFrame, keys: list[str], row: st
     own = limits.select(*keys, "chunk", "steps")
     bounds = chunks.select("seqid", "chunk", F.col("s").alias("_begin"), F.col("e").alias("_end"), "is_last")
     rows = predictions.join(bounds, ["seqid", "chunk"]).join(before, [*keys, "chunk"], "left").join(own, [*keys, "chunk"], "left")
-    start = F.when(F.col("chunk") == 0, F.col("s")).otherwise(F.coalesce("_from", "_begin"))
+    start = F.when(F.col("chunk") == 0, F.lit(0)).otherwise(F.coalesce("_from", "_begin"))
     last = _first_from(F.col("steps"), start)
     place = F.struct("s", "e", F.col(row).alias("id"))
     till = F.struct(last["s"].alias("s"), last["e"].alias("e"), last["id"].alias("id"))

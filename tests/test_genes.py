@@ -3,9 +3,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from locusframe.functions.sequences import codon_table
-from locusframe.operators import frames
+from locusframe.operators import competition, consensus, frames, junctions
 
 TABLE = codon_table()
 PAIR = str.maketrans("ACGTN", "TGCAN")
@@ -104,3 +105,115 @@ def test_gaps_of_proteins(spark):
                         want.setdefault(i, set()).add((at + c, c % 3 if strand > 0 else 2 - c % 3))
                 at += 3 * n
     assert got == want
+
+
+def test_junctions(spark):
+    """A prediction that begins before the limit its neighbour has set is dropped; limits run through many chunks."""
+    r = random.Random(11)
+    size, flank, chunks, rows = 50, 60, [], []
+    for seqid, n in ((1, 40), (2, 1), (3, 7)):
+        for k in range(n):
+            chunks.append((seqid, k, k * size + 1, (k + 1) * size, k == n - 1))
+            for source in ("a", "b"):
+                for _ in range(r.randrange(0, 8) if source == "a" else 1):
+                    s = r.randrange(max(1, k * size + 1 - flank), (k + 1) * size + flank)
+                    rows.append((seqid, source, k, s, s + r.randrange(1, 95 if source == "a" else 140), f"p{len(rows)}"))
+        # as long as chunks, each in the next one's way
+        rows += [(seqid, "c", k, k * size + 1 + 3 * (k % 2), (k + 1) * size + 2 * (k % 3), f"c{seqid}-{k}") for k in range(n)]
+    rows += [(1, "a", 3, 160, 210, "same1"), (1, "a", 3, 160, 210, "same2")]
+    want = set()
+    for seqid in (1, 2, 3):
+        for source in ("a", "b", "c"):
+            limit = 0
+            for _, k, _, end, last in sorted(c for c in chunks if c[0] == seqid):
+                left = sorted((s, e, i) for q, src, c, s, e, i in rows if (q, src, c) == (seqid, source, k) and s >= limit)
+                limit = end + 1
+                for s, e, i in left:
+                    if last or e < end + 1:
+                        want.add(i)
+                        continue
+                    if s < end + 1:
+                        want.add(i)
+                        limit = e + 1
+                    break
+    frame = spark.createDataFrame(rows, "seqid long, source string, chunk int, s long, e long, id string").repartition(3)
+    bounds = spark.createDataFrame(chunks, "seqid long, chunk int, s long, e long, is_last boolean")
+    got = junctions.resolved(frame, bounds, ["seqid", "source"], "id").collect()
+    assert len(got) == len({x.id for x in got}) and {x.id for x in got} == want
+    assert junctions.resolved(frame.where("false"), bounds, ["seqid", "source"], "id").count() == 0
+
+
+@pytest.mark.parametrize("allow", [0.0, 0.3])
+def test_opposite_strands(spark, allow):
+    r = random.Random(3)
+    genes, exons = [], {}
+    for g in range(150):
+        s = r.randrange(1, 1800)
+        parts, at = [], s
+        for _ in range(r.randrange(1, 4)):
+            parts.append((at, at + r.randrange(5, 25)))
+            at = parts[-1][1] + r.randrange(3, 15)
+        exons[g] = parts
+        genes.append((1 + g % 2, g, r.choice([1, -1]), parts[0][0], parts[-1][1], r.randrange(10, 40), r.choice([True, False, False, None])))
+
+    def compete(a, b):
+        if a[0] != b[0] or a[3] > b[4] or b[3] > a[4]:
+            return False
+        shared = sum(max(0, min(p[1], q[1]) - max(p[0], q[0]) + 1) for p in exons[a[1]] for q in exons[b[1]])
+        n = min(sum(e - s + 1 for s, e in exons[x[1]]) for x in (a, b))
+        return shared > allow * n if allow else True
+
+    sure = [g for g in genes if g[6]]
+    left = [g for g in genes if not g[6] and not any(h[2] != g[2] and compete(g, h) for h in sure)]
+    kept = []
+    for g in sorted(left, key=lambda x: (-x[5], x[1])):
+        if not any(compete(g, k) for k in kept):
+            kept.append(g)
+    frame = spark.createDataFrame(genes, "seqid long, gene long, strand int, s long, e long, residues long, sure boolean").repartition(3)
+    parts = spark.createDataFrame([(g, s, e) for g, x in exons.items() for s, e in x], "gene long, s long, e long")
+    got = competition.opposite_strands(frame, ["seqid"], "gene", F.col("sure"), [F.desc("residues"), F.col("gene")], parts, allow)
+    assert len(kept) > 10 and len(left) > len(kept)
+    assert sorted(x.gene for x in got.collect()) == sorted(g[1] for g in (*sure, *kept))
+
+
+def test_consensus(spark):
+    r = random.Random(9)
+    hits = {}
+    for bag in range(6):
+        for hit in range(5):
+            at = r.randrange(1, 120)
+            for _ in range(r.randrange(1, 5)):
+                e = at + r.randrange(3, 30)
+                hits.setdefault((bag, hit), []).append((at, e))
+                at = e + r.randrange(2, 40)
+    hits[7, 0] = [(5, 9)]
+    want = []
+    for bag in {b for b, _ in hits}:
+        own = {h: x for (b, h), x in hits.items() if b == bag}
+        exon = {i for x in own.values() for s, e in x for i in range(s, e + 1)}
+        intron = {i for x in own.values() for p, q in zip(x, x[1:], strict=False) for i in range(p[1] + 1, q[0])}
+        state = {i: -1 if i in exon and i in intron else 1 if i in exon else 2 for i in exon | intron}
+
+        def walk(i, step, state=state):
+            """The exon runs that agreed bases lead to, the own one first."""
+            runs = []
+            while state.get(i, 0) > 0:
+                begin, kind = i, state[i]
+                while state.get(i) == kind:
+                    i += step
+                if kind == 1:
+                    runs.append(tuple(sorted((begin, i - step))))
+            return runs
+
+        for hit, blocks in own.items():
+            blocks = [list(x) for x in blocks]
+            before, behind = walk(blocks[0][0], -1) if state[blocks[0][0]] == 1 else [], walk(blocks[-1][1], 1) if state[blocks[-1][1]] == 1 else []
+            if before:
+                blocks[0][0] = before[0][0]
+            if behind:
+                blocks[-1][1] = behind[0][1]
+            want += [(bag, hit, s, e) for s, e in (*before[1:], *blocks, *behind[1:])]
+    frame = spark.createDataFrame([(b, h, s, e) for (b, h), x in hits.items() for s, e in x], "bag long, hit long, s long, e long").repartition(3)
+    got = consensus.extended(frame, ["bag"])
+    assert sorted(tuple(x) for x in got.collect()) == sorted(want)
+    assert len(want) > sum(map(len, hits.values()))
