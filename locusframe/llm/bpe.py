@@ -9,6 +9,9 @@ A recursive query's result holds the rows of all rounds, of which there are as m
 of over LONG bytes go through the same contraction with keyed recursion, which holds a row per
 token and passes on only the rows that changed.
 
+A match that is a token itself needs no contraction: its id is its rank, as with the tiktoken library. Of equal ranks
+the leftmost pair contracts first.
+
 Nulls and empty texts give no ids; an empty table gives no rows. Texts of any length are encoded
 whole, in slices of an Arrow batch. Rows with equal or null keys are kept as they are. The result has
 doc_id and the named columns alone; other columns of docs, whatever their names, are not read.
@@ -51,26 +54,25 @@ FROM step s JOIN (SELECT piece, max(round) AS round FROM step GROUP BY piece) l
 GROUP BY s.piece ORDER BY s.piece
 """
 
-#: The same with one row per position, which keeps its pair's rank: a round passes on the three rows that a contraction
-#: changes, and only they look ranks up; token -1 marks what is gone.
+#: The same with one row per position, which keeps its pair's rank: a round passes on the rows that contractions change, and only they look
+#: ranks up; token -1 marks what is gone. Where no pair with the merged token ranks below it (`safe`), the leftmost contraction leaves all
+#: other pairs of the least rank as the least, so that these, every other one where they overlap, contract in the same round.
 CONTRACT_LONG = """
 WITH RECURSIVE step(piece, pos, tok, npos, ntok, b) USING KEY (piece, pos) AS (
-  SELECT s.*, g.merged * 17592186044416 + s.pos::BIGINT * 4194304 + s.npos
+  SELECT s.*, g.merged
   FROM (SELECT piece, pos, tok, pos + 1 AS npos, lead(tok) OVER (PARTITION BY piece ORDER BY pos) AS ntok FROM start) s
   LEFT JOIN merges g ON g.pair = s.tok::BIGINT * 16777216 + s.ntok
   UNION
   (WITH best AS (SELECT piece, min(b) AS b FROM recurring.step WHERE piece IN (SELECT piece FROM step) GROUP BY piece HAVING min(b) IS NOT NULL),
-   spot AS (
-     SELECT b.piece, (b.b >> 44)::INT AS merged, ((b.b >> 22) & 4194303)::INT AS pos, r.pos AS gone, r.npos, r.ntok
-     FROM best b JOIN recurring.step r ON r.piece = b.piece AND r.pos = (b.b & 4194303)::INT),
+   hit AS (SELECT s.piece, s.pos, s.npos, s.b, lag(s.npos) OVER w IS DISTINCT FROM s.pos AS apart, row_number() OVER w AS n FROM recurring.step s JOIN best ON best.piece = s.piece AND best.b = s.b WINDOW w AS (PARTITION BY s.piece ORDER BY s.pos)),
+   run AS (SELECT *, n - max(CASE WHEN apart THEN n END) OVER (PARTITION BY piece ORDER BY n ROWS UNBOUNDED PRECEDING) AS k FROM hit),
+   spot AS (SELECT piece, pos, npos AS gone, b AS merged FROM run WHERE k % 2 = 0 AND (n = 1 OR b NOT IN (SELECT tok FROM unsafe))),
+   whole AS (SELECT t.*, r.npos, r.ntok FROM spot t JOIN recurring.step r ON r.piece = t.piece AND r.pos = t.gone),
    changed AS (
-     SELECT s.piece, s.pos,
-       CASE WHEN s.pos = t.pos THEN t.merged WHEN s.pos = t.gone THEN -1 ELSE s.tok END AS tok,
-       CASE WHEN s.pos = t.pos THEN t.npos WHEN s.pos = t.gone THEN -1 ELSE s.npos END AS npos,
-       CASE WHEN s.pos = t.pos THEN t.ntok WHEN s.pos = t.gone THEN NULL ELSE t.merged END AS ntok
-     FROM recurring.step s JOIN spot t USING (piece) WHERE s.pos = t.pos OR s.pos = t.gone OR s.npos = t.pos)
-   SELECT s.*, g.merged * 17592186044416 + s.pos::BIGINT * 4194304 + s.npos
-   FROM changed s LEFT JOIN merges g ON g.pair = s.tok::BIGINT * 16777216 + s.ntok))
+     SELECT t.piece, t.pos, t.merged AS tok, t.npos, CASE WHEN x.pos IS NULL THEN t.ntok ELSE x.merged END AS ntok FROM whole t LEFT JOIN spot x ON x.piece = t.piece AND x.pos = t.npos
+     UNION ALL SELECT piece, gone, -1, -1, NULL FROM spot
+     UNION ALL SELECT s.piece, s.pos, s.tok, s.npos, t.merged FROM recurring.step s JOIN spot t ON t.piece = s.piece AND t.pos = s.npos WHERE NOT EXISTS (SELECT 1 FROM spot x WHERE x.piece = s.piece AND x.gone = s.pos))
+   SELECT s.*, g.merged FROM changed s LEFT JOIN merges g ON g.pair = s.tok::BIGINT * 16777216 + s.ntok))
 SELECT piece, list(tok ORDER BY pos) AS ids FROM step WHERE tok >= 0 GROUP BY piece ORDER BY piece
 """
 
@@ -88,9 +90,11 @@ class RankBPE:
         self.of_byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         pairs = [(ranks[t[:i]] * 16777216 + ranks[t[i:]], m) for t, m in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
+        # tokens of which a pair makes a token of no higher rank
+        unsafe = {t for p, m in pairs for t in (p >> 24, p & 16777215) if m <= t}
         made = pa.table({"pair": pa.array([p for p, _ in pairs], pa.int64()), "merged": pa.array([m for _, m in pairs], pa.int32())})
         words = pa.table({"tok": pa.array(list(ranks.values()), pa.int32()), "chars": [t.decode("latin-1") for t in ranks]})
-        for name, t in (("merges", made), ("vocab", words)):
+        for name, t in (("merges", made), ("vocab", words), ("unsafe", pa.table({"tok": pa.array(sorted(unsafe), pa.int32())}))):
             self.db.register("t", t)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM t")
             self.db.unregister("t")

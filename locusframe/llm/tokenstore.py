@@ -3,13 +3,16 @@
 Whole texts become id streams that end with `end_id`. A rolling hash over the last ids cuts each
 stream into chunks; a chunk is stored once under its digest, however many documents have it. A
 document's recipe lists its chunks in order, with the Merkle root over their digests, and recipes
-stand in ascending doc_id order with the number of ids before them. The manifest has a Merkle root
-for each recipe file. Reading back recomputes every digest and root from the files.
+stand in ascending doc_id order with the number of ids before them. The manifest has a row for each recipe file, with
+the Merkle root over its documents' roots, places and counts, and the head one row for the manifest. Reading back first recomputes
+the manifest from the recipe files and the head from the manifest, so that a file that is lost, added or changed is an error, and then
+every digest, root and count from what it reads.
 
 The files (all Parquet, written by Spark in the store's folder):
   chunks/   digest, n, payload (ids, little-endian, `width` bytes each)
   recipes/  doc_id, start, n_tokens, root, chunks (entries of 16 bytes digest and 4 bytes count)
-  manifest/ part, n_docs, n_tokens, first_doc, last_doc, root
+  manifest/ part (file name), n_docs, n_tokens, first_doc, last_doc, start, root
+  head/     n_parts, n_docs, n_tokens, root
 
 Null texts are empty and give end_id alone. Equal doc_ids are documents of their own, in order of
 root; null doc_ids come first. Texts of any length are encoded whole. An empty table gives empty files.
@@ -32,6 +35,7 @@ from locusframe.llm.shared import bounded_batches, prefix_sum, ranges_for, share
 from locusframe.llm.wordcache import library_encoder, slices
 
 ENTRY = np.dtype([("digest", "V16"), ("n", "<u4")])
+CHUNK, RECIPE = "digest binary, n long, payload binary", "doc_id long, start long, n_tokens long, root binary, chunks binary"
 
 
 @dataclass(frozen=True)
@@ -131,24 +135,51 @@ def write_store(docs: DataFrame, tokenizer: str, end_id: int, path: str | None =
     ordered = ordered.repartitionByRange(ranges_for(spark), "doc_id", "start").sortWithinPartitions("doc_id", "start")
     ordered.select("doc_id", "start", "n_tokens", "root", "chunks").write.option("compression", "zstd").parquet(f"{path}/recipes")
 
-    def seal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roots, first, last, total = [], None, None, 0
-        for b in batches:
-            keys = b["doc_id"].to_pylist()
-            first = keys[0] if not roots and keys else first
-            last = keys[-1] if keys else last
-            roots += b["root"].to_pylist()
-            total += sum(b["n_tokens"].to_pylist())
-        if roots:
-            yield pa.RecordBatch.from_arrays([pa.array([len(roots)], pa.int64()), pa.array([total], pa.int64()), pa.array([first], pa.int64()), pa.array([last], pa.int64()), pa.array([merkle(roots)], pa.binary())], ["n_docs", "n_tokens", "first_doc", "last_doc", "root"])
-
-    sealed = spark.read.parquet(f"{path}/recipes").select("doc_id", "n_tokens", "root")
-    sealed.mapInArrow(seal, "n_docs long, n_tokens long, first_doc long, last_doc long, root binary").write.parquet(f"{path}/manifest")
+    manifest = _manifest(spark, path)
+    manifest.write.parquet(f"{path}/manifest")
+    _head(spark.read.schema(manifest.schema).parquet(f"{path}/manifest")).write.parquet(f"{path}/head")
     return path
 
 
+def _manifest(spark: SparkSession, path: str) -> DataFrame:
+    """What the recipe files hold now, a row per file."""
+
+    def seal(t: pa.Table) -> pa.Table:
+        t = t.sort_by("start")
+        leaves = [r + int(s).to_bytes(8, "little") + int(n).to_bytes(8, "little") for r, s, n in zip(*(t[c].to_pylist() for c in ("root", "start", "n_tokens")), strict=True)]
+        first, last = t["doc_id"][0].as_py(), t["doc_id"][-1].as_py()
+        cols = [t["part"].slice(0, 1), *(pa.array([x], pa.int64()) for x in (t.num_rows, sum(t["n_tokens"].to_pylist()), first, last, t["start"][0].as_py())), pa.array([merkle(leaves)], pa.binary())]
+        return pa.table(cols, names=["part", "n_docs", "n_tokens", "first_doc", "last_doc", "start", "root"])
+
+    rows = spark.read.schema(RECIPE).parquet(f"{path}/recipes")
+    rows = rows.select(F.col("_metadata.file_name").alias("part"), "doc_id", "start", "n_tokens", "root")
+    return rows.groupBy("part").applyInArrow(seal, "part string, n_docs long, n_tokens long, first_doc long, last_doc long, start long, root binary")
+
+
+def _head(manifest: DataFrame) -> DataFrame:
+    """One row for all files, of which there are as many as partitions."""
+    parts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "part", F.hex("root").alias("root")))), lambda x: x["root"]), ",")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    return manifest.agg(F.count("*").alias("n_parts"), total("n_docs"), total("n_tokens"), F.sha2(parts, 256).alias("root"))
+
+
+def verify(spark: SparkSession, path: str) -> None:
+    """Holds the recipe files against the manifest, and the manifest against the head."""
+    now = _manifest(spark, path)
+    manifest = spark.read.schema(now.schema).parquet(f"{path}/manifest")
+    head = _head(manifest)
+    if head.collect() != spark.read.schema(head.schema).parquet(f"{path}/head").collect():
+        raise ValueError("the manifest isn't the one that the store was sealed with")
+    row = F.struct(*now.columns)
+    both = now.select("part", row.alias("now")).join(manifest.select("part", row.alias("then")), "part", "full")
+    bad = both.where(~F.col("now").eqNullSafe(F.col("then"))).head(1)
+    if bad:
+        raise ValueError(f"recipe file {bad[0]['part']} isn't the one in the manifest")
+
+
 def read_recipes(spark: SparkSession, path: str) -> DataFrame:
-    """A row per chunk of each document: start, doc_id, n_tokens, seq, digest, n, after (ids behind it). Roots are checked."""
+    """A row per chunk of each document: start, doc_id, n_tokens, seq, digest, n, after (ids behind it). Roots and counts are checked."""
+    verify(spark, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -160,17 +191,19 @@ def read_recipes(spark: SparkSession, path: str) -> DataFrame:
             for k, e, root in zip(count.tolist(), ends.tolist(), b["root"].to_pylist(), strict=True):
                 if merkle(leaves[e - k:e]) != root:
                     raise ValueError("a recipe doesn't match its Merkle root")
+            if len(blobs) and (np.add.reduceat(n, ends - count) != b["n_tokens"].to_numpy()).any():
+                raise ValueError("a recipe's chunks don't add up to its count")
             row, upto = np.repeat(np.arange(len(blobs)), count), np.cumsum(n)
             after = (upto[ends - 1] if len(blobs) else upto)[row] - upto
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays([b["doc_id"].take(take), b["start"].take(take), b["n_tokens"].take(take), pa.array(np.arange(len(row)) - np.repeat(ends - count, count), pa.int32()), pa.array(leaves, pa.binary()), pa.array(n), pa.array(after)], ["doc_id", "start", "n_tokens", "seq", "digest", "n", "after"])
 
-    return spark.read.parquet(f"{path}/recipes").mapInArrow(run, "doc_id long, start long, n_tokens long, seq int, digest binary, n long, after long")
+    return spark.read.schema(RECIPE).parquet(f"{path}/recipes").mapInArrow(run, "doc_id long, start long, n_tokens long, seq int, digest binary, n long, after long")
 
 
 def read_ids(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
     """Whole documents from the files: doc_id, start, n_tokens, ids (binary, `width` bytes each)."""
-    chunks = spark.read.parquet(f"{path}/chunks").select("digest", "payload")
+    chunks = spark.read.schema(CHUNK).parquet(f"{path}/chunks").select("digest", "payload")
     return (
         read_recipes(spark, path).join(chunks, "digest").groupBy("doc_id", "start", "n_tokens")
         .agg(F.array_sort(F.collect_list(F.struct("seq", "payload"))).alias("parts"))
@@ -206,7 +239,7 @@ def read_checksums(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
     """Per document, from the files: doc_id, start, n_tokens, ids_crc32 (of all ids as little-endian 32-bit integers).
 
     Each stored chunk is read once and checked against its digest; a document's checksum is put
-    together from its chunks'. A missing chunk, or a count that differs, is an error."""
+    together from its chunks'. A missing chunk or recipe, or a count that differs, is an error."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -225,7 +258,7 @@ def read_checksums(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
             crc = crc_before(b["crc"].to_numpy(), b["after"].to_numpy() * 4).astype(np.int64)
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["start"], b["n_tokens"], b["n"], pa.array(crc)], ["doc_id", "start", "n_tokens", "n", "crc"])
 
-    chunks = spark.read.parquet(f"{path}/chunks").select("digest", "payload").mapInArrow(sums, "digest binary, crc long, stored long")
+    chunks = spark.read.schema(CHUNK).parquet(f"{path}/chunks").select("digest", "payload").mapInArrow(sums, "digest binary, crc long, stored long")
     parts = read_recipes(spark, path).join(chunks, "digest", "left").select("doc_id", "start", "n_tokens", "n", "after", "crc", "stored")
     shifted = parts.mapInArrow(shift, "doc_id long, start long, n_tokens long, n long, crc long")
     whole = shifted.groupBy("doc_id", "start").agg(F.sum("n").alias("n_tokens"), F.expr("bit_xor(crc)").alias("ids_crc32"))

@@ -2,10 +2,13 @@
 
 import hashlib
 import math
+import shutil
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,12 +103,86 @@ def test_token_store(spark, docs, empty):
     assert tokenstore.read_checksums(spark, tokenstore.write_store(empty, path, 2)).count() == 0
 
 
-def test_damaged_store(spark, docs):
-    store = tokenstore.write_store(docs, tokenizers.path("byte_bpe_50k.json"), 2)
-    spark.read.parquet(f"{store}/chunks").withColumn("payload", F.concat(F.lit(b"\x01\x00"), F.substring("payload", 3, 1 << 30))).write.mode("overwrite").parquet(f"{store}-x/chunks")
-    spark.read.parquet(f"{store}/recipes").write.parquet(f"{store}-x/recipes")
-    with pytest.raises(Exception, match="digest"):
-        tokenstore.read_checksums(spark, f"{store}-x").collect()
+@pytest.fixture(scope="module")
+def store(spark, docs):
+    return tokenstore.write_store(docs, tokenizers.path("byte_bpe_50k.json"), 2).removeprefix("file://")
+
+
+def files(path):
+    return sorted(p for p in Path(path).glob("*.parquet") if pq.read_metadata(p).num_rows)
+
+
+def change(path, column, of):
+    for p in files(path):
+        t = pq.read_table(p)
+        at = t.column_names.index(column)
+        pq.write_table(t.set_column(at, t.field(column), pa.array(of(t[column].to_pylist()), t.field(column).type)), p)
+        Path(p.parent, f".{p.name}.crc").unlink(missing_ok=True)
+
+
+def gone(path):
+    files(path)[0].unlink()
+
+
+DAMAGE = {
+    "chunk changed": (lambda s: change(f"{s}/chunks", "payload", lambda x: [b"\x01\x00" + v[2:] for v in x]), "digest"),
+    "chunk file gone": (lambda s: gone(f"{s}/chunks"), "chunk"),
+    "recipe file gone": (lambda s: gone(f"{s}/recipes"), "recipe file"),
+    "all recipe files gone": (lambda s: [p.unlink() for p in files(f"{s}/recipes")], "recipe file"),
+    "manifest gone": (lambda s: shutil.rmtree(f"{s}/manifest"), "manifest"),
+    "manifest file gone": (lambda s: gone(f"{s}/manifest"), "sealed"),
+    "head gone": (lambda s: shutil.rmtree(f"{s}/head"), "head"),
+    "count changed": (lambda s: change(f"{s}/recipes", "n_tokens", lambda x: [v + 1 for v in x]), "recipe file"),
+    "start changed": (lambda s: change(f"{s}/recipes", "start", lambda x: [v + 1 for v in x]), "recipe file"),
+    "root changed": (lambda s: change(f"{s}/recipes", "root", lambda x: [b"x" * 32 for _ in x]), "recipe file"),
+    "entries changed": (lambda s: change(f"{s}/recipes", "chunks", lambda x: [v[20:] + v[:20] if len(v) > 20 else b"y" * 20 for v in x]), "Merkle"),
+    "recipe and manifest file gone": (lambda s: (gone(f"{s}/recipes"), gone(f"{s}/manifest")), "sealed"),
+}
+
+
+@pytest.mark.parametrize("damage", DAMAGE)
+def test_damaged_store(spark, store, tmp_path, damage):
+    path = str(tmp_path / "store")
+    shutil.copytree(store, path)
+    assert tokenstore.read_checksums(spark, path).count() == len(BASE + ODD)
+    spark.catalog.clearCache()
+    act, match = DAMAGE[damage]
+    act(path)
+    with pytest.raises(Exception, match=match):
+        tokenstore.read_checksums(spark, path).collect()
+
+
+def test_recipe_that_does_not_add_up(spark, store, tmp_path):
+    """A store sealed over wrong counts: the entries tell."""
+    path = str(tmp_path / "store")
+    shutil.copytree(store, path)
+    change(f"{path}/recipes", "n_tokens", lambda x: [v + 1 for v in x])
+    for part in ("manifest", "head"):
+        shutil.rmtree(f"{path}/{part}")
+    tokenstore._manifest(spark, path).write.parquet(f"{path}/manifest")
+    tokenstore._head(spark.read.parquet(f"{path}/manifest")).write.parquet(f"{path}/head")
+    with pytest.raises(Exception, match="add up"):
+        tokenstore.read_checksums(spark, path).collect()
+
+
+def test_long_matches():
+    """Positions beyond 22 bits, and pairs of one rank that overlap, against the tiktoken library."""
+    import random
+
+    import tiktoken
+
+    ranks = bpe.read_ranks(tokenizers.path("byte_bpe_50k.tiktoken"))
+    enc = tiktoken.Encoding("own", pat_str=tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    own, r = bpe.RankBPE(ranks, tokenizers.PATTERN), random.Random(3)
+    parts = ["a" * 4097, "ab" * 300, "aab" * 211, "abcabcab" * 40, "é" * 300, "".join(r.choice(WORDS) for _ in range(250)), "".join(r.choice("abcdefgh") for _ in range(900))]
+    parts = [p.encode() for p in parts]
+    want = [enc._encode_single_piece(p) for p in parts]
+    flat, n = own.pieces(parts)
+    assert n.tolist() == [len(x) for x in want] and flat.tolist() == [i for x in want for i in x]
+    for far in (0, 4_194_200, 1 << 30):
+        own.db.register("start", pa.table({"piece": pa.array([i for i, p in enumerate(parts) for _ in p], pa.int32()), "pos": pa.array([far + i for p in parts for i in range(len(p))], pa.int32()), "tok": pa.array(own.of_byte[np.frombuffer(b"".join(parts), np.uint8)])}))
+        assert own.db.sql(bpe.CONTRACT_LONG).to_arrow_table()["ids"].to_pylist() == want
+        own.db.unregister("start")
 
 
 def test_crc_of_parts():
