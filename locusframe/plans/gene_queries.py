@@ -10,6 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from locusframe.operators import competition, consensus, frames, intervals, scores, selection
+from locusframe.operators import congruence as congruence_
 from locusframe.operators import junctions as junctions_
 from locusframe.plans.interval_queries import SK, _after
 from locusframe.plans.model_queries import _EAED, _MODELS, BINS, TK
@@ -197,3 +198,81 @@ def agreed_runs(spark, d):
 def extended_hits(spark, d):
     """Reads of a bag made longer by the exons that the others agree on."""
     return consensus.extended(_bags(spark, d), BK).select(*BK, "hit", "s", "e")
+
+
+WEIGHTS = {"exon": 1.0, "intron": 0.5, "donor": 10.0, "acceptor": 10.0, "start": 5.0, "stop": 5.0}
+#: Per-base forms; eh: hits' blocks (tx, strand, hit, s, e), which a query sets before.
+_HELD = """xb AS (SELECT tx, strand, unnest(range(s, e + 1)) AS b FROM ex),
+    xi AS (SELECT tx, strand, e + 1 AS s, nx - 1 AS e FROM (SELECT *, lead(s) OVER (PARTITION BY tx, strand ORDER BY s) AS nx FROM ex) WHERE nx > e + 1),
+    xj AS (SELECT tx, strand, unnest(range(s, e + 1)) AS b FROM xi),
+    hb AS (SELECT tx, strand, hit, unnest(range(s, e + 1)) AS b FROM eh),
+    hi AS (SELECT tx, strand, hit, e + 1 AS s, nx - 1 AS e FROM (SELECT *, lead(s) OVER (PARTITION BY tx, strand, hit ORDER BY s) AS nx FROM eh) WHERE nx > e + 1),
+    hj AS (SELECT tx, strand, hit, unnest(range(s, e + 1)) AS b FROM hi),
+    tt AS (SELECT tx, strand, min(s) AS s, max(e) AS e, sum(e - s + 1) + 20 * (count(*) - 1) + 10 AS w FROM ex GROUP BY ALL),
+    tw AS (SELECT tx, strand, tt.s, tt.e, tt.w + 0.5 * coalesce(x.n, 0) - 20 * (k - coalesce(x.m, 0)) AS w FROM tt JOIN (SELECT tx, strand, count(*) - 1 AS k FROM ex GROUP BY ALL) USING (tx, strand) LEFT JOIN (SELECT tx, strand, sum(e - s + 1) AS n, count(*) AS m FROM xi GROUP BY ALL) x USING (tx, strand)),"""
+_CONGRUENCE = """hw AS (SELECT h.tx, h.strand, h.hit, h.s, h.e, h.n + 10 + 0.5 * coalesce(x.n, 0) + 20 * coalesce(x.m, 0) AS w FROM (SELECT tx, strand, hit, min(s) AS s, max(e) AS e, sum(e - s + 1) AS n FROM eh GROUP BY ALL) h
+      LEFT JOIN (SELECT tx, strand, hit, sum(e - s + 1) AS n, count(*) AS m FROM hi GROUP BY ALL) x USING (tx, strand, hit)),
+    c1 AS (SELECT tx, strand, hit, count(*) AS n FROM hb JOIN xb USING (tx, strand, b) GROUP BY ALL), c2 AS (SELECT tx, strand, hit, count(*) AS n FROM hj JOIN xj USING (tx, strand, b) GROUP BY ALL),
+    c3 AS (SELECT h.tx, h.strand, h.hit, count(*) AS n FROM hi h JOIN xi x ON x.tx = h.tx AND x.strand = h.strand AND x.s = h.s WHERE h.s < h.e GROUP BY ALL), c4 AS (SELECT h.tx, h.strand, h.hit, count(*) AS n FROM hi h JOIN xi x ON x.tx = h.tx AND x.strand = h.strand AND x.e = h.e GROUP BY ALL),
+    cg AS (SELECT hw.tx, hw.strand, hw.hit, tw.w AS tw, hw.w AS hw, coalesce(c1.n, 0) + 0.5 * coalesce(c2.n, 0) + 10 * coalesce(c3.n, 0) + 10 * coalesce(c4.n, 0) + CASE WHEN hw.s = tw.s THEN 5 ELSE 0 END + CASE WHEN hw.e = tw.e THEN 5 ELSE 0 END AS c
+      FROM hw JOIN tw USING (tx, strand) LEFT JOIN c1 USING (tx, strand, hit) LEFT JOIN c2 USING (tx, strand, hit) LEFT JOIN c3 USING (tx, strand, hit) LEFT JOIN c4 USING (tx, strand, hit)),
+    ds AS (SELECT tx, strand, hit, 1 - (c / tw + c / hw) / 2 AS distance FROM cg)"""
+_CLOSEST = """k1 AS (SELECT tx, strand, sum(CASE WHEN h.b IS NOT NULL THEN 1 ELSE 0 END) AS c, sum(CASE WHEN h.b IS NULL AND i.b IS NOT NULL THEN 0.5 ELSE 0 END) AS o FROM xb LEFT JOIN (SELECT DISTINCT tx, strand, b FROM hb) h USING (tx, strand, b) LEFT JOIN (SELECT DISTINCT tx, strand, b FROM hj) i USING (tx, strand, b) GROUP BY tx, strand),
+    k2 AS (SELECT tx, strand, sum(CASE WHEN i.b IS NOT NULL THEN 0.5 ELSE 0 END) AS c, sum(CASE WHEN i.b IS NULL AND h.b IS NOT NULL THEN 1 ELSE 0 END) AS o FROM xj LEFT JOIN (SELECT DISTINCT tx, strand, b FROM hb) h USING (tx, strand, b) LEFT JOIN (SELECT DISTINCT tx, strand, b FROM hj) i USING (tx, strand, b) GROUP BY tx, strand),
+    k3 AS (SELECT tx, strand, 10 * count_if(EXISTS (SELECT 1 FROM hi WHERE hi.tx = xi.tx AND hi.strand = xi.strand AND hi.s = xi.s)) + 10 * count_if(EXISTS (SELECT 1 FROM hi WHERE hi.tx = xi.tx AND hi.strand = xi.strand AND hi.e = xi.e)) AS c FROM xi GROUP BY tx, strand),
+    he AS (SELECT tx, strand, hit, min(s) AS s, max(e) AS e FROM eh GROUP BY ALL),
+    k4 AS (SELECT tx, strand, w, CASE WHEN EXISTS (SELECT 1 FROM he WHERE he.tx = tw.tx AND he.strand = tw.strand AND he.s = tw.s) THEN 5 ELSE 0 END + CASE WHEN EXISTS (SELECT 1 FROM he WHERE he.tx = tw.tx AND he.strand = tw.strand AND he.e = tw.e) THEN 5 ELSE 0 END AS c FROM tw),
+    kk AS (SELECT tx, strand, w, k1.c + coalesce(k2.c, 0) + coalesce(k3.c, 0) + k4.c AS c, k1.o + coalesce(k2.o, 0) AS o FROM k4 JOIN k1 USING (tx, strand) LEFT JOIN k2 USING (tx, strand) LEFT JOIN k3 USING (tx, strand)),
+    cl AS (SELECT tx, strand, CASE WHEN c + o > 0 THEN 1 - (c / w + c / (c + o)) / 2 ELSE 1 END AS closest FROM kk)"""
+_EH = "eh AS (SELECT tx, strand, hit, s, e FROM eb WHERE kind <> 'other'), "
+
+
+def _aligned(evidence):
+    return evidence.where("kind <> 'other'").select(*TK, "hit", "s", "e")
+
+
+@query(*_after("feat feat_q", _GENES + _EH + _HELD + _CONGRUENCE, "SELECT ds.tx, sp.seqid, ds.strand, hit, round(distance, 6) AS distance FROM ds JOIN sp USING (tx, strand)"))
+def weighted_congruence(spark, d):
+    """Each model against each of its ESTs and proteins, by weighted exons, introns, splice sites and ends."""
+    exons, _, evidence = _parts(spark, d)
+    return congruence_.congruence(exons, _aligned(evidence), TK, WEIGHTS).withColumn("distance", F.round("distance", 6)).select(*TK, "hit", "distance")
+
+
+@query(*_after("feat feat_q", _GENES + _EH + _HELD + _CLOSEST, "SELECT cl.tx, sp.seqid, cl.strand, round(closest, 6) AS distance FROM cl JOIN sp USING (tx, strand)"))
+def closest_evidence(spark, d):
+    """Each model against all of its ESTs and proteins at once."""
+    exons, _, evidence = _parts(spark, d)
+    return congruence_.closest(exons, _aligned(evidence), TK, WEIGHTS).withColumn("distance", F.round("distance", 6))
+
+
+@query(*_after("feat feat_q", _GENES + _EH + """gn AS (SELECT tx, seqid, strand, s, e, sum(nw) OVER (PARTITION BY seqid, strand ORDER BY s, e, tx ROWS UNBOUNDED PRECEDING) AS gene FROM (SELECT *, CASE WHEN s > max(e) OVER (PARTITION BY seqid, strand ORDER BY s, e, tx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 1 ELSE 0 END AS nw FROM sp)),
+    gx AS (SELECT DISTINCT gn.seqid, gn.strand, gene, unnest(range(ex.s, ex.e + 1)) AS b FROM ex JOIN gn USING (tx, strand)), gv AS (SELECT DISTINCT gn.seqid, gn.strand, gene, unnest(range(eh.s, eh.e + 1)) AS b FROM eh JOIN gn USING (tx, strand)),
+    n1 AS (SELECT seqid, strand, gene, count(*) AS n FROM gx GROUP BY ALL), n2 AS (SELECT seqid, strand, gene, count(*) AS n FROM gv GROUP BY ALL), n3 AS (SELECT seqid, strand, gene, count(*) AS n FROM gx JOIN gv USING (seqid, strand, gene, b) GROUP BY ALL)""",
+    "SELECT seqid, strand, gene::BIGINT + 1 AS gene, round(1 - (coalesce(n3.n / n2.n, 0) + coalesce(n3.n, 0) / n1.n) / 2, 6) AS distance FROM n1 LEFT JOIN n2 USING (seqid, strand, gene) LEFT JOIN n3 USING (seqid, strand, gene)"))
+def gene_aed(spark, d):
+    """Models of a strand that overlap or touch are one gene, held against all of their ESTs and proteins."""
+    exons, spans, evidence = _parts(spark, d)
+    genes = stored(intervals.islands(spans.select(*TK, "s", "e"), SK, name="gene").select(*TK, "gene"))
+    key = [*SK, "gene"]
+    found = congruence_.gene_distance(exons.join(genes, TK).select(*key, "s", "e"), _aligned(evidence).join(genes, TK).select(*key, "s", "e"), key)
+    return found.withColumn("distance", F.round("distance", 6))
+
+
+_EXTENDED = """b0 AS (SELECT tx, strand, hit, s, e, row_number() OVER (PARTITION BY tx, strand, hit ORDER BY s) = 1 AS f, row_number() OVER (PARTITION BY tx, strand, hit ORDER BY s DESC) = 1 AS l FROM eb WHERE kind <> 'other'),
+    b1 AS (SELECT DISTINCT tx, strand, unnest(range(s, e + 1)) AS b FROM b0), b2 AS (SELECT DISTINCT tx, strand, unnest(range(e + 1, nx)) AS b FROM (SELECT *, lead(s) OVER (PARTITION BY tx, strand, hit ORDER BY s) AS nx FROM b0) WHERE nx IS NOT NULL),
+    t1 AS (SELECT tx, strand, b, CASE WHEN y.v IS NULL THEN 1 WHEN x.v IS NULL THEN 2 ELSE -1 END AS state FROM (SELECT *, 1 AS v FROM b1) x FULL JOIN (SELECT *, 1 AS v FROM b2) y USING (tx, strand, b)),
+    t2 AS (SELECT *, CASE WHEN b = 1 + lag(b) OVER w THEN 0 ELSE 1 END AS nc, CASE WHEN b = 1 + lag(b) OVER w AND state = lag(state) OVER w THEN 0 ELSE 1 END AS nr FROM t1 WHERE state > 0 WINDOW w AS (PARTITION BY tx, strand ORDER BY b)),
+    t3 AS (SELECT *, sum(nc) OVER w AS chain, sum(nr) OVER w AS run FROM t2 WINDOW w AS (PARTITION BY tx, strand ORDER BY b)),
+    ru AS (SELECT tx, strand, chain, min(b) AS s, max(b) AS e FROM t3 WHERE state = 1 GROUP BY tx, strand, chain, run),
+    le AS (SELECT h.tx, h.strand, h.hit, r.s AS pt, chain FROM b0 h JOIN ru r ON r.tx = h.tx AND r.strand = h.strand AND h.s BETWEEN r.s AND r.e WHERE f),
+    re AS (SELECT h.tx, h.strand, h.hit, r.e AS pt, chain FROM b0 h JOIN ru r ON r.tx = h.tx AND r.strand = h.strand AND h.e BETWEEN r.s AND r.e WHERE l),
+    eh AS (SELECT h.tx, h.strand, h.hit, CASE WHEN f THEN coalesce(le.pt, s) ELSE s END AS s, CASE WHEN l THEN coalesce(re.pt, e) ELSE e END AS e FROM b0 h LEFT JOIN le USING (tx, strand, hit) LEFT JOIN re USING (tx, strand, hit)
+      UNION ALL SELECT tx, strand, hit, ru.s, ru.e FROM le JOIN ru USING (tx, strand, chain) WHERE ru.e < pt UNION ALL SELECT tx, strand, hit, ru.s, ru.e FROM re JOIN ru USING (tx, strand, chain) WHERE ru.s > pt),
+    """
+
+
+@query(*_after("feat feat_q", _GENES + _EXTENDED + _HELD + _CONGRUENCE, "SELECT sp.tx, sp.seqid, sp.strand, round(least(coalesce(min(distance), 1), 1), 6) AS nearest FROM sp LEFT JOIN ds USING (tx, strand) GROUP BY ALL"))
+def transcript_aed(spark, d):
+    """Each model against the nearest of its ESTs and proteins after these have been made longer by what all agree on."""
+    exons, _, evidence = _parts(spark, d)
+    return congruence_.transcript_distance(exons, stored(_aligned(evidence)), TK, WEIGHTS).select(*TK, F.round("nearest", 6).alias("nearest"))
