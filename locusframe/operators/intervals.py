@@ -82,13 +82,18 @@ def gaps(pieces: DataFrame, keys: list[str], lengths: DataFrame | None = None) -
     return inner.union(left).union(right)
 
 
-def overlap_join(a: DataFrame, b: DataFrame, keys: list[str], flank: int = 0, how: str = "inner", bin_sizes: tuple[int, ...] = (64,)) -> DataFrame:
+#: Bin sizes for intervals of any length: a long one takes few bins, and short ones don't meet each other in large bins.
+TIERS = (64, 1 << 13)
+
+
+def overlap_join(a: DataFrame, b: DataFrame, keys: list[str], flank: int = 0, how: str = "inner", bin_sizes: tuple[int, ...] = TIERS) -> DataFrame:
     """Pairs of rows that overlap when a is widened by flank; b's columns must differ from a's but for keys, s and e.
 
     Both sides are spread over bins of positions and joined on keys and bin, so the join is an
     equi-join whose keys stay small; a pair is kept in the bin where its overlap begins. With several
     bin sizes (ascending) a pair meets in bins of the size that the longer of both fits, so that an
-    interval of any length takes two bins of each such size. Returns a's columns and b's, with b's s
+    interval takes two bins of its own size (more only beyond the largest). In larger bins a row meets only rows that belong there: side 1 of the
+    key holds a's own with all of b's, side 2 a's shorter ones with b's own. Returns a's columns and b's, with b's s
     and e as bs and be. how: inner, left_semi or left_anti."""
     at = lambda c: F.element_at(F.array(*[F.lit(x) for x in bin_sizes]), c + 1)
 
@@ -98,22 +103,29 @@ def overlap_join(a: DataFrame, b: DataFrame, keys: list[str], flank: int = 0, ho
             out = F.when(high - low + 1 <= bin_sizes[i], i).otherwise(out)
         return out
 
-    def spread(df: DataFrame, low, high, own: str) -> DataFrame:
+    def spread(df: DataFrame, low, high, left: bool) -> DataFrame:
         if len(bin_sizes) == 1:
-            return df.withColumns({own: F.lit(0), "_level": F.lit(0)}).withColumn("_bin", F.explode(F.sequence(F.floor(low / bin_sizes[0]), F.floor(high / bin_sizes[0]))))
-        leveled = df.withColumn(own, fits(low, high)).withColumn("_level", F.explode(F.sequence(F.col(own), F.lit(len(bin_sizes) - 1))))
+            return df.withColumns({"_side": F.lit(1), "_level": F.lit(0)}).withColumn("_bin", F.explode(F.sequence(F.floor(low / bin_sizes[0]), F.floor(high / bin_sizes[0]))))
+        own = fits(low, high)
+        levels = F.sequence(own, F.lit(len(bin_sizes) - 1))
+        if left:
+            places = F.transform(levels, lambda n: F.struct(n.alias("_level"), F.when(n == own, 1).otherwise(2).alias("_side")))
+        else:  # its own level's second side only where there are shorter ones
+            places = F.transform(levels, lambda n: F.struct(n.alias("_level"), F.lit(1).alias("_side")))
+            places = F.concat(places, F.when(own > 0, F.array(F.struct(own.alias("_level"), F.lit(2).alias("_side")))).otherwise(F.slice(places, 1, 0)))
+        leveled = df.withColumn("_place", F.explode(places)).select(*[F.col(c) for c in df.columns], "_place._level", "_place._side")
         return leveled.withColumn("_bin", F.explode(F.sequence(F.floor(low / at(F.col("_level"))), F.floor(high / at(F.col("_level"))))))
 
-    right = spread(b.withColumnRenamed("s", "bs").withColumnRenamed("e", "be"), F.col("bs"), F.col("be"), "_lb")
-    meets = (F.col("s") - flank <= F.col("be")) & (F.col("bs") <= F.col("e") + flank) & (F.col("_level") == F.greatest("_la", "_lb"))
-    on = [*keys, "_level", "_bin"]
+    right = spread(b.withColumnRenamed("s", "bs").withColumnRenamed("e", "be"), F.col("bs"), F.col("be"), False)
+    meets = (F.col("s") - flank <= F.col("be")) & (F.col("bs") <= F.col("e") + flank)
+    on = [*keys, "_level", "_side", "_bin"]
     if how != "inner":  # decided per span, so that rows need no number that two evaluations might give differently
         spans = a.select(*keys, "s", "e").distinct()
-        met = spread(spans, F.col("s") - flank, F.col("e") + flank, "_la").join(right.select(*on, "bs", "be", "_lb"), on).where(meets).select(*keys, "s", "e").distinct()
+        met = spread(spans, F.col("s") - flank, F.col("e") + flank, True).join(right.select(*on, "bs", "be"), on).where(meets).select(*keys, "s", "e").distinct()
         return a.join(met, [*keys, "s", "e"], how).select(*a.columns)
-    both = spread(a, F.col("s") - flank, F.col("e") + flank, "_la").join(right, on).where(meets)
+    both = spread(a, F.col("s") - flank, F.col("e") + flank, True).join(right, on).where(meets)
     size = at(F.col("_level"))
-    return both.where(F.col("_bin") == F.greatest(F.floor((F.col("s") - flank) / size), F.floor(F.col("bs") / size))).drop("_bin", "_level", "_la", "_lb")
+    return both.where(F.col("_bin") == F.greatest(F.floor((F.col("s") - flank) / size), F.floor(F.col("bs") / size))).drop("_bin", "_level", "_side")
 
 
 def overlap_bases(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:

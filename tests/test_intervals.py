@@ -75,3 +75,21 @@ def test_components_in_groups(spark):
 def test_best_score(spark):
     df = spark.createDataFrame([("12.5", None, None), ("x", "7", None), (None, None, "1e-3"), (None, None, "2"), (None, None, None)], "a string, b string, c string")
     assert [r[0] for r in df.select(clusters.best_score(F.col("a"), F.col("b"), F.col("c"))).collect()] == [12.5, 7.0, 9990.0, 0.0, 0.0]
+
+
+def test_overlaps_of_all_lengths(spark):
+    """Short and very long intervals on both sides, by default; a long one takes few bins, and short ones don't meet in its bins."""
+    import random
+
+    r = random.Random(2)
+    lengths = (1, 5, 63, 64, 65, 200, 8_000, 9_000, 300_000)
+    make = lambda n, seed: [(i, i % 2, s, s + r.choice(lengths) - 1) for i in range(n) for s in [r.randrange(1, 40_000)]]
+    a, b = make(150, 1) + [(900, 0, 1, 10_000_000)], make(150, 2) + [(901, 0, 5_000_000, 5_000_001), (902, 1, 3, 10_000_000)]
+    left, right = spark.createDataFrame(a, "x long, k long, s long, e long"), spark.createDataFrame(b, "y long, k long, s long, e long")
+    for flank in (0, 7):
+        want = sorted((x, y) for x, k, s, e in a for y, j, p, q in b if k == j and s - flank <= q and p <= e + flank)
+        joined = intervals.overlap_join(left, right, ["k"], flank)
+        got = [(v.x, v.y) for v in joined.collect()]
+        assert sorted(got) == want
+        assert {v.x for v in intervals.overlap_join(left, right, ["k"], flank, "left_semi").collect()} == {x for x, _ in want}
+        assert {v.x for v in intervals.overlap_join(left, right, ["k"], flank, "left_anti").collect()} == {x for x, *_ in a} - {x for x, _ in want}
