@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from locusframe.functions import sequences
-from locusframe.operators import clusters, evidence, intervals
+from locusframe.operators import clusters, evidence, intervals, ranks
 from locusframe.plans.interval_queries import SK, _after, _pieces
 from locusframe.plans.registry import query, table
 from locusframe.sources import adapters as A
@@ -142,12 +142,9 @@ def sampled(spark, d):
 
 @query("feat", "SELECT seqid, row_number() OVER (ORDER BY n DESC, length DESC, seqid) AS place, n, length FROM (SELECT seqid, count(*) AS n, max(e) AS length FROM feat GROUP BY seqid)")
 def contig_order(spark, d):
-    """Contigs by features, then length; ranks within equal counts are added to what stands before, so no task ranks them all."""
+    """Contigs by features, then length."""
     c = A.feat(spark, d).groupBy("seqid").agg(F.count("*").alias("n"), F.max("e").alias("length"))
-    before = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
-    base = c.groupBy("n").agg(F.count("*").alias("k")).select("n", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("base"))
-    own = F.row_number().over(Window.partitionBy("n").orderBy(F.desc("length"), "seqid"))
-    return c.join(base, "n").select("seqid", (own + F.col("base")).alias("place"), "n", "length")
+    return ranks.numbered(c, [F.desc("n"), F.desc("length"), F.col("seqid")], "place").select("seqid", "place", "n", "length")
 
 
 @query("feat", """, gn AS (SELECT okey, seqid, strand, min(s) AS s, max(e) AS e FROM feat GROUP BY okey, seqid, strand)

@@ -9,14 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from locusframe.operators import competition, consensus, frames, intervals, scores, selection
+from locusframe.operators import competition, consensus, frames, groups, intervals, scores, selection
 from locusframe.operators import congruence as congruence_
 from locusframe.operators import junctions as junctions_
 from locusframe.plans.interval_queries import SK, _after
 from locusframe.plans.model_queries import _EAED, _MODELS, BINS, TK
-from locusframe.plans.registry import query
+from locusframe.plans.registry import query, table
 from locusframe.shared import stored
 from locusframe.sources import adapters as A
+from locusframe.sources import alignments
 
 #: The tables of _MODELS (ex, sp, eb) with these models and reads.
 _GENES = """fb AS (SELECT CASE WHEN source = 'A' THEN -(seqid // 4 * 10 + (s - 1) // 1000) - 1 ELSE seqid // 4 * 1000 + (s - 1) // 300 * 10 + sup % 5 END AS hit, seqid // 4 AS seqid, strand, s, e FROM feat_q),
@@ -276,3 +277,49 @@ def transcript_aed(spark, d):
     """Each model against the nearest of its ESTs and proteins after these have been made longer by what all agree on."""
     exons, _, evidence = _parts(spark, d)
     return congruence_.transcript_distance(exons, stored(_aligned(evidence)), TK, WEIGHTS).select(*TK, F.round("nearest", 6).alias("nearest"))
+
+
+_DOMAINS = """dm AS (SELECT seqid // 4 AS seqid, strand, sup % 10 AS domain, row_number() OVER (PARTITION BY seqid // 4, strand, sup % 10 ORDER BY okey, id) AS i, s, e FROM feat),
+    w1 AS (SELECT seqid, strand, domain, 1::BIGINT AS i, [[struct_pack(i := i, s := s, e := e)]] AS g FROM dm WHERE i = 1
+      UNION ALL SELECT w1.seqid, w1.strand, w1.domain, dm.i, CASE WHEN hit IS NULL THEN list_append(w1.g, [struct_pack(i := dm.i, s := dm.s, e := dm.e)])
+        ELSE list_transform(w1.g, lambda x, k: CASE WHEN k = hit THEN list_append(x, struct_pack(i := dm.i, s := dm.s, e := dm.e)) ELSE x END) END
+      FROM (SELECT w1.*, dm.i AS ni, dm.s AS ns, dm.e AS ne, list_filter(list_transform(w1.g, lambda x, k: CASE WHEN len(list_filter(x, lambda m: 2 * (least(m.e, dm.e) - greatest(m.s, dm.s) + 1) > least(m.e - m.s + 1, dm.e - dm.s + 1))) > 0 THEN k END), lambda k: k IS NOT NULL)[1] AS hit
+        FROM w1 JOIN dm ON dm.seqid = w1.seqid AND dm.strand = w1.strand AND dm.domain = w1.domain AND dm.i = w1.i + 1) w1 JOIN dm ON dm.seqid = w1.seqid AND dm.strand = w1.strand AND dm.domain = w1.domain AND dm.i = w1.ni),
+    g1 AS (SELECT seqid, strand, domain, unnest(g) AS x FROM (SELECT *, max(i) OVER (PARTITION BY seqid, strand, domain) AS last FROM w1) WHERE i = last),
+    g2 AS (SELECT seqid, strand, domain, list_min(list_transform(x, lambda m: m.i)) AS o, list_min(list_transform(x, lambda m: m.s)) * 3 - 2 AS s, list_max(list_transform(x, lambda m: m.e)) * 3 AS e FROM g1),
+    g3 AS (SELECT *, row_number() OVER (PARTITION BY seqid, strand, domain ORDER BY o) AS i FROM g2),
+    w2 AS (SELECT seqid, strand, domain, 1::BIGINT AS i, [struct_pack(o := o, s := s, e := e, b := s, t := e, n := 1::BIGINT)] AS g FROM g3 WHERE i = 1
+      UNION ALL SELECT v.seqid, v.strand, v.domain, v.ni, CASE WHEN hit IS NULL THEN list_append(v.g, struct_pack(o := v.no, s := v.ns, e := v.ne, b := v.ns, t := v.ne, n := 1::BIGINT))
+        ELSE list_transform(v.g, lambda x, k: CASE WHEN k = hit THEN struct_pack(o := x.o, s := x.s, e := x.e, b := least(x.b, v.ns), t := greatest(x.t, v.ne), n := x.n + 1) ELSE x END) END
+      FROM (SELECT w2.*, g3.i AS ni, g3.o AS no, g3.s AS ns, g3.e AS ne, list_filter(list_transform(w2.g, lambda x, k: CASE WHEN 2 * (least(x.e, g3.e) - greatest(x.s, g3.s) + 1) > least(x.e - x.s + 1, g3.e - g3.s + 1) THEN k END), lambda k: k IS NOT NULL)[1] AS hit
+        FROM w2 JOIN g3 ON g3.seqid = w2.seqid AND g3.strand = w2.strand AND g3.domain = w2.domain AND g3.i = w2.i + 1) v),
+    g4 AS (SELECT seqid, strand, domain, unnest(g) AS x FROM (SELECT *, max(i) OVER (PARTITION BY seqid, strand, domain) AS last FROM w2) WHERE i = last)"""
+
+
+@query(*_after("feat", _DOMAINS, "SELECT seqid, strand, domain, x.o AS i, x.b AS s, x.t AS e, x.n AS n FROM g4"))
+def domain_groups(spark, d):
+    """C14: features as hits of ten domains (by supplier) on a contig's strand, in order of their orders, grouped as they come."""
+    rows = A.feat(spark, d).select(F.expr("seqid div 4").alias("seqid"), "strand", F.expr("sup % 10").alias("domain"), "okey", "id", "s", "e")
+    keys = [*SK, "domain"]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("okey", "id")).cast("long")
+    return groups.domain_groups(stored(rows.withColumn("i", place)), keys, "i")
+
+
+@query("", """WITH v AS (SELECT doc_id, list_transform(range(0, 2 + doc_id % 5), lambda k: struct_pack(m := 3 + (doc_id + k) % 7, g := (doc_id + 2 * k) % 3, i := 40 + (doc_id * 7 + k) % 50)) AS x, doc_id % 2 = 0 AS plus FROM documents),
+    p AS (SELECT doc_id, plus, unnest(x) AS o, generate_subscripts(x, 1) AS k, len(x) AS n FROM v),
+    r AS (SELECT *, 3 * o.m + o.g AS bases, coalesce(sum(3 * o.m + o.g + 4 + o.i) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+      coalesce(sum(o.m) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS q FROM p)
+    SELECT doc_id, k::INT AS exon, (CASE WHEN plus THEN 1001 + before ELSE 100000 - before - bases + 1 END)::BIGINT AS s, (CASE WHEN plus THEN 1000 + before + bases ELSE 100000 - before END)::BIGINT AS e, (q + 1)::BIGINT AS q_b, (q + o.m)::BIGINT AS q_e,
+      concat('M', o.m, CASE o.g WHEN 0 THEN '' ELSE concat('F', o.g) END) AS gap FROM r""")
+def vulgar_exons(spark, d):
+    """S21c, S21d: documents' ids as alignments of proteins, written as operation lines and read back as exons."""
+    n = F.expr("2 + doc_id % 5")
+    places = F.sequence(F.lit(0).cast("long"), n - 1)
+    m, g, i = (lambda k: 3 + (F.col("doc_id") + k) % 7), (lambda k: (F.col("doc_id") + 2 * k) % 3), (lambda k: 40 + (F.col("doc_id") * 7 + k) % 50)
+    shift = lambda k: F.when(g(k) > 0, F.concat(F.lit(" F 0 "), g(k))).otherwise("")
+    part = lambda k: F.concat(F.when(k > 0, F.concat(F.lit(" 5 0 2 I 0 "), i(k - 1), F.lit(" 3 0 2"))).otherwise(""), F.lit(" M "), m(k), F.lit(" "), 3 * m(k), shift(k))
+    way = F.when(F.col("doc_id") % 2 == 0, "1000 90000 +").otherwise("100000 100 -")
+    line = F.concat(F.lit("vulgar: p 0 99 . t "), way, F.lit(" 7"), F.array_join(F.transform(places, part), ""))
+    hits = alignments.vulgar_hits(table(spark, d, "documents").select("doc_id", line.alias("line")), "line")
+    rows = hits.select("doc_id", F.posexplode("exons").alias("exon", "x"))
+    return rows.select("doc_id", (F.col("exon") + 1).alias("exon"), F.least("x.t_b", "x.t_e").alias("s"), F.greatest("x.t_b", "x.t_e").alias("e"), "x.q_b", "x.q_e", "x.gap")

@@ -5,20 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from locusframe.operators import graphs, selection
+from locusframe.operators import graphs, ranks, selection
 from locusframe.plans.registry import query, table
 from locusframe.sources import adapters as A
 from locusframe.streaming import events
 
 
 def _numbered_parts(spark, d):
-    """Ids by size, then key; counted per size first, so that no task ranks the whole table."""
-    p = table(spark, d, "part").select("p_partkey", "p_size")
-    before = Window.orderBy(F.desc("p_size")).rowsBetween(Window.unboundedPreceding, -1)
-    base = p.groupBy("p_size").count().withColumn("base", F.coalesce(F.sum("count").over(before), F.lit(0))).select("p_size", "base")
-    own = Window.partitionBy("p_size").orderBy("p_partkey")
-    n = F.row_number().over(own) + F.col("base")
-    return p.join(F.broadcast(base), "p_size").select(F.col("p_partkey").alias("old_id"), F.concat(F.lit("P"), F.lpad(n.cast("string"), 8, "0")).alias("new_id"))
+    """Ids by size, then key."""
+    p = ranks.numbered(table(spark, d, "part").select("p_partkey", "p_size"), [F.desc("p_size"), F.col("p_partkey")], "n")
+    return p.select(F.col("p_partkey").alias("old_id"), F.concat(F.lit("P"), F.lpad(F.col("n").cast("string"), 8, "0")).alias("new_id"))
 
 
 @query("idmap", "SELECT old_id, new_id FROM idmap")
