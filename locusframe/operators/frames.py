@@ -156,3 +156,20 @@ def phased(blocks: DataFrame) -> DataFrame:
     walked = blocks.withColumn("_ops", ops).withColumn("_ops", F.transform("_ops", with_back)).withColumn("_out", F.explode(F.aggregate("_ops", start, step, lambda a: a["out"])))
     cut = walked.withColumns({"p": F.col("_out.p"), "_s": F.greatest("s", F.col("_out.p")), "_e": F.least(F.col("e"), F.col("_out.p") + F.col("_out.n") - 1)})
     return cut.where("_s <= _e").withColumns({"s": F.col("_s"), "e": F.col("_e")}).drop("_ops", "_out", "_s", "_e")
+
+
+def joined_by_frame(clusters: DataFrame, chunks: DataFrame, size: int = 100_000, shortest: int = 300) -> DataFrame:
+    """C11: clusters of a contig's strand (seqid, strand, s, e; disjoint) with `joined`, the number (from 1) of the run of neighbours whose gaps read through.
+
+    A gap begins behind a cluster and ends three bases before the next one begins, has `shortest` bases at least and lies on the sequence;
+    it joins both if one of three frames has no stop in it (see reads_through)."""
+    keys = ["seqid", "strand"]
+    order = Window.partitionBy(*keys).orderBy("s", "e")
+    gaps = stored(clusters.select(*keys, "s", "e", (F.col("e") + 1).alias("b"), (F.lead("s").over(order) - 3).alias("_to")))
+    asked = gaps.where(F.col("_to") - F.col("b") + 1 >= shortest)
+    lengths = chunks.groupBy("seqid").agg(F.max(F.col("chunk") * size + F.col("own")).alias("_length"))
+    known = asked.join(next_marks(chunks, asked.select(*keys, "b"), size), [*keys, "b"]).join(lengths, "seqid").where("_to <= _length")
+    through = known.where(reads_through(F.col("b"), F.col("_to"), F.col("strand"))).select(*keys, "s", "e", F.lit(True).alias("_on"))
+    marked = gaps.join(through, [*keys, "s", "e"], "left")
+    before = F.coalesce(F.lag("_on").over(order), F.lit(False))
+    return marked.withColumn("_new", F.when(before, 0).otherwise(1)).select(*keys, "s", "e", F.sum("_new").over(order).alias("joined"))

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from locusframe.operators import competition, consensus, frames, groups, intervals, scores, selection
+from locusframe.functions import sequences
+from locusframe.operators import codons, competition, consensus, frames, groups, intervals, scores, selection
 from locusframe.operators import congruence as congruence_
 from locusframe.operators import junctions as junctions_
 from locusframe.plans.interval_queries import SK, _after
@@ -323,3 +324,49 @@ def vulgar_exons(spark, d):
     hits = alignments.vulgar_hits(table(spark, d, "documents").select("doc_id", line.alias("line")), "line")
     rows = hits.select("doc_id", F.posexplode("exons").alias("exon", "x"))
     return rows.select("doc_id", (F.col("exon") + 1).alias("exon"), F.least("x.t_b", "x.t_e").alias("s"), F.greatest("x.t_b", "x.t_e").alias("e"), "x.q_b", "x.q_e", "x.gap")
+
+
+_REV = "reverse(translate({x}, 'ACGT', 'TGCA'))"
+_CODONS = _GENES + f"""tq AS (SELECT tx, strand, seqid, seq AS contig, min(s) AS s, max(e) AS e, string_agg(substr(seq, s, e - s + 1), '' ORDER BY s) AS t FROM ex JOIN seqs USING (seqid) GROUP BY tx, strand, seqid, seq HAVING max(e) <= length(seq)),
+    tr AS (SELECT tx, strand, seqid, s, e, contig, CASE WHEN strand > 0 THEN t ELSE {_REV.format(x="t")} END AS seq, 30::BIGINT AS o, 31 + 3 * ((length(t) - 60) // 3) AS n FROM tq WHERE length(t) >= 90),
+    ts AS (SELECT *, substr(seq, n::INT) || CASE WHEN strand > 0 THEN substr(contig, (e + 1)::INT) ELSE {_REV.format(x="left(contig, (s - 1)::INT)")} END AS a,
+      CASE WHEN strand > 0 THEN left(contig, (s - 1)::INT) ELSE {_REV.format(x="substr(contig, (e + 1)::INT)")} END || left(seq, o::INT) AS u, substr(seq, (n - 3)::INT, 3) IN ('TAA', 'TAG', 'TGA') AS p0, substr(seq, (o + 1)::INT, 3) = 'ATG' AS q0 FROM tr),
+    tc AS (SELECT *, list_filter(list_transform(range(1, length(a) // 3 + 1), lambda k: CASE WHEN substr(a, 3 * k - 2, 3) IN ('TAA', 'TAG', 'TGA') THEN k END), lambda k: k IS NOT NULL)[1] * 3 AS fa,
+      list_filter(list_transform(range(1, length(u) // 3 + 1), lambda k: CASE substr(u, length(u) - 3 * k + 1, 3) WHEN 'ATG' THEN k WHEN 'TAA' THEN -k WHEN 'TAG' THEN -k WHEN 'TGA' THEN -k END), lambda k: k IS NOT NULL)[1] * 3 AS fb,
+      list_filter(list_transform(range(1, (length(seq) - o) // 3), lambda k: CASE substr(seq, (o + 3 * k + 1)::INT, 3) WHEN 'ATG' THEN k WHEN 'TAA' THEN -k WHEN 'TAG' THEN -k WHEN 'TGA' THEN -k END), lambda k: k IS NOT NULL)[1] * 3 AS fi FROM ts),
+    td AS (SELECT *, CASE WHEN p0 OR fa IS NULL THEN n ELSE n + fa END AS n1, CASE WHEN q0 THEN o WHEN fb > 0 THEN o - fb WHEN fi > 0 THEN o + fi ELSE o END AS o1 FROM tc),
+    te AS (SELECT *, greatest(n1 - 1 - length(seq), 0) AS mo, greatest(-o1, 0) AS be FROM td)"""
+
+
+def _transcripts(spark, d):
+    """Models that lie on their contig's sequence, of 90 bases at least, with a coding span 30 bases from both ends, in whole codons."""
+    exons = _parts(spark, d)[0]
+    rows = exons.join(A.seqs(spark, d).select("seqid", F.col("seq").alias("contig")), "seqid").where("e <= length(contig)")
+    pieces = rows.select(*TK, "s", "e", F.expr("substring(contig, cast(s as int), cast(e - s + 1 as int))").alias("t"))
+    n = exons.groupBy(*TK).agg(F.count("*").alias("n"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s", "t"))), lambda x: x["t"]), "")
+    whole = pieces.groupBy(*TK).agg(F.min("s").alias("s"), F.max("e").alias("e"), F.count("*").alias("k"), text.alias("t")).join(n, TK).where("n = k and length(t) >= 90")
+    seq = F.when(F.col("strand") > 0, F.col("t")).otherwise(sequences.reverse_complement(F.col("t")))
+    return whole.select(*TK, "s", "e", seq.alias("seq"), F.lit(30).cast("long").alias("offset"), F.expr("31 + 3 * ((length(t) - 60) div 3)").alias("end"))
+
+
+@query(*_after("feat feat_q seqs", _CODONS, """SELECT tx, seqid, strand, s - CASE WHEN strand > 0 THEN be ELSE mo END AS s, e + CASE WHEN strand > 0 THEN mo ELSE be END AS e, o1 + be AS "offset", n1 + be AS "end", q0 OR coalesce(fb > 0, false) OR coalesce(fi > 0, false) AS has_start, p0 OR fa IS NOT NULL AS has_stop FROM te"""))
+def codon_walk(spark, d):
+    """Models walked out to a stop codon and back to a start codon, beyond their ends where need be."""
+    size = 20_000
+    chunks = stored(frames.chunked(A.seqs(spark, d).select("seqid", "seq"), size))
+    return codons.adjusted(stored(_transcripts(spark, d)), chunks, size)
+
+
+@query(*_after("feat feat_q seqs", _BAGS + """cu AS (SELECT seqid, strand, min(s) AS s, max(e) AS e FROM (SELECT *, sum(nw) OVER (PARTITION BY seqid, strand ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS g FROM (SELECT *, CASE WHEN s > max(e) OVER (PARTITION BY seqid, strand ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 1 ELSE 0 END AS nw FROM bb)) GROUP BY seqid, strand, g),
+    cn AS (SELECT *, e + 1 AS b, lead(s) OVER (PARTITION BY seqid, strand ORDER BY s) - 3 AS t FROM cu),
+    cp AS (SELECT cn.*, CASE WHEN strand > 0 THEN substr(seq, b, t - b + 1) ELSE reverse(translate(substr(seq, b, t - b + 1), 'ACGT', 'TGCA')) END AS x FROM cn JOIN seqs USING (seqid) WHERE t - b + 1 >= 15 AND t <= length(seq)),
+    cr AS (SELECT seqid, strand, s FROM cp WHERE list_bool_or(list_transform([0, 1, 2], lambda f: NOT list_has_any(list_transform(range(f + 1, length(x) - 1, 3), lambda i: substr(x, i, 3)), ['TAA', 'TAG', 'TGA'])))),
+    cm AS (SELECT cu.*, CASE WHEN lag(cr.s) OVER (PARTITION BY cu.seqid, cu.strand ORDER BY cu.s) IS NULL THEN 1 ELSE 0 END AS nw FROM cu LEFT JOIN cr USING (seqid, strand, s))""",
+    "SELECT seqid, strand, s, e, sum(nw) OVER (PARTITION BY seqid, strand ORDER BY s ROWS UNBOUNDED PRECEDING)::BIGINT AS joined FROM cm"))
+def clusters_by_frame(spark, d):
+    """C11: clusters of reads joined over gaps that read through; gaps of at least 15 bases here, as contigs are crowded."""
+    size = 2000
+    pieces = intervals.merge(_bags(spark, d), SK).select(*SK, "s", "e")
+    chunks = stored(frames.chunked(A.seqs(spark, d).select("seqid", "seq"), size))
+    return frames.joined_by_frame(pieces, chunks, size, 15)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from locusframe.functions.sequences import codon_table
-from locusframe.operators import competition, consensus, frames, junctions
+from locusframe.operators import codons, competition, consensus, frames, junctions
 
 TABLE = codon_table()
 PAIR = str.maketrans("ACGTN", "TGCAN")
@@ -217,3 +217,92 @@ def test_consensus(spark):
     got = consensus.extended(frame, ["bag"])
     assert sorted(tuple(x) for x in got.collect()) == sorted(want)
     assert len(want) > sum(map(len, hits.values()))
+
+
+def revcomp(x):
+    return x.translate(PAIR)[::-1]
+
+
+def by_hand(contig, strand, exons, offset, end):
+    """Walks codon by codon; the contig is fetched in strides of 100."""
+    s, e, n = exons[0][0], exons[-1][1], len(contig)
+    seq = "".join(contig[p - 1:q] for p, q in exons)
+    seq = seq if strand > 0 else revcomp(seq)
+    has_stop, repeat, z, grown, edge = TABLE.get(seq[end - 4:end - 1]) == "*", 0, end, seq, e if strand > 0 else s
+    while not has_stop:
+        z += 3
+        if z > len(grown) + 1:
+            last = edge
+            edge = min(n, edge + 100) if strand > 0 else max(1, edge - 100)
+            grown += contig[last:edge] if strand > 0 else revcomp(contig[edge - 1:last - 1])
+        if z > len(grown) + 1:
+            break
+        codon = grown[z - 4:z - 1]
+        repeat = repeat + 1 if codon not in TABLE else 0
+        if repeat > 5 and z - len(seq) + 1 > 0:
+            break
+        if TABLE.get(codon) == "*":
+            has_stop, end = True, z
+    more = max(0, end - 1 - len(seq))
+    has_start, repeat, i, grown, edge = seq[offset:offset + 3] == "ATG", 0, offset, seq, s if strand > 0 else e
+    first = offset
+    while not has_start:
+        i -= 3
+        if i < 0:
+            last = edge
+            edge = max(1, edge - 100) if strand > 0 else min(n, edge + 100)
+            add = contig[edge - 1:last - 1] if strand > 0 else revcomp(contig[last:edge])
+            grown = add + grown
+            i += len(add)
+        if i < 0:
+            break
+        codon = grown[i:i + 3]
+        if TABLE.get(codon) == "*":
+            break
+        if codon == "ATG":
+            has_start, first = True, i - (len(grown) - len(seq))
+            break
+        repeat = repeat + 1 if codon not in TABLE else 0
+        if repeat > 5 and len(grown) - len(seq) - offset > 0:
+            break
+    j = offset
+    while not has_start:
+        j += 3
+        if j > len(seq) - 3 or TABLE.get(seq[j:j + 3]) == "*":
+            break
+        if seq[j:j + 3] == "ATG":
+            has_start, first = True, j
+    before = max(0, -first)
+    return (s - (before if strand > 0 else more), e + (more if strand > 0 else before), first + before, end + before, has_start, has_stop)
+
+
+@pytest.mark.parametrize("size", [60, 97, 5000])
+def test_codon_walk(spark, size):
+    r = random.Random(21)
+    rare = ["GCC", "AAC", "CTG", "GGT", "CCA", "CAC"]
+    contigs = {}
+    for k in range(4):
+        seq = "".join(r.choice(rare) if r.random() < 0.985 else r.choice(["ATG", "TAA", "TGA", "TTA", "CAT", "CTA"]) for _ in range(700))
+        at = 900 + 40 * k
+        contigs[k] = seq[:at] + "N" * 30 + seq[at + 30:]
+    rows, want = [], {}
+    for tx in range(120):
+        seqid, strand = tx % 4, r.choice([1, -1])
+        n = len(contigs[seqid])
+        at, exons = r.randrange(1, n - 260), []
+        for _ in range(r.randrange(1, 4)):
+            exons.append((at, at + r.randrange(30, 60)))
+            at = exons[-1][1] + r.randrange(10, 30)
+        seq = "".join(contigs[seqid][p - 1:q] for p, q in exons)
+        seq = seq if strand > 0 else revcomp(seq)
+        offset = r.choice([0, 1, 5, 12])
+        end = offset + 1 + 3 * r.randrange(2, (len(seq) - offset) // 3 + 1)
+        rows.append((tx, seqid, strand, exons[0][0], exons[-1][1], seq, offset, end))
+        want[tx] = by_hand(contigs[seqid], strand, exons, offset, end)
+    chunks = frames.chunked(spark.createDataFrame(list(contigs.items()), "seqid long, seq string"), size).cache()
+    frame = spark.createDataFrame(rows, "tx long, seqid long, strand int, s long, e long, seq string, offset long, end long").repartition(3)
+    got = {x.tx: (x.s, x.e, x.offset, x.end, x.has_start, x.has_stop) for x in codons.adjusted(frame, chunks, size).collect()}
+    assert got == want
+    kinds = [w[4:] for w in want.values()]
+    assert kinds.count((True, True)) > 5 and kinds.count((False, False)) > 0
+    assert codons.adjusted(frame.where("false"), chunks, size).count() == 0
