@@ -18,7 +18,7 @@ from locusframe.plans.model_queries import _EAED, _MODELS, BINS, TK
 from locusframe.plans.registry import query, table
 from locusframe.shared import stored
 from locusframe.sources import adapters as A
-from locusframe.sources import alignments
+from locusframe.sources import alignments, blast
 
 #: The tables of _MODELS (ex, sp, eb) with these models and reads.
 _GENES = """fb AS (SELECT CASE WHEN source = 'A' THEN -(seqid // 4 * 10 + (s - 1) // 1000) - 1 ELSE seqid // 4 * 1000 + (s - 1) // 300 * 10 + sup % 5 END AS hit, seqid // 4 AS seqid, strand, s, e FROM feat_q),
@@ -370,3 +370,18 @@ def clusters_by_frame(spark, d):
     pieces = intervals.merge(_bags(spark, d), SK).select(*SK, "s", "e")
     chunks = stored(frames.chunked(A.seqs(spark, d).select("seqid", "seq"), size))
     return frames.joined_by_frame(pieces, chunks, size, 15)
+
+
+@query("feat", """SELECT concat('p', seqid) AS query, concat('s', id) AS subject, round(score) AS score, round(score) / 2 AS bits, (e - s + 1)::BIGINT AS identical, strand AS s_strand, s AS q_s, e AS q_e, 1::BIGINT AS s_s, (e - s + 1)::BIGINT AS s_e FROM feat""")
+def blast_round_trip(spark, d):
+    """Features written as text reports, a record per contig, and read back as aligned blocks."""
+    f = A.feat(spark, d)
+    n = F.col("e") - F.col("s") + 1
+    plus = F.col("strand") > 0
+    score = F.round("score").cast("long")
+    text = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts])
+    line = lambda name, b, e: text(f"{name}  ", b, "  ", F.repeat(F.lit("A"), n.cast("int")), "  ", e, "\n")
+    hit = text(">s", F.col("id"), " x\nLength=", n, "\n\n Score = ", F.format_string("%.1f", score / 2), " bits (", score, "),  Expect = 1e-05\n Identities = ", n, "/", n, " (100%)\n Strand=Plus/", F.when(plus, "Plus").otherwise("Minus"), "\n\n")
+    both = F.concat(line("Query", F.col("s"), F.col("e")), line("Sbjct", F.when(plus, 1).otherwise(n), F.when(plus, n).otherwise(1)), F.lit("\n"))
+    records = f.groupBy("seqid").agg(F.array_join(F.collect_list(F.concat(hit, both)), "").alias("hits")).select(text(" p", F.col("seqid"), "\n\nLength=9999\n\n", F.col("hits")).alias("record"))
+    return blast.parsed(records, "record").select("query", "subject", "score", "bits", "identical", "s_strand", "q_s", "q_e", "s_s", "s_e")
