@@ -242,3 +242,15 @@ def cluster(docs: DataFrame, words: int = 5, percent: int = 80, small: int = 16,
     out = base.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"), own.eqNullSafe(F.col("doc_id")).alias("kept"))
+
+
+#: The same rows by the sets of all pairs that share a shingle, for small tables (unique doc_ids; two words, 80 per cent).
+SQL = r"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    g AS (SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS g FROM w),
+    u AS (SELECT doc_id, len(g) AS n, unnest(g) AS s FROM g),
+    l AS (SELECT a.doc_id AS x, b.doc_id AS y FROM u a JOIN u b ON a.s = b.s AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+    m AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+    r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, m.y FROM r JOIN m ON m.x = r.y),
+    c AS (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x)
+    SELECT doc_id, len(g)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM c JOIN g USING (doc_id)"""

@@ -273,3 +273,13 @@ def link(vectors: DataFrame, threshold: float = 0.9, k: int = 16, trees: int = 1
     whole = rows.join(by_class, "vec", "left")
     own = F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return whole.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), own.alias("component_id"), own.eqNullSafe(F.col("vec_id")).alias("kept"))
+
+
+#: The same rows by comparing all pairs, for small tables (unique vec_ids).
+SQL = """
+    WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+    r AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y),
+    c AS (SELECT x AS vec_id, min(y) AS component_id FROM r GROUP BY x), n AS (SELECT x AS vec_id, count(*) AS n_links FROM l GROUP BY x)
+    SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM c LEFT JOIN n USING (vec_id)"""

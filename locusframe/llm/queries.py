@@ -95,6 +95,9 @@ SQL: dict[str, str] = {
           CASE WHEN f.first_id <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
           CASE WHEN f.first_id <> d.page_id THEN f.first_id END AS refers_to
         FROM d LEFT JOIN f USING (payload_digest)""",
+    "op3_nn_descent": nearest.SQL,
+    "op7_minmax_near_dedup": minhash.SQL,
+    "op9_substring_dedup": substrings.SQL,
     "op11_exact_top_k": topk.SQL,
     "op12_hard_negatives": negatives.SQL,
     "op13_prefix_trie": prefixes.SQL,

@@ -412,3 +412,15 @@ def dedup(docs: DataFrame, window: int = 13, hot_docs: int = 20_000, most_broadc
             yield pa.RecordBatch.from_arrays([*cols.values(), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())], [*names, "n_words", "n_removed", "kept_text"])
 
     return whole.mapInArrow(take_out, schema)
+
+
+#: The same rows by all windows (13 words), for small tables (unique doc_ids).
+SQL = r"""
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w)),
+    f AS (SELECT s, min(doc_id) AS first FROM s GROUP BY s HAVING min(doc_id) < max(doc_id)),
+    g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS k FROM s JOIN f USING (s) WHERE doc_id > first),
+    a AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS k FROM w),
+    t AS (SELECT a.doc_id, string_agg(x, ' ' ORDER BY k) AS kept FROM a ANTI JOIN g ON g.doc_id = a.doc_id AND g.k = a.k GROUP BY a.doc_id),
+    n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)"""
