@@ -82,11 +82,11 @@ def gaps(pieces: DataFrame, keys: list[str], lengths: DataFrame | None = None) -
     return inner.union(left).union(right)
 
 
-#: Bin sizes for intervals of any length: a long one takes few bins, and short ones don't meet each other in large bins.
-TIERS = (64, 1 << 13)
+#: One size of bins, for intervals of up to some thousand bins; tiers for a mix of very short and very long ones cost each side twice the rows.
+BINS, TIERS = (1024,), (64, 1 << 13)
 
 
-def overlap_join(a: DataFrame, b: DataFrame, keys: list[str], flank: int = 0, how: str = "inner", bin_sizes: tuple[int, ...] = TIERS) -> DataFrame:
+def overlap_join(a: DataFrame, b: DataFrame, keys: list[str], flank: int = 0, how: str = "inner", bin_sizes: tuple[int, ...] = BINS) -> DataFrame:
     """Pairs of rows that overlap when a is widened by flank; b's columns must differ from a's but for keys, s and e.
 
     Both sides are spread over bins of positions and joined on keys and bin, so the join is an

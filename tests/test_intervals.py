@@ -77,8 +77,9 @@ def test_best_score(spark):
     assert [r[0] for r in df.select(clusters.best_score(F.col("a"), F.col("b"), F.col("c"))).collect()] == [12.5, 7.0, 9990.0, 0.0, 0.0]
 
 
-def test_overlaps_of_all_lengths(spark):
-    """Short and very long intervals on both sides, by default; a long one takes few bins, and short ones don't meet in its bins."""
+@pytest.mark.parametrize("bins", [intervals.BINS, intervals.TIERS, (64, 1024, 1 << 14)])
+def test_overlaps_of_all_lengths(spark, bins):
+    """Short and very long intervals on both sides."""
     import random
 
     r = random.Random(2)
@@ -88,8 +89,8 @@ def test_overlaps_of_all_lengths(spark):
     left, right = spark.createDataFrame(a, "x long, k long, s long, e long"), spark.createDataFrame(b, "y long, k long, s long, e long")
     for flank in (0, 7):
         want = sorted((x, y) for x, k, s, e in a for y, j, p, q in b if k == j and s - flank <= q and p <= e + flank)
-        joined = intervals.overlap_join(left, right, ["k"], flank)
+        joined = intervals.overlap_join(left, right, ["k"], flank, bin_sizes=bins)
         got = [(v.x, v.y) for v in joined.collect()]
         assert sorted(got) == want
-        assert {v.x for v in intervals.overlap_join(left, right, ["k"], flank, "left_semi").collect()} == {x for x, _ in want}
-        assert {v.x for v in intervals.overlap_join(left, right, ["k"], flank, "left_anti").collect()} == {x for x, *_ in a} - {x for x, _ in want}
+        assert {v.x for v in intervals.overlap_join(left, right, ["k"], flank, "left_semi", bins).collect()} == {x for x, _ in want}
+        assert {v.x for v in intervals.overlap_join(left, right, ["k"], flank, "left_anti", bins).collect()} == {x for x, *_ in a} - {x for x, _ in want}
