@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: A table of more rows than this is never broadcast for the size of its files, which may be a hundredth of what the rows take in memory.
+MOST_BROADCAST_ROWS = 200_000
+
 
 def shared_dir(spark: SparkSession) -> str:
     """A new folder's path under spark.checkpoint.dir; on a local master without one, in a folder set for the session."""
@@ -20,7 +23,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Written and read again: cuts the lineage and survives lost executors."""
+    """Written and read again: cuts the lineage and survives lost executors. Large tables are joined by sorting (see MOST_BROADCAST_ROWS)."""
     path = shared_dir(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    # counted from the files' footers
+    return out.hint("merge") if out.count() > MOST_BROADCAST_ROWS else out
