@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
 from itertools import product
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from locusframe.shared import stored
+
 #: IUPAC letters and their complements.
 IUPAC, COMPLEMENT = "ACGTURYSWKMBDHVNacgturyswkmbdhvn", "TGCAAYRSWMKVHDBNtgcaayrswmkvhdbn"
 _PAIRED = str.maketrans(IUPAC, COMPLEMENT)
@@ -213,26 +218,108 @@ def n50(seqs: DataFrame, keys: list[str], as_written: bool = True) -> DataFrame:
     return hit.select(*keys, F.when(exact, F.col("n")).otherwise(F.floor((F.col("n") + before) / 2 + 0.5)).cast("int").alias("n50"))
 
 
-def not_contained(seqs: DataFrame, head: int = 20) -> DataFrame:
+def _letters(text: str) -> np.ndarray:
+    """A number for each letter, spread over 64 bits."""
+    x = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(27))
+
+
+def _doubled(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The numbers of windows from those of their halves."""
+    x = left * np.uint64(0x94D049BB133111EB) + (right ^ (right >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def _head(text: str) -> tuple[int, int]:
+    """The largest k with 2^k letters in a text, and the number of its first 2^k letters."""
+    k = len(text).bit_length() - 1
+    x = _letters(text[:1 << k])
+    while len(x) > 1:
+        x = _doubled(x[::2], x[1::2])
+    return k, int(x[0].astype(np.int64))
+
+
+#: The bits of the filter that heads pass through; two are set for each head.
+_FILTER_BITS = 28
+_WORD_BITS = _FILTER_BITS - 6
+
+
+def _filter_of(heads: DataFrame) -> np.ndarray:
+    """A Bloom filter of heads, of at most 32 MB whatever their number; it only keeps most of what can't match out of the join."""
+    both = F.array("head", F.shiftleft("head", 32).bitwiseOR(F.shiftrightunsigned("head", 32)))
+    words = heads.select(F.explode(both).alias("h")).select(F.shiftrightunsigned("h", 64 - _WORD_BITS).alias("w"), F.expr("shiftleft(1L, cast(shiftrightunsigned(h, 4) & 63 as int))").alias("b"))
+    found = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    out = np.zeros(1 << _WORD_BITS, np.uint64)
+    out[found["w"].to_numpy()] = found["b"].to_numpy().astype(np.uint64)
+    return out
+
+
+def _passes(words: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Where numbers are in the filter."""
+    def held(h: np.ndarray) -> np.ndarray:
+        return (words[h >> np.uint64(64 - _WORD_BITS)] >> ((h >> np.uint64(4)) & np.uint64(63)) & np.uint64(1)) == 1
+
+    at = np.flatnonzero(held(x))
+    y = x[at]
+    return at[held((y << np.uint64(32)) | (y >> np.uint64(32)))]
+
+
+def not_contained(seqs: DataFrame) -> DataFrame:
     """seqid of the distinct sequences (the smallest seqid of each) that no longer one contains.
 
-    Candidates hold the first `head` letters; a shorter sequence is its own head, with one equi-join for each such length."""
+    A sequence of n letters is found by its head, the first 2^k letters with 2^k <= n < 2^(k+1): windows of that size are numbered in
+    every sequence (each size from the one before), and those that pass a filter of all heads are joined with the heads. What follows a head
+    in a sequence is then cut at the lengths that sequences with this head have, and met by digest. Sequences with the same head and
+    length are one there, so that near copies don't meet pair by pair."""
     u = seqs.where("seq is not null").groupBy("seq").agg(F.min("seqid").alias("seqid"))
-    n = F.length("seq")
-    short = sorted(r[0] for r in u.where(n < head).select(n).distinct().collect())
-    heads = u.where(n >= head).select("seqid", F.substring("seq", 1, head).alias("head"))
-    found = u.where(n < head).select("seqid", F.col("seq").alias("head"))
-    inside = None
-    for k in [*short, head]:
-        known = heads if k == head else found.where(F.length("head") == k)
-        # every k-mer that is some sequence's head; only those meet, and texts join what is left
-        mers = F.array_distinct(F.regexp_extract_all("seq", F.lit(f"(?=(.{{{k}}}))"), 1))
-        places = u.where(n > k).select(F.col("seqid").alias("other"), F.explode(mers).alias("head")).join(known.select("head").distinct(), "head", "left_semi")
-        if k < head:
-            hit = known.join(places.select("head").distinct(), "head").select("seqid")
-        else:
-            pairs = known.join(places, "head").where("other <> seqid").select("seqid", "other").distinct()
-            longer = u.select(F.col("seqid").alias("other"), F.col("seq").alias("long"))
-            hit = pairs.join(u, "seqid").join(longer, "other").where("length(long) > length(seq) and contains(long, seq)").select("seqid").distinct()
-        inside = hit if inside is None else inside.union(hit)
-    return u.select("seqid").join(inside, "seqid", "left_anti")
+    u = stored(u.select("seqid", "seq"))
+
+    def heads_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b["seq"].to_pylist()
+            rows = [(len(s), *_head(s), hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=16).digest()) for s in texts]
+            n, k, head, digest = zip(*rows, strict=True) if rows else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([b["seqid"], pa.array(n, pa.int64()), pa.array(k, pa.int32()), pa.array(head, pa.int64()), pa.array(digest, pa.binary())], ["seqid", "n", "k", "head", "digest"])
+
+    kind = u.schema["seqid"].dataType.simpleString()
+    own = stored(u.where("seq <> ''").mapInArrow(heads_of, f"seqid {kind}, n long, k int, head long, digest binary"))
+    words = u.sparkSession.sparkContext.broadcast(_filter_of(own.select("head")))
+    sizes = sorted(r[0] for r in own.select("k").distinct().collect())
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for seqid, s in zip(b["seqid"].to_pylist(), b["seq"].to_pylist(), strict=True):
+                x, at, heads, size = _letters(s), [], [], []
+                for k in range(len(s).bit_length()):
+                    if k:
+                        half = 1 << (k - 1)
+                        x = _doubled(x[:-half], x[half:])
+                    if k in sizes:
+                        found = _passes(words.value, x)
+                        at.append(found)
+                        heads.append(x[found].astype(np.int64))
+                        size.append(np.full(len(found), k, np.int32))
+                if at:
+                    m = sum(map(len, at))
+                    yield pa.RecordBatch.from_arrays([pa.array([seqid] * m, b.schema.field("seqid").type), pa.array([len(s)] * m, pa.int64()), pa.array(np.concatenate(size)), pa.array(np.concatenate(heads)), pa.array(np.concatenate(at).astype(np.int64))], ["other", "length", "k", "head", "at"])
+
+    lengths = own.groupBy("k", "head").agg(F.collect_set("n").alias("ns"))
+    met = u.where("seq <> ''").mapInArrow(places, f"other {kind}, length long, k int, head long, at long").join(lengths, ["k", "head"])
+    # where sequences of these lengths may lie; what is as long as its own sequence is that sequence
+    cuts = met.select("other", "length", "at", F.explode("ns").alias("n")).where("n < length and at + n <= length")
+    spans = cuts.groupBy("other").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = set()
+            for s, spans in zip(b["seq"].to_pylist(), b["spans"].to_pylist(), strict=True):
+                for part in {s[x["at"]:x["at"] + x["n"]] for x in spans}:
+                    found.add((len(part), hashlib.blake2b(part.encode("utf-8", "surrogatepass"), digest_size=16).digest()))
+            n, digest = zip(*found, strict=True) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64()), pa.array(digest, pa.binary())], ["n", "digest"])
+
+    inside = u.withColumnRenamed("seqid", "other").join(spans, "other").select("seq", "spans").mapInArrow(digests, "n long, digest binary").distinct()
+    # the empty sequence lies in every other one
+    empty = u.where("seq = ''").select("seqid").join(own.limit(1).select(F.lit(1).alias("_any")), how="left_anti")
+    return own.join(inside, ["n", "digest"], "left_anti").select("seqid").union(empty)

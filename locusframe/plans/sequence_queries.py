@@ -108,7 +108,7 @@ def uniq_seq(spark, d):
 @query("seqs", """, u AS (SELECT min(seqid) AS seqid, seq FROM seqs WHERE seq IS NOT NULL GROUP BY seq)
     SELECT seqid FROM u a WHERE NOT EXISTS (SELECT 1 FROM u b WHERE b.seqid <> a.seqid AND length(b.seq) > length(a.seq) AND contains(b.seq, a.seq))""")
 def uniq_sub(spark, d):
-    """U4 for sequences of any length; those under 20 letters meet the longer ones' substrings of their own length."""
+    """U4 for sequences of any length."""
     return sequences.not_contained(A.seqs(spark, d))
 
 

@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from locusframe.functions import attributes, sequences
@@ -56,3 +58,22 @@ def test_not_contained_of_any_length(spark):
     rows = [(1, "ACGTACGTACGTACGTACGTACGTAA"), (2, "GTACGTACGTACGTACGTACGTAA"), (3, "CGTAA"), (4, "GGG"), (5, "GGG"), (6, "GG"), (7, ""), (8, None), (9, "TTTTTTTTTTTTTTTTTTT"), (10, "TTTTTTTTTTTTTTTTTTTT"), (11, "CCC")]
     got = sequences.not_contained(spark.createDataFrame(rows, "seqid long, seq string"))
     assert sorted(r.seqid for r in got.collect()) == [1, 4, 10, 11]
+
+
+def test_not_contained_meets_near_copies_by_length(spark):
+    r = random.Random(5)
+    base = "".join(r.choices("ACGT", k=700))
+    near = [base[:k] + "N" + base[k + 1:] for k in range(300, 700, 5)]  # with one head, and of one length
+    texts = [*near, *(base[i:j] for i, j in ((0, 1), (3, 19), (3, 20), (5, 90), (299, 320), (600, 700))), "".join(r.choices("ACGT", k=40)), "é" + base[:60], base[:60], "A" * 33, "A" * 32, ""]
+    rows = list(enumerate(texts))
+    expected = [i for i, a in rows if not any(len(b) > len(a) and a in b for b in texts)]
+    df = sequences.not_contained(spark.createDataFrame(rows, "seqid long, seq string"))
+    assert sorted(x.seqid for x in df.collect()) == expected
+    # rows that meet by head: as many as sequences and lengths, not as pairs of near copies
+    assert len(near) ** 2 > 20 * len(rows)
+    assert "contains(" not in df._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_empty_sequence_alone_is_kept(spark):
+    rows = spark.createDataFrame([(1, ""), (2, ""), (3, None)], "seqid long, seq string")
+    assert [x.seqid for x in sequences.not_contained(rows).collect()] == [1]
