@@ -36,7 +36,7 @@ _ALL = _SHADOWS + "," + _string("xy", "SELECT pr.*, h.s, h.e, h.id FROM pr JOIN
 
 def _hits(spark, d):
     h = A.hsps(spark, d, exact=True)
-    blocks = F.array_sort(F.collect_list(F.struct("s", "e", "id")))
+    blocks = F.array_sort(F.collect_list(F.struct("s", "e")))
     return h.groupBy("hit", *SK).agg(blocks.alias("blocks"), F.min("s").alias("s"), F.max("e").alias("e"), F.count("*").alias("n"))
 
 
@@ -48,29 +48,34 @@ def _pairs(spark, d, both_ways: bool):
     return met.where("x <> y" if both_ways else "x < y")
 
 
-def _shadowed(pairs):
-    x, y = forms.shadows(F.col("a"), F.col("b"))
-    return pairs.withColumns({"sx": x, "sy": y})
+def _compared(pairs):
+    return forms.compared(pairs, [*SK, "x", "y", "nx", "ny"])
+
+
+def _same():
+    return (F.col("nx") == F.col("ny")) & forms.same_codes(F.col("sx"), F.col("sy"), F.col("xy"))
+
+
+def _redundant():
+    return forms.redundant_codes(F.col("sx"), F.col("sy"), F.col("xy"), F.col("yx"))
 
 
 @query("feat feat_q hsps_q", _SHADOWS + " SELECT seqid, strand, x, y, sx.code AS sx, sy.code AS sy FROM sx JOIN sy USING (seqid, strand, x, y) WHERE x < y")
 def shadow_codes(spark, d):
     """C0d, C0e: the codes of two hits' merged pieces against each."""
-    return _shadowed(_pairs(spark, d, False)).select(*SK, "x", "y", "sx", "sy")
+    return _compared(_pairs(spark, d, False)).select(*SK, "x", "y", "sx", "sy")
 
 
 @query("feat feat_q hsps_q", _ALL + " SELECT seqid, strand, x, y, same FROM fo WHERE x < y")
 def same_forms(spark, d):
     """C0f"""
-    p = _shadowed(_pairs(spark, d, False))
-    return p.select(*SK, "x", "y", forms.same_form(F.col("a"), F.col("b"), F.col("sx"), F.col("sy")).alias("same"))
+    return _compared(_pairs(spark, d, False)).select(*SK, "x", "y", _same().alias("same"))
 
 
 @query("feat feat_q hsps_q", _ALL + " SELECT seqid, strand, x, y, redundant FROM fo")
 def redundant_pairs(spark, d):
     """C0g: whether x says nothing that y doesn't."""
-    p = _shadowed(_pairs(spark, d, True))
-    return p.select(*SK, "x", "y", forms.redundant_form(F.col("a"), F.col("b"), F.col("sx"), F.col("sy")).alias("redundant"))
+    return _compared(_pairs(spark, d, True)).select(*SK, "x", "y", _redundant().alias("redundant"))
 
 
 def _greedy_sql(kind: str) -> str:
@@ -84,8 +89,7 @@ def _greedy_sql(kind: str) -> str:
 def _kept(spark, d, test):
     """Hits in order of blocks and length that no kept hit rules out, within islands of spans, which no pair crosses."""
     h = _hits(spark, d)
-    p = _shadowed(_pairs(spark, d, True))
-    ruled = p.where(test(F.col("a"), F.col("b"), F.col("sx"), F.col("sy"))).groupBy(*SK, F.col("x").alias("hit")).agg(F.collect_list("y").alias("others"))
+    ruled = _compared(_pairs(spark, d, True)).where(test()).groupBy(*SK, F.col("x").alias("hit")).agg(F.collect_list("y").alias("others"))
     rows = intervals.islands(h.select("hit", *SK, "s", "e", "n"), SK, name="part").join(ruled, ["hit", *SK], "left")
     rank = F.row_number().over(Window.partitionBy(*SK, "part").orderBy(F.desc("n"), F.desc(F.col("e") - F.col("s")), "hit"))
     return graphs.greedy(rows.withColumn("rank", rank), [*SK, "part"], "rank", "hit", "others").select(*SK, "hit")
@@ -94,13 +98,13 @@ def _kept(spark, d, test):
 @query("feat feat_q hsps_q", _greedy_sql("redundant"))
 def redundant_forms(spark, d):
     """Hits that are left when those go that say nothing new to a kept one."""
-    return _kept(spark, d, forms.redundant_form)
+    return _kept(spark, d, _redundant)
 
 
 @query("feat feat_q hsps_q", _greedy_sql("same"))
 def distinct_forms(spark, d):
     """One hit of each alternative form."""
-    return _kept(spark, d, forms.same_form)
+    return _kept(spark, d, _same)
 
 
 @query("feat feat_q hsps_q", """, st AS (SELECT hit, seqid, strand, string_agg(s || '-' || e, ',' ORDER BY s, e) AS form FROM hsps_q GROUP BY ALL)
