@@ -173,28 +173,22 @@ def broken(seqs: DataFrame, size: int) -> DataFrame:
 
 
 def masked(seqs: DataFrame, pieces: DataFrame, hard: bool = True, pad: int = 0) -> DataFrame:
-    """Sequences with the pieces as N (hard) or lower case; each text is cut and joined once, in an Arrow batch."""
+    """Sequences with the pieces as N (hard) or lower case; each text is cut once and its parts are joined, row by row, so that no batch of texts is held."""
     low, high = (F.col("s") - pad).cast("long"), (F.col("e") + pad).cast("long")
     spans = pieces.groupBy("seqid").agg(F.array_sort(F.collect_list(F.struct(low.alias("s"), high.alias("e")))).alias("_p"))
     both = seqs.join(spans, "seqid", "left")
-
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
-        out = []
-        for text, begins, stops in zip(texts, starts, ends, strict=True):
-            if text is None or begins is None:
-                out.append(text)
-                continue
-            parts, at = [], 0
-            for s, e in zip(begins, stops, strict=True):
-                s, e = max(int(s) - 1, at), min(int(e), len(text))
-                if e > s:
-                    parts += [text[at:s], "N" * (e - s) if hard else text[s:e].lower()]
-                    at = e
-            out.append("".join([*parts, text[at:]]))
-        return pd.Series(out, dtype=object)
-
-    return both.withColumn("seq", cut("seq", F.transform("_p", lambda p: p["s"]), F.transform("_p", lambda p: p["e"]))).drop("_p")
+    n = F.length("seq").cast("long")
+    inside = F.filter("_p", lambda x: x["s"] <= n)
+    part = lambda b, e: F.substring("seq", (b + 1).cast("int"), (e - b).cast("int"))
+
+    def step(done: Column, x: Column) -> Column:
+        b, e = F.greatest(x["s"] - 1, done["at"]), F.least(x["e"], n)
+        cut = F.repeat(F.lit("N"), (e - b).cast("int")) if hard else F.lower(part(b, e))
+        return F.when(e > b, F.struct(e.alias("at"), F.concat(done["parts"], F.array(part(done["at"], b), cut)).alias("parts"))).otherwise(done)
+
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
+    rest = lambda done: F.concat(F.array_join(done["parts"], ""), part(done["at"], n))
+    return both.withColumn("seq", F.coalesce(F.aggregate(inside, start, step, rest), "seq")).drop("_p")
 
 
 def n50(seqs: DataFrame, keys: list[str], as_written: bool = True) -> DataFrame:

@@ -77,3 +77,13 @@ def test_not_contained_meets_near_copies_by_length(spark):
 def test_empty_sequence_alone_is_kept(spark):
     rows = spark.createDataFrame([(1, ""), (2, ""), (3, None)], "seqid long, seq string")
     assert [x.seqid for x in sequences.not_contained(rows).collect()] == [1]
+
+
+def test_masked_holds_no_batches_of_texts(spark):
+    seqs = spark.createDataFrame([(1, "ACGTACGTAC"), (2, "ACGT"), (3, None), (4, ""), (5, "ACGTACGT")], "seqid long, seq string")
+    pieces = spark.createDataFrame([(1, 2, 3), (1, 3, 5), (1, 9, 40), (1, 50, 60), (3, 1, 2), (4, 1, 1), (5, -3, 1), (5, 4, 4)], "seqid long, s long, e long")
+    hard = sequences.masked(seqs, pieces)
+    assert {r.seqid: r.seq for r in hard.collect()} == {1: "ANNNNCGTNN", 2: "ACGT", 3: None, 4: "", 5: "NCGNACGT"}
+    soft = sequences.masked(seqs, pieces, hard=False, pad=1)
+    assert {r.seqid: r.seq for r in soft.collect()} == {1: "acgtacGtac", 2: "ACGT", 3: None, 4: "", 5: "acgtaCGT"}
+    assert "Python" not in hard._jdf.queryExecution().executedPlan().toString()
