@@ -28,7 +28,7 @@ def strand_split(spark, d):
 @query(*_after("feat hsps", _pieces("hsps", "hit, strand"), "SELECT hit, strand, s::BIGINT AS s, e::BIGINT AS e, n FROM pieces"))
 def normalize_exons(spark, d):
     """Overlapping blocks of a hit as merged pieces."""
-    return intervals.merge(A.hsps(spark, d), ["hit", "strand"])
+    return intervals.merge(A.hsps(spark, d), ["hit", "strand"], rows=A.n_feat(spark, d))
 
 
 @query("feat hsps hits", """SELECT p.hit, p.strand, p.id, greatest(p.s, h.s + 100) AS s, least(p.e, h.e - 100) AS e FROM hsps p JOIN hits h ON p.hit = h.hit AND p.strand = h.strand

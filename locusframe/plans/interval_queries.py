@@ -26,13 +26,13 @@ SK = ["seqid", "strand"]
 
 @query(*_after("feat", _pieces("feat", "seqid, strand"), "SELECT seqid, strand, count(*) AS pieces, sum(e - s + 1)::BIGINT AS bases, sum(n)::BIGINT AS features FROM pieces GROUP BY seqid, strand"))
 def merge_intervals(spark, d):
-    p = intervals.merge(A.feat(spark, d), SK)
+    p = intervals.merge(A.feat(spark, d), SK, rows=A.n_feat(spark, d))
     return p.groupBy(*SK).agg(F.count("*").alias("pieces"), F.sum(F.col("e") - F.col("s") + 1).alias("bases"), F.sum("n").alias("features"))
 
 
 @query(*_after("feat", _pieces("feat", "seqid, strand", 10), "SELECT seqid, strand, s::BIGINT AS s, e::BIGINT AS e, n FROM pieces"))
 def merge_flank(spark, d):
-    return intervals.merge(A.feat(spark, d), SK, flank=10)
+    return intervals.merge(A.feat(spark, d), SK, flank=10, rows=A.n_feat(spark, d))
 
 
 @query("", "WITH points AS (SELECT user_id AS seqid, floor(epoch(ts))::BIGINT // 60 AS s, floor(epoch(ts))::BIGINT // 60 AS e FROM events)," + _pieces("points", "seqid", 30) + " SELECT seqid, s::BIGINT AS s, e::BIGINT AS e, n FROM pieces")
@@ -240,5 +240,5 @@ def chunks(spark, d):
 @query(*_after("feat", _ISLANDS, "SELECT seqid, strand, island::BIGINT AS cluster, max_by(id, struct_pack(n := e - s, id := id)) AS longest, min(s) AS s, max(e) AS e FROM _i GROUP BY seqid, strand, island"))
 def collapse_longest(spark, d):
     """P20: each cluster's span with its longest member's identity."""
-    labelled = intervals.islands(A.feat(spark, d), SK, 15, "cluster")
+    labelled = intervals.islands(A.feat(spark, d), SK, 15, "cluster", rows=A.n_feat(spark, d))
     return labelled.groupBy(*SK, "cluster").agg(F.max_by("id", F.struct(F.col("e") - F.col("s"), F.col("id"))).alias("longest"), F.min("s").alias("s"), F.max("e").alias("e"))

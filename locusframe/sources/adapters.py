@@ -45,6 +45,11 @@ def feat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def n_feat(spark: SparkSession, sf_dir: str) -> int:
+    """Rows of feat and the views made of it, counted from the files' footers."""
+    return _table(spark, sf_dir, "lineitem").count()
+
+
 def snapped(df: DataFrame, cell: int = 30) -> DataFrame:
     """Starts and ends moved out to the ends of their cells."""
     return df.withColumns({"s": F.expr(f"{cell} * ((s - 1) div {cell}) + 1"), "e": F.expr(f"{cell} * ((e - 1) div {cell}) + {cell}")})
@@ -65,7 +70,7 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seqs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    letters = F.upper(F.regexp_replace("text", "[^A-Za-z]", ""))
+    letters = F.upper(F.regexp_replace("text", "[^A-Za-z]+", ""))
     return _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seqid"), "source", F.translate(letters, "BDEFHIJKLMNOPQRSUVWXYZ", "ACGTACGTACGTACGTACGTAC").alias("seq"))
 
 

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from locusframe import shared
 from locusframe.operators import clusters, intervals, scores, selection
 
 
@@ -94,3 +95,27 @@ def test_overlaps_of_all_lengths(spark, bins):
         assert sorted(got) == want
         assert {v.x for v in intervals.overlap_join(left, right, ["k"], flank, "left_semi", bins).collect()} == {x for x, _ in want}
         assert {v.x for v in intervals.overlap_join(left, right, ["k"], flank, "left_anti", bins).collect()} == {x for x, *_ in a} - {x for x, _ in want}
+
+
+def test_rows_are_dealt_to_tasks_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(shared, "TASK_ROWS", 10)
+    df = spark.range(200).select((F.col("id") % 50).alias("k"), (F.col("id") * 7 % 90 + 1).alias("s"), (F.col("id") * 7 % 90 + 9).alias("e"))
+    found = intervals.merge(df, ["k"], block=16, rows=200)
+    assert found.rdd.getNumPartitions() == 20
+    assert sorted(found.collect()) == sorted(intervals.merge(df, ["k"], block=16).collect())
+    assert shared.dealt(df, ["k"], None).rdd.getNumPartitions() == shared.dealt(df, ["k"], 20).rdd.getNumPartitions() == df.rdd.getNumPartitions()
+
+
+def test_merge_holds_no_groups(spark, capsys):
+    intervals.merge(spark.createDataFrame([("c", 1, 5)], "k string, s long, e long"), ["k"]).explain()
+    assert "Aggregate" not in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("block", [8, 1 << 12])
+def test_coverage_against_bases(spark, block):
+    draw = random.Random(5)
+    sets = {n: [(draw.choice("xyz"), s, s + draw.randrange(-1, 20)) for s in (draw.randrange(1, 120) for _ in range(25))] for n in "abc"}
+    found = intervals.coverage({n: spark.createDataFrame(rows, "k string, s long, e long") for n, rows in sets.items()}, ["k"], (("a", "b"), ("a", "c")), block)
+    bases = {n: {k: {p for q, s, e in rows if q == k for p in range(s, e + 1)} for k in "xyz"} for n, rows in sets.items()}
+    expected = [(k, *[len(bases[n][k]) for n in "abc"], len(bases["a"][k] & bases["b"][k]), len(bases["a"][k] & bases["c"][k])) for k in "xyz"]
+    assert sorted(tuple(r) for r in found.collect()) == expected
