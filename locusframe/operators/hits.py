@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusframe.operators.intervals import merge
+from locusframe.shared import dealt
 
 
 def length() -> Column:
@@ -49,12 +50,12 @@ def aligned_share(blocks: DataFrame, keys: list[str], lengths: DataFrame) -> Dat
     return size.join(lengths, keys).select(*keys, F.round(F.col("_bases") / F.col("length"), 4).alias("share"))
 
 
-def joined_by_name(blocks: DataFrame, keys: list[str], most: int) -> DataFrame:
-    """Numbers (from 0) the chains of hits of one name of which each begins at most `most` behind what came before."""
+def joined_by_name(blocks: DataFrame, keys: list[str], most: int, rows: int | None = None) -> DataFrame:
+    """Numbers (from 0) the chains of hits of one name of which each begins at most `most` behind what came before; rows: as for merge."""
     order = Window.partitionBy(*keys).orderBy("s", "e")
     before = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
     wide = F.when(F.col("s") - before > most, 1).otherwise(0)
-    return blocks.withColumn("_wide", wide).withColumn("chain", F.sum("_wide").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_wide")
+    return dealt(blocks, keys, rows).withColumn("_wide", wide).withColumn("chain", F.sum("_wide").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_wide")
 
 
 def contiguous(blocks: DataFrame, keys: list[str], other: list[str]) -> DataFrame:

@@ -40,14 +40,14 @@ _CHAINS = """, bf AS (SELECT *, max(e) OVER (PARTITION BY hit, strand ORDER BY s
 @query("feat hsps", _CHAINS.format(most=120) + " SELECT hit, strand, chain, min(s) AS s, max(e) AS e, count(*) AS blocks FROM ch GROUP BY ALL")
 def merge_same_name(spark, d):
     """P12"""
-    return hits.joined_by_name(A.hsps(spark, d), HK, 120).groupBy(*HK, "chain").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.count("*").alias("blocks"))
+    return hits.joined_by_name(A.hsps(spark, d), HK, 120, rows=A.n_feat(spark, d)).groupBy(*HK, "chain").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.count("*").alias("blocks"))
 
 
 @query("feat hsps", _CHAINS.format(most=40) + """, gr AS (SELECT hit, strand, chain, min(s) AS s, max(e) AS e, min((s - 1) // 500) AS low, max((e - 1) // 500) AS high FROM ch GROUP BY ALL)
     SELECT hit, strand, s, e, high - low AS breaks FROM gr WHERE high > low""")
 def junction_merge(spark, d):
     """Hits of one name that meet across the ends of chunks of 500, within 40."""
-    chains = hits.joined_by_name(A.hsps(spark, d), HK, 40).groupBy(*HK, "chain").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    chains = hits.joined_by_name(A.hsps(spark, d), HK, 40, rows=A.n_feat(spark, d)).groupBy(*HK, "chain").agg(F.min("s").alias("s"), F.max("e").alias("e"))
     breaks = F.expr("(e - 1) div 500 - (s - 1) div 500")
     return chains.withColumn("breaks", breaks).where("breaks > 0").select(*HK, "s", "e", "breaks")
 
