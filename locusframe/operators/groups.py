@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from locusframe.operators.intervals import islands
+from locusframe.shared import dealt, stored
 
 
-def _in_order(rows: DataFrame, keys: list[str], order: str, place: Callable[[list, object, int, int], None], bounds: Callable[[list], list[tuple]]) -> DataFrame:
+def _in_order(rows: DataFrame, keys: list[str], order: str, place: Callable[[list, object, int, int], None], bounds: Callable[[list], list[tuple]], n: int | None) -> DataFrame:
     """Runs `place` over the rows of each overlap component in order, with its groups so far; `bounds` gives a component's groups as (order, s, e, n).
 
     Rows that don't overlap can't come into one group through each other, so each component is a task's own."""
-    labelled = islands(rows.select(*keys, order, "s", "e"), keys, name="_part")
+    labelled = islands(rows.select(*keys, order, "s", "e"), keys, name="_part", rows=n)
     schema = rows.select(*keys, order, "s", "e").schema.add("n", "long")
     kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
     types = [kinds[f.dataType.simpleString()] for f in schema]
@@ -38,7 +39,8 @@ def _in_order(rows: DataFrame, keys: list[str], order: str, place: Callable[[lis
         yield table([(*at[:-1], *g) for g in bounds(groups)])
 
     ordered = labelled.select(*keys, "_part", order, F.col("s").cast("long").alias("s"), F.col("e").cast("long").alias("e"))
-    return ordered.repartition(*keys, "_part").sortWithinPartitions(*keys, "_part", order).mapInArrow(run, schema)
+    at = [*keys, "_part"]
+    return dealt(ordered.repartition(*at), at, n).sortWithinPartitions(*keys, "_part", order).mapInArrow(run, schema)
 
 
 def _alike(s: int, e: int, p: int, q: int, share: float) -> bool:
@@ -46,7 +48,7 @@ def _alike(s: int, e: int, p: int, q: int, share: float) -> bool:
     return min(e, q) - max(s, p) + 1 > share * min(e - s + 1, q - p + 1)
 
 
-def joined(rows: DataFrame, keys: list[str], order: str, share: float = 0.5) -> DataFrame:
+def joined(rows: DataFrame, keys: list[str], order: str, share: float = 0.5, n: int | None = None) -> DataFrame:
     """C14, first: in order, each row joins the first group of which a member is alike (see share), or opens one.
 
     rows: keys, order (unique within keys), s, e (whole numbers). Returns per group keys, order (its first row's), s, e, n. A component's distinct intervals are held."""
@@ -59,10 +61,10 @@ def joined(rows: DataFrame, keys: list[str], order: str, share: float = 0.5) ->
                 return
         groups.append([o, {(s, e)}, 1])
 
-    return _in_order(rows, keys, order, place, lambda groups: [(o, min(s for s, _ in m), max(e for _, e in m), n) for o, m, n in groups])
+    return _in_order(rows, keys, order, place, lambda groups: [(o, min(s for s, _ in m), max(e for _, e in m), k) for o, m, k in groups], n)
 
 
-def absorbed(rows: DataFrame, keys: list[str], order: str, share: float = 0.5) -> DataFrame:
+def absorbed(rows: DataFrame, keys: list[str], order: str, share: float = 0.5, n: int | None = None) -> DataFrame:
     """C14, then: in order, each row that nothing has taken in yet opens a group and takes in all later ones that are alike.
 
     Rows are held against openers, not against groups, whose bounds move. Arguments and result as for joined; a component's openers are held."""
@@ -74,10 +76,11 @@ def absorbed(rows: DataFrame, keys: list[str], order: str, share: float = 0.5) -
                 return
         groups.append([o, s, e, s, e, 1])
 
-    return _in_order(rows, keys, order, place, lambda groups: [(o, s, e, n) for o, _, _, s, e, n in groups])
+    return _in_order(rows, keys, order, place, lambda groups: [(o, s, e, k) for o, _, _, s, e, k in groups], n)
 
 
-def domain_groups(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """C14: domain hits (keys, order, s, e in residues) as groups in bases of the coding sequence: joined, then absorbed; n counts what was absorbed."""
-    first = joined(rows, keys, order).withColumns({"s": F.col("s") * 3 - 2, "e": F.col("e") * 3})
-    return absorbed(first, keys, order)
+def domain_groups(rows: DataFrame, keys: list[str], order: str, n: int | None = None) -> DataFrame:
+    """C14: domain hits (keys, order, s, e in residues) as groups in bases of the coding sequence: joined, then absorbed; the column n counts what was absorbed. n: how many rows, as for merge."""
+    # written, as its components and its rows are both asked for
+    first = stored(joined(rows, keys, order, n=n).withColumns({"s": F.col("s") * 3 - 2, "e": F.col("e") * 3}))
+    return absorbed(first, keys, order, n=n)

@@ -16,7 +16,7 @@ from locusframe.operators import junctions as junctions_
 from locusframe.plans.interval_queries import SK, _after
 from locusframe.plans.model_queries import _EAED, _MODELS, BINS, TK
 from locusframe.plans.registry import query, table
-from locusframe.shared import stored
+from locusframe.shared import dealt, stored
 from locusframe.sources import adapters as A
 from locusframe.sources import alignments, blast
 
@@ -60,7 +60,7 @@ def _parts(spark, d):
     """exons (TK, s, e), spans (TK, s, e, cs, ce) and evidence (TK, hit, kind, s, e, gap), written once."""
     read = F.expr("if(source = 'A', -(seqid div 4 * 10 + (s - 1) div 1000) - 1, seqid div 4 * 1000 + (s - 1) div 300 * 10 + sup % 5)")
     blocks = A.feat_q(spark, d).select(read.alias("hit"), F.expr("seqid div 4").alias("seqid"), "strand", "s", "e")
-    blocks = stored(intervals.merge(blocks, ["hit", *SK]).select("hit", *SK, "s", "e"))
+    blocks = stored(intervals.merge(blocks, ["hit", *SK], rows=A.n_feat(spark, d)).select("hit", *SK, "s", "e"))
     exons = blocks.where("hit < 0").withColumnRenamed("hit", "tx").select(*TK, "s", "e")
     spans = exons.groupBy(*TK).agg(F.min("s").alias("s"), F.max("e").alias("e")).withColumns({"cs": F.col("s") + 30, "ce": F.col("e") - 30})
     reads = blocks.where("hit >= 0")
@@ -303,7 +303,8 @@ def domain_groups(spark, d):
     rows = A.feat(spark, d).select(F.expr("seqid div 4").alias("seqid"), "strand", F.expr("sup % 10").alias("domain"), "okey", "id", "s", "e")
     keys = [*SK, "domain"]
     place = F.row_number().over(Window.partitionBy(*keys).orderBy("okey", "id")).cast("long")
-    return groups.domain_groups(stored(rows.withColumn("i", place)), keys, "i")
+    n = A.n_feat(spark, d)
+    return groups.domain_groups(stored(dealt(rows, keys, n).withColumn("i", place).select(*keys, "i", "s", "e")), keys, "i", n)
 
 
 @query("", """WITH v AS (SELECT doc_id, list_transform(range(0, 2 + doc_id % 5), lambda k: struct_pack(m := 3 + (doc_id + k) % 7, g := (doc_id + 2 * k) % 3, i := 40 + (doc_id * 7 + k) % 50)) AS x, doc_id % 2 = 0 AS plus FROM documents),
