@@ -104,10 +104,16 @@ def gene_distance(exons: DataFrame, hits: DataFrame, keys: list[str]) -> DataFra
     return agreement(exons, hits, keys).select(*keys, F.col("aed").alias("distance"))
 
 
+def nearest(exons: DataFrame, hits: DataFrame, keys: list[str], weights: dict[str, float]) -> DataFrame:
+    """A21, of the two what is nearest: per transcript the distance to the nearest of its longer hits (A22), 1 without evidence."""
+    near = congruence(exons, stored(extended(hits, keys)), keys, weights).groupBy(*keys).agg(F.min("distance").alias("_near"))
+    rows = exons.select(*keys).distinct().join(near, keys, "left")
+    return rows.select(*keys, F.least(F.coalesce("_near", F.lit(1.0)), F.lit(1.0)).alias("nearest"))
+
+
 def transcript_distance(exons: DataFrame, hits: DataFrame, keys: list[str], weights: dict[str, float]) -> DataFrame:
     """Per transcript the distance to the nearest of its hits after these have been made longer by what all agree on (A22), and to all at once.
 
     Equal hits give equal distances, so that leaving out redundant ones changes nothing. Without evidence both are 1."""
-    near = congruence(exons, stored(extended(hits, keys)), keys, weights).groupBy(*keys).agg(F.min("distance").alias("_near"))
-    rows = closest(exons, hits, keys, weights).withColumnRenamed("distance", "closest").join(near, keys, "left")
-    return rows.select(*keys, F.least(F.coalesce("_near", F.lit(1.0)), F.lit(1.0)).alias("nearest"), "closest")
+    rows = closest(exons, hits, keys, weights).withColumnRenamed("distance", "closest")
+    return rows.join(nearest(exons, hits, keys, weights), keys, "left").select(*keys, "nearest", "closest")

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from locusframe.operators.intervals import merge, overlap_join
 from locusframe.operators.scores import introns
+from locusframe.shared import stored
 
-BINS = (64, 1024, 1 << 14)
 EXON, INTRON = 1, 2
 
 
@@ -45,12 +45,13 @@ def extended(blocks: DataFrame, keys: list[str]) -> DataFrame:
     runs = agreed_runs(blocks, keys)
     w = Window.partitionBy(*keys, "hit")
     placed = blocks.select(*keys, "hit", "s", "e").withColumns({"_first": F.row_number().over(w.orderBy("s", "e")) == 1, "_last": F.row_number().over(w.orderBy(F.desc("s"), F.desc("e"))) == 1})
-    exons = runs.where(f"state = {EXON}").select(*keys, "s", "e", "chain")
+    # written, as both sides look for their runs and then for those beyond
+    exons = stored(runs.where(f"state = {EXON}").select(*keys, "s", "e", "chain"))
     ends = []
     for side, at in (("_first", "s"), ("_last", "e")):
         points = placed.where(side).select(*keys, "hit", F.col(at).alias("s"), F.col(at).alias("e"))
-        met = overlap_join(points, exons, keys, bin_sizes=BINS)
-        ends.append(met.select(*keys, "hit", F.col("bs" if at == "s" else "be").alias("_to" + side), F.col("chain").alias("_chain" + side)))
+        met = overlap_join(points, exons, keys)
+        ends.append(stored(met.select(*keys, "hit", F.col("bs" if at == "s" else "be").alias("_to" + side), F.col("chain").alias("_chain" + side))))
     grown = placed.join(ends[0], [*keys, "hit"], "left").join(ends[1], [*keys, "hit"], "left")
     own = grown.select(*keys, "hit", F.when(F.col("_first"), F.coalesce("_to_first", "s")).otherwise(F.col("s")).alias("s"), F.when(F.col("_last"), F.coalesce("_to_last", "e")).otherwise(F.col("e")).alias("e"))
     more = []

@@ -277,7 +277,7 @@ _EXTENDED = """b0 AS (SELECT tx, strand, hit, s, e, row_number() OVER (PARTITION
 def transcript_aed(spark, d):
     """Each model against the nearest of its ESTs and proteins after these have been made longer by what all agree on."""
     exons, _, evidence = _parts(spark, d)
-    return congruence_.transcript_distance(exons, stored(_aligned(evidence)), TK, WEIGHTS).select(*TK, F.round("nearest", 6).alias("nearest"))
+    return congruence_.nearest(exons, stored(_aligned(evidence)), TK, WEIGHTS).withColumn("nearest", F.round("nearest", 6))
 
 
 _DOMAINS = """dm AS (SELECT seqid // 4 AS seqid, strand, sup % 10 AS domain, row_number() OVER (PARTITION BY seqid // 4, strand, sup % 10 ORDER BY okey, id) AS i, s, e FROM feat),
