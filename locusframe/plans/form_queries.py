@@ -9,6 +9,7 @@ from locusframe.functions import forms
 from locusframe.operators import graphs, intervals
 from locusframe.plans.interval_queries import _CODE, SK, VALUE, _after, _pieces
 from locusframe.plans.registry import query
+from locusframe.shared import stored
 from locusframe.sources import adapters as A
 
 _BLOCKS = """, hq AS (SELECT hit, seqid, strand, min(s) AS s, max(e) AS e, count(*) AS n FROM hsps_q GROUP BY hit, seqid, strand),
@@ -165,13 +166,13 @@ def jaccard_split(spark, d):
     """Hits whose bases agree by half either way are neighbours; neighbours with enough common ones make a cluster."""
     from locusframe.operators import clusters
 
-    h = A.hsps(spark, d)
-    pieces = intervals.merge(h, ["hit", *SK]).select("hit", *SK, "s", "e")
+    h, n = A.hsps(spark, d), A.n_feat(spark, d)
+    pieces = stored(intervals.merge(h, ["hit", *SK], rows=n).select("hit", *SK, "s", "e"))
     size = pieces.groupBy("hit", "strand").agg(F.sum(F.col("e") - F.col("s") + 1).alias("n"))
     met = intervals.overlap_join(pieces.withColumnRenamed("hit", "x"), pieces.withColumnRenamed("hit", "y"), SK).where("x < y")
     shared = met.groupBy(*SK, "x", "y").agg(F.sum(F.least("e", "be") - F.greatest("s", "bs") + 1).alias("shared"))
     sized = shared.join(size.select("strand", F.col("hit").alias("x"), F.col("n").alias("nx")), ["strand", "x"]).join(size.select("strand", F.col("hit").alias("y"), F.col("n").alias("ny")), ["strand", "y"])
-    edges = sized.where((F.col("shared") / F.col("nx") >= 0.5) | (F.col("shared") / F.col("ny") >= 0.5)).select(*SK, "x", "y")
+    edges = stored(sized.where((F.col("shared") / F.col("nx") >= 0.5) | (F.col("shared") / F.col("ny") >= 0.5)).select(*SK, "x", "y"))
     kept = clusters.jaccard_edges(edges, SK, 0.6)
     # a hit has a node for each strand
     node = lambda c: F.col(c) * 2 + F.when(F.col("strand") > 0, 0).otherwise(1)
