@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusframe.operators.frames import phased
-from locusframe.operators.intervals import merge, overlap_bases, overlap_join
+from locusframe.operators.intervals import coverage, merge, overlap_join
+from locusframe.shared import stored
 
 
 def covered(df: DataFrame, keys: list[str], name: str = "bases") -> DataFrame:
@@ -18,11 +19,10 @@ def agreement(models: DataFrame, evidence: DataFrame, keys: list[str]) -> DataFr
     """A1, A2: per key sn (share of evidence that the model has), sp (share of the model with evidence) and aed = 1 - (sn + sp) / 2.
 
     Keys without evidence have sn = sp = 0."""
-    m, v = merge(models, keys), merge(evidence, keys)
-    size = lambda p, name: p.groupBy(*keys).agg(F.sum(F.col("e") - F.col("s") + 1).alias(name))
-    both = size(m, "model").join(size(v, "evidence"), keys, "left").join(overlap_bases(m, v, keys), keys, "left")
-    shared = F.coalesce("shared", F.lit(0))
-    sn, sp = F.coalesce(shared / F.col("evidence"), F.lit(0.0)), shared / F.col("model")
+    known = evidence.dropna(subset=keys)
+    both = coverage({"_model": models, "_evidence": known}, keys, (("_model", "_evidence"),)).where("_model > 0")
+    shared = F.col("_model__evidence")
+    sn, sp = F.when(F.col("_evidence") > 0, shared / F.col("_evidence")).otherwise(0.0), shared / F.col("_model")
     return both.select(*keys, sn.alias("sn"), sp.alias("sp"), (1 - (sn + sp) / 2).alias("aed"))
 
 
@@ -80,22 +80,24 @@ def eaed(exons: DataFrame, blocks: DataFrame, keys: list[str], bounds: DataFrame
     as evidence whole. A protein's bases agree where its codons lie in the transcript's phase (blocks begin with a codon's first base).
     A transcript without evidence has 1. Everything is intervals: no row per base."""
     place = Window.partitionBy(*keys).orderBy("s", "e")
-    number = exons.withColumns({"_i": F.row_number().over(place), "_n": F.count("*").over(Window.partitionBy(*keys))})
+    number = stored(exons.select(*keys, "s", "e").withColumns({"_i": F.row_number().over(place), "_n": F.count("*").over(Window.partitionBy(*keys))}))
     of_hit = Window.partitionBy(*keys, "hit")
-    ests = blocks.where("kind <> 'protein'").withColumns({"_k": F.row_number().over(of_hit.orderBy("s", "e")), "_m": F.count("*").over(of_hit)})
-    starts = number.where("_i > 1").select(*keys, "s", F.lit(True).alias("_begins"))
-    ends = number.where("_i < _n").select(*keys, "e", F.lit(True).alias("_ends"))
-    counts = number.select(*keys, "_n").distinct()
-    met = ests.join(counts, keys).join(starts, [*keys, "s"], "left").join(ends, [*keys, "e"], "left")
+    # by transcript, so that neither the hits' order nor the join needs another shuffle; what a transcript holds are its splice sites
+    ests = blocks.where("kind <> 'protein'").select(*keys, "hit", "kind", "s", "e").repartition(*keys)
+    ests = ests.withColumns({"_k": F.row_number().over(of_hit.orderBy("s", "e")), "_m": F.count("*").over(of_hit)})
+    sites = number.groupBy(*keys).agg(F.max("_n").alias("_n"), F.collect_set(F.when(F.col("_i") > 1, F.col("s"))).alias("_starts"), F.collect_set(F.when(F.col("_i") < F.col("_n"), F.col("e"))).alias("_ends"))
+    met = ests.join(sites, keys)
     # a block's number is held against the transcript's count of exons, as is done with its begin first
-    met = met.withColumn("_at_start", F.coalesce("_begins", F.lit(False)) & (F.col("_k") > 1))
-    met = met.withColumn("_at_end", ~F.col("_at_start") & F.coalesce("_ends", F.lit(False)) & (F.col("_k") != F.col("_n")))
+    met = met.withColumn("_at_start", F.array_contains("_starts", F.col("s")) & (F.col("_k") > 1))
+    met = met.withColumn("_at_end", ~F.col("_at_start") & F.array_contains("_ends", F.col("e")) & (F.col("_k") != F.col("_n")))
+    # written, as four branches start from it
+    met = stored(met.select(*keys, "kind", "s", "e", "_m", "_at_start", "_at_end"))
     at_site = met.where("_at_start or _at_end")
     verified_starts = at_site.where("_at_start and kind = 'est'").select(*keys, "s").distinct()
     verified_ends = at_site.where("_at_end and kind = 'est'").select(*keys, "e").distinct()
     verified = number.where("_i > 1 and _i < _n").select(*keys, "s", "e").join(verified_starts, [*keys, "s"], "left_semi").join(verified_ends, [*keys, "e"], "left_semi").select(*keys, "s", "e")
     elsewhere = met.where("not _at_start and not _at_end").select(*keys, "_m", "s", "e")
-    near = overlap_join(elsewhere, number.select(*keys, "s", "e", "_n"), keys, bin_sizes=(64, 1024, 1 << 14))
+    near = overlap_join(elsewhere, number.select(*keys, "s", "e", "_n"), keys)
     shared = F.least("e", "be") - F.greatest("s", "bs") + 1
     covers = (shared * 10 >= (F.col("be") - F.col("bs") + 1) * 9) & (((F.col("_n") == 1) & (F.col("_m") == 1)) | (shared * 10 >= (F.col("e") - F.col("s") + 1) * 9))
     agreeing = at_site.select(*keys, "s", "e").union(near.where(covers).select(*keys, "s", "e")).union(verified)
@@ -106,17 +108,15 @@ def eaed(exons: DataFrame, blocks: DataFrame, keys: list[str], bounds: DataFrame
             codons = phased(proteins).select(*keys, "s", "e", "p")
         else:
             codons = proteins.withColumn("e", F.expr("s + 3 * ((e - s + 1) div 3) - 1")).where("e > s").select(*keys, "s", "e", F.col("s").alias("p"))
-        both = overlap_join(codons, coding, keys, bin_sizes=(64, 1024, 1 << 14))
+        both = overlap_join(codons, coding, keys)
         turn = F.when(F.col("strand") > 0, F.col("phase") - F.col("bs") + F.col("p")).otherwise(F.col("phase") + F.col("be") - 2 - F.col("p"))
         agreeing = agreeing.union(both.where(turn % 3 == 0).select(*keys, F.greatest("s", "bs").alias("s"), F.least("e", "be").alias("e")))
-    size = lambda p, name: p.groupBy(*keys).agg(F.sum(F.col("e") - F.col("s") + 1).alias(name))
-    model = merge(exons, keys)
     known = blocks.select(*keys, "s", "e").union(verified)
-    evidence = merge(known if inferred is None else known.union(inferred.select(*keys, "s", "e")), keys)
-    found = size(model, "_model").join(size(evidence, "_evidence"), keys, "left").join(overlap_bases(model, merge(agreeing, keys), keys), keys, "left")
-    agreed = F.coalesce("shared", F.lit(0))
-    score = 1 - (agreed / F.col("_model") + agreed / F.col("_evidence")) / 2
-    return found.select(*keys, F.coalesce(score, F.lit(1.0)).alias("eaed"))
+    known = known if inferred is None else known.union(inferred.select(*keys, "s", "e"))
+    found = coverage({"_model": exons, "_evidence": known, "_agreed": agreeing}, keys, (("_model", "_agreed"),)).where("_model > 0")
+    agreed = F.col("_model__agreed")
+    score = F.when(F.col("_evidence") > 0, 1 - (agreed / F.col("_model") + agreed / F.col("_evidence")) / 2).otherwise(1.0)
+    return found.select(*keys, score.alias("eaed"))
 
 
 def cut_text(x: Column) -> Column:

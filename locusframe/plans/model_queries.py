@@ -44,7 +44,7 @@ _EAED = _MODELS + """st AS (SELECT *, k > 1 AND EXISTS (SELECT 1 FROM ex WHERE e
 
 def _parts(spark, d):
     """exons (TK, s, e), spans (TK, s, e, cs, ce) and evidence blocks (TK, hit, kind, s, e); written once, as scores use them many times."""
-    blocks = stored(intervals.merge(A.hsps(spark, d, exact=True), ["hit", *SK]).select("hit", *SK, "s", "e"))
+    blocks = stored(intervals.merge(A.hsps(spark, d, exact=True), ["hit", *SK], rows=A.n_feat(spark, d)).select("hit", *SK, "s", "e"))
     exons = blocks.where("hit % 5 = 0").withColumnRenamed("hit", "tx")
     spans = exons.groupBy(*TK).agg(F.min("s").alias("s"), F.max("e").alias("e"))
     spans = spans.withColumns({"cs": F.col("s") + 30, "ce": F.col("e") - 30})
