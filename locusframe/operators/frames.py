@@ -23,17 +23,24 @@ def chunked(seqs: DataFrame, size: int = 100_000) -> DataFrame:
     """seqid, seq as seqid, chunk (from 0), own (letters of its own) and text, which goes on into the next chunk."""
     n = F.length("seq")
     cut = F.transform(F.sequence(F.lit(0), F.expr(f"(length(seq) - 1) div {size}")), lambda c: F.struct(c.cast("long").alias("chunk"), F.least(n - c * size, F.lit(size)).alias("own"), F.substring("seq", (c * size + 1).cast("int"), F.lit(size + BEHIND)).alias("text")))
-    return seqs.where(n > 0).select("seqid", F.explode(cut).alias("c")).select("seqid", "c.*")
-
-
-def _marks(text: str, own: int, residues: np.ndarray) -> list[np.ndarray]:
-    """Places (from 0) below `own` by frame: of stops (three arrays), then of beginning runs of unknown residues (three)."""
-    codons = residues[codon_numbers(text)]
-    out = [np.flatnonzero(codons[f::3] == ord("*")) * 3 + f for f in range(3)]
+    # what is empty goes last, so that a text which is an expression isn't evaluated for the filter too
+    return seqs.select("seqid", F.explode(cut).alias("c")).select("seqid", "c.*").where("own > 0")
+
+
+def _marks(numbers: np.ndarray, own: int, residues: np.ndarray) -> list[np.ndarray]:
+    """Places (from 0) below `own` by frame: of stops (three arrays), then of beginning runs of unknown residues (three); numbers are the text's codons'."""
+    codons = residues[numbers]
+    stops = np.flatnonzero(codons == ord("*"))
+    stops = stops[stops < own]
+    out = [stops[stops % 3 == f] for f in range(3)]
+    strange = codons == ord("X")
+    if not strange.any():
+        return [*out, *[stops[:0]] * 3]
     for f in range(3):
-        unknown = np.cumsum(np.concatenate([[0], codons[f::3] == ord("X")]))
-        out.append(np.flatnonzero(unknown[UNKNOWN:] - unknown[:-UNKNOWN] == UNKNOWN) * 3 + f)
-    return [x[x < own] for x in out]
+        unknown = np.cumsum(np.concatenate([[0], strange[f::3]]))
+        runs = np.flatnonzero(unknown[UNKNOWN:] - unknown[:-UNKNOWN] == UNKNOWN) * 3 + f
+        out.append(runs[runs < own])
+    return out
 
 
 def next_marks(chunks: DataFrame, points: DataFrame, size: int = 100_000, code: str = "universal") -> DataFrame:
@@ -57,9 +64,9 @@ def next_marks(chunks: DataFrame, points: DataFrame, size: int = 100_000, code:
         for b in batches:
             rows = []
             for seqid, chunk, own, text in zip(*(b[c].to_pylist() for c in ("seqid", "chunk", "own", "text")), strict=True):
-                first = chunk * size + 1
+                first, numbers = chunk * size + 1, codon_numbers(text)
                 for strand, residues in tables.items():
-                    found = [int(x[0]) + first if len(x) else None for x in _marks(text, own, residues)]
+                    found = [int(x[0]) + first if len(x) else None for x in _marks(numbers, own, residues)]
                     rows.append((seqid, chunk, strand, *by_position(found, first)))
             cols = list(zip(*rows, strict=True)) or [()] * 5
             types = [b.schema.field("seqid").type, pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
@@ -80,9 +87,9 @@ def next_marks(chunks: DataFrame, points: DataFrame, size: int = 100_000, code:
         for b in batches:
             rows = []
             for seqid, chunk, own, text, wanted in zip(*(b[c].to_pylist() for c in ("seqid", "chunk", "own", "text", "asked")), strict=True):
-                first = chunk * size + 1
+                first, numbers = chunk * size + 1, codon_numbers(text)
                 for w in wanted:
-                    here = [x + first for x in _marks(text, own, tables[w["strand"]])]
+                    here = [x + first for x in _marks(numbers, own, tables[w["strand"]])]
                     at = np.array(w["at"])
                     place = [np.searchsorted(x, at) for x in here]
                     for i, p in enumerate(w["at"]):
@@ -125,7 +132,7 @@ def inferred_exons(reads: DataFrame, keys: list[str], chunks: DataFrame, size: i
     known = left.join(marks, ["seqid", "strand", "b"]).join(lengths, "seqid")
     reach = F.greatest(*[F.coalesce(F.get("stops", F.lit(i)) + 1, "_length") for i in range(3)])
     known = known.withColumns({"s": F.col("b") + shortest, "e": F.least(reach, "_length")}).where("s <= e")
-    met = overlap_join(known, right.select(*keys, F.col("end").alias("s"), F.col("end").alias("e"), "_from"), keys, bin_sizes=(64, 1024, 1 << 14))
+    met = overlap_join(known, right.select(*keys, F.col("end").alias("s"), F.col("end").alias("e"), "_from"), keys)
     good = met.where("_from > _over").where(reads_through(F.col("b"), F.col("be"), F.col("strand")))
     return good.groupBy(*keys, "b").agg(F.max("be").alias("e")).select(*keys, F.col("b").alias("s"), "e")
 
