@@ -23,7 +23,7 @@ _ISO = """bo AS (SELECT *, max(e) OVER (PARTITION BY hit, seqid, strand ORDER BY
 def _isoforms(spark, d):
     """Every hit as a transcript of its contig's and strand's gene: transcripts, exons, coding spans; every fourth hit is non-coding."""
     side = F.when(F.col("strand") > 0, "p").otherwise("m")
-    blocks = intervals.merge(A.hsps(spark, d, exact=True), ["hit", *SK])
+    blocks = intervals.merge(A.hsps(spark, d, exact=True), ["hit", *SK], rows=A.n_feat(spark, d))
     exons = blocks.select(F.concat(F.col("seqid"), side).alias("gene"), F.concat(F.col("hit"), side).alias("transcript"), "hit", *SK, "s", "e")
     spans = exons.groupBy("gene", "transcript", "hit", *SK).agg(F.min("s").alias("s"), F.max("e").alias("e"))
     coding = spans.where("hit % 4 <> 0 and e - s > 90").select("transcript", (F.col("s") + 30).alias("cs"), (F.col("e") - 30).alias("ce"))
