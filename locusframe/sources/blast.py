@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,14 +66,16 @@ def blocks(record: str | None, translated: bool = True) -> Iterator[dict]:
 
 def parsed(records: DataFrame, column: str, translated: bool = True) -> DataFrame:
     """Blocks (BLOCK) of records in a text column; a record's text is what follows its `Query=`."""
-    columns = [c.split()[0] for c in BLOCK.split(", ")]
+    types = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "double": pa.float64()}
+    schema = pa.schema([(name, types[kind]) for name, kind in (x.split() for x in BLOCK.split(", "))])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = pd.DataFrame([b for r in pdf[column] for b in blocks(r, translated)], columns=columns)
-            yield out.astype({c: "Int32" if kind == "int" else "Int64" for c, kind in (x.split() for x in BLOCK.split(", ")) if kind in ("int", "long")})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # so many blocks at a time, as a record may have any number of them
+        found = (b for batch in batches for r in batch.column(0) for b in blocks(r.as_py(), translated))
+        while some := list(islice(found, 10_000)):
+            yield pa.RecordBatch.from_pylist(some, schema)
 
-    return records.select(column).mapInPandas(run, BLOCK)
+    return records.select(column).mapInArrow(run, BLOCK)
 
 
 def report(spark: SparkSession, path: str, program: str) -> DataFrame:
