@@ -99,13 +99,13 @@ _SCORES = _EAED + ", " + _ABAED + ", " + _AED + """, sc AS (SELECT ea.tx, ea.seq
 
 
 def _scored(spark, d, residues=None):
-    """Scores of all models; with residues, those of more residues alone, which their exons tell before any evidence is looked for (others come without it)."""
+    """Scores of all models; with residues, evidence is looked for only for models of more residues, which their exons tell (the others are scored without)."""
     blocks, exons, spans = _models(spark, d)
+    bounds = spans.select(*TK, "cs", "ce")
     if residues is not None:
         coding = F.greatest(F.least(F.col("e"), F.col("he") - 30) - F.greatest(F.col("s"), F.col("hs") + 30) + 1, F.lit(0))
-        long = exons.groupBy(*TK).agg(F.max("hs").alias("s"), F.max("he").alias("e"), F.sum(coding).alias("bases")).where(F.col("bases") >= 3 * (residues + 1))
-        spans = long.select(*TK, "s", "e", (F.col("s") + 30).alias("cs"), (F.col("e") - 30).alias("ce"))
-    rows = scores.model_scores(exons, _evidence(blocks, spans), TK, spans.select(*TK, "cs", "ce"), rows=A.n_feat(spark, d))
+        spans = exons.groupBy(*TK).agg(F.max("hs").alias("s"), F.max("he").alias("e"), F.sum(coding).alias("bases")).where(F.col("bases") >= 3 * (residues + 1))
+    rows = scores.model_scores(exons, _evidence(blocks, spans), TK, bounds, rows=A.n_feat(spark, d))
     abaed = F.when(F.col("other"), 0.0).otherwise(1.0).alias("abaed")
     return rows.select(*TK, F.round("eaed", 6).alias("eaed"), abaed, F.round("aed", 6).alias("aed"), F.floor(F.col("coding") / 3).cast("long").alias("residues"))
 
