@@ -225,95 +225,196 @@ def _doubled(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _head(text: str) -> tuple[int, int]:
-    """The largest k with 2^k letters in a text, and the number of its first 2^k letters."""
-    k = len(text).bit_length() - 1
-    x = _letters(text[:1 << k])
-    while len(x) > 1:
-        x = _doubled(x[::2], x[1::2])
-    return k, int(x[0].astype(np.int64))
-
-
-#: The bits of the filter that heads pass through; two are set for each head.
-_FILTER_BITS = 28
-_WORD_BITS = _FILTER_BITS - 6
-
-
-def _filter_of(heads: DataFrame) -> np.ndarray:
-    """A Bloom filter of heads, of at most 32 MB whatever their number; it only keeps most of what can't match out of the join."""
-    both = F.array("head", F.shiftleft("head", 32).bitwiseOR(F.shiftrightunsigned("head", 32)))
-    words = heads.select(F.explode(both).alias("h")).select(F.shiftrightunsigned("h", 64 - _WORD_BITS).alias("w"), F.expr("shiftleft(1L, cast(shiftrightunsigned(h, 4) & 63 as int))").alias("b"))
+def _ends(text: str) -> np.ndarray:
+    """The numbers of a text's first and last 2^k letters, as many as it has."""
+    size = 1 << (len(text).bit_length() - 1)
+    x = _letters(text[:size] + text[-size:]).reshape(2, size)
+    while x.shape[1] > 1:
+        x = _doubled(x[:, ::2], x[:, 1::2])
+    return x[:, 0]
+
+
+#: Letters that are worked on at a time, so that a long text takes 8 bytes a letter and not several times as much.
+_AT_A_TIME = 1 << 16
+
+
+def _windows(texts: list[str], largest: int) -> Iterator[tuple[int, np.ndarray]]:
+    """k and the numbers of all windows of 2^k letters, up to `largest`, of texts put one behind the other, longest first; texts that have no such window
+    are left out. Each array takes the place of the one before. Numbers of windows that reach into the next text are of no use."""
+    n = np.array([len(s) for s in texts])
+    x, at = np.empty(int(n.sum()), np.uint64), 0
+    for s in texts:
+        for i in range(0, len(s), _AT_A_TIME):
+            part = _letters(s[i:i + _AT_A_TIME])
+            x[at:at + len(part)] = part
+            at += len(part)
+    for k in range(min(largest + 1, len(texts[0]).bit_length())):
+        m = int(n[n >= 1 << k].sum()) - (1 << k) + 1
+        if k:
+            half = 1 << (k - 1)
+            for i in range(0, m, _AT_A_TIME):  # nothing is read that was written before
+                j = min(i + _AT_A_TIME, m)
+                x[i:j] = _doubled(x[i:j], x[i + half:j + half])
+        x = x[:m]
+        yield k, x
+
+
+def _both(head: np.ndarray, tail: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """A number for sequences of n letters that begin and end with windows of these numbers."""
+    return _doubled(_doubled(head, tail), n.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+#: Fixed value: the largest filter has 2^22 words of 64 bits.
+_MOST_WORDS = 22
+
+
+def _filter_of(rows: DataFrame, n: int, *names: str) -> np.ndarray:
+    """A Bloom filter of the numbers in these columns of n rows, as bytes: 64 bits for each number but 32 MB at most. A number's first bits tell the byte, its
+    last three the bit; so do those of its halves exchanged. It only keeps out most of what can't match."""
+    bits = min(_MOST_WORDS, max(10, (n * len(names)).bit_length()))
+    numbers = rows.select(F.explode(F.array(*names)).alias("x"))
+    both = F.array("x", F.shiftleft("x", 32).bitwiseOR(F.shiftrightunsigned("x", 32)))
+    words = numbers.select(F.explode(both).alias("h")).select(F.shiftrightunsigned("h", 64 - bits).alias("w"), F.expr(f"shiftleft(1L, cast(8 * (shiftrightunsigned(h, {61 - bits}) & 7) + (h & 7) as int))").alias("b"))
     found = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-    out = np.zeros(1 << _WORD_BITS, np.uint64)
-    out[found["w"].to_numpy()] = found["b"].to_numpy().astype(np.uint64)
-    return out
+    out = np.zeros(1 << bits, "<u8")
+    out[found["w"].to_numpy()] = found["b"].to_numpy().view(np.uint64)
+    return out.view(np.uint8)
 
 
-def _passes(words: np.ndarray, x: np.ndarray) -> np.ndarray:
+def _passes(filled: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Where numbers are in the filter."""
-    def held(h: np.ndarray) -> np.ndarray:
-        return (words[h >> np.uint64(64 - _WORD_BITS)] >> ((h >> np.uint64(4)) & np.uint64(63)) & np.uint64(1)) == 1
+    shift = np.uint64(65 - len(filled).bit_length())
 
-    at = np.flatnonzero(held(x))
-    y = x[at]
-    return at[held((y << np.uint64(32)) | (y >> np.uint64(32)))]
+    def held(h: np.ndarray) -> np.ndarray:
+        return (np.take(filled, (h >> shift).view(np.int64)) >> (h.astype(np.uint8) & np.uint8(7)) & np.uint8(1)).view(bool)
+
+    found = []
+    for i in range(0, len(x), _AT_A_TIME):
+        at = np.flatnonzero(held(x[i:i + _AT_A_TIME])) + i
+        y = x[at]
+        found.append(at[held((y << np.uint64(32)) | (y >> np.uint64(32)))])
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+
+def _first_of(x: np.ndarray, heads: np.ndarray, end: np.ndarray, k: int) -> np.ndarray:
+    """Which of the places where heads lie (their texts end at `end`) are left, if of those followed by the same letters, as far as a sequence of
+    under 2^(k+1) letters reaches, one does. Without it a text of one letter would have a pair for each two places."""
+    size = 1 << k
+    whole = heads + 2 * size <= end
+    inner, ends = np.flatnonzero(whole), np.flatnonzero(~whole)
+    at = heads[inner]
+    kept = inner[np.unique(_doubled(x[at], x[at + size - 1]), return_index=True)[1]]
+    if len(ends) > 1:  # what is left of the text there, beside the same letters at the last place before that has this head
+        order = ends[np.argsort(x[heads[ends]], kind="stable")]
+        here, before, stop = heads[order[1:]], heads[order[:-1]], end[order[1:]]
+        again = (x[here] == x[before]) & (end[order[:-1]] == stop)
+        again &= x[np.minimum(before + stop - here, stop) - size] == x[stop - size]
+        ends = np.concatenate([order[:1], order[1:][~again]])
+    return np.sort(np.concatenate([kept, ends]))
+
+
+#: Pairs of places that are looked at together.
+_PAIRS = 1 << 18
+
+
+def _inside(texts: list[str], sizes: set[int], near: np.ndarray, exact: np.ndarray) -> Iterator[str]:
+    """What lies in texts and passes the filters of heads and tails (near) and of whole sequences (exact), but no whole text; equal parts mostly once."""
+    texts = sorted((s for s in texts if s), key=len, reverse=True)
+    if not texts or not sizes:
+        return
+    length = np.array([len(s) for s in texts])
+    begin = np.cumsum(length) - length
+    for k, x in _windows(texts, max(sizes)):
+        found = _passes(near, x) if k in sizes else ()
+        if not len(found):
+            continue
+        size = 1 << k
+        owner = np.searchsorted(begin, found, "right") - 1
+        valid = found + size <= begin[owner] + length[owner]
+        tails, owner = found[valid], owner[valid]
+        first = _first_of(x, tails, begin[owner] + length[owner], k)
+        heads, owner = tails[first], owner[first]
+        low, high = np.searchsorted(tails, heads), np.searchsorted(tails, np.minimum(heads + size, begin[owner] + length[owner]))
+        upto = np.concatenate([[0], np.cumsum(high - low)])
+        seen, at = np.zeros(0, np.uint64), 0
+        while at < len(heads):
+            to = max(at + 1, int(np.searchsorted(upto, upto[at] + _PAIRS, "right")) - 1)
+            which = np.repeat(np.arange(at, to), (high - low)[at:to])
+            last = tails[np.arange(upto[at], upto[to]) - upto[which] + low[which]]
+            n = last - heads[which] + size
+            ok = n < length[owner[which]]
+            which, last, n = which[ok], last[ok], n[ok]
+            number = _both(x[heads[which]], x[last], n)
+            passed = _passes(exact, number)
+            number, i = np.unique(number[passed], return_index=True)
+            new = ~np.isin(number, seen)
+            for j in passed[i[new]].tolist():
+                o = owner[which[j]]
+                b = int(heads[which[j]] - begin[o])
+                yield texts[o][b:b + int(n[j])]
+            seen, at = np.concatenate([seen, number[new]]), to
+
+
+def _grouped(texts: Iterator[str]) -> Iterator[list[str]]:
+    """Texts in groups of a few blocks of letters, or one longer text."""
+    group, letters = [], 0
+    for s in texts:
+        if group and letters + len(s) > 4 * _AT_A_TIME:
+            yield group
+            group, letters = [], 0
+        group.append(s)
+        letters += len(s)
+    yield group
+
+
+def _digest(text: str) -> bytes:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
 def not_contained(seqs: DataFrame) -> DataFrame:
     """seqid of the distinct sequences (the smallest seqid of each) that no longer one contains.
 
-    A sequence of n letters is found by its head, the first 2^k letters with 2^k <= n < 2^(k+1): windows of that size are numbered in
-    every sequence (each size from the one before), and those that pass a filter of all heads are joined with the heads. What follows a head
-    in a sequence is then cut at the lengths that sequences with this head have, and met by digest. Sequences with the same head and
-    length are one there, so that near copies don't meet pair by pair."""
+    A sequence of n letters is all in its head and its tail, the first and the last 2^k letters with 2^k <= n < 2^(k+1). Windows of those sizes are numbered
+    in every sequence (each size from the one before); what passes a filter of all heads and tails is put together to pairs, and pairs that pass a
+    filter of what heads, tails and lengths occur together are cut out and met by digest. So a sequence yields rows for what it contains alone, however many
+    others begin as it does; no texts are shuffled behind the first step, and few letters of a batch are worked on together."""
     u = seqs.where("seq is not null").groupBy("seq").agg(F.min("seqid").alias("seqid"))
     u = stored(u.select("seqid", "seq"))
-
-    def heads_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = b["seq"].to_pylist()
-            rows = [(len(s), *_head(s), hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=16).digest()) for s in texts]
-            n, k, head, digest = zip(*rows, strict=True) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([b["seqid"], pa.array(n, pa.int64()), pa.array(k, pa.int32()), pa.array(head, pa.int64()), pa.array(digest, pa.binary())], ["seqid", "n", "k", "head", "digest"])
-
     kind = u.schema["seqid"].dataType.simpleString()
-    own = stored(u.where("seq <> ''").mapInArrow(heads_of, f"seqid {kind}, n long, k int, head long, digest binary"))
-    words = u.sparkSession.sparkContext.broadcast(_filter_of(own.select("head")))
-    sizes = sorted(r[0] for r in own.select("k").distinct().collect())
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for seqid, s in zip(b["seqid"].to_pylist(), b["seq"].to_pylist(), strict=True):
-                x, at, heads, size = _letters(s), [], [], []
-                for k in range(len(s).bit_length()):
-                    if k:
-                        half = 1 << (k - 1)
-                        x = _doubled(x[:-half], x[half:])
-                    if k in sizes:
-                        found = _passes(words.value, x)
-                        at.append(found)
-                        heads.append(x[found].astype(np.int64))
-                        size.append(np.full(len(found), k, np.int32))
-                if at:
-                    m = sum(map(len, at))
-                    yield pa.RecordBatch.from_arrays([pa.array([seqid] * m, b.schema.field("seqid").type), pa.array([len(s)] * m, pa.int64()), pa.array(np.concatenate(size)), pa.array(np.concatenate(heads)), pa.array(np.concatenate(at).astype(np.int64))], ["other", "length", "k", "head", "at"])
-
-    lengths = own.groupBy("k", "head").agg(F.collect_set("n").alias("ns"))
-    met = u.where("seq <> ''").mapInArrow(places, f"other {kind}, length long, k int, head long, at long").join(lengths, ["k", "head"])
-    # where sequences of these lengths may lie; what is as long as its own sequence is that sequence
-    cuts = met.select("other", "length", "at", F.explode("ns").alias("n")).where("n < length and at + n <= length")
-    spans = cuts.groupBy("other").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
-
-    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = set()
-            for s, spans in zip(b["seq"].to_pylist(), b["spans"].to_pylist(), strict=True):
-                for part in {s[x["at"]:x["at"] + x["n"]] for x in spans}:
-                    found.add((len(part), hashlib.blake2b(part.encode("utf-8", "surrogatepass"), digest_size=16).digest()))
+            m = b.num_rows
+            n, head, tail, digest = np.zeros(m, np.int64), np.zeros(m, np.uint64), np.zeros(m, np.uint64), [b""] * m
+            for i, x in enumerate(b["seq"]):
+                s = x.as_py()
+                n[i], (head[i], tail[i]), digest[i] = len(s), _ends(s), _digest(s)
+            columns = [b["seqid"], pa.array(n), *(pa.array(x.view(np.int64)) for x in (head, tail, _both(head, tail, n))), pa.array(digest, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["seqid", "n", "head", "tail", "both", "digest"])
+
+    own = stored(u.where("seq <> ''").mapInArrow(numbers, f"seqid {kind}, n long, head long, tail long, both long, digest binary"))
+    context = u.sparkSession.sparkContext
+    m = own.count()
+    near, exact = context.broadcast(_filter_of(own, m, "head", "tail")), context.broadcast(_filter_of(own, m, "both"))
+    sizes = {r[0] for r in own.select(F.expr("length(bin(n)) - 1")).distinct().collect()}
+
+    def contained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["n", "digest"]
+
+        def out(found: set[tuple[int, bytes]]) -> pa.RecordBatch:
             n, digest = zip(*found, strict=True) if found else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64()), pa.array(digest, pa.binary())], ["n", "digest"])
-
-    inside = u.withColumnRenamed("seqid", "other").join(spans, "other").select("seq", "spans").mapInArrow(digests, "n long, digest binary").distinct()
+            return pa.RecordBatch.from_arrays([pa.array(n, pa.int64()), pa.array(digest, pa.binary())], names)
+
+        found: set[tuple[int, bytes]] = set()
+        for texts in _grouped(x.as_py() for b in batches for x in b["seq"]):
+            for part in _inside(texts, sizes, near.value, exact.value):
+                found.add((len(part), _digest(part)))
+                if len(found) == 10_000:
+                    yield out(found)
+                    found = set()
+        yield out(found)
+
+    inside = u.where("seq <> ''").select("seq").mapInArrow(contained, "n long, digest binary").distinct()
     # the empty sequence lies in every other one
     empty = u.where("seq = ''").select("seqid").join(own.limit(1).select(F.lit(1).alias("_any")), how="left_anti")
     return own.join(inside, ["n", "digest"], "left_anti").select("seqid").union(empty)

@@ -74,6 +74,39 @@ def test_not_contained_meets_near_copies_by_length(spark):
     assert "contains(" not in df._jdf.queryExecution().optimizedPlan().toString().lower()
 
 
+def python_rows(plan):
+    """Rows that each Python step of a plan that has run gave."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return python_rows(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return python_rows(plan.plan())
+    below = [n for i in range(plan.children().size()) for n in python_rows(plan.children().apply(i))]
+    return below + ([plan.metrics().get("pythonNumRowsReceived").get().value()] if kind == "MapInArrowExec" else [])
+
+
+def test_not_contained_makes_no_row_per_pair_of_one_head(spark):
+    """Sequences that begin alike, of different lengths, and repeats of a few letters: rows are made for what is contained alone."""
+    r = random.Random(6)
+    base = "".join(r.choices("ACGT", k=1100))
+    near = [base[:k] + "N" + base[k + 1:n] for k, n in ((600 + 2 * i, 1100 - i) for i in range(150))]
+    inside = ["AC" * 700, "CA" * 600, "A" * 999, "A" * 3, base[:500]]
+    rows = list(enumerate([*near, *inside, "AC" * 701, "A" * 1000]))
+    expected = [i for i, a in rows if not any(len(b) > len(a) and a in b for _, b in rows)]
+    df = sequences.not_contained(spark.createDataFrame(rows, "seqid long, seq string"))
+    assert sorted(x.seqid for x in df.collect()) == expected
+    assert 0 < max(python_rows(df._jdf.queryExecution().executedPlan())) < 3 * len(rows)
+
+
+def test_windows_of_a_long_text_are_numbered_piece_by_piece(monkeypatch):
+    text = "".join(random.Random(7).choices("ACGT", k=300))
+    texts = [text, text[40:90], text[:5], "A"]
+    whole = [(k, x.tolist()) for k, x in sequences._windows(texts, 99)]
+    monkeypatch.setattr(sequences, "_AT_A_TIME", 7)
+    assert [(k, x.tolist()) for k, x in sequences._windows(texts, 99)] == whole and len(whole) == 9
+    assert whole[4][1][20] == sequences._ends(text[20:36])[0] and whole[4][1][300] == whole[4][1][40]
+
+
 def test_empty_sequence_alone_is_kept(spark):
     rows = spark.createDataFrame([(1, ""), (2, ""), (3, None)], "seqid long, seq string")
     assert [x.seqid for x in sequences.not_contained(rows).collect()] == [1]
