@@ -203,7 +203,7 @@ def jaccard_edges(spark, d):
     fin AS (SELECT seqid, unnest(kept) AS k FROM (SELECT *, max(r) OVER (PARTITION BY seqid, island) AS last FROM go) WHERE r = last)
     SELECT seqid, k.id AS id, k.s AS s, k.e AS e FROM fin"""))
 def greedy_select(spark, d):
-    return selection.greedy(A.feat(spark, d), ["seqid"], [F.desc("score"), F.col("id")], "id")
+    return selection.greedy(A.feat(spark, d, parts=True), ["seqid"], [F.desc("score"), F.col("id")], "id", made=A.feat_id(), n=A.n_feat(spark, d))
 
 
 @query("feat", f"""SELECT a, b, round(dist, 6) AS distance FROM (

@@ -6,7 +6,7 @@ split as the table is. Ids are text built from the row's key columns, the same i
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The same views for DuckDB, as common table expressions by name; later ones may use earlier ones.
@@ -35,16 +35,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def feat(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feat(spark: SparkSession, sf_dir: str, parts: bool = False) -> DataFrame:
+    """parts: with the line's number in place of the id. feat_id makes that of the other columns, which take less than the text where rows are shuffled."""
     day = F.datediff(F.to_date("l_shipdate"), F.lit("1992-01-01").cast("date"))
+    whole = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("long"), F.round(F.col("l_extendedprice") * 100).cast("long"), day).alias("id")
     return _table(spark, sf_dir, "lineitem").select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("long"), F.round(F.col("l_extendedprice") * 100).cast("long"), day).alias("id"),
+        F.col("l_linenumber").alias("line") if parts else whole,
         F.col("l_partkey").alias("seqid"), F.col("l_suppkey").alias("sup"), F.col("l_orderkey").alias("okey"),
         (day + 1).cast("long").alias("s"), (day + F.col("l_quantity").cast("long")).cast("long").alias("e"),
         F.when(F.col("l_linestatus") == "O", 1).otherwise(-1).alias("strand"), F.col("l_returnflag").alias("source"), F.col("l_extendedprice").alias("score"),
     )
 
 
+def feat_id() -> Column:
+    """The id of rows of feat(parts=True) that have s and e."""
+    return F.concat_ws("-", "okey", "line", "seqid", "sup", F.col("e") - F.col("s") + 1, F.round(F.col("score") * 100).cast("long"), F.col("s") - 1)
+
+
 def n_feat(spark: SparkSession, sf_dir: str) -> int:
     """Rows of feat and the views made of it, counted from the files' footers."""
     return _table(spark, sf_dir, "lineitem").count()

@@ -66,6 +66,28 @@ def test_greedy(spark):
     assert sorted(r.id for r in selection.greedy(df, ["k"], [F.col("r")], "id").collect()) == ["A", "C"]
 
 
+def test_greedy_across_blocks(spark):
+    """Components that lie in one block, reach over several or end at a block's border; rows are shuffled once where none reaches over, and ids are made behind that."""
+    r = random.Random(8)
+    for block, longest in ((16, 40), (16, 3), (1 << 12, 40)):
+        rows = [(k, n, s, s + r.randrange(longest)) for k in (1, 2, 3) for n, s in enumerate(r.randrange(1, 400 * k) for _ in range(90))]
+        rows += [(4, 1, 1, 15), (4, 2, 15, 16), (4, 3, 16, 31), (4, 4, 32, 33), (4, 5, 31, 100), (4, 6, 100, 101)]
+        want = set()
+        for key in (1, 2, 3, 4):
+            kept = []
+            for k, n, s, e in sorted((x for x in rows if x[0] == key), key=lambda x: (-(x[1] % 7), f"{x[0]}-{x[1]}")):
+                if all(e < p or q < s for p, q in kept):
+                    kept.append((s, e))
+                    want.add((k, f"{k}-{n}", s, e))
+        df = spark.createDataFrame([*rows, (5, 1, None, 3), (None, 1, 2, 3)], "k long, n long, s long, e long").withColumn("m", F.col("n") % 7)
+        got = selection.greedy(df, ["k"], [F.desc("m"), F.col("id")], "id", made=F.concat_ws("-", "k", "n"), block=block, n=len(rows))
+        found = [tuple(x) for x in got.collect()]
+        assert len(found) == len(want) and set(found) == want
+        if block > 400:
+            plan = got._jdf.queryExecution().optimizedPlan().toString() + got._jdf.queryExecution().sparkPlan().toString()
+            assert "Join" not in plan and got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+
+
 def test_components_in_groups(spark):
     rows = [("g", 1, 1, 5), ("g", 1, 50, 60), ("g", 2, 4, 9), ("g", 3, 20, 30), ("g", 4, 55, 58), ("h", 9, 1, 2)]
     df = spark.createDataFrame(rows, "k string, n long, s long, e long")
