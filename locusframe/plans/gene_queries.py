@@ -152,12 +152,7 @@ _CHUNKED = f"""ln AS (SELECT seqid, max(e) AS length FROM feat GROUP BY seqid),
     WHERE pd.s >= start AND (is_last OR (pd.s <= ce AND CASE WHEN x IS NULL THEN pd.e <= ce ELSE row(pd.s, pd.e, pd.id) <= row(x.s, x.e, x.id) END))"""))
 def junctions(spark, d):
     """Features as predictions of chunks of 45 positions with flanks of 40 (so that one may reach over a whole chunk), put together by source and strand."""
-    f = A.feat(spark, d)
-    chunks = stored(intervals.chunks(f.groupBy("seqid").agg(F.max("e").alias("length")), SIZE, FLANK).withColumnRenamed("number", "chunk"))
-    windows = chunks.select("seqid", "chunk", F.col("ws").alias("s"), F.col("we").alias("e"))
-    met = intervals.overlap_join(f, windows, ["seqid"], bin_sizes=BINS).where("s >= bs and e <= be")
-    predictions = stored(met.select("seqid", "source", "strand", "chunk", "s", "e", "id"))
-    return junctions_.resolved(predictions, chunks, ["seqid", "source", "strand"], "id")
+    return junctions_.of_features(A.feat(spark, d, parts=True), ["seqid", "source", "strand"], "id", SIZE, FLANK, made=A.feat_id(), n=A.n_feat(spark, d))
 
 
 #: Bags of evidence: the reads of a contig's strand that lie within 600 positions.

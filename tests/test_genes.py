@@ -143,6 +143,36 @@ def test_junctions(spark):
     assert junctions.resolved(frame.where("false"), bounds, ["seqid", "source"], "id").count() == 0
 
 
+def test_junctions_of_features(spark):
+    """Against all chunks' predictions gone through one after the other; short contigs by one shuffle of the features, long ones by rounds, ids made behind the shuffle."""
+    r = random.Random(12)
+    size, flank = 45, 40
+    rows = [(c, src, k, s, s + r.randrange(60)) for c, longest in ((1, 3000), (2, 300), (3, 66), (4, 20)) for k, src, s in ((k, r.choice("ab"), r.randrange(1, longest)) for k in range(min(250, longest)))]
+    rows += [(1, "c", k, 45 * k + 30 + 2 * (k % 3), 45 * k + 85) for k in range(60)] + [(2, "a", 900 + k, 100, 140) for k in range(2)]
+    want = set()
+    for contig in (1, 2, 3, 4):
+        length = max(x[4] for x in rows if x[0] == contig)
+        n = max(1, length // size + (length % size * 2 >= size))
+        for source in "abc":
+            start = 0
+            for c in range(n):
+                end = length if c == n - 1 else (c + 1) * size
+                low, high = max(1, c * size + 1 - flank), length if c == n - 1 else min(length, (c + 1) * size + flank)
+                left = sorted((s, e, f"{contig}-{k}") for q, src, k, s, e in rows if (q, src) == (contig, source) and low <= s and e <= high and s >= start)
+                over = next((x for x in left if x[0] <= end < x[1]), None)
+                want |= {(contig, source, c, s, e, i) for s, e, i in left if c == n - 1 or s <= end and (e <= end if over is None else (s, e, i) <= over)}
+                start = (end if over is None else over[1]) + 1
+    df = spark.createDataFrame([*rows, (None, "a", 1, 5, 9), (1, None, 1, 5, 9), (1, "a", 999, None, 7)], "seqid long, source string, k int, s long, e long").repartition(3)
+    for most in (1 << 13, 100):
+        got = junctions.of_features(df, ["seqid", "source"], "id", size, flank, made=F.concat_ws("-", "seqid", "k"), most=most)
+        found = [tuple(x) for x in got.select("seqid", "source", "chunk", "s", "e", "id").collect()]
+        assert len(found) == len(set(found)) and set(found) == want
+        if most > 3100:
+            plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+            assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert junctions.of_features(df.where("false").withColumn("id", F.lit("")), ["seqid", "source"], "id", size, flank).count() == 0
+
+
 @pytest.mark.parametrize("allow", [0.0, 0.3])
 def test_opposite_strands(spark, allow):
     r = random.Random(3)
